@@ -59,7 +59,7 @@ def apply_changes(
     base_ids = base.select(F.col(id_col).alias("id"), F.lit(True).alias("_in_base"))
 
     if conditional:
-        results = _conditional_results(base, ops, id_col, base_ids)
+        results = _conditional_results(base, ops, id_col)
     else:
         results = _plain_results(ops, base_ids)
 
@@ -198,9 +198,7 @@ def _final_table(
 # Conditional changes
 
 
-def _conditional_results(
-    base: DataFrame, ops: DataFrame, id_col: str, base_ids: DataFrame
-) -> DataFrame:
+def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFrame:
     """Outcomes where a change may depend on the sequence number or version it finds.
 
     An unconditional index or delete always succeeds and leaves a known state, so it cuts
@@ -213,41 +211,36 @@ def _conditional_results(
             base = base.withColumn(name, F.lit(default).cast("bigint"))
     start = base.select(
         F.col(id_col).alias("id"),
-        F.struct(F.lit(True).alias("present"), F.col("_seq_no").alias("seq"), F.col("_version").alias("version")).alias("_start"),
+        _state(F.lit(True), F.col("_seq_no"), F.col("_version")).alias("_start"),
+    )
+    versioned = (
+        ops.filter(F.col("version").isNotNull()).select("id").distinct().withColumn("_whole", F.lit(True))
     )
     op = F.col("op")
-    free = op.isin("index", "delete") & F.col("if_seq_no").isNull()
-    counted = ops.withColumn("_free", free).withColumn("_named", F.col("version").isNotNull())
-    versioned = counted.filter("_named").select("id").distinct().withColumn("_whole", F.lit(True))
-    counted = counted.join(versioned, "id", "left")
-    cut = F.when(F.col("_free") & F.col("_whole").isNull(), F.struct("seq", (op == "index").alias("present")))
-    segmented = prefix_scan(
-        counted, ["id"], "_slice", ["seq"], {"_cut": ("last", cut)}, inclusive=True
-    ).withColumn("_seg", F.coalesce("_cut.seq", F.lit(-1)))
-    # the cutting change itself needs the state before it: it closes the older segment
-    # for its outcome, and the segment it opens starts from the state it leaves
-    before = prefix_scan(
-        segmented.withColumn("_cut_here", cut),
-        ["id"], "_slice", ["seq"], {"_prev": ("last", F.col("_cut_here"))}, inclusive=False,
-    ).withColumn("_work", F.coalesce("_prev.seq", F.lit(-1)))
-    entry = F.when(
-        F.col("_prev").isNotNull(),
-        F.struct(F.col("_prev.present").alias("present"), F.col("_prev.seq").alias("seq"), F.lit(0).cast("bigint").alias("version")),
+    free = op.isin("index", "delete") & F.col("if_seq_no").isNull() & F.col("_whole").isNull()
+    cut = F.when(free, _state(op == "index", F.col("seq"), F.lit(0)))
+    # a cutting change is judged as the last of the segment it ends
+    marked = prefix_scan(
+        ops.join(versioned, "id", "left"),
+        ["id"],
+        "_slice",
+        ["seq"],
+        {"_cut": ("last", cut)},
+        inclusive=False,
+        seed=(start, {"_cut": "_start"}),
     )
-    rows = before.join(start, "id", "left").select(
-        "id", F.col("_work").alias("seg"), "seq", "op", _inserts().alias("inserts"),
-        "if_seq_no", "version", "version_type",
-        F.coalesce(entry, F.col("_start")).alias("entry"),
-    ).select("id", "seg", "seq", "op", "inserts", "if_seq_no", "version", "version_type", "entry.*") if False else (
-        before.join(start, "id", "left")
-        .withColumn("_entry", F.coalesce(entry, F.col("_start")))
-        .select(
-            F.col("id"), F.col("_work").alias("seg"), F.col("seq"), F.col("op"), _inserts().alias("inserts"),
-            F.col("if_seq_no"), F.col("version"), F.col("version_type"),
-            F.coalesce(F.col("_entry.present"), F.lit(False)).alias("present0"),
-            F.coalesce(F.col("_entry.seq"), F.lit(-1)).cast("bigint").alias("seq0"),
-            F.coalesce(F.col("_entry.version"), F.lit(0)).cast("bigint").alias("version0"),
-        )
+    entry = F.coalesce("_cut", _state(F.lit(False), F.lit(-1), F.lit(0)))
+    rows = marked.withColumn("_entry", entry).select(
+        "id",
+        F.col("_entry.seq").alias("seg"),
+        "seq",
+        "op",
+        _inserts().alias("inserts"),
+        "if_seq_no",
+        "version",
+        "version_type",
+        F.col("_entry.present").alias("present0"),
+        F.col("_entry.version").alias("version0"),
     )
     judged = (
         rows.repartition("id", "seg")
@@ -257,6 +250,12 @@ def _conditional_results(
     return ops.join(judged, "seq")
 
 
+def _state(present: Column, seq: Column, version: Column) -> Column:
+    return F.struct(
+        present.alias("present"), seq.cast("bigint").alias("seq"), version.cast("bigint").alias("version")
+    )
+
+
 def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Outcomes of changes sorted by (id, segment, seq); state lives across batches."""
     where = state = None
@@ -265,7 +264,7 @@ def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for row in pdf.itertuples(index=False):
             if (row.id, row.seg) != where:
                 where = (row.id, row.seg)
-                state = (bool(row.present0), int(row.seq0), int(row.version0))
+                state = (bool(row.present0), int(row.seg), int(row.version0))
             result, state = judge(row, state)
             out.append((row.seq, result))
         yield pd.DataFrame(out, columns=["seq", "result"])

@@ -32,7 +32,7 @@ def term_statistics(df: DataFrame, text: str, shard: str | None = None) -> DataF
     shuffle by document.
     """
     group = [shard] if shard else []
-    ordered = df.select(*group, F.array_sort(tokens(F.col(text))).alias("_t"))
+    ordered = df.select(*group, F.sort_array(tokens(F.col(text))).alias("_t"))
     marked = F.transform(
         "_t",
         lambda t, i: F.struct(
