@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.functions.timeslice import event_micros, floor_div, micros, with_halo
+from slotwise.functions.timeslice import event_micros, floor_div, micros, prefix_scan, with_halo
 
 
 def keyed(df: DataFrame, key: str, ts: str, row_id: str, *extra: Column) -> DataFrame:
@@ -61,39 +61,40 @@ def pattern_match(
     reverse = W.partitionBy("key", "_slice").orderBy(F.desc("us"), F.desc("id"))
     passed = reverse.rowsBetween(W.unboundedPreceding, -1)
 
+    # _r{k}: what becomes of a match standing at step k on this row. Null = it still waits
+    # for a row; else where it ended and, if a `next` step was refused there, `dead`.
     last = len(steps) - 1
-    here = F.struct(F.col("us").alias("end_us"), F.array("id").alias("ids"))
-    staged = sliced.withColumn(f"_r{last}", here)
+    us = F.col("us").alias("end_us")
+    staged = sliced.withColumn(
+        f"_r{last}", F.struct(us, F.array("id").alias("ids"), F.lit(False).alias("dead"))
+    )
     for pos in range(last - 1, -1, -1):
-        step = steps[pos + 1]
-        # a row the next step accepts but that leads nowhere must still stop the search
-        reach = F.when(
-            step.predicate, F.struct(F.col(f"_r{pos + 1}").alias("to"))
-        )
+        step, later = steps[pos + 1], F.col(f"_r{pos + 1}")
         if step.follow == "next":
-            target = F.lag(reach).over(reverse)
+            refused = F.struct(us, F.array("id").alias("ids"), F.lit(True).alias("dead"))
+            accepted = F.coalesce(step.predicate, F.lit(False))
+            target = F.lag(F.struct(F.when(accepted, later).otherwise(refused).alias("to"))).over(reverse)
         elif step.follow == "followed_by":
-            target = F.last(reach, ignorenulls=True).over(passed)
+            target = F.last(
+                F.when(step.predicate, F.struct(later.alias("to"))), ignorenulls=True
+            ).over(passed)
         else:
             raise ValueError(f"unknown step relation [{step.follow}]")
+        to = F.col(f"_t{pos}.to")
         staged = staged.withColumn(f"_t{pos}", target).withColumn(
             f"_r{pos}",
             F.when(
-                F.col(f"_t{pos}.to").isNotNull(),
-                F.struct(
-                    F.col(f"_t{pos}.to.end_us").alias("end_us"),
-                    F.concat(F.array("id"), F.col(f"_t{pos}.to.ids")).alias("ids"),
-                ),
+                to.isNotNull(),
+                F.struct(to["end_us"].alias("end_us"), F.concat(F.array("id"), to["ids"]).alias("ids"), to["dead"].alias("dead")),
             ),
         )
     starts = staged.filter(F.col("_core") & steps[0].predicate)
-    done = F.col("_r0").isNotNull() & (F.col("_r0.end_us") - F.col("us") < span)
-    done = F.coalesce(done, F.lit(False))
-    matched = starts.filter(done).select(
+    ended = F.coalesce(F.col("_r0.end_us") - F.col("us") < span, F.lit(False))
+    matched = starts.filter(ended & ~F.col("_r0.dead")).select(
         "key", F.col("us").alias("start_us"), F.col("_r0.end_us").alias("end_us"), F.col("_r0.ids").alias("ids")
     )
     horizon = df.agg(F.max("us").alias("m")).scalar()
-    timed_out = starts.filter(~done & (F.col("us") + span <= horizon)).select(
+    timed_out = starts.filter(~ended & (F.col("us") + span <= horizon)).select(
         "key", "id", F.col("us").alias("start_us"), (F.col("us") + span).alias("timeout_us")
     )
     return Matches(matched, timed_out)
@@ -342,18 +343,29 @@ class SplitRows(NamedTuple):
 
 
 def late_split(
-    df: DataFrame, arrival: str, us: str, row_id: str, delay: timedelta, slice_width: timedelta
+    df: DataFrame,
+    arrival: str,
+    us: str,
+    row_id: str,
+    delay: timedelta,
+    slice_width: timedelta,
+    seen: DataFrame | None = None,
 ) -> SplitRows:
     """Rows in arrival order against the running watermark: a row older than the largest
     event time that arrived before it, minus `delay`, is late. Allowed lateness is simply a
-    larger delay. The running maximum is over all rows, so it is scanned in slices."""
-    from slotwise.functions.timeslice import prefix_scan
-
+    larger delay. The running maximum is over all rows, so it is scanned in slices. `seen`
+    (one row, column `seen`) is the largest event time of earlier batches."""
     staged = df.withColumn("_all", F.lit(0)).withColumn(
         "_slice", floor_div(F.col(arrival), micros(slice_width))
     )
     scanned = prefix_scan(
-        staged, ["_all"], "_slice", [arrival, row_id], {"_seen": ("max", F.col(us))}, inclusive=False
+        staged,
+        ["_all"],
+        "_slice",
+        [arrival, row_id],
+        {"_seen": ("max", F.col(us))},
+        inclusive=False,
+        seed=None if seen is None else (seen.withColumn("_all", F.lit(0)), {"_seen": "seen"}),
     ).drop("_all", "_slice")
     late = F.coalesce(F.col(us) < F.col("_seen") - micros(delay), F.lit(False))
     return SplitRows(scanned.filter(~late).drop("_seen"), scanned.filter(late).drop("_seen"))

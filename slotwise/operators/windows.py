@@ -18,7 +18,7 @@ def _interval(span: timedelta) -> str:
 
 def tumbling_count(df: DataFrame, key: str, ts: str, size: timedelta) -> DataFrame:
     """(key, win_end, cnt) per tumbling window [start, end). Works on streams too."""
-    win = F.window(F.col(ts).cast("timestamp"), _interval(size))
+    win = F.window(ts, _interval(size))
     return (
         df.groupBy(win.alias("_w"), F.col(key))
         .agg(F.count(F.lit(1)).alias("cnt"))
@@ -28,7 +28,7 @@ def tumbling_count(df: DataFrame, key: str, ts: str, size: timedelta) -> DataFra
 
 def tumbling_count_all(df: DataFrame, ts: str, size: timedelta) -> DataFrame:
     """(win_end, cnt) over all rows."""
-    win = F.window(F.col(ts).cast("timestamp"), _interval(size))
+    win = F.window(ts, _interval(size))
     return (
         df.groupBy(win.alias("_w"))
         .agg(F.count(F.lit(1)).alias("cnt"))

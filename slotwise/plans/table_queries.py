@@ -5,6 +5,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.text import md5_int
@@ -12,7 +13,7 @@ from slotwise.operators import changes, entities, joins, predicates, routing, wi
 from slotwise.plans import datasets
 from slotwise.plans.registry import cents, ms, query, table
 from slotwise.session import scratch_dir
-from slotwise.sources import catalog, mapping, sinks, slots
+from slotwise.sources import bulk_ndjson, catalog, mapping, sinks, slots
 
 SLOTS, SHARDS = 8, 34
 HASH = "('0x' || substr(md5({0}::VARCHAR), 1, 8))::BIGINT"
@@ -348,6 +349,92 @@ def _apply_outcomes(spark, sf):
     return out.select("seq", "id", "result", "status")
 
 
+def _conditional_set(spark, sf):
+    """The same changes with conditions: some name the sequence number of the change before,
+    some a wrong one; every tenth id takes only external versions."""
+    base, ops = _change_set(spark, sf)
+    before = F.lag("seq").over(W.partitionBy("id").orderBy("seq"))
+    part = F.expr("seq % 1000000")
+    external = F.col("id") % 10 == 3
+    cas = F.when(F.col("op") == "create", F.lit(None)).when(part % 4 == 0, before).when(part % 9 == 0, F.lit(-5))
+    return base, ops.select(
+        "seq",
+        F.when(external, F.when(part % 5 == 0, "delete").otherwise("index")).otherwise(F.col("op")).alias("op"),
+        "id", "price", "flag", "doc_as_upsert",
+        F.when(~external, cas).cast("bigint").alias("if_seq_no"),
+        F.when(external, part).alias("version"),
+        F.when(external, F.when(part % 2 == 0, "external").otherwise("external_gte")).alias("version_type"),
+    )
+
+
+@query(
+    "apply_changes_conditional",
+    f"""
+    WITH RECURSIVE {OPS_SQL},
+    c AS (SELECT seq, id, pos, ups, id % 10 = 3 AS ext, l_partkey AS part, l_partkey % 2 = 1 AS gte,
+                 CASE WHEN id % 10 = 3 THEN CASE WHEN l_partkey % 5 = 0 THEN 'delete' ELSE 'index' END ELSE op END AS op,
+                 CASE WHEN id % 10 = 3 OR op = 'create' THEN NULL
+                      WHEN l_partkey % 4 = 0 THEN lag(seq) OVER (PARTITION BY id ORDER BY seq)
+                      WHEN l_partkey % 9 = 0 THEN -5 END AS cas FROM o),
+    run(id, pos, alive, sq, ver, seq, result) AS (
+        SELECT i.id, 0::BIGINT, b.k IS NOT NULL, -1::BIGINT, 0::BIGINT, NULL::BIGINT, NULL::VARCHAR
+        FROM (SELECT DISTINCT id FROM o) i LEFT JOIN b ON b.k = i.id
+        UNION ALL
+        SELECT id, pos,
+               CASE WHEN result IN ('conflict', 'not_found') AND op <> 'delete' OR result = 'conflict' THEN alive ELSE op <> 'delete' END,
+               CASE WHEN result IN ('conflict', 'not_found') AND op <> 'delete' OR result = 'conflict' THEN sq ELSE seq END,
+               CASE WHEN result = 'conflict' THEN ver WHEN ext THEN part ELSE ver + 1 END, seq, result
+        FROM (SELECT c.id, c.pos, c.op, c.ext, c.part, c.seq, r.alive, r.sq, r.ver,
+              CASE WHEN c.cas IS NOT NULL AND NOT (r.alive AND c.cas = r.sq) THEN 'conflict'
+                   WHEN c.ext AND NOT (c.part > r.ver OR (c.gte AND c.part = r.ver)) THEN 'conflict'
+                   WHEN c.op = 'index' THEN CASE WHEN r.alive THEN 'updated' ELSE 'created' END
+                   WHEN c.op = 'create' THEN CASE WHEN r.alive THEN 'conflict' ELSE 'created' END
+                   WHEN c.op = 'delete' THEN CASE WHEN r.alive THEN 'deleted' ELSE 'not_found' END
+                   WHEN r.alive THEN 'updated' WHEN c.ups THEN 'created' ELSE 'not_found' END AS result
+              FROM run r JOIN c ON c.id = r.id AND c.pos = r.pos + 1) x)
+    SELECT seq, id, result FROM run WHERE pos > 0
+    """,
+)
+def _apply_conditional(spark, sf):
+    base, ops = _conditional_set(spark, sf)
+    out = changes.apply_changes(base, ops, "k", ["price", "flag"], conditional=True).outcomes
+    return out.select("seq", "id", "result")
+
+
+@query(
+    "read_bulk_ndjson",
+    """
+    WITH k AS (SELECT *, o_orderkey % 7 AS kind, '{"p":' || o_custkey || '}' AS doc FROM orders)
+    SELECT o_orderkey::VARCHAR AS id, 'good' AS side,
+           CASE kind WHEN 1 THEN 'create' WHEN 2 THEN 'update' WHEN 3 THEN 'delete' ELSE 'index' END AS op,
+           CASE kind WHEN 0 THEN o_custkey::VARCHAR END AS routing,
+           CASE kind WHEN 4 THEN o_custkey END AS version,
+           CASE kind WHEN 3 THEN NULL ELSE doc END AS doc FROM k WHERE kind < 5
+    UNION ALL
+    SELECT NULL, CASE kind WHEN 5 THEN 'unknown action' ELSE 'unknown key colour' END, NULL, NULL, NULL, doc FROM k WHERE kind >= 5
+    """,
+)
+def _read_bulk(spark, sf):
+    key, cust = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string")
+    kind = F.col("o_orderkey") % 7
+    doc = F.concat(F.lit('{"p":'), cust, F.lit("}"))
+    named = {0: "index", 1: "create", 2: "update", 3: "delete", 4: "index", 5: "merge", 6: "index"}
+    extra = {0: F.concat(F.lit(',"routing":"'), cust, F.lit('"')), 4: F.concat(F.lit(',"version":'), cust), 6: F.lit(',"colour":1')}
+    text = None
+    for number, op in named.items():
+        action = F.concat(F.lit(f'{{"{op}":{{"_id":"'), key, F.lit('"'), extra.get(number, F.lit("")), F.lit("}}"))
+        body = F.concat(F.lit('{"doc":'), doc, F.lit("}")) if op == "update" else doc
+        lines = F.concat(action, F.lit("\r\n\n")) if op == "delete" else F.concat(action, F.lit("\n"), body)
+        text = F.when(kind == number, lines) if text is None else text.when(kind == number, lines)
+    path = scratch_dir(spark, "bulk")
+    _orders(spark, sf).select(text.alias("value")).write.text(path)
+    good, bad = bulk_ndjson.read_bulk_ndjson(spark, path)
+    none = F.lit(None).cast("string")
+    return good.select("id", F.lit("good").alias("side"), "op", "routing", "version", "doc").unionByName(
+        bad.select(none.alias("id"), F.col("reason").alias("side"), none.alias("op"), none.alias("routing"), none.cast("bigint").alias("version"), "doc")
+    )
+
+
 @query(
     "validate_ops",
     f"""
@@ -374,7 +461,11 @@ def _validate_ops(spark, sf):
     return good.unionByName(checked.bad.select("seq", F.size("errors").alias("errors")))
 
 
-@query("auto_id")
+@query(
+    "auto_id",
+    """SELECT CASE WHEN doc_id % 2 = 0 THEN doc_id::VARCHAR ELSE substr(sha256(source || '#' || doc_id), 1, 20) END AS id,
+              source, doc_id FROM documents""",
+)
 def _auto_id(spark, sf):
     docs = table(spark, sf, "documents").select(
         F.when(F.col("doc_id") % 2 == 0, F.col("doc_id").cast("string")).alias("id"), "source", "doc_id"

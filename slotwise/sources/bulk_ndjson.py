@@ -9,7 +9,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from slotwise.functions.schema import struct
 
 # Actions, which of them a document line follows, and the metadata keys.
 ACTIONS = ("index", "create", "update", "delete")
@@ -44,11 +45,11 @@ SPELLINGS = {
     "_retryOnConflict": "retry_on_conflict",
 }
 
-LINES = T.StructType.fromDDL(
-    "file string, block bigint, line bigint, value string, before string, role_a string, role_d string"
+LINES = struct(
+    file="string", block="bigint", line="bigint", value="string", before="string", role_a="string", role_d="string"
 )
-BLOCKS = T.StructType.fromDDL(
-    "file string, block bigint, n bigint, end_a boolean, end_d boolean, tail string"
+BLOCKS = struct(
+    file="string", block="bigint", n="bigint", end_a="boolean", end_d="boolean", tail="string"
 )
 
 ACTION_NAME = r'^\s*\{\s*"([^"]*)"\s*:'
