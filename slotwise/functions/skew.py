@@ -48,3 +48,13 @@ def lookup_join(
     )
     joined = salted.drop("_hot").join(copies.drop("_hot"), [*keys, "_salt"], how)
     return joined.drop("_salt")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Rows of a scan with fewer splits than cores, dealt out to all cores.
+
+    For heavy work per row on small input, such as a file of one row group. A table with at
+    least as many splits as the cluster has cores comes back as it is, unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -89,21 +89,26 @@ def match_score(df: DataFrame, text: str, query: str, shard: str | None = None)
     terms = query_tokens(query)
     if not terms:
         return df.withColumn("_score", F.lit(0.0)).filter(F.lit(False))
-    toks = tokens(F.col(text))
-
     def freq(term: str) -> Column:
         return F.size(F.filter("_t", lambda t: t == F.lit(term)))
 
-    staged = df.withColumn("_t", toks).withColumns(
-        {"_dl": F.size("_t"), "_tf": F.array(*[freq(t) for t in terms])}
-    )
+    counts = {"_dl": F.size("_t"), "_tf": F.array(*[freq(t) for t in terms])}
     sums = [
         F.count_if(F.col("_dl") > 0).alias("n"),
         F.sum(F.col("_dl").cast("bigint")).alias("len"),
         *[F.count_if(F.col("_tf")[i] > 0).alias(f"df{i}") for i in range(len(terms))],
     ]
-    narrow = staged.select(*([shard] if shard else []), "_dl", "_tf")
-    hits = staged.filter(F.exists("_tf", lambda f: f > 0)).drop("_t")
+    group = [shard] if shard else []
+    narrow = df.select(*group, tokens(F.col(text)).alias("_t")).select(
+        *group, *[c.alias(n) for n, c in counts.items()]
+    )
+    # Only rows that contain a term as text are tokenised for scoring. The exact test sits
+    # in a generator: as a filter it would be pushed below and tokenise once more.
+    low = F.lower(F.col(text))
+    near = reduce(lambda a, b: a | b, [low.contains(t) for t in terms])
+    row = F.array(F.struct(*[c.alias(n) for n, c in counts.items()]))
+    hit = F.filter(row, lambda r: F.exists(r["_tf"], lambda f: f > 0))
+    hits = df.filter(near).withColumn("_t", tokens(F.col(text))).select(*df.columns, F.inline(hit))
     if shard is None:
         stat = narrow.agg(*sums).select(F.struct("*").alias("_st"))
         hits = hits.withColumn("_st", stat.scalar())

@@ -6,7 +6,7 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from slotwise.functions.text import tokens
+from slotwise.functions.skew import spread
 from slotwise.operators import buckets, filters, ordering, search
 from slotwise.plans.registry import cents, ms, query, table
 
@@ -41,8 +41,13 @@ def _docs(spark, sf):
     return table(spark, sf, "documents")
 
 
+def _texts(spark, sf):
+    """Documents for work on their whole text."""
+    return spread(table(spark, sf, "documents"))
+
+
 def _scored(spark, sf, shard=None):
-    return search.match_score(_docs(spark, sf), "text", ASKED, shard).withColumnRenamed("_score", "score")
+    return search.match_score(_texts(spark, sf), "text", ASKED, shard).withColumnRenamed("_score", "score")
 
 
 @query(
@@ -66,7 +71,7 @@ def _query_filter(spark, sf):
             "must_not": {"term": {"source": "src3"}},
         }
     }
-    return _docs(spark, sf).filter(filters.query_filter(spec)).select("doc_id", "lang", "source", "n_chars")
+    return _texts(spark, sf).filter(filters.query_filter(spec)).select("doc_id", "lang", "source", "n_chars")
 
 
 @query(
@@ -419,7 +424,7 @@ def _bucket_sort(spark, sf):
     """,
 )
 def _term_statistics(spark, sf):
-    return search.term_statistics(_docs(spark, sf), "text")
+    return search.term_statistics(_texts(spark, sf), "text")
 
 
 @query(
@@ -433,7 +438,7 @@ def _term_statistics(spark, sf):
     """,
 )
 def _term_statistics_merged(spark, sf):
-    parts = search.term_statistics(_docs(spark, sf), "text", shard="source")
+    parts = search.term_statistics(_texts(spark, sf), "text", shard="source")
     unknown = F.when(F.col("source") == "src0", F.lit(search.UNKNOWN)).otherwise(F.col("total_term_freq"))
     return search.merge_term_statistics(parts.withColumn("total_term_freq", unknown))
 
@@ -448,7 +453,7 @@ def _term_statistics_merged(spark, sf):
     """,
 )
 def _field_statistics(spark, sf):
-    parts = search.field_statistics(_docs(spark, sf), "text", shard="source")
+    parts = search.field_statistics(_texts(spark, sf), "text", shard="source")
     return search.merge_field_statistics(parts)
 
 
@@ -467,7 +472,7 @@ def suggest_sql(mode: str) -> str:
 
 
 def _suggest(mode):
-    return lambda spark, sf: search.term_suggest(_docs(spark, sf), "text", "Thier wihth, from zzqxv", mode=mode)
+    return lambda spark, sf: search.term_suggest(_texts(spark, sf), "text", "Thier wihth, from zzqxv", mode=mode)
 
 
 query("term_suggest", suggest_sql("own = 0"))(_suggest("missing"))
@@ -533,7 +538,7 @@ def _search(spark, sf):
         from_=2,
         size=8,
     )
-    hits = search.search(_docs(spark, sf), request, "doc_id").hits
+    hits = search.search(_texts(spark, sf), request, "doc_id").hits
     return hits.select("doc_id", "lang", "source", F.col("_score").alias("score"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from slotwise.functions.skew import spread
 from slotwise.functions.text import md5_int
 from slotwise.operators import changes, entities, joins, predicates, routing, windows
 from slotwise.plans import datasets
@@ -16,6 +17,8 @@ from slotwise.session import scratch_dir
 from slotwise.sources import bulk_ndjson, catalog, mapping, sinks, slots
 
 SLOTS, SHARDS = 8, 34
+# the sequence numbers below are spread evenly over 2**32 * 10**6: 64 slices
+SEQ_SLICE = 2**26 * 10**6
 HASH = "('0x' || substr(md5({0}::VARCHAR), 1, 8))::BIGINT"
 
 
@@ -265,7 +268,7 @@ def _base_and_incoming(spark, sf):
 def _change_set(spark, sf):
     """Base rows and ordered changes cut out of lineitem: each line is a change of its order,
     the operation follows from the line number and the order key."""
-    line = table(spark, sf, "lineitem")
+    line = spread(table(spark, sf, "lineitem"))
     base = _orders(spark, sf).filter("o_orderkey % 2 = 0").select(
         F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("flag")
     )
@@ -334,7 +337,7 @@ FOLD_SQL = f"""
 )
 def _apply_changes(spark, sf):
     base, ops = _change_set(spark, sf)
-    return changes.apply_changes(base, ops, "k", ["price", "flag"]).table
+    return changes.apply_changes(base, ops, "k", ["price", "flag"], slice_rows=SEQ_SLICE).table
 
 
 @query(
@@ -345,7 +348,7 @@ def _apply_changes(spark, sf):
 )
 def _apply_outcomes(spark, sf):
     base, ops = _change_set(spark, sf)
-    out = changes.apply_changes(base, ops, "k", ["price", "flag"], detect_noop=True).outcomes
+    out = changes.apply_changes(base, ops, "k", ["price", "flag"], detect_noop=True, slice_rows=SEQ_SLICE).outcomes
     return out.select("seq", "id", "result", "status")
 
 
@@ -397,7 +400,7 @@ def _conditional_set(spark, sf):
 )
 def _apply_conditional(spark, sf):
     base, ops = _conditional_set(spark, sf)
-    out = changes.apply_changes(base, ops, "k", ["price", "flag"], conditional=True).outcomes
+    out = changes.apply_changes(base, ops, "k", ["price", "flag"], conditional=True, slice_rows=SEQ_SLICE).outcomes
     return out.select("seq", "id", "result")
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -142,41 +143,70 @@ def read_bulk_ndjson(
     return BulkChanges(parsed.changes, parsed.bad.unionByName(unfinished))
 
 
-def _step(expects_action: bool, kind: str) -> tuple[str, bool]:
-    """Role of a line, and whether an action is expected after it."""
-    return (kind, kind != "action") if expects_action else ("doc", True)
+def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+    """Pieces of blocks, in order: (piece, first line number, lines of `action` kind before
+    each line without a break, does that run reach back to the start of the block, the line
+    before the piece).
+
+    A line that is no action leaves an action expected, whatever it was itself. After it,
+    lines of action kind alternate: action, document, action, … So the length of the run
+    before a line is all its role depends on.
+    """
+    where, line, run, whole, before = None, 0, 0, True, None
+    for pdf in batches:
+        place = pdf["file"] + "#" + pdf["block"].astype(str)
+        cuts = np.flatnonzero((place != place.shift()).to_numpy())
+        for lo, hi in zip(cuts, [*cuts[1:], len(pdf)]):
+            piece = pdf.iloc[lo:hi]
+            if place.iloc[lo] != where:
+                where, line, run, whole, before = place.iloc[lo], 0, 0, True, None
+            n = len(piece)
+            stops = (piece["kind"] != "action").to_numpy()
+            at = np.where(stops, np.arange(n), -1)
+            last = np.concatenate([[-1], np.maximum.accumulate(at)[:-1]])
+            open_run = last < 0  # no break yet in this piece
+            length = np.arange(n) - last - 1 + np.where(open_run, run, 0)
+            reaches = open_run & whole
+            yield piece, line + 1, length, reaches, before
+            whole = bool(whole and not stops.any())
+            run = 0 if stops[-1] else int(length[-1]) + 1
+            line, before = line + n, piece["value"].iloc[-1]
 
 
 def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Every line with its number in the block, the line before, and its role for both
-    possible states at the start of the block."""
-    where, line, before, a, d = None, 0, None, True, False
-    for pdf in batches:
-        out = []
-        for file, block, value, kind in pdf.itertuples(index=False):
-            if (file, block) != where:
-                where, line, before, a, d = (file, block), 0, None, True, False
-            line += 1
-            role_a, a = _step(a, kind)
-            role_d, d = _step(d, kind)
-            out.append((file, block, line, value, before, role_a, role_d))
-            before = value
-        yield pd.DataFrame(out, columns=LINES.names)
+    """Lines that end a change, with their number in the block, the line before, and their
+    role for both possible states at the start of the block."""
+    for piece, first, length, reaches, before in _runs(batches):
+        kind = piece["kind"].to_numpy()
+        odd = length % 2 == 1
+        role_a = np.where(odd, "doc", kind)
+        role_d = np.where(reaches & ~odd, "doc", np.where(reaches, kind, role_a))
+        ends = np.isin(role_a, ["doc", "delete"]) | np.isin(role_d, ["doc", "delete"])
+        out = pd.DataFrame(
+            {
+                "file": piece["file"],
+                "block": piece["block"],
+                "line": first + np.arange(len(piece)),
+                "value": piece["value"],
+                "before": piece["value"].shift(1),
+                "role_a": role_a,
+                "role_d": role_d,
+            }
+        )
+        out.iloc[0, out.columns.get_loc("before")] = before
+        yield out[ends]
 
 
 def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """One row per block: lines, the state at its end for both states, its last line."""
     held = None
-    for pdf in batches:
-        out = []
-        for file, block, value, kind in pdf.itertuples(index=False):
-            if held is None or (file, block) != (held[0], held[1]):
-                if held is not None:
-                    out.append(held)
-                held = (file, block, 0, True, False, None)
-            a, d = _step(held[3], kind)[1], _step(held[4], kind)[1]
-            held = (file, block, held[2] + 1, a, d, value)
-        yield pd.DataFrame(out, columns=BLOCKS.names)
+    for piece, first, length, reaches, _ in _runs(batches):
+        file, block, value, kind = piece.iloc[-1]
+        after_a = kind != "action" or length[-1] % 2 == 1
+        after_d = after_a if kind != "action" or not reaches[-1] else not after_a
+        if held is not None and held[:2] != (file, block):
+            yield pd.DataFrame([held], columns=BLOCKS.names)
+        held = (file, block, int(first) + len(piece) - 1, bool(after_a), bool(after_d), value)
     if held is not None:
         yield pd.DataFrame([held], columns=BLOCKS.names)
 
