@@ -30,7 +30,7 @@ def event_micros(ts: Column) -> Column:
 
 def floor_div(value: Column, width: int) -> Column:
     """Floor division on BIGINT, exact for negative values too."""
-    return ((value - F.pmod(value, F.lit(width))) / F.lit(width)).cast("bigint")
+    return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width))
 
 
 def with_halo(
@@ -63,7 +63,7 @@ def prefix_scan(
     `values` maps an output column to (kind, expression), kind one of `sum`, `max`, `last`
     (last non-null). `slice_col` must not decrease along `order`. With `inclusive=False`
     the current row is left out. `seed` is (frame with one row per key, {output: column}):
-    a starting value before the first row.
+    a starting value before the first row, also given back as `_seed_{output}`.
     """
     local_end = 0 if inclusive else -1
     group = F.struct(*[F.col(k) for k in keys])
@@ -79,7 +79,7 @@ def prefix_scan(
         elif kind == "max":
             totals.append(F.max(v).alias(f"_t_{out}"))
         elif kind == "last":
-            at = F.when(v.isNotNull(), F.struct(*[F.col(o) for o in order]))
+            at = F.when(v.isNotNull(), F.col(order[0]) if len(order) == 1 else F.struct(*order))
             totals.append(F.max_by(v, at).alias(f"_t_{out}"))
         else:
             raise ValueError(f"unknown scan kind [{kind}]")
@@ -90,7 +90,7 @@ def prefix_scan(
         summary = summary.join(
             seed_df.select(
                 F.struct(*[F.col(k) for k in keys]).alias("_k"),
-                *[F.col(c).alias(f"_s_{out}") for out, c in seed_cols.items()],
+                *[F.col(c).alias(f"_seed_{out}") for out, c in seed_cols.items()],
             ),
             "_k",
             "left",
@@ -100,8 +100,9 @@ def prefix_scan(
     for out, (kind, _) in values.items():
         carried[f"_c_{out}"] = _over(kind, F.col(f"_t_{out}"), past)
         if seed is not None and out in seed[1]:
-            carried[f"_c_{out}"] = _merge(kind, F.col(f"_s_{out}"), carried[f"_c_{out}"])
-    carry = summary.withColumns(carried).select("_k", slice_col, *carried)
+            carried[f"_c_{out}"] = _merge(kind, F.col(f"_seed_{out}"), carried[f"_c_{out}"])
+    seeds = [f"_seed_{out}" for out in (seed[1] if seed is not None else {})]
+    carry = summary.withColumns(carried).select("_k", slice_col, *carried, *seeds)
 
     local = (
         W.partitionBy("_k", slice_col)

@@ -80,7 +80,7 @@ def apply_changes(
         .when((F.col("result") == "not_found") & (F.col("op") == "update"), "id missing")
         .alias("error"),
     )
-    return Applied(_final_table(base, staged, id_col, fields, base_ids), outcomes)
+    return Applied(_final_table(base, staged, id_col, fields), outcomes)
 
 
 def _with_optional(changes: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -118,7 +118,12 @@ def _plain_results(ops: DataFrame, base_ids: DataFrame) -> DataFrame:
         inclusive=False,
         seed=(base_ids, {"_present": "_in_base"}),
     )
-    return scanned.withColumn("result", _result(F.coalesce("_present", F.lit(False)))).drop("_present")
+    known = F.coalesce("_seed__present", F.lit(False))
+    return (
+        scanned.withColumn("result", _result(F.coalesce("_present", F.lit(False))))
+        .withColumn("_in_base", known)
+        .drop("_present", "_seed__present")
+    )
 
 
 def _result(present: Column) -> Column:
@@ -170,25 +175,28 @@ def _mark_noops(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequenc
     ).drop(*[f"_cur_{f}" for f in fields])
 
 
-def _final_table(
-    base: DataFrame, staged: DataFrame, id_col: str, fields: Sequence[str], base_ids: DataFrame
-) -> DataFrame:
-    """Base rows with the last written values, without the deleted, with the inserted."""
+def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
+    """Base rows with the last written values, without the deleted, with the inserted.
+
+    A left join and a union rather than a full join: few changes can then be broadcast and
+    a large base stays where it is. Both parts read the one shuffle of the changes.
+    """
     last = F.max(F.when(F.col("_reset") | F.col("_merge"), F.col("seq")))
     state = staged.groupBy("id").agg(
         last.alias("_last"),
+        F.first("_in_base").alias("_in_base"),
         F.max_by(F.col("op") != "delete", F.when(F.col("_reset"), F.col("seq"))).alias("_alive"),
         *[
             F.max_by(F.col(f"_w_{f}"), F.when(F.col(f"_w_{f}").isNotNull(), F.col("seq"))).alias(f"_w_{f}")
             for f in fields
         ],
     )
-    state = state.filter(F.col("_last").isNotNull())
+    state = state.filter(F.col("_last").isNotNull() & F.col("id").isNotNull())
     merged = base.join(state.withColumnRenamed("id", id_col), id_col, "left")
     kept = merged.filter(F.coalesce("_alive", F.lit(True))).withColumns(
         {f: F.when(F.col(f"_w_{f}").isNotNull(), F.col(f"_w_{f}.v")).otherwise(F.col(f)) for f in fields}
     )
-    added = state.filter("_alive").join(base_ids, "id", "left_anti").select(
+    added = state.filter("_alive AND NOT _in_base").select(
         F.col("id").alias(id_col), *[F.col(f"_w_{f}.v").alias(f) for f in fields]
     )
     return kept.select(*base.columns).unionByName(added, allowMissingColumns=True)
@@ -229,6 +237,7 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
         inclusive=False,
         seed=(start, {"_cut": "_start"}),
     )
+    known = F.col("_seed__cut").isNotNull().alias("known")
     entry = F.coalesce("_cut", _state(F.lit(False), F.lit(-1), F.lit(0)))
     rows = marked.withColumn("_entry", entry).select(
         "id",
@@ -241,11 +250,12 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
         "version_type",
         F.col("_entry.present").alias("present0"),
         F.col("_entry.version").alias("version0"),
+        known,
     )
     judged = (
         rows.repartition("id", "seg")
         .sortWithinPartitions("id", "seg", "seq")
-        .mapInPandas(_judge, "seq bigint, result string")
+        .mapInPandas(_judge, "seq bigint, result string, _in_base boolean")
     )
     return ops.join(judged, "seq")
 
@@ -266,8 +276,8 @@ def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 where = (row.id, row.seg)
                 state = (bool(row.present0), int(row.seg), int(row.version0))
             result, state = judge(row, state)
-            out.append((row.seq, result))
-        yield pd.DataFrame(out, columns=["seq", "result"])
+            out.append((row.seq, result, row.known))
+        yield pd.DataFrame(out, columns=["seq", "result", "_in_base"])
 
 
 def judge(row, state: tuple[bool, int, int]) -> tuple[str, tuple[bool, int, int]]:

@@ -366,7 +366,7 @@ def late_split(
         {"_seen": ("max", F.col(us))},
         inclusive=False,
         seed=None if seen is None else (seen.withColumn("_all", F.lit(0)), {"_seen": "seen"}),
-    ).drop("_all", "_slice")
+    ).drop("_all", "_slice", "_seed__seen")
     late = F.coalesce(F.col(us) < F.col("_seen") - micros(delay), F.lit(False))
     return SplitRows(scanned.filter(~late).drop("_seen"), scanned.filter(late).drop("_seen"))
 

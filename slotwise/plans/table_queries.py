@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.skew import spread
-from slotwise.functions.text import md5_int
 from slotwise.operators import changes, entities, joins, predicates, routing, windows
 from slotwise.plans import datasets
 from slotwise.plans.registry import cents, ms, query, table
@@ -17,8 +16,8 @@ from slotwise.session import scratch_dir
 from slotwise.sources import bulk_ndjson, catalog, mapping, sinks, slots
 
 SLOTS, SHARDS = 8, 34
-# the sequence numbers below are spread evenly over 2**32 * 10**6: 64 slices
-SEQ_SLICE = 2**26 * 10**6
+# the sequence numbers of the change sets below reach about 10**16
+SEQ_SLICE = 10**14
 HASH = "('0x' || substr(md5({0}::VARCHAR), 1, 8))::BIGINT"
 
 
@@ -277,7 +276,9 @@ def _change_set(spark, sf):
         F.when(kind == 0, "index").when(kind == 1, "create").when(kind.isin(2, 3, 4), "update")
         .when(kind == 5, "delete").otherwise("update")
     )
-    seq = md5_int(F.concat_ws("-", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", F.col("l_extendedprice").cast("decimal(18,2)"), "l_shipdate")) * 1_000_000 + F.col("l_partkey")
+    seq = (
+        (cents("l_extendedprice") * 100).cast("bigint") * 100_000 + F.col("l_partkey") % 100_000
+    ) * 8000 + F.col("l_suppkey") % 1000 * 8 + F.col("l_linenumber")
     ops = line.select(
         seq.alias("seq"),
         op.alias("op"),
@@ -286,13 +287,15 @@ def _change_set(spark, sf):
         F.when(F.col("l_partkey") % 4 > 0, F.col("l_returnflag")).alias("flag"),
         (kind == 6).alias("doc_as_upsert"),
         F.when(F.col("l_suppkey") % 5 == 0, F.col("l_partkey")).alias("pick"),
+        F.col("l_partkey").alias("part"),
     )
     return base, ops
 
 
 OPS_SQL = f"""
     k AS (SELECT *, (l_orderkey + l_linenumber * 3 + l_partkey) % 7 AS kind,
-        {HASH.format("(l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber || '-' || l_extendedprice::DECIMAL(18,2) || '-' || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S'))")} * 1000000 + l_partkey AS seq
+        ((l_extendedprice::DECIMAL(18,2) * 100)::BIGINT * 100000 + l_partkey % 100000) * 8000
+            + l_suppkey % 1000 * 8 + l_linenumber AS seq
         FROM lineitem),
     o AS (SELECT seq, CASE kind WHEN 0 THEN 'index' WHEN 1 THEN 'create' WHEN 5 THEN 'delete' ELSE 'update' END AS op,
                  l_orderkey AS id, CASE WHEN l_partkey % 3 > 0 THEN l_extendedprice END AS price,
@@ -357,7 +360,7 @@ def _conditional_set(spark, sf):
     some a wrong one; every tenth id takes only external versions."""
     base, ops = _change_set(spark, sf)
     before = F.lag("seq").over(W.partitionBy("id").orderBy("seq"))
-    part = F.expr("seq % 1000000")
+    part = F.col("part")
     external = F.col("id") % 10 == 3
     cas = F.when(F.col("op") == "create", F.lit(None)).when(part % 4 == 0, before).when(part % 9 == 0, F.lit(-5))
     return base, ops.select(
@@ -453,7 +456,7 @@ def _read_bulk(spark, sf):
 )
 def _validate_ops(spark, sf):
     _, ops = _change_set(spark, sf)
-    part = F.expr("seq % 1000000")
+    part = F.col("part")
     checked = changes.validate_ops(
         ops.withColumn("version", F.col("pick"))
         .withColumn("if_seq_no", F.when(part % 11 == 0, F.lit(4)).cast("bigint"))
