@@ -193,7 +193,9 @@ def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequen
     )
     state = state.filter(F.col("_last").isNotNull() & F.col("id").isNotNull())
     merged = base.join(state.withColumnRenamed("id", id_col), id_col, "left")
-    kept = merged.filter(F.coalesce("_alive", F.lit(True))).withColumns(
+    # `_in_base` always holds here; naming it keeps both parts on the same shuffle
+    stays = F.coalesce(F.col("_alive") | ~F.col("_in_base"), F.lit(True))
+    kept = merged.filter(stays).withColumns(
         {f: F.when(F.col(f"_w_{f}").isNotNull(), F.col(f"_w_{f}.v")).otherwise(F.col(f)) for f in fields}
     )
     added = state.filter("_alive AND NOT _in_base").select(

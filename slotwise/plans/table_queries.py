@@ -264,6 +264,13 @@ def _base_and_incoming(spark, sf):
     return base, incoming
 
 
+def _stored(spark, df, name):
+    """Written once and read back, as a change table would be."""
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _change_set(spark, sf):
     """Base rows and ordered changes cut out of lineitem: each line is a change of its order,
     the operation follows from the line number and the order key."""
@@ -289,7 +296,7 @@ def _change_set(spark, sf):
         F.when(F.col("l_suppkey") % 5 == 0, F.col("l_partkey")).alias("pick"),
         F.col("l_partkey").alias("part"),
     )
-    return base, ops
+    return base, _stored(spark, ops, "changes")
 
 
 OPS_SQL = f"""
@@ -434,10 +441,12 @@ def _read_bulk(spark, sf):
         text = F.when(kind == number, lines) if text is None else text.when(kind == number, lines)
     path = scratch_dir(spark, "bulk")
     _orders(spark, sf).select(text.alias("value")).write.text(path)
-    good, bad = bulk_ndjson.read_bulk_ndjson(spark, path)
-    none = F.lit(None).cast("string")
-    return good.select("id", F.lit("good").alias("side"), "op", "routing", "version", "doc").unionByName(
-        bad.select(none.alias("id"), F.col("reason").alias("side"), none.alias("op"), none.alias("routing"), none.cast("bigint").alias("version"), "doc")
+    parsed = bulk_ndjson.read_bulk_ndjson(spark, path).parsed
+    good = F.col("reason").isNull()
+    return parsed.select(
+        *[F.when(good, F.col(c)).alias(c) for c in ("id", "op", "routing", "version")],
+        F.coalesce("reason", F.lit("good")).alias("side"),
+        "doc",
     )
 
 

@@ -57,8 +57,19 @@ ACTION_NAME = r'^\s*\{\s*"([^"]*)"\s*:'
 
 
 class BulkChanges(NamedTuple):
-    changes: DataFrame
-    bad: DataFrame
+    """`parsed` has every change with a `reason` that is null for good ones; `changes` and
+    `bad` are filters of it. Work on `parsed` to read the files once for both."""
+
+    parsed: DataFrame
+
+    @property
+    def changes(self) -> DataFrame:
+        return self.parsed.filter("reason IS NULL").drop("reason", "action")
+
+    @property
+    def bad(self) -> DataFrame:
+        bad = self.parsed.filter("reason IS NOT NULL")
+        return bad.select("file", "line", "action", "doc", "reason")
 
 
 def read_bulk_ndjson(
@@ -140,7 +151,7 @@ def read_bulk_ndjson(
         F.when(is_doc, F.col("value")).alias("doc"),
     )
     parsed = _parse_actions(pairs, default_shard)
-    return BulkChanges(parsed.changes, parsed.bad.unionByName(unfinished))
+    return BulkChanges(parsed.unionByName(unfinished, allowMissingColumns=True))
 
 
 def _runs(batches: Iterator[pd.DataFrame]) -> Iterator[tuple]:
@@ -211,15 +222,10 @@ def _summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([held], columns=BLOCKS.names)
 
 
-def _parse_actions(pairs: DataFrame, default_shard: str | None) -> BulkChanges:
-    op = F.regexp_extract("action", ACTION_NAME, 1)
-    outer = F.from_json("action", "map<string,string>")
-    meta = F.from_json(F.try_element_at("_outer", F.col("op")), "map<string,string>")
-    staged = (
-        pairs.withColumn("op", op)
-        .withColumn("_outer", outer)
-        .withColumn("_raw", meta)
-    )
+def _parse_actions(pairs: DataFrame, default_shard: str | None) -> DataFrame:
+    inner = F.call_function("get_json_object", F.col("action"), F.concat(F.lit("$."), F.col("op")))
+    meta = F.from_json(inner, "map<string,string>")
+    staged = pairs.withColumn("op", F.regexp_extract("action", ACTION_NAME, 1)).withColumn("_raw", meta)
     renames = F.create_map(*[F.lit(x) for pair in SPELLINGS.items() for x in pair])
     staged = staged.withColumn(
         "_meta",
@@ -228,29 +234,25 @@ def _parse_actions(pairs: DataFrame, default_shard: str | None) -> BulkChanges:
     strangers = F.filter(F.map_keys("_meta"), lambda k: ~k.isin(*META))
     shard_given = F.coalesce(F.try_element_at("_meta", F.lit("shard_no")), F.lit("")) != ""
     reason = (
-        F.when(F.col("_outer").isNull() | (F.size("_outer") != 1), "malformed action")
+        F.when(F.coalesce(F.json_array_length(F.concat(F.lit("["), "action", F.lit("]"))), F.lit(0)) != 1, "malformed action")
         .when(~F.col("op").isin(*ACTIONS), "unknown action")
         .when(F.col("_meta").isNull(), "malformed metadata")
         .when(F.size(strangers) > 0, F.concat(F.lit("unknown key "), F.array_join(strangers, ",")))
     )
     if not default_shard:
         reason = reason.when(shard_given, "shard is set by the request only")
-    upsert_type = "struct<doc:string,upsert:string,script:string,doc_as_upsert:boolean,detect_noop:boolean>"
-    body = F.from_json("doc", upsert_type)
-    is_update = F.col("op") == "update"
 
     def value(name: str) -> Column:
         return F.try_element_at("_meta", F.lit(name)).try_cast(META[name])
 
-    staged = staged.withColumn("reason", reason).withColumn("_body", F.when(is_update, body))
-    bad = staged.filter("reason IS NOT NULL").select("file", "line", "action", "doc", "reason")
-    op_name = F.when(
-        (F.col("op") == "index") & (value("op_type") == "create"), F.lit("create")
-    ).otherwise(F.col("op"))
-    changes = staged.filter("reason IS NULL").select(
+    body = F.from_json("doc", "doc string, upsert string, script string, doc_as_upsert boolean, detect_noop boolean")
+    is_update = F.col("op") == "update"
+    created = (F.col("op") == "index") & (value("op_type") == "create")
+    return staged.withColumn("_body", F.when(is_update, body)).select(
         "file",
         "line",
-        op_name.alias("op"),
+        "action",
+        F.when(created, F.lit("create")).otherwise(F.col("op")).alias("op"),
         value("_id").alias("id"),
         value("_index").alias("index"),
         *[
@@ -265,5 +267,5 @@ def _parse_actions(pairs: DataFrame, default_shard: str | None) -> BulkChanges:
         F.col("_body.script").alias("script"),
         F.col("_body.doc_as_upsert").alias("doc_as_upsert"),
         F.col("_body.detect_noop").alias("detect_noop"),
+        reason.alias("reason"),
     )
-    return BulkChanges(changes, bad)
