@@ -212,35 +212,51 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
     """Outcomes where a change may depend on the sequence number or version it finds.
 
     An unconditional index or delete always succeeds and leaves a known state, so it cuts
-    the changes of an id into segments that are worked on apart. Only ids whose changes name
-    versions stay whole, because versions count on through every write. Within a segment the
-    rows stream through in order; nothing is collected.
+    the changes of an id into segments that are worked on apart. So does an accepted
+    external version, on ids that take nothing else: it is accepted if it beats the largest
+    one before it, a running maximum. Ids that mix versions with other writes stay whole,
+    because internal versions count on through every write. Within a segment the rows
+    stream through in order; nothing is collected.
     """
     for name, default in (("_seq_no", -1), ("_version", 0)):
         if name not in base.columns:
             base = base.withColumn(name, F.lit(default).cast("bigint"))
+    op = F.col("op")
+    external = F.coalesce(F.col("version_type").isin("external", "external_gte"), F.lit(False))
+    external = external & F.col("version").isNotNull() & op.isin("index", "delete") & F.col("if_seq_no").isNull()
+    kinds = ops.groupBy("id").agg(
+        F.bool_or(F.col("version").isNotNull()).alias("_named"), F.bool_and(external).alias("_external")
+    )
+    # one row per id on both sides
     start = base.select(
         F.col(id_col).alias("id"),
         _state(F.lit(True), F.col("_seq_no"), F.col("_version")).alias("_start"),
-    )
-    versioned = (
-        ops.filter(F.col("version").isNotNull()).select("id").distinct().withColumn("_whole", F.lit(True))
-    )
-    op = F.col("op")
-    free = op.isin("index", "delete") & F.col("if_seq_no").isNull() & F.col("_whole").isNull()
-    cut = F.when(free, _state(op == "index", F.col("seq"), F.lit(0)))
-    # a cutting change is judged as the last of the segment it ends
-    marked = prefix_scan(
-        ops.join(versioned, "id", "left"),
+        F.col("_version").alias("_start_version"),
+    ).join(kinds.filter("_named"), "id", "full_outer")
+    seeds = {"_start": "_start", "_named": "_named", "_external": "_external"}
+    topped = prefix_scan(
+        ops,
         ["id"],
         "_slice",
         ["seq"],
-        {"_cut": ("last", cut)},
+        {"_top": ("max", F.when(external, F.col("version")))},
         inclusive=False,
-        seed=(start, {"_cut": "_start"}),
+        seed=(start, {"_top": "_start_version", **seeds}),
+    )
+    beats = F.when(F.col("version_type") == "external_gte", F.col("version") >= F.coalesce("_top", F.lit(0))).otherwise(
+        F.col("version") > F.coalesce("_top", F.lit(0))
+    )
+    whole = F.coalesce(F.col("_seed__named") & ~F.col("_seed__external"), F.lit(False))
+    only_external = F.coalesce("_seed__external", F.lit(False))
+    plain = op.isin("index", "delete") & F.col("if_seq_no").isNull() & F.col("version").isNull() & ~whole
+    # a cutting change is judged as the last of the segment it ends
+    cut = F.when(plain, _state(op == "index", F.col("seq"), F.lit(0))).when(
+        only_external & beats, _state(op == "index", F.col("seq"), F.col("version"))
+    )
+    marked = prefix_scan(
+        topped, ["id"], "_slice", ["seq"], {"_cut": ("last", cut)}, inclusive=False
     )
-    known = F.col("_seed__cut").isNotNull().alias("known")
-    entry = F.coalesce("_cut", _state(F.lit(False), F.lit(-1), F.lit(0)))
+    entry = F.coalesce("_cut", "_seed__start", _state(F.lit(False), F.lit(-1), F.lit(0)))
     rows = marked.withColumn("_entry", entry).select(
         "id",
         F.col("_entry.seq").alias("seg"),
@@ -252,7 +268,7 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
         "version_type",
         F.col("_entry.present").alias("present0"),
         F.col("_entry.version").alias("version0"),
-        known,
+        F.col("_seed__start").isNotNull().alias("known"),
     )
     judged = (
         rows.repartition("id", "seg")

@@ -102,16 +102,17 @@ def replace_by_key(
     """Rows of `base` whose key occurs in `incoming` go, then all incoming rows are added,
     without removing duplicates among themselves.
 
-    `removed` is one row: the number of (incoming part, key) pairs found in `base`. Neither
-    join aggregates its right side first, so adaptive execution can split a hot key.
+    `removed` is one row: the number of (incoming part, key) pairs found in `base`. The
+    anti join leaves both sides as plain shuffles, so adaptive execution can split a hot
+    key; the count joins distinct pairs with distinct keys, where no key is hot.
     """
     if not keys:
         raise ValueError("replace needs a key")
     keys = list(keys)
     kept = base.join(incoming.select(*keys), keys, "left_anti")
     table = kept.unionByName(incoming.drop(part))
-    pairs = incoming.select(part, *keys).join(base.select(*keys), keys, "left_semi")
-    removed = pairs.distinct().agg(F.count(F.lit(1)).alias("removed"))
+    pairs = incoming.select(part, *keys).distinct()
+    removed = pairs.join(base.select(*keys).distinct(), keys, "left_semi").agg(F.count(F.lit(1)).alias("removed"))
     return Replaced(table, removed)
 
 

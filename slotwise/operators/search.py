@@ -18,6 +18,7 @@ from slotwise.operators import buckets, filters, ordering
 UNKNOWN = -1  # fixed value: a statistic a shard does not have
 K1, B = 1.2, 0.75  # fixed values: BM25 saturation and length weight
 SCORE_DIGITS = 6
+MAX_SHARDS = 100_000  # most shards whose statistics are sent to every task
 
 
 # ---------------------------------------------------------------------------------------
@@ -113,10 +114,13 @@ def match_score(df: DataFrame, text: str, query: str, shard: str | None = None)
         stat = narrow.agg(*sums).select(F.struct("*").alias("_st"))
         hits = hits.withColumn("_st", stat.scalar())
     else:
-        # one row per shard
+        # one row per shard: broadcast, so that documents are not shuffled, but only after
+        # their number was checked
         stat = narrow.groupBy(shard).agg(*sums)
-        stat = stat.select(F.col(shard).alias("_sh"), F.struct(*[c for c in stat.columns if c != shard]).alias("_st"))
-        hits = hits.join(stat, hits[shard].eqNullSafe(stat["_sh"])).drop("_sh")
+        few = stat.agg(F.assert_true(F.count(F.lit(1)) <= MAX_SHARDS, "too many shards").alias("ok"))
+        values = F.struct(*[c for c in stat.columns if c != shard])
+        stat = stat.select(F.col(shard).alias("_sh"), values.alias("_st")).filter(few.scalar().isNull())
+        hits = hits.join(F.broadcast(stat), hits[shard].eqNullSafe(stat["_sh"])).drop("_sh")
 
     length = F.col("_dl") / (F.col("_st.len") / F.col("_st.n"))
     score = F.lit(0.0)
@@ -156,10 +160,10 @@ def hit_stats(
 
 
 def fetch_hits(docs: DataFrame, top: DataFrame, id_col: str) -> DataFrame:
-    """Whole rows for the winners only. `top` is a limited frame of (id, sort values): it is
-    the size of one result page, so it may be broadcast."""
+    """Whole rows for the winners only. `top` is a limited frame of (id, sort values): Spark
+    knows its limit and broadcasts a page of ordinary size, without a hint."""
     extra = [c for c in top.columns if c != id_col and c in docs.columns]
-    return docs.drop(*extra).join(F.broadcast(top), id_col)
+    return docs.drop(*extra).join(top, id_col)
 
 
 # ---------------------------------------------------------------------------------------

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotwise.functions.timeslice import event_micros, floor_div, micros, prefix_scan
+from slotwise.functions.timeslice import even_slices, event_micros, floor_div, micros, prefix_scan
 
 
 def _interval(span: timedelta) -> str:
@@ -77,14 +77,20 @@ def running_reduce(
     ts: str,
     row_id: str,
     value: Column,
-    slice_width: timedelta,
+    slice_width: timedelta | None = None,
     kind: str = "sum",
 ) -> DataFrame:
-    """The running `sum` or `max` of `value` per key, one output row per input row."""
-    us = event_micros(F.col(ts))
-    staged = df.withColumn("_us", us).withColumn(
-        "_slice", floor_div(F.col("_us"), micros(slice_width))
-    )
+    """The running `sum` or `max` of `value` per key, one output row per input row.
+
+    Time is cut into slices of `slice_width`, or without one into slices of equally many
+    rows, for which the times are looked at first.
+    """
+    staged = df.withColumn("_us", event_micros(F.col(ts)))
+    if slice_width is None:
+        slices = even_slices(staged, "_us")
+    else:
+        slices = floor_div(F.col("_us"), micros(slice_width))
+    staged = staged.withColumn("_slice", slices)
     return prefix_scan(
         staged, [key], "_slice", ["_us", row_id], {"running": (kind, value)}
     ).drop("_us", "_slice")

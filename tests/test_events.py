@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from slotwise.functions.timeslice import floor_div, prefix_scan, with_halo
+from slotwise.functions.timeslice import even_slices, floor_div, prefix_scan, with_halo
 from slotwise.operators import joins, patterns, windows
 from slotwise.sources import delimited
 
@@ -70,6 +70,16 @@ def test_prefix_scan_equals_plain_running_values(spark, inclusive):
         state[k] = after
 
 
+def test_even_slices_part_a_burst(spark):
+    data = [("hot", 0, 10**9, "x")] + [("hot", 5_000_000 + i, i, "x") for i in range(400)]
+    df = events(spark, data).withColumn("ts", F.timestamp_micros("us"))
+    sizes = df.groupBy(even_slices(df, "us", 8).alias("s")).count()
+    assert sizes.agg(F.max("count")).first()[0] < 80
+    fixed = windows.running_reduce(df, "key", "ts", "id", F.lit(1), S)
+    even = windows.running_reduce(df, "key", "ts", "id", F.lit(1))
+    assert rows(even.select("id", "running")) == rows(fixed.select("id", "running"))
+
+
 def test_salted_counts_equal_plain_counts(spark):
     data = [("abc", i * 100, i, "x") for i in range(60)] + [("20_abc", 50, 99, "x")]
     df = events(spark, data).withColumn("ts", F.timestamp_micros("us"))
