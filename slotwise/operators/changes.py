@@ -331,8 +331,17 @@ def judge(row, state: tuple[bool, int, int]) -> tuple[str, tuple[bool, int, int]
 
 
 class Checked(NamedTuple):
-    good: DataFrame
-    bad: DataFrame
+    """`tagged` has every change with its `errors`; the other two are filters of it."""
+
+    tagged: DataFrame
+
+    @property
+    def good(self) -> DataFrame:
+        return self.tagged.filter(F.size("errors") == 0).drop("errors")
+
+    @property
+    def bad(self) -> DataFrame:
+        return self.tagged.filter(F.size("errors") > 0)
 
 
 def operation_errors(has: Callable[[str], bool]) -> Column:
@@ -376,8 +385,7 @@ def operation_errors(has: Callable[[str], bool]) -> Column:
 
 def validate_ops(changes: DataFrame) -> Checked:
     """Changes that may be applied, and the others with all their errors."""
-    checked = changes.withColumn("errors", operation_errors(lambda c: c in changes.columns))
-    return Checked(checked.filter(F.size("errors") == 0).drop("errors"), checked.filter(F.size("errors") > 0))
+    return Checked(changes.withColumn("errors", operation_errors(lambda c: c in changes.columns)))
 
 
 def auto_id(df: DataFrame, id_col: str, file: str, position: str) -> DataFrame:
@@ -428,8 +436,17 @@ def pre_transforms(
 
 
 class Reindexed(NamedTuple):
-    added: DataFrame
-    conflicts: DataFrame
+    """`judged` has every source row with a `reason`, null for the rows that go in."""
+
+    judged: DataFrame
+
+    @property
+    def added(self) -> DataFrame:
+        return self.judged.filter("reason IS NULL").drop("reason")
+
+    @property
+    def conflicts(self) -> DataFrame:
+        return self.judged.filter("reason IS NOT NULL")
 
 
 def reindex(source: DataFrame, dest: DataFrame, id_col: str, order: Sequence[str], batch: int = 7000) -> Reindexed:
@@ -448,8 +465,5 @@ def reindex(source: DataFrame, dest: DataFrame, id_col: str, order: Sequence[str
     known = dest.select(id_col).withColumn("_known", F.lit(True))
     first = first.join(known, id_col, "left")
     judged = lookup_join(source, first, [id_col], [*order, "_table"], how="inner")
-    wins = F.col("_known").isNull() & (place == F.col("_first"))
-    added = judged.filter(wins).drop("_first", "_known")
-    reason = F.when(F.col("_known"), "in destination").otherwise("earlier source row")
-    conflicts = judged.filter(~wins).withColumn("reason", reason).drop("_first", "_known")
-    return Reindexed(added, conflicts)
+    reason = F.when(F.col("_known"), "in destination").when(place != F.col("_first"), "earlier source row")
+    return Reindexed(judged.withColumn("reason", reason).drop("_first", "_known"))

@@ -91,6 +91,14 @@ def debounced_join(
     )
 
 
+# Fixed value: text of a joined row, followed by the left value.
+JOIN_TEXT = "输出了：>"
+
+
+def join_texts(joined: DataFrame) -> DataFrame:
+    return joined.select(F.concat(F.lit(JOIN_TEXT), "left_value").alias("text"))
+
+
 class Replaced(NamedTuple):
     table: DataFrame
     removed: DataFrame

@@ -38,8 +38,19 @@ class Step(NamedTuple):
 
 
 class Matches(NamedTuple):
-    matched: DataFrame
-    timed_out: DataFrame
+    """`found` has every match (side `match`) and every start that ran out of time (side
+    `timeout`, `end_us` = when, `ids` = the start alone); the others are views of it."""
+
+    found: DataFrame
+
+    @property
+    def matched(self) -> DataFrame:
+        return self.found.filter("side = 'match'").drop("side")
+
+    @property
+    def timed_out(self) -> DataFrame:
+        late = self.found.filter("side = 'timeout'")
+        return late.select("key", F.col("ids")[0].alias("id"), "start_us", F.col("end_us").alias("timeout_us"))
 
 
 def pattern_match(
@@ -47,9 +58,9 @@ def pattern_match(
 ) -> Matches:
     """All matches of a step sequence per key; every row accepted by the first step starts one.
 
-    First and last row lie strictly less than `within` apart. `matched` has (key, start_us,
-    end_us, ids); `timed_out` has the starts whose time ran out unfinished: (key, id,
-    start_us, timeout_us), as far as the data reaches.
+    First and last row lie strictly less than `within` apart. A match is (key, start_us,
+    end_us, ids). Starts whose time ran out unfinished are reported as far as the data
+    reaches.
 
     Built backwards: in reverse time order each row knows, for its step, the row that the
     match goes on with, so a chain of windows over one partitioning does it all. The end is
@@ -90,14 +101,23 @@ def pattern_match(
         )
     starts = staged.filter(F.col("_core") & steps[0].predicate)
     ended = F.coalesce(F.col("_r0.end_us") - F.col("us") < span, F.lit(False))
-    matched = starts.filter(ended & ~F.col("_r0.dead")).select(
-        "key", F.col("us").alias("start_us"), F.col("_r0.end_us").alias("end_us"), F.col("_r0.ids").alias("ids")
-    )
     horizon = df.agg(F.max("us").alias("m")).scalar()
-    timed_out = starts.filter(~ended & (F.col("us") + span <= horizon)).select(
-        "key", "id", F.col("us").alias("start_us"), (F.col("us") + span).alias("timeout_us")
+    side = F.when(ended & ~F.col("_r0.dead"), "match").when(
+        ~ended & (F.col("us") + span <= horizon), "timeout"
+    )
+    done = F.col("side") == "match"
+    found = (
+        starts.withColumn("side", side)
+        .filter(F.col("side").isNotNull())
+        .select(
+            "key",
+            F.col("us").alias("start_us"),
+            F.when(done, F.col("_r0.end_us")).otherwise(F.col("us") + span).alias("end_us"),
+            F.when(done, F.col("_r0.ids")).otherwise(F.array("id")).alias("ids"),
+            "side",
+        )
     )
-    return Matches(matched, timed_out)
+    return Matches(found)
 
 
 def pattern_followed_by(
@@ -329,8 +349,12 @@ def whole_groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[Ite
         yield groups(pd.concat(held, ignore_index=True))
 
 
+# Fixed value: text of an alert, followed by the key.
+ALERT_TEXT = "报警啦，5秒没有成功，"
+
+
 def alert_texts(alerts: DataFrame) -> DataFrame:
-    return alerts.select(F.concat(F.lit("no success in time: "), F.col("key").cast("string")).alias("text"))
+    return alerts.select(F.concat(F.lit(ALERT_TEXT), F.col("key").cast("string")).alias("text"))
 
 
 # ---------------------------------------------------------------------------------------
@@ -338,8 +362,17 @@ def alert_texts(alerts: DataFrame) -> DataFrame:
 
 
 class SplitRows(NamedTuple):
-    on_time: DataFrame
-    late: DataFrame
+    """`tagged` has every row with `_late`; the other two are filters of it."""
+
+    tagged: DataFrame
+
+    @property
+    def on_time(self) -> DataFrame:
+        return self.tagged.filter("NOT _late").drop("_late")
+
+    @property
+    def late(self) -> DataFrame:
+        return self.tagged.filter("_late").drop("_late")
 
 
 def late_split(
@@ -368,7 +401,7 @@ def late_split(
         seed=None if seen is None else (seen.withColumn("_all", F.lit(0)), {"_seen": "seen"}),
     ).drop("_all", "_slice", "_seed__seen")
     late = F.coalesce(F.col(us) < F.col("_seen") - micros(delay), F.lit(False))
-    return SplitRows(scanned.filter(~late).drop("_seen"), scanned.filter(late).drop("_seen"))
+    return SplitRows(scanned.withColumn("_late", late).drop("_seen"))
 
 
 def idle_close_window(

@@ -32,10 +32,14 @@ def _parse_events(spark, sf):
     ev = table(spark, sf, "events")
     sep = F.when(F.col("event_type") == "error", ";").otherwise(",")
     lines = ev.select("event_id", F.concat(ms(F.col("ts")).cast("string"), sep, F.col("user_id").cast("string")).alias("value"))
-    good, bad = delimited.parse_events(lines, "ms_key")
-    good = good.select("event_id", F.lit("good").alias("side"), ms(F.col("ts")).alias("ms"), "key")
-    bad = bad.select("event_id", F.lit("bad").alias("side"), F.lit(None).cast("bigint").alias("ms"), F.lit(None).cast("string").alias("key"))
-    return good.unionByName(bad)
+    tagged = delimited.parse_events(lines, "ms_key").tagged
+    ok = F.col("_ok")
+    return tagged.select(
+        "event_id",
+        F.when(ok, "good").otherwise("bad").alias("side"),
+        F.when(ok, ms(F.col("ts"))).alias("ms"),
+        F.when(ok, F.col("key")).alias("key"),
+    )
 
 
 @query(
@@ -253,10 +257,8 @@ ARRIVALS_SQL = """
     """,
 )
 def _late_split(spark, sf):
-    on_time, late = patterns.late_split(_arrivals(spark, sf), "arrival", "us", "event_id", 2 * MIN, DAY)
-    return on_time.select("event_id", "us", F.lit("on_time").alias("side")).unionByName(
-        late.select("event_id", "us", F.lit("late").alias("side"))
-    )
+    split = patterns.late_split(_arrivals(spark, sf), "arrival", "us", "event_id", 2 * MIN, DAY)
+    return split.tagged.select("event_id", "us", F.when(F.col("_late"), "late").otherwise("on_time").alias("side"))
 
 
 @query(
@@ -329,10 +331,8 @@ FOLLOWED_SQL = """
     """,
 )
 def _followed_by(spark, sf):
-    matched, late = patterns.pattern_followed_by(_keyed(spark, sf), IS("view"), IS("purchase"), 12 * H)
-    return matched.select("key", F.col("ids")[0].alias("id"), "start_us", "end_us", F.lit("match").alias("side")).unionByName(
-        late.select("key", "id", "start_us", F.col("timeout_us").alias("end_us"), F.lit("timeout").alias("side"))
-    )
+    found = patterns.pattern_followed_by(_keyed(spark, sf), IS("view"), IS("purchase"), 12 * H).found
+    return found.select("key", F.col("ids")[0].alias("id"), "start_us", "end_us", "side")
 
 
 @query(

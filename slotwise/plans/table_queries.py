@@ -472,8 +472,7 @@ def _validate_ops(spark, sf):
         .withColumn("id", F.when(part % 13 != 0, F.col("id").cast("string")))
         .withColumn("doc", F.lit("{}"))
     )
-    good = checked.good.select("seq", F.lit(0).alias("errors"))
-    return good.unionByName(checked.bad.select("seq", F.size("errors").alias("errors")))
+    return checked.tagged.select("seq", F.size("errors").alias("errors"))
 
 
 @query(
@@ -527,8 +526,7 @@ def _reindex(spark, sf):
     )
     dest = _orders(spark, sf).filter("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("id"))
     out = changes.reindex(source, dest, "id", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
-    added = out.added.select("id", "l_partkey", "l_suppkey", F.lit("added").alias("side"))
-    return added.unionByName(out.conflicts.select("id", "l_partkey", "l_suppkey", F.col("reason").alias("side")))
+    return out.judged.select("id", "l_partkey", "l_suppkey", F.coalesce("reason", F.lit("added")).alias("side"))
 
 
 # ---------------------------------------------------------------------------------------

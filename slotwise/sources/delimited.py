@@ -18,8 +18,20 @@ FORMATS = {
 
 
 class ParsedLines(NamedTuple):
-    good: DataFrame
-    bad: DataFrame
+    """`tagged` has every line with `_ok`; `good` and `bad` are filters of it. Work on
+    `tagged` to read the input once for both."""
+
+    tagged: DataFrame
+    line: str
+    columns: list[str]
+
+    @property
+    def good(self) -> DataFrame:
+        return self.tagged.filter("_ok").drop("_ok", self.line)
+
+    @property
+    def bad(self) -> DataFrame:
+        return self.tagged.filter("NOT _ok").select(*self.columns)
 
 
 def parse_events(df: DataFrame, fmt: str, line: str = "value") -> ParsedLines:
@@ -43,9 +55,7 @@ def parse_events(df: DataFrame, fmt: str, line: str = "value") -> ParsedLines:
     if "ms" in names:
         ok = ok & F.col("ts").isNotNull()
     ok = F.coalesce(ok, F.lit(False))
-    good = staged.filter(ok).drop("_parts", line)
-    bad = staged.filter(~ok).select(*df.columns)
-    return ParsedLines(good, bad)
+    return ParsedLines(staged.withColumn("_ok", ok).drop("_parts"), line, df.columns)
 
 
 # Row maps: one Column each, so they stay inside generated code.

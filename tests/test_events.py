@@ -25,7 +25,8 @@ def kind(name):
 
 def test_parse_events_keeps_malformed_lines_apart(spark):
     lines = spark.createDataFrame([("1635212345678,zzq5",), ("x,zzq5",), ("17",), ("5,",), ("7,a,b",)], "value string")
-    good, bad = delimited.parse_events(lines, "ms_key")
+    parsed = delimited.parse_events(lines, "ms_key")
+    good, bad = parsed.good, parsed.bad
     assert rows(good.select(F.unix_millis("ts"), "key")) == [(7, "a"), (1635212345678, "zzq5")]
     assert rows(bad) == [("17",), ("5,",), ("x,zzq5",)]
     orders = spark.createDataFrame([("o1+created",), ("o1",)], "value string")
@@ -137,6 +138,7 @@ def test_consume_once_overwrites_removes_and_expires(spark):
     )
     got = joins.consume_once_join(both, ttl=S, width=S)
     assert rows(got.select("key", "right_id", "left_id", "left_value")) == [("a", 3, 2, "new"), ("c", 8, 7, "y")]
+    assert rows(joins.join_texts(got)) == [("输出了：>new",), ("输出了：>y",)]
 
 
 def test_debounced_join_waits_for_silence(spark):
@@ -209,6 +211,8 @@ def test_alert_timer_scenarios(spark):
     run = lambda data: rows(patterns.alert_timer(events(spark, data), kind("fail"), kind("success"), 6 * S))
     assert run(fails + ok + late) == []
     assert run(fails + late) == [("p", 6_000_000)]
+    texts = patterns.alert_texts(patterns.alert_timer(events(spark, fails + late), kind("fail"), kind("success"), 6 * S))
+    assert rows(texts) == [("报警啦，5秒没有成功，p",)]
     assert run(fails) == []  # the timer lies beyond the last event
     assert run([("p", 0, 1, "fail"), ("p", 6000, 2, "success"), *late]) == []  # in time
     assert run([("p", 0, 1, "fail"), ("p", 6001, 2, "success"), *late]) == [("p", 6_000_000)]
