@@ -157,196 +157,196 @@ def alert_timer(
     cancels it, firing makes the next fail arm again. Timers beyond the last event of the
     whole input have not fired yet.
 
-    What a time slice does depends on the deadline pending at its start. So slices first
-    report, in parallel, what they would leave pending for each possible entry; a pass over
-    these reports (one row per key and slice) finds the true entries; the slices then emit.
+    A fail with no other fail of its episode within `delay` settles itself, in a window over
+    slices with halos. Only runs of close fails are sequential: each arms or not depending on
+    the one before. There every slice reports, in parallel, up to which row it would leave
+    the key waiting for each possible row it is entered with; a pass over these reports (one
+    row per key and slice) finds the true entries, and the slices then emit.
     """
     wait = micros(delay)
-    size = max(micros(width or 64 * delay), wait)
+    size = max(micros(width or 64 * delay), 2 * wait)
     kind = F.when(fail, F.lit(1)).when(success, F.lit(0))
-    key_type = df.schema["key"].dataType
-    rows = (
-        df.withColumn("kind", kind)
-        .filter(F.col("kind").isNotNull())
-        .select("key", floor_div(F.col("us"), size).alias("slice"), "us", "id", "kind")
+    key_type, id_type = df.schema["key"].dataType, df.schema["id"].dataType
+    sliced = with_halo(
+        df.withColumn("kind", kind).filter(F.col("kind").isNotNull()).select("key", "us", "id", "kind"),
+        "us", timedelta(microseconds=size), before=delay, after=delay,
     )
+    part = W.partitionBy("key", "_slice")
+    forward, reverse = part.orderBy("us", "id"), part.orderBy(F.desc("us"), F.desc("id"))
+    row = F.struct("us", "kind")
+    win = F.last(F.when(F.col("kind") == 0, F.struct("us", "id")), ignorenulls=True)
+
+    def close_fail(other: Column) -> Column:
+        near = F.abs(other["us"] - F.col("us")) <= wait
+        return F.coalesce((other["kind"] == 1) & near, F.lit(False))
+
+    fails = (
+        sliced.withColumn("_before", F.lag(row).over(forward))
+        .withColumn("_after", F.lag(row).over(reverse))
+        .withColumn("_win", win.over(reverse.rowsBetween(W.unboundedPreceding, -1)))
+        .filter(F.col("_core") & (F.col("kind") == 1))
+        .withColumn("linked", close_fail(F.col("_before")) | close_fail(F.col("_after")))
+        .withColumn("cancelled", F.coalesce(F.col("_win.us") <= F.col("us") + wait, F.lit(False)))
+        .select(
+            "key",
+            F.col("_slice").alias("slice"),
+            "us",
+            "id",
+            "linked",
+            "cancelled",
+            F.when(F.col("cancelled"), F.col("_win.us")).otherwise(F.col("us") + wait).alias("until_us"),
+            F.when(F.col("cancelled"), F.col("_win.id")).alias("until_id"),
+        )
+    )
+    alone = fails.filter("NOT linked AND NOT cancelled").select("key", (F.col("us") + wait).alias("alert_us"))
 
+    place = T.StructType([T.StructField("us", T.LongType()), T.StructField("id", id_type)])
+    key_field, slice_field = T.StructField("key", key_type), T.StructField("slice", T.LongType())
     report_type = T.StructType(
         [
-            T.StructField("key", key_type),
-            T.StructField("slice", T.LongType()),
-            T.StructField("bounds", T.ArrayType(T.LongType())),
-            T.StructField("exits", T.ArrayType(T.LongType())),
+            key_field,
+            slice_field,
+            T.StructField("bounds", T.ArrayType(place)),
+            T.StructField("exits", T.ArrayType(place)),
         ]
     )
-
-    def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for groups in whole_groups(batches, ["key", "slice"]):
-            out = []
-            for key, number, us, kinds, _ in groups:
-                bounds, exits = _SliceRun(us, kinds, number * size, size, wait).table()
-                out.append((key, number, bounds, exits))
-            yield pd.DataFrame(out, columns=["key", "slice", "bounds", "exits"])
-
+    entry_type = T.StructType([key_field, slice_field, T.StructField("entry", place)])
+    alert_type = T.StructType([key_field, T.StructField("alert_us", T.LongType())])
     order = ["key", "slice", "us", "id"]
-    reports = (
-        rows.repartition("key", "slice").sortWithinPartitions(*order).mapInPandas(report, report_type)
-    )
 
-    entry_type = T.StructType(
-        [
-            T.StructField("key", key_type),
-            T.StructField("slice", T.LongType()),
-            T.StructField("entry", T.LongType()),
-            T.StructField("tail", T.LongType()),
-        ]
-    )
+    def report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for groups in whole_groups(batches):
+            out = [(*name, *_FailRun(pdf).table(name[1] * size, size, wait)) for name, pdf in groups]
+            yield pd.DataFrame(out, columns=report_type.names)
 
     def thread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        # `tail` = a deadline no slice of the key can cancel any more
-        held = None  # (key, slice, entry, pending)
+        held = None  # (key, slice, what the slice leaves)
         for pdf in batches:
             out = []
-            for key, number, bounds, exits in zip(pdf["key"], pdf["slice"], pdf["bounds"], pdf["exits"]):
-                entry = -1
-                if held is not None:
-                    adjacent = held[0] == key and held[1] + 1 == number
-                    entry = held[3] if adjacent else -1
-                    out.append((held[0], held[1], held[2], -1 if adjacent else held[3]))
-                pos = int(np.searchsorted(np.asarray(bounds), entry, side="right")) - 1
-                held = (key, number, entry, int(exits[pos]))
-            yield pd.DataFrame(out, columns=["key", "slice", "entry", "tail"])
-        if held is not None:
-            yield pd.DataFrame([held], columns=["key", "slice", "entry", "tail"])
-
-    entries = reports.repartition("key").sortWithinPartitions("key", "slice").mapInPandas(thread, entry_type)
-
-    alert_type = T.StructType([T.StructField("key", key_type), T.StructField("alert_us", T.LongType())])
+            for key, number, bounds, exits in pdf.itertuples(index=False):
+                adjacent = held is not None and held[0] == key and held[1] + 1 == number
+                entry = held[2] if adjacent else None
+                passed = 0
+                if entry is not None:
+                    while passed < len(bounds) and not _after(bounds[passed], entry):
+                        passed += 1
+                    out.append((key, number, entry))
+                held = (key, number, exits[passed])
+            yield pd.DataFrame(out, columns=entry_type.names)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for groups in whole_groups(batches, ["key", "slice"]):
+        for groups in whole_groups(batches):
             keys: list = []
             alerts: list[int] = []
-            for key, number, us, kinds, extra in groups:
-                run = _SliceRun(us, kinds, number * size, size, wait)
-                fired = run.alerts(int(extra["entry"].iloc[0]))
-                tail = int(extra["tail"].iloc[0])
-                fired += [tail] if tail >= 0 else []
+            for (key, _), pdf in groups:
+                fired = _FailRun(pdf).alerts(pdf["entry"].iloc[0], wait)
                 keys += [key] * len(fired)
                 alerts += fired
-            yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "alert_us": alerts}).astype({"alert_us": "int64"})
+            yield pd.DataFrame({"key": pd.Series(keys, dtype=object), "alert_us": pd.Series(alerts, dtype="int64")})
 
-    horizon = df.agg(F.max("us").alias("m")).scalar()
-    return (
-        rows.join(entries, ["key", "slice"])
+    linked = fails.filter("linked").drop("linked")
+    reports = linked.repartition("key", "slice").sortWithinPartitions(*order).mapInPandas(report, report_type)
+    entries = reports.repartition("key").sortWithinPartitions("key", "slice").mapInPandas(thread, entry_type)
+    chained = (
+        linked.join(entries, ["key", "slice"], "left")
         .repartition("key", "slice")
         .sortWithinPartitions(*order)
         .mapInPandas(emit, alert_type)
-        .filter(F.col("alert_us") <= horizon)
     )
-
-
-class _SliceRun:
-    """The fails and successes of one key in one time slice [start, start + size).
-
-    A pending deadline is a time, -1 stands for none. A deadline inside the slice fires in
-    it; one at or after its end is left pending.
-    """
-
-    def __init__(self, us: np.ndarray, kinds: np.ndarray, start: int, size: int, wait: int):
-        self.us, self.start, self.end, self.wait = us, start, start + size, wait
-        self.fails = np.flatnonzero(kinds == 1)
-        self.wins = np.flatnonzero(kinds == 0)
-        self.fail_us = us[self.fails]
-        self.win_us = us[self.wins]
-        deadline = self.fail_us + wait
-        # first success after each fail, and whether it comes in time
-        win_at = np.searchsorted(self.wins, self.fails)
-        has_win = win_at < len(self.wins)
-        win_row = np.where(has_win, self.wins[np.minimum(win_at, max(len(self.wins) - 1, 0))] if len(self.wins) else 0, -1)
-        cancelled = has_win & (np.where(has_win, us[np.maximum(win_row, 0)] if len(us) else 0, 0) <= deadline)
-        self.fires = ~cancelled & (deadline < self.end)
-        self.leaves = ~cancelled & (deadline >= self.end)
-        after_win = np.searchsorted(self.fails, win_row, side="right")
-        after_fire = np.searchsorted(self.fail_us, deadline, side="right")
-        self.after = np.where(cancelled, after_win, after_fire)
-        self.deadline = deadline
-
-    def _first(self, entry: int) -> tuple[int, bool]:
-        """Index of the fail that arms next after the entry, and whether the entry fires."""
-        if entry < 0:
-            return 0, False
-        if len(self.win_us) and self.win_us[0] <= entry:
-            return int(np.searchsorted(self.fails, self.wins[0], side="right")), False
-        return int(np.searchsorted(self.fail_us, entry, side="right")), True
-
-    def table(self) -> tuple[list[int], list[int]]:
-        """What is left pending, as a step function of the entry: exits[i] holds for
-        entries from bounds[i] up to the next bound."""
-        n = len(self.fails)
-        exits = np.full(n + 1, -1, dtype=np.int64)
+    horizon = df.agg(F.max("us").alias("m")).scalar()
+    return alone.unionByName(chained).filter(F.col("alert_us") <= horizon)
+
+
+def _after(bound, entry) -> bool:
+    """Does a fail at `bound` come after the place `entry`? A place without id is a time
+    that everything up to it has passed."""
+    if bound["us"] != entry["us"]:
+        return bound["us"] > entry["us"]
+    return entry["id"] is not None and not pd.isna(entry["id"]) and bound["id"] > entry["id"]
+
+
+class _FailRun:
+    """Close fails of one key in one time slice, in order. Each knows until where it would
+    keep the key from arming again: its deadline, or the success that cancels it."""
+
+    def __init__(self, pdf: pd.DataFrame):
+        self.us, self.id = pdf["us"].to_numpy(), pdf["id"].to_numpy()
+        self.cancelled = pdf["cancelled"].to_numpy()
+        self.until = pdf["until_us"].to_numpy()
+        self.until_id = pdf["until_id"].to_numpy()
+        following = np.searchsorted(self.us, self.until, side="right")
+        for i in np.flatnonzero(self.cancelled):  # rows at the very time of the success
+            at = int(np.searchsorted(self.us, self.until[i], side="left"))
+            while at < following[i] and self.id[at] <= self.until_id[i]:
+                at += 1
+            following[i] = at
+        self.following = following
+
+    def _left(self, i: int) -> dict:
+        ident = self.until_id[i]
+        return {"us": int(self.until[i]), "id": None if pd.isna(ident) else ident}
+
+    def table(self, start: int, size: int, wait: int) -> tuple[list[dict], list[dict | None]]:
+        """exits[i] = the place the key waits for after the slice, if i of the rows in
+        `bounds` lie before the place it is entered with; None if it waits for none."""
+        n, end = len(self.us), start + size
+        last = np.full(n + 1, -1, dtype=np.int64)  # the row whose wait leaves the slice
         for i in range(n - 1, -1, -1):
-            exits[i] = self.deadline[i] if self.leaves[i] else exits[self.after[i]]
-        cuts = [-1, self.start]
-        cuts += self.fail_us[self.fail_us < self.start + self.wait].tolist()
-        cuts += self.win_us[:1].tolist()
-        bounds: list[int] = []
-        values: list[int] = []
-        for cut in sorted(set(cuts)):
-            value = int(exits[self._first(cut)[0]])
-            if not values or values[-1] != value:
-                bounds.append(int(cut))
-                values.append(value)
-        return bounds, values
-
-    def alerts(self, entry: int) -> list[int]:
-        at, fires = self._first(entry)
-        out = [entry] if fires else []
-        while at < len(self.fails) and not self.leaves[at]:
-            if self.fires[at]:
-                out.append(int(self.deadline[at]))
-            at = int(self.after[at])
+            last[i] = i if self.until[i] >= end else last[self.following[i]]
+        early = int(np.searchsorted(self.us, start + wait, side="right"))
+        bounds: list[dict] = []
+        exits = [None if last[0] < 0 else self._left(last[0])]
+        for i in range(early):
+            if last[i + 1] != last[i]:
+                bounds.append({"us": int(self.us[i]), "id": self.id[i]})
+                exits.append(None if last[i + 1] < 0 else self._left(last[i + 1]))
+        return bounds, exits
+
+    def alerts(self, entry, wait: int) -> list[int]:
+        at = 0
+        if isinstance(entry, dict) or (entry is not None and not isinstance(entry, float)):
+            at = int(np.searchsorted(self.us, entry["us"], side="left"))
+            while at < len(self.us) and not _after({"us": self.us[at], "id": self.id[at]}, entry):
+                at += 1
+        out = []
+        while at < len(self.us):
+            if not self.cancelled[at]:
+                out.append(int(self.us[at]) + wait)
+            at = int(self.following[at])
         return out
 
 
-def whole_groups(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[Iterator[tuple]]:
-    """Groups of a partition sorted by `by`, each whole although Arrow batches cut them.
+def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[Iterator[tuple]]:
+    """(key, slice) groups of a partition sorted by them, each whole although Arrow batches
+    cut them. Yields per batch an iterator of ((key, slice), frame)."""
 
-    Yields per batch an iterator of (key, slice, us, kinds, group frame).
-    """
+    def edges(pdf: pd.DataFrame) -> np.ndarray:
+        keys, slices = pdf["key"].to_numpy(), pdf["slice"].to_numpy()
+        same = (keys[1:] == keys[:-1]) & (slices[1:] == slices[:-1])
+        return np.concatenate([[0], np.flatnonzero(~same) + 1, [len(pdf)]])
 
-    def groups(pdf: pd.DataFrame) -> Iterator[tuple]:
-        change = np.ones(len(pdf), dtype=bool)
-        if len(pdf) > 1:
-            same = np.ones(len(pdf) - 1, dtype=bool)
-            for col in by:
-                values = pdf[col].to_numpy()
-                same &= values[1:] == values[:-1]
-            change[1:] = ~same
-        cuts = np.append(np.flatnonzero(change), len(pdf))
-        us, kinds = pdf["us"].to_numpy(), pdf["kind"].to_numpy()
-        firsts = [pdf[c].to_numpy() for c in by]
+    def groups(pdf: pd.DataFrame, cuts: np.ndarray) -> Iterator[tuple]:
         for lo, hi in zip(cuts[:-1], cuts[1:]):
-            yield (firsts[0][lo], int(firsts[1][lo]), us[lo:hi], kinds[lo:hi], pdf.iloc[lo : lo + 1])
+            piece = pdf.iloc[lo:hi]
+            yield (piece["key"].iloc[0], int(piece["slice"].iloc[0])), piece
 
     held: list[pd.DataFrame] = []
     for pdf in batches:
         if pdf.empty:
             continue
+        cuts = edges(pdf)
+        if held and len(cuts) == 2 and tuple(pdf.iloc[0][["key", "slice"]]) == tuple(held[-1].iloc[0][["key", "slice"]]):
+            held.append(pdf)  # still inside one group
+            continue
         if held:
-            last, first = held[-1].iloc[-1], pdf.iloc[-1]
-            if all(last[c] == first[c] for c in by):
-                held.append(pdf)  # still inside one group
-                continue
             pdf = pd.concat([*held, pdf], ignore_index=True)
-        tail = np.ones(len(pdf), dtype=bool)
-        for col in by:
-            tail &= (pdf[col] == pdf[col].iloc[-1]).to_numpy()
-        held = [pdf[tail].reset_index(drop=True)]
-        if not tail.all():
-            yield groups(pdf[~tail].reset_index(drop=True))
+            cuts = edges(pdf)
+        held = [pdf.iloc[cuts[-2] :]]
+        if len(cuts) > 2:
+            yield groups(pdf, cuts[:-1])
     if held:
-        yield groups(pd.concat(held, ignore_index=True))
+        whole = pd.concat(held, ignore_index=True)
+        yield groups(whole, edges(whole))
 
 
 # Fixed value: text of an alert, followed by the key.
