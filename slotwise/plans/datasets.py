@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -56,7 +57,8 @@ def _formatted(f: T.StructField, fmt: ResultFormat, is_time: bool) -> Column:
 
 @dataclass(frozen=True)
 class DataSet:
-    """A named SQL text; `:name` marks a parameter, which is always a list of values."""
+    """A named SQL text; `:name` marks a parameter, which is always a list of values. Write
+    `column IN (:name)` to compare with the values, or use `:name` as an array."""
 
     id: str
     sql: str
@@ -69,13 +71,22 @@ def dataset_query(
     params: Mapping[str, Sequence[Any]] | None = None,
     fmt: ResultFormat | None = None,
 ) -> DataFrame:
-    """Run the dataset with its parameters bound as arrays: values never become SQL text.
+    """Run the dataset with its parameters bound: values never become SQL text.
 
-    A list of constants in `array_contains(:p, column)` is folded and stays one predicate.
+    In `IN (:name)` every value gets a marker of its own, so that the list reaches the scan
+    as a filter; an empty list matches nothing. Elsewhere a parameter is an array.
     """
-    values = {**dataset.defaults, **(params or {})}
-    args = {name: F.array(*[F.lit(v) for v in items]) for name, items in values.items()}
-    df = spark.sql(dataset.sql, args=args)
+    sql, args = dataset.sql, {}
+    for name, items in {**dataset.defaults, **(params or {})}.items():
+        values = list(items) or [None]
+        marks = {f"{name}_{i}": v for i, v in enumerate(values)}
+        listed = ", ".join(f":{mark}" for mark in marks)
+        sql, found = re.subn(rf"(?i)\bIN\s*\(\s*:{re.escape(name)}\s*\)", f"IN ({listed})", sql)
+        if found:
+            args |= marks
+        if re.search(rf":{re.escape(name)}\b", sql):
+            args[name] = F.array(*[F.lit(v) for v in items])
+    df = spark.sql(sql, args=args)
     return format_result(df, fmt) if fmt else df
 
 

@@ -235,8 +235,8 @@ def _table_stats(spark, sf):
 @query(
     "replace_by_key",
     """
-    WITH b AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0),
-    i AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderkey % 4 = 0)
+    WITH b AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'),
+    i AS (SELECT * REPLACE (o_totalprice + 1 AS o_totalprice) FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH'))
     SELECT o_orderkey, o_totalprice FROM b WHERE o_orderkey NOT IN (SELECT o_orderkey FROM i)
     UNION ALL SELECT o_orderkey, o_totalprice FROM i
     """,
@@ -248,7 +248,7 @@ def _replace_by_key(spark, sf):
 
 @query(
     "replace_by_key_removed",
-    """SELECT count(*) AS removed FROM orders WHERE o_orderkey % 4 = 0 AND o_orderkey % 3 <> 0""",
+    """SELECT count(*) AS removed FROM orders WHERE o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderstatus <> 'P'""",
 )
 def _replace_removed(spark, sf):
     base, incoming = _base_and_incoming(spark, sf)
@@ -256,9 +256,9 @@ def _replace_removed(spark, sf):
 
 
 def _base_and_incoming(spark, sf):
-    orders = _orders(spark, sf).select("o_orderkey", "o_totalprice", "o_orderstatus")
-    base = orders.filter("o_orderkey % 3 <> 0").drop("o_orderstatus")
-    incoming = orders.filter("o_orderkey % 4 = 0").select(
+    orders = _orders(spark, sf)
+    base = orders.filter("o_orderstatus <> 'P'").select("o_orderkey", "o_totalprice")
+    incoming = orders.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).select(
         "o_orderkey", (F.col("o_totalprice") + 1).alias("o_totalprice"), F.col("o_orderstatus").alias("dir")
     )
     return base, incoming
@@ -275,7 +275,7 @@ def _change_set(spark, sf):
     """Base rows and ordered changes cut out of lineitem: each line is a change of its order,
     the operation follows from the line number and the order key."""
     line = spread(table(spark, sf, "lineitem"))
-    base = _orders(spark, sf).filter("o_orderkey % 2 = 0").select(
+    base = _orders(spark, sf).filter("o_orderstatus <> 'O'").select(
         F.col("o_orderkey").alias("k"), F.col("o_totalprice").alias("price"), F.col("o_orderstatus").alias("flag")
     )
     kind = (F.col("l_orderkey") + F.col("l_linenumber") * 3 + F.col("l_partkey")) % 7
@@ -309,7 +309,7 @@ OPS_SQL = f"""
                  CASE WHEN l_partkey % 4 > 0 THEN l_returnflag END AS flag, kind = 6 AS ups,
                  l_suppkey, l_partkey,
                  row_number() OVER (PARTITION BY l_orderkey ORDER BY seq) AS pos FROM k),
-    b AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS flag FROM orders WHERE o_orderkey % 2 = 0)
+    b AS (SELECT o_orderkey AS k, o_totalprice AS price, o_orderstatus AS flag FROM orders WHERE o_orderstatus <> 'O')
 """
 
 # One change after the other, per id: the plainest statement of what must come out.
@@ -517,14 +517,15 @@ def _pre_transforms(spark, sf):
     WITH s AS (SELECT 'a' AS _table, l_orderkey AS id, l_partkey, l_suppkey, l_linenumber, l_extendedprice FROM lineitem),
     r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY _table, l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS pos FROM s)
     SELECT id, l_partkey, l_suppkey,
-           CASE WHEN id % 5 = 0 THEN 'in destination' WHEN pos > 1 THEN 'earlier source row' ELSE 'added' END AS side FROM r
+           CASE WHEN o_orderpriority = '5-LOW' THEN 'in destination' WHEN pos > 1 THEN 'earlier source row' ELSE 'added' END AS side
+    FROM r LEFT JOIN orders ON o_orderkey = id
     """,
 )
 def _reindex(spark, sf):
     source = table(spark, sf, "lineitem").select(
         F.lit("a").alias("_table"), F.col("l_orderkey").alias("id"), "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice"
     )
-    dest = _orders(spark, sf).filter("o_orderkey % 5 = 0").select(F.col("o_orderkey").alias("id"))
+    dest = _orders(spark, sf).filter("o_orderpriority = '5-LOW'").select(F.col("o_orderkey").alias("id"))
     out = changes.reindex(source, dest, "id", ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"])
     return out.judged.select("id", "l_partkey", "l_suppkey", F.coalesce("reason", F.lit("added")).alias("side"))
 
@@ -654,7 +655,7 @@ def _daily(spark, sf):
         "daily",
         """SELECT CAST(o_orderdate AS DATE) AS day, o_orderstatus AS status, count(*) AS n,
                   CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
-           FROM sw_orders WHERE array_contains(:status, o_orderstatus) GROUP BY 1, 2""",
+           FROM sw_orders WHERE o_orderstatus IN (:status) GROUP BY 1, 2""",
         {"status": ["F", "O", "P"]},
     )
 

@@ -19,6 +19,9 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
     pushed = next(line for line in text.split("\n") if "PushedFilters" in line)
     assert "GreaterThan(c_acctbal,100.0)" in pushed and "In(c_mktsegment, [BUILDING,MACHINERY])" in pushed
+    df = QUERIES["dataset_query"](spark, SF)
+    text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+    assert "In(o_orderstatus, [F,P])" in text
     text = plan(QUERIES["agg_search_stats"](spark, SF))
     assert "ReadSchema: struct<l_extendedprice:double>" in text
 

@@ -352,5 +352,8 @@ def test_result_formats_and_parameters(spark):
     df.createOrReplaceTempView("sw_test_dataset")
     ds = datasets.DataSet("d", "SELECT s FROM sw_test_dataset WHERE array_contains(:names, s)")
     assert rows(datasets.dataset_query(spark, ds, {"names": ["o'b", "x"]})) == [("o'b",)]
+    ds = datasets.DataSet("d", "SELECT s FROM sw_test_dataset WHERE s IN (:names) AND size(:names) < 3", {"names": []})
+    assert rows(datasets.dataset_query(spark, ds, {"names": ["o'b", "x"]})) == [("o'b",)]
+    assert rows(datasets.dataset_query(spark, datasets.DataSet("e", "SELECT s FROM sw_test_dataset WHERE s IN (:n)", {"n": []}))) == []
     with pytest.raises(ValueError):
         datasets.chart_query(spark, [datasets.ChartSeries("nope", "x", "y")], {}, {})
