@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from functools import partial, reduce
 from typing import NamedTuple
 
 import pandas as pd
@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from slotwise.functions.skew import hot_keys, lookup_join
 from slotwise.functions.timeslice import floor_div, prefix_scan
 
 # Outcome of an operation and its status code.
@@ -40,6 +41,7 @@ def apply_changes(
     detect_noop: bool = False,
     conditional: bool = False,
     slice_rows: int = 1_000_000,
+    hot_share: float = 0.001,
 ) -> Applied:
     """Apply `changes` (seq, op, id, fields…) in `seq` order; one outcome row per change.
 
@@ -59,7 +61,7 @@ def apply_changes(
     base_ids = base.select(F.col(id_col).alias("id"), F.lit(True).alias("_in_base"))
 
     if conditional:
-        results = _conditional_results(base, ops, id_col)
+        results = _conditional_results(base, ops, id_col, hot_share)
     else:
         results = _plain_results(ops, base_ids)
 
@@ -208,7 +210,7 @@ def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequen
 # Conditional changes
 
 
-def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFrame:
+def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str, hot_share: float) -> DataFrame:
     """Outcomes where a change may depend on the sequence number or version it finds.
 
     An unconditional index or delete always succeeds and leaves a known state, so it cuts
@@ -216,7 +218,8 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
     external version, on ids that take nothing else: it is accepted if it beats the largest
     one before it, a running maximum. Ids that mix versions with other writes stay whole,
     because internal versions count on through every write. Within a segment the rows
-    stream through in order; nothing is collected.
+    stream through in order; nothing is collected. Segments of ids with at least `hot_share`
+    of the changes are cut by slices as well, see `_judge_in_slices`.
     """
     for name, default in (("_seq_no", -1), ("_version", 0)):
         if name not in base.columns:
@@ -260,6 +263,7 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
     rows = marked.withColumn("_entry", entry).select(
         "id",
         F.col("_entry.seq").alias("seg"),
+        "_slice",
         "seq",
         "op",
         _inserts().alias("inserts"),
@@ -267,32 +271,156 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str) -> DataFr
         "version",
         "version_type",
         F.col("_entry.present").alias("present0"),
+        F.col("_entry.seq").alias("seq0"),
         F.col("_entry.version").alias("version0"),
         F.col("_seed__start").isNotNull().alias("known"),
+        whole.alias("whole"),
+    )
+    hot = hot_keys(ops, ["id"], hot_share).withColumn("_hot", F.lit(True))
+    rows = rows.join(F.broadcast(hot), "id", "left").withColumn(
+        "_hot", F.coalesce("_hot", F.lit(False)) & ~F.col("whole")
     )
-    judged = (
-        rows.repartition("id", "seg")
+    streamed = (
+        rows.filter("NOT _hot")
+        .repartition("id", "seg")
         .sortWithinPartitions("id", "seg", "seq")
-        .mapInPandas(_judge, "seq bigint, result string, _in_base boolean")
+        .mapInPandas(partial(_judge, where=["id", "seg"]), JUDGED)
     )
+    judged = streamed.unionByName(_judge_in_slices(rows.filter("_hot")))
     return ops.join(judged, "seq")
 
 
+JUDGED = "seq bigint, result string, _in_base boolean"
+
+
+def _judge_in_slices(rows: DataFrame) -> DataFrame:
+    """Outcomes of hot ids without versions, slice by slice.
+
+    After its first effective change a slice goes on the same way whatever it was entered
+    with. So each slice reports, in parallel, the state it ends with for an absent id, for a
+    present one, and for the sequence numbers its conditions ask for; a pass over these
+    reports, one row per slice, finds the true entries; the slices are then judged apart.
+    """
+    kind = {f.name: f.dataType for f in rows.schema.fields}["id"]
+    state = T.StructType([T.StructField("present", T.BooleanType()), T.StructField("seq", T.LongType())])
+    asked = T.StructType([T.StructField("asked", T.LongType()), *state.fields])
+    place = [T.StructField("id", kind), T.StructField("seg", T.LongType()), T.StructField("_slice", T.LongType())]
+    reported = T.StructType(
+        [
+            *place,
+            T.StructField("present0", T.BooleanType()),
+            T.StructField("absent", state),
+            T.StructField("other", state),
+            T.StructField("named", T.ArrayType(asked)),
+        ]
+    )
+    where = ["id", "seg", "_slice"]
+    reports = rows.repartition(*where).sortWithinPartitions(*where, "seq").mapInPandas(_report, reported)
+    entries = (
+        reports.repartition("id", "seg")
+        .sortWithinPartitions(*where)
+        .mapInPandas(_thread, T.StructType([*place, *state.fields]))
+        .withColumnsRenamed({"present": "present0", "seq": "seq0"})
+    )
+    return (
+        rows.drop("present0", "seq0")
+        .join(entries, where)
+        .repartition(*where)
+        .sortWithinPartitions(*where, "seq")
+        .mapInPandas(partial(_judge, where=where), JUDGED)
+    )
+
+
+def _report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """What each slice makes of the states it may be entered with; null = leaves it alone."""
+    for pdf in _whole(batches, ["id", "seg", "_slice"]):
+        out = []
+        for name, rows in pdf.groupby(["id", "seg", "_slice"], sort=False):
+            out.append((*name, bool(rows["present0"].iloc[0]), *_exits(rows)))
+        columns = ["id", "seg", "_slice", "present0", "absent", "other", "named"]
+        yield pd.DataFrame(out, columns=columns)
+
+
+def _exits(rows: pd.DataFrame) -> tuple:
+    """States after the rows: entered absent, entered present, and present with each asked
+    sequence number for which that makes a difference."""
+    n = len(rows)
+    ops, seqs = rows["op"].tolist(), rows["seq"].tolist()
+    cas, inserts = rows["if_seq_no"].tolist(), rows["inserts"].tolist()
+    waiting: dict[int, int] = {}  # asked sequence number -> first row from here on
+    if_absent = if_present = n  # first row from here on that is effective then
+    ends: list[int] = [n] * (n + 1)  # the last effective row if row i is one
+    after = [None] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        stays = ops[i] != "delete"
+        following = min(if_present, waiting.get(seqs[i], n)) if stays else if_absent
+        ends[i] = i if following == n else ends[following]
+        if pd.isna(cas[i]):
+            if ops[i] in ("index", "delete") or (ops[i] == "update" and inserts[i]):
+                if_absent = if_present = i
+            elif ops[i] == "create":
+                if_absent = i
+            else:
+                if_present = i
+        elif ops[i] != "create":
+            waiting[int(cas[i])] = i
+        after[i] = {"present": stays, "seq": int(seqs[i])}
+    last = lambda i: None if i == n else after[ends[i]]
+    named = [{"asked": a, **last(i)} for a, i in waiting.items() if i < if_present]
+    return last(if_absent), last(if_present), named
+
+
+def _thread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """True entry state of every slice, from the reports in order."""
+    where = state = None
+    for pdf in batches:
+        out = []
+        for ident, seg, number, present0, absent, other, named in pdf.itertuples(index=False):
+            if (ident, seg) != where:
+                where, state = (ident, seg), {"present": present0, "seq": seg}
+            out.append((ident, seg, number, state["present"], state["seq"]))
+            if not state["present"]:
+                left = absent
+            else:
+                left = next((n for n in named if n["asked"] == state["seq"]), other)
+            state = left if left is not None else state
+        yield pd.DataFrame(out, columns=["id", "seg", "_slice", "present", "seq"])
+
+
+def _whole(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames in which no group of a partition sorted by `by` is cut."""
+    held: list[pd.DataFrame] = []
+    for pdf in batches:
+        if pdf.empty:
+            continue
+        end = pdf.iloc[-1][by]
+        if held and (held[-1].iloc[-1][by] == end).all():
+            held.append(pdf)
+            continue
+        tail = (pdf[by] == end).all(axis=1)
+        if held or not tail.all():
+            yield pd.concat([*held, pdf[~tail]], ignore_index=True)
+        held = [pdf[tail]]
+    if held:
+        yield pd.concat(held, ignore_index=True)
+
+
 def _state(present: Column, seq: Column, version: Column) -> Column:
     return F.struct(
         present.alias("present"), seq.cast("bigint").alias("seq"), version.cast("bigint").alias("version")
     )
 
 
-def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Outcomes of changes sorted by (id, segment, seq); state lives across batches."""
-    where = state = None
+def _judge(batches: Iterator[pd.DataFrame], where: list[str]) -> Iterator[pd.DataFrame]:
+    """Outcomes of changes sorted by group and seq; the state lives across batches."""
+    group = state = None
     for pdf in batches:
         out = []
-        for row in pdf.itertuples(index=False):
-            if (row.id, row.seg) != where:
-                where = (row.id, row.seg)
-                state = (bool(row.present0), int(row.seg), int(row.version0))
+        names = list(zip(*[pdf[c] for c in where]))
+        for name, row in zip(names, pdf.itertuples(index=False)):
+            if name != group:
+                group = name
+                state = (bool(row.present0), int(row.seq0), int(row.version0))
             result, state = judge(row, state)
             out.append((row.seq, result, row.known))
         yield pd.DataFrame(out, columns=["seq", "result", "_in_base"])
@@ -456,8 +584,6 @@ def reindex(source: DataFrame, dest: DataFrame, id_col: str, order: Sequence[str
     The winner per id is an aggregate, not a numbering, so copies of one id are combined
     map-side; it comes back by a join that salts hot ids.
     """
-    from slotwise.functions.skew import lookup_join
-
     if batch < 1:
         raise ValueError("batch size must be positive")
     place = F.struct("_table", *order)

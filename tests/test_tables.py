@@ -175,17 +175,40 @@ def test_changes_against_one_by_one(spark, slice_rows, detect_noop):
     assert out.outcomes.filter("status IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("slice_rows", [7, 1000])
-def test_conditional_changes_against_one_by_one(spark, slice_rows):
+@pytest.mark.parametrize("slice_rows, hot_share", [(7, 0.0), (60, 0.2), (1000, 0.001)])
+def test_conditional_changes_against_one_by_one(spark, slice_rows, hot_share):
     base = {"hot": {"a": 5, "b": "z"}, "k7": {"a": 1, "b": "q"}, "k6": {"a": 1, "b": "q"}}
     ops = random_ops(random.Random(slice_rows + 1), 400, conditional=True)
     base_df, ops_df = as_frames(spark, base, ops)
-    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=slice_rows)
+    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=slice_rows, hot_share=hot_share)
     table, outcomes = fold(base, ops)
     assert {r.seq: r.result for r in out.outcomes.collect()} == outcomes
     assert {r.id: {"a": r.a, "b": r.b} for r in out.table.collect()} == table
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_long_chains_of_conditions_on_one_id(spark, seed):
+    """Each change names the one before, some come late or name a lost one."""
+    rng = random.Random(seed)
+    base = {"hot": {"a": 1, "b": "z"}} if seed % 2 else {}
+    ops, names = [], [f.split(" ")[0] for f in SCHEMA.split(", ")]
+    for seq in range(300):
+        op = dict.fromkeys(names) | {"seq": seq, "id": "hot", "a": seq, "doc_as_upsert": rng.random() < 0.02}
+        op["op"] = rng.choice(["update"] * 8 + ["index", "index", "delete", "create"])
+        if op["op"] != "create" and rng.random() < 0.93:
+            op["if_seq_no"] = seq - rng.choice([1, 1, 1, 1, 1, 2, 3, 9, -4])
+        ops.append(op)
+    base_df, ops_df = as_frames(spark, base, ops)
+    table, outcomes = fold(base, ops)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=11, hot_share=0.1)
+        assert {r.seq: r.result for r in out.outcomes.collect()} == outcomes
+        assert {r.id: {"a": r.a, "b": r.b} for r in out.table.collect()} == table
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_changes_in_two_batches_equal_one(spark):
     base = {"hot": {"a": 5, "b": "z"}}
     ops = random_ops(random.Random(9), 120, conditional=False)
