@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from slotwise.functions.skew import hot_keys, lookup_join
 from slotwise.functions.timeslice import floor_div, prefix_scan
+from slotwise.session import stored
 
 # Outcome of an operation and its status code.
 STATUS = {"created": 201, "updated": 200, "deleted": 200, "noop": 200, "not_found": 404, "conflict": 409}
@@ -218,7 +219,8 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str, hot_share
     external version, on ids that take nothing else: it is accepted if it beats the largest
     one before it, a running maximum. Ids that mix versions with other writes stay whole,
     because internal versions count on through every write. Within a segment the rows
-    stream through in order; nothing is collected. Segments of ids with at least `hot_share`
+    stream through in order; nothing is collected. The narrow rows to be judged are written
+    to the shared folder first, because several steps read them. Segments of ids with at least `hot_share`
     of the changes are cut by slices as well, see `_judge_in_slices`.
     """
     for name, default in (("_seq_no", -1), ("_version", 0)):
@@ -280,6 +282,7 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str, hot_share
     rows = rows.join(F.broadcast(hot), "id", "left").withColumn(
         "_hot", F.coalesce("_hot", F.lit(False)) & ~F.col("whole")
     )
+    rows = stored(rows, "changes-to-judge")
     streamed = (
         rows.filter("NOT _hot")
         .repartition("id", "seg")

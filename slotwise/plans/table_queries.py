@@ -12,7 +12,7 @@ from slotwise.functions.skew import spread
 from slotwise.operators import changes, entities, joins, predicates, routing, windows
 from slotwise.plans import datasets
 from slotwise.plans.registry import cents, ms, query, table
-from slotwise.session import scratch_dir
+from slotwise.session import scratch_dir, stored
 from slotwise.sources import bulk_ndjson, catalog, mapping, sinks, slots
 
 SLOTS, SHARDS = 8, 34
@@ -264,13 +264,6 @@ def _base_and_incoming(spark, sf):
     return base, incoming
 
 
-def _stored(spark, df, name):
-    """Written once and read back, as a change table would be."""
-    path = scratch_dir(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _change_set(spark, sf):
     """Base rows and ordered changes cut out of lineitem: each line is a change of its order,
     the operation follows from the line number and the order key."""
@@ -296,7 +289,7 @@ def _change_set(spark, sf):
         F.when(F.col("l_suppkey") % 5 == 0, F.col("l_partkey")).alias("pick"),
         F.col("l_partkey").alias("part"),
     )
-    return base, _stored(spark, ops, "changes")
+    return base, stored(ops, "changes")
 
 
 OPS_SQL = f"""
@@ -370,7 +363,7 @@ def _conditional_set(spark, sf):
     part = F.col("part")
     external = F.col("id") % 10 == 3
     cas = F.when(F.col("op") == "create", F.lit(None)).when(part % 4 == 0, before).when(part % 9 == 0, F.lit(-5))
-    return base, ops.select(
+    conditional = ops.select(
         "seq",
         F.when(external, F.when(part % 5 == 0, "delete").otherwise("index")).otherwise(F.col("op")).alias("op"),
         "id", "price", "flag", "doc_as_upsert",
@@ -378,6 +371,7 @@ def _conditional_set(spark, sf):
         F.when(external, part).alias("version"),
         F.when(external, F.when(part % 2 == 0, "external").otherwise("external_gte")).alias("version_type"),
     )
+    return base, stored(conditional, "conditional-changes")
 
 
 @query(
