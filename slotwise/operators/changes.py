@@ -277,17 +277,22 @@ def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str, hot_share
         F.col("_entry.version").alias("version0"),
         F.col("_seed__start").isNotNull().alias("known"),
         whole.alias("whole"),
+        only_external.alias("external"),
     )
     hot = hot_keys(ops, ["id"], hot_share).withColumn("_hot", F.lit(True))
     rows = rows.join(F.broadcast(hot), "id", "left").withColumn(
-        "_hot", F.coalesce("_hot", F.lit(False)) & ~F.col("whole")
+        "_hot", F.coalesce("_hot", F.lit(False)) & ~F.col("whole") & ~F.col("external")
     )
     rows = stored(rows, "changes-to-judge")
+    # with external versions alone, every change of a segment but the last is refused: its
+    # state does not change, so its slices need not know of each other
+    where = ["id", "seg", "_part"]
     streamed = (
         rows.filter("NOT _hot")
-        .repartition("id", "seg")
-        .sortWithinPartitions("id", "seg", "seq")
-        .mapInPandas(partial(_judge, where=["id", "seg"]), JUDGED)
+        .withColumn("_part", F.when(F.col("external"), F.col("_slice")).otherwise(F.lit(-1)))
+        .repartition(*where)
+        .sortWithinPartitions(*where, "seq")
+        .mapInPandas(partial(_judge, where=where), JUDGED)
     )
     judged = streamed.unionByName(_judge_in_slices(rows.filter("_hot")))
     return ops.join(judged, "seq")
@@ -297,7 +302,7 @@ JUDGED = "seq bigint, result string, _in_base boolean"
 
 
 def _judge_in_slices(rows: DataFrame) -> DataFrame:
-    """Outcomes of hot ids without versions, slice by slice.
+    """Outcomes of hot ids that name no versions, slice by slice.
 
     After its first effective change a slice goes on the same way whatever it was entered
     with. So each slice reports, in parallel, the state it ends with for an absent id, for a

@@ -209,6 +209,24 @@ def test_long_chains_of_conditions_on_one_id(spark, seed):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_hot_id_with_external_versions(spark, seed):
+    rng = random.Random(seed)
+    base = {"hot": {"a": 1, "b": "z"}} if seed % 2 else {}
+    names = [f.split(" ")[0] for f in SCHEMA.split(", ")]
+    ops = []
+    for seq in range(200):
+        op = dict.fromkeys(names) | {"seq": seq, "id": "hot", "a": seq, "doc_as_upsert": False}
+        op.update(op=rng.choice(["index", "delete"]), version=rng.randrange(1, 4 + seq // 3))
+        op["version_type"] = rng.choice(["external", "external_gte"])
+        ops.append(op)
+    base_df, ops_df = as_frames(spark, base, ops)
+    table, outcomes = fold(base, ops)
+    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=5, hot_share=0.1)
+    assert {r.seq: r.result for r in out.outcomes.collect()} == outcomes
+    assert {r.id: {"a": r.a, "b": r.b} for r in out.table.collect()} == table
+
+
 def test_changes_in_two_batches_equal_one(spark):
     base = {"hot": {"a": 5, "b": "z"}}
     ops = random_ops(random.Random(9), 120, conditional=False)
