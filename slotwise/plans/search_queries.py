@@ -461,7 +461,7 @@ def suggest_sql(mode: str) -> str:
     return f"""
     WITH t AS (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, unnest({TOK}) AS term FROM documents) WHERE term <> ''),
     v AS (SELECT term, count(*) AS doc_freq, translate(term, 'ßäçèéêíñóöü', '!"#$%&()*+,') AS plain FROM t GROUP BY term),
-    q AS (SELECT unnest(['thier', 'wihth', 'from', 'zzqxv']) AS token),
+    q AS (SELECT unnest(['thier', 'wihth', 'from', 'qxvwk']) AS token),
     c AS (SELECT q.token, v.term, v.doc_freq, levenshtein(v.plain, q.token) AS distance FROM q JOIN v
           ON abs(len(v.plain) - len(q.token)) <= 2 AND levenshtein(v.plain, q.token) <= 2),
     o AS (SELECT c.*, coalesce((SELECT v.doc_freq FROM v WHERE v.term = c.token), 0) AS own FROM c),
@@ -472,7 +472,7 @@ def suggest_sql(mode: str) -> str:
 
 
 def _suggest(mode):
-    return lambda spark, sf: search.term_suggest(_texts(spark, sf), "text", "Thier wihth, from zzqxv", mode=mode)
+    return lambda spark, sf: search.term_suggest(_texts(spark, sf), "text", "Thier wihth, from qxvwk", mode=mode)
 
 
 query("term_suggest", suggest_sql("own = 0"))(_suggest("missing"))
