@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate
+from slotwise.llm import decontaminate, substrings
 from slotwise.plans.registry import query, table
 
 
@@ -48,3 +48,25 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
         "contaminated",
     )
+
+
+OP1_SQL = f"""
+WITH d AS (SELECT doc_id, {_words_sql('text', BLANK)} AS w FROM documents),
+win AS (
+  SELECT doc_id, s, array_to_string(w[s:s + 19], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 19)) AS s FROM d WHERE len(w) >= 20)),
+dup AS (SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS n FROM win) WHERE n > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s, s + 19)) AS p FROM dup),
+word AS (SELECT doc_id, unnest(w) AS word, unnest(generate_series(1, len(w))) AS p FROM d),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS k, count(*) AS n
+  FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(k, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op1_substring_dedup", OP1_SQL)
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = substrings.without_repeats(table(spark, sf_dir, "documents"))
+    return done.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
