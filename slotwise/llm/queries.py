@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, substrings
+from slotwise.llm import decontaminate, near, substrings
 from slotwise.plans.registry import query, table
 
 
@@ -70,3 +70,25 @@ FROM d LEFT JOIN kept USING (doc_id)
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = substrings.without_repeats(table(spark, sf_dir, "documents"))
     return done.select(F.col("row.doc_id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+# Links by exact counts of shared shingles; components by a recursive walk along the links.
+OP6_SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, {_words_sql(LOWER.format('text'), BLANK)} AS w FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(w[s:s + 2], ' ') AS t
+  FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS s FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS i FROM sh a JOIN sh b USING (t) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * i >= 85 * (x.n + y.n - i)),
+walk(a, b) AS (SELECT doc_id, doc_id FROM d UNION SELECT walk.a, link.b FROM walk JOIN link ON walk.b = link.a),
+c AS (SELECT a AS doc_id, min(b) AS component_id FROM walk GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
+"""
+
+
+@query("op6_minhash_near_dedup", OP6_SQL)
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near.near_groups(table(spark, sf_dir, "documents"), size=3, percent=85)
