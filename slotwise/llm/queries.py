@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import decontaminate, near, substrings
+from slotwise.llm import bpe, decontaminate, language, near, substrings
 from slotwise.plans.registry import query, table
 
 
@@ -92,3 +92,19 @@ FROM d JOIN c USING (doc_id) LEFT JOIN n USING (doc_id)
 @query("op6_minhash_near_dedup", OP6_SQL)
 def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.near_groups(table(spark, sf_dir, "documents"), size=3, percent=85)
+
+
+@query("op3_byte_bpe")
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(table(spark, sf_dir, "documents"))
+
+
+def _fold(folds: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string")) % folds
+
+
+@query("op9_language_id")
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = language.identified(docs, language.fit(docs, _fold(4) != 2))
+    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
