@@ -3,8 +3,8 @@
 A rank file names tokens as bytes; the tokenizers library wants characters and merges. Bytes are
 mapped to printable characters, and every way to put a token together from two others is a merge
 of that token's rank, so the library merges what the rank file's own library would. Each match of
-the pattern is encoded by itself; as matches repeat, a worker keeps the codes of those it has met,
-up to `KEPT_CHARS` characters. Decoding takes the bytes of each token from the reversed table; a
+the pattern is encoded by itself; as words repeat, a worker keeps the codes of some `KEPT_CHARS`
+characters of them. Decoding takes the bytes of each token from the reversed table; a
 character that is split over tokens comes out whole once all its bytes are there.
 """
 
@@ -15,6 +15,8 @@ import codecs
 import functools
 import hashlib
 import os
+import re
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -29,7 +31,8 @@ from slotwise.llm.common import batches, rest_of
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has a task on every core already
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-KEPT_CHARS = 3_000_000
+KEPT_CHARS = 5_000_000
+ADJACENT = re.compile(r"\s\s").search
 
 
 def byte_characters() -> list[str]:
@@ -60,33 +63,60 @@ class Codec:
         self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.bytes_of = {r: t for t, r in ranks.items()}
         self.split = regex.compile(pattern).findall
-        self._forget()
-
-    def _forget(self) -> None:
-        self.place: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
-        self.spelled: list[bytes] = []
+        self.recent: dict[str, tuple[bytes, bytes]] = {}
+        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.pieces: dict[str, tuple[bytes, bytes]] = {}
         self.chars = 0
 
-    def pieces(self, text: str) -> list[int]:
-        """Where the codes of a text's matches are kept; new ones are encoded together."""
-        found = self.split(text)
-        new = [p for p in dict.fromkeys(found) if p not in self.place]
-        for piece, code in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-            self.place[piece] = len(self.ids)
-            self.ids.append(np.array(code.ids, np.int32))
-            self.spelled.append(b",".join([b"%d" % i for i in code.ids]))
-            self.chars += len(piece)
-        return list(map(self.place.__getitem__, found))
+    def _learn(self, units: set[str]) -> None:
+        """Codes of new units: each of their matches is encoded by itself."""
+        matches = {u: self.split(u) for u in units}
+        known = self.pieces
+        pieces = [p for p in {p for m in matches.values() for p in m} if p not in known]
+        for piece, code in zip(pieces, self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
+            ids = code.ids
+            known[piece] = array("i", ids).tobytes(), b",".join([b"%d" % i for i in ids])
+        for unit, found in matches.items():
+            if len(found) == 1:
+                self.recent[unit] = known[found[0]]
+            else:
+                both = [known[p] for p in found]
+                self.recent[unit] = b"".join([c[0] for c in both]), b",".join([c[1] for c in both])
+            self.chars += len(unit)
+
+    def codes(self, units: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids, ids in decimals) of each unit. Two generations of codes are kept; those used again
+        move on to the next."""
+        if self.chars > KEPT_CHARS // 2:
+            self.older, self.recent, self.chars, self.pieces = self.recent, {}, 0, {}
+        out = list(map(self.recent.get, units))
+        if None in out:
+            new = {u for u, c in zip(units, out, strict=True) if c is None}
+            for unit in [u for u in new if u in self.older]:
+                self.recent[unit] = self.older[unit]
+                self.chars += len(unit)
+                new.discard(unit)
+            if new:
+                self._learn(new)
+            out = [self.recent[u] if c is None else c for u, c in zip(units, out, strict=True)]
+        return out
 
     def encode(self, text: str) -> tuple[np.ndarray, bytes]:
-        """(ids, the ids in decimals with commas)."""
-        at = self.pieces(text)
-        ids = np.concatenate([self.ids[i] for i in at]) if at else np.zeros(0, np.int32)
-        spelled = b",".join([self.spelled[i] for i in at])
-        if self.chars > KEPT_CHARS:
-            self._forget()
-        return ids, spelled
+        """(ids, the ids in decimals with commas).
+
+        Matches of the pattern hold a blank at their start or among blanks only. So where no white
+        space is next to another, a text falls apart before each blank.
+        """
+        if not text:
+            return np.zeros(0, np.int32), b""
+        if text[0] == " " or text[-1] == " " or ADJACENT(text):
+            units = self.split(text)
+        else:
+            first, *units = text.split(" ")
+            units = [first, *[" " + u for u in units]]
+        coded = self.codes(units)
+        ids = np.frombuffer(b"".join([c[0] for c in coded]), np.int32)
+        return ids, b",".join([c[1] for c in coded])
 
     def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
