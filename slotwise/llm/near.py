@@ -160,7 +160,7 @@ def _candidates(percent: int, apart: bool) -> Callable:
                 ok &= root[a] != root[b]
             a, b = a[ok], b[ok]
             x, y = regs[a], regs[b]
-            same = (x == y).reshape(len(a), -1, BAND).all(2)
+            same = (x == y).reshape(len(a), REGISTERS // BAND, BAND).all(2)
             ok = same.argmax(1) == band[a]
             a, b, x, y = a[ok], b[ok], x[ok], y[ok]
             if len(a):
