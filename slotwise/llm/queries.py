@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe, decontaminate, language, near, substrings
+from slotwise.llm import bpe, decontaminate, extract, language, near, quality, substrings
 from slotwise.plans.registry import query, table
 
 
@@ -108,3 +108,21 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = language.identified(docs, language.fit(docs, _fold(4) != 2))
     return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_quality")
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    field = quality.fit(docs, table(spark, sf_dir, "labels"), _fold(5) != 0)
+    return quality.scored(docs, field).select(
+        "doc_id", (_fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
+@query("op8_html_extraction")
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extracted(table(spark, sf_dir, "pages"))
+    return found.select(
+        F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), F.col("main_text").alias("text"),
+        F.char_length("main_text").cast("long").alias("n_chars"),
+    )
