@@ -136,13 +136,15 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def encoded(docs: DataFrame, path: str = RANKS, offsets: bool = False) -> DataFrame:
+def encoded(docs: DataFrame, path: str = RANKS, offsets: bool = False, proof: bool = False) -> DataFrame:
     """All columns of `docs` in a struct `row`, with `ids` and, if asked for, the character
-    offsets `starts` and `ends` of every token. Null texts are encoded as empty ones."""
+    offsets `starts` and `ends` of every token, and with `proof` the column `decoded_sha256`, the
+    digest of the ids' bytes. Null texts are encoded as empty ones."""
     batches(docs.sparkSession)
     rows = docs.select(rest_of(docs).alias("row"), F.coalesce("text", F.lit("")).alias("text"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, ids array<int>"
     schema += ", starts array<int>, ends array<int>" if offsets else ""
+    schema += ", decoded_sha256 string" if proof else ""
 
     def run(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own, ints = codec(path), pa.list_(pa.int32())
@@ -156,6 +158,9 @@ def encoded(docs: DataFrame, path: str = RANKS, offsets: bool = False) -> DataFr
                     spans = [own.offsets(t, i) for t, i in zip(texts, ids, strict=True)]
                     out += [pa.array([s[k].astype(np.int32) for s in spans], ints) for k in (0, 1)]
                     names += ["starts", "ends"]
+                if proof:
+                    out.append(pa.array([hashlib.sha256(own.decode(i.tolist())).hexdigest() for i in ids], pa.string()))
+                    names.append("decoded_sha256")
                 yield pa.RecordBatch.from_arrays(out, names)
 
     return rows.mapInArrow(run, schema)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe, decontaminate, extract, language, near, quality, substrings
+from slotwise.llm import bpe, chat, decontaminate, extract, language, near, quality, substrings, vectors, warc
 from slotwise.plans.registry import query, table
 
 
@@ -126,3 +126,81 @@ def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("row.page_id").alias("page_id"), F.col("row.url").alias("url"), F.col("main_text").alias("text"),
         F.char_length("main_text").cast("long").alias("n_chars"),
     )
+
+
+OP10_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+q AS (SELECT page_id, h, min(page_id) OVER (PARTITION BY h) AS first FROM p),
+b AS (SELECT page_id, strlen(h) AS payload_bytes, unhex(sha1(h)) AS d, first FROM q),
+bits AS (SELECT page_id, string_agg(bin, '' ORDER BY i) AS s FROM (
+  SELECT page_id, i, right('00000000' || bin(('0x' || substr(hex(d), 2 * i + 1, 2))::INT), 8) AS bin
+  FROM b, generate_series(0, 19) AS g(i)) GROUP BY page_id),
+base AS (SELECT page_id, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+  1 + 16 * substr(s, 5 * j + 1, 1)::INT + 8 * substr(s, 5 * j + 2, 1)::INT + 4 * substr(s, 5 * j + 3, 1)::INT
+  + 2 * substr(s, 5 * j + 4, 1)::INT + substr(s, 5 * j + 5, 1)::INT, 1), '' ORDER BY j) AS payload_digest
+  FROM bits, generate_series(0, 31) AS g(j) GROUP BY page_id)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM b JOIN base USING (page_id)
+"""
+
+
+@query("op10_warc", OP10_SQL)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+OP5_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, rank::INT AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+"""
+
+
+@query("op5_exact_top_k", OP5_SQL)
+def op5_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+OP2_SQL = """
+WITH t AS (
+  SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+f AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY role, text, conv_id // 1024 ORDER BY conv_id) AS k,
+    lead(conv_id) OVER (PARTITION BY role, text, conv_id // 1024 ORDER BY conv_id) AS partner
+  FROM n WHERE i = 1),
+p AS (SELECT conv_id AS chosen_id, partner AS rejected_id FROM f WHERE k % 2 = 1),
+size AS (SELECT conv_id, count(*) AS c, min(CASE WHEN role = 'assistant' THEN i END) AS a FROM n GROUP BY conv_id),
+same AS (
+  SELECT chosen_id, min(CASE WHEN y.i IS NULL OR x.role <> y.role OR x.text <> y.text THEN x.i END) AS d
+  FROM p JOIN n x ON x.conv_id = chosen_id LEFT JOIN n y ON y.conv_id = rejected_id AND y.i = x.i GROUP BY chosen_id),
+m AS (
+  SELECT p.*, CASE WHEN rejected_id IS NULL THEN coalesce(a - 1, c) ELSE coalesce(d - 1, c) END AS n_common
+  FROM p JOIN size ON conv_id = chosen_id JOIN same USING (chosen_id)),
+r AS (
+  SELECT conv_id, i, '<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10) AS s,
+    '0:' || (length(role) + 5) || ',' || CASE WHEN role = 'assistant' THEN '1:' ELSE '0:' END || (length(text) + 8) AS k
+  FROM n),
+c AS (
+  SELECT chosen_id, coalesce(string_agg(s, '' ORDER BY i) FILTER (i <= n_common), '') AS prompt,
+    coalesce(string_agg(s, '' ORDER BY i) FILTER (i > n_common), '') AS s, coalesce(string_agg(k, ',' ORDER BY i) FILTER (i > n_common), '') AS k
+  FROM m JOIN r ON conv_id = chosen_id GROUP BY chosen_id),
+j AS (
+  SELECT chosen_id, coalesce(string_agg(s, '' ORDER BY i) FILTER (i > n_common), '') AS s,
+    coalesce(string_agg(k, ',' ORDER BY i) FILTER (i > n_common), '') AS k
+  FROM m JOIN r ON conv_id = rejected_id GROUP BY chosen_id)
+SELECT chosen_id, rejected_id, n_common::INT AS n_common, prompt, c.s AS chosen_completion, c.k AS chosen_mask,
+  j.s AS rejected_completion, j.k AS rejected_mask
+FROM m JOIN c USING (chosen_id) LEFT JOIN j USING (chosen_id)
+"""
+
+
+@query("op2_preference_format", OP2_SQL)
+def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.formatted(chat.preference_pairs(table(spark, sf_dir, "conversations"))).drop("chosen", "rejected")
