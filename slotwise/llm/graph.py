@@ -33,7 +33,7 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = pairs.union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _least(both).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stored(large.distinct(), "large")
+        large = stored(large, "large")
         small = _least(large)
         pairs = stored(
             small.select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v")

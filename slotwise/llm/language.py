@@ -191,15 +191,14 @@ def with_language(docs: DataFrame, learn: Column) -> DataFrame:
     model = fit(docs, learn)
     letter = F.col("text").rlike(r"\p{L}")
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    place, k = docs.columns.index("text"), docs.columns.index("lang")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place = docs.columns.index("text")
         for batch in rows:
             for a, b, x in counts(batch.column(place)):
                 part = batch.slice(a, b - a)
                 names = pa.array(shared.value.predict(x)[0], pa.string())
                 columns = list(part.columns)
-                k = docs.columns.index("lang")
                 columns[k] = pc.coalesce(columns[k], names)
                 yield pa.RecordBatch.from_arrays(columns, names=part.schema.names)
 

@@ -10,7 +10,8 @@ threshold are verified on the full sets of shingles.
 
 Documents with equal sets are one class from the start. A bucket does not send out all its pairs:
 a first round verifies a spanning forest of its likeliest pairs, a second one the pairs between
-members that the links found so far leave apart. A pair is looked at in the first bucket alone
+members that the links found so far leave apart, if they can still be similar: shingles that no
+other candidate has are in no intersection, which bounds that from above. A pair is looked at in the first bucket alone
 that both share. A bucket of more than 512 classes is cut into parts, and each two parts are worked on by
 themselves; nothing is capped.
 """
@@ -150,14 +151,14 @@ def _candidates(percent: int, apart: bool) -> Callable:
     least = t - 5 * (t * (1 - t) / REGISTERS) ** 0.5
 
     def look(cols: list[pa.ChunkedArray], group: np.ndarray) -> pa.RecordBatch:
-        rep, n, band, part, root = (cols[i].to_numpy() for i in range(5))
+        rep, n, band, part, root, common = (cols[i].to_numpy() for i in (0, 1, 2, 3, 4, 8))
         regs = np.frombuffer(b"".join(cols[5].to_pylist()), np.uint8).reshape(-1, REGISTERS)
         whole = cols[6].to_numpy() == cols[7].to_numpy()
         found: list[tuple[np.ndarray, ...]] = []
         for a, b in _pairs(np.diff(np.append(np.flatnonzero(group), len(group)))):
             ok = (rep[a] != rep[b]) & (whole[a] | (part[a] != part[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
             if apart:
-                ok &= root[a] != root[b]
+                ok &= (root[a] != root[b]) & ((100 + percent) * np.minimum(common[a], common[b]) >= percent * (n[a] + n[b]))
             a, b = a[ok], b[ok]
             x, y = regs[a], regs[b]
             same = (x == y).reshape(len(a), REGISTERS // BAND, BAND).all(2)
@@ -183,7 +184,7 @@ def _candidates(percent: int, apart: bool) -> Callable:
             opens = np.append(True, np.any([m[1:] != m[:-1] for m in marks], axis=0)) if len(table) else np.zeros(0, bool)
             end = len(table) if last else int(np.flatnonzero(opens)[-1])
             if end:
-                yield look([table.column(c)[:end].combine_chunks() for c in ("rep", "n", "band", "part", "root", "regs", "i", "j")], opens[:end])
+                yield look([table.column(c)[:end].combine_chunks() for c in ("rep", "n", "band", "part", "root", "regs", "i", "j", "common")], opens[:end])
             held[:] = table[end:].to_batches()
 
         for batch in rows:
@@ -204,17 +205,18 @@ def buckets(classes: DataFrame) -> DataFrame:
     return bands.join(shared, "key")
 
 
-def _grouped(members: DataFrame, classes: DataFrame, roots: DataFrame | None) -> DataFrame:
+def _grouped(members: DataFrame, classes: DataFrame, roots: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
     full = members.join(classes, "rep")
     if roots is None:
-        full = full.withColumn("root", F.col("rep"))
+        full = full.withColumn("root", F.col("rep")).withColumn("common", F.col("n"))
     else:
         full = full.join(roots.toDF("r", "root"), F.col("rep") == F.col("r"), "left").withColumn("root", F.coalesce("root", "rep"))
+        full = full.join(alone, "rep", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
     parts = F.when(F.col("c") > 2 * PART, F.ceil(F.col("c") / PART)).otherwise(1).cast("int")
     full = full.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
     full = full.withColumn("q", F.explode(F.sequence(F.lit(0), parts - 1)))
     full = full.withColumn("i", F.least("part", "q")).withColumn("j", F.greatest("part", "q"))
-    return full.select("key", "i", "j", "rep", "n", "band", "part", "root", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+    return full.select("key", "i", "j", "rep", "n", "band", "part", "root", "common", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -243,10 +245,25 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                 bodies = [hashes[x:y].tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 yield packed_rows(["rep", "set"], [batch.column(0)[a:b], bodies], [pa.int64(), pa.binary()])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted, "rep", "left_semi")
+    # Sorted and merged at every size, so that small inputs show what large ones cost.
+    rows = docs.select(F.col("doc_id").cast("long").alias("rep"), "text").join(wanted.hint("merge"), "rep", "left_semi")
     return rows.mapInArrow(collect, "rep long, set binary").where(F.length("set") > 0)
 
 
+def _own_shingles(sets: DataFrame) -> DataFrame:
+    """(rep, own): how many shingles of a set are in no other set."""
+
+    def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            for rep, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                hashes = np.frombuffer(body, np.int64)
+                yield packed_rows(["rep", "h"], [np.full(len(hashes), rep), hashes], [pa.int64(), pa.int64()])
+
+    found = sets.mapInArrow(spread, "rep long, h long").groupBy("h")
+    single = found.agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1")
+    return single.groupBy("rep").agg(F.count("*").alias("own"))
+
+
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """One row per row of `docs`: doc_id, n_shingles, component_id (the least doc_id reachable by
     links of at least `percent` percent similarity) and kept (whether that is its own).
@@ -262,12 +279,13 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     classes = stored(least.select("k1", "k2", "n", F.col("m.doc_id").alias("rep"), F.col("m.regs").alias("regs")), "classes")
     own = classes.select("rep", "n", "regs")
     members = stored(buckets(own), "members")
-    likely = stored(_grouped(members, own, None).mapInArrow(_candidates(percent, False), "a long, b long").distinct(), "likely")
+    likely = stored(_grouped(members, own).mapInArrow(_candidates(percent, False), "a long, b long").distinct(), "likely")
     sets = stored(_sets(docs, likely.selectExpr("explode(array(a, b)) rep").distinct(), size), "sets")
     links = stored(_verified(likely, sets, percent), "verified")
     roots = components(links)
     open_ = members.join(likely.selectExpr("explode(array(a, b)) rep").distinct(), "rep", "left_semi")
-    rest = stored(_grouped(open_, own, roots).mapInArrow(_candidates(percent, True), "a long, b long").distinct(), "rest")
+    alone = stored(_own_shingles(sets), "own")
+    rest = stored(_grouped(open_, own, roots, alone).mapInArrow(_candidates(percent, True), "a long, b long").distinct(), "rest")
     more = stored(_verified(rest.join(likely, ["a", "b"], "left_anti"), sets, percent), "verified")
     roots = components(more.union(roots))
     rep = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("n").alias("cn"), "rep")
