@@ -5,7 +5,7 @@ one of many hash functions, cut to a byte: exponentially spaced truncated minima
 union are the greater ones of its parts, so sketches can be merged; equal registers tell of a
 shared least shingle, so bands of registers serve as keys of buckets. Within a bucket the counts
 of greater, smaller and equal registers give the likeliest similarity of a pair, with the exact
-sizes of both sets. Pairs whose likeliest value is within five standard deviations of the
+sizes of both sets. Pairs whose likeliest value is within four standard deviations of the
 threshold are verified on the full sets of shingles.
 
 Documents with equal sets are one class from the start. A bucket does not send out all its pairs:
@@ -148,7 +148,7 @@ def _pairs(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 def _candidates(percent: int, apart: bool) -> Callable:
     """Pairs of a partition's buckets to verify: forests, or all pairs of different components."""
     t = percent / 100
-    least = t - 5 * (t * (1 - t) / REGISTERS) ** 0.5
+    least = t - 4 * (t * (1 - t) / REGISTERS) ** 0.5
 
     def look(cols: list[pa.ChunkedArray], group: np.ndarray) -> pa.RecordBatch:
         rep, n, band, part, root, common = (cols[i].to_numpy() for i in (0, 1, 2, 3, 4, 8))
