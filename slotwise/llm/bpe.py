@@ -126,8 +126,9 @@ class Codec:
         overlap there."""
         data = np.frombuffer(text.encode(), np.uint8)
         character = np.cumsum((data & 0xC0) != 0x80) - 1
-        ends = np.cumsum([len(self.bytes_of[i]) for i in ids.tolist()]).astype(np.int64)
-        starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+        sizes = np.array([len(self.bytes_of[i]) for i in ids.tolist()], np.int64)
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
         return character[starts], character[ends - 1] + 1
 
 

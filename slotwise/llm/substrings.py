@@ -208,7 +208,7 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                     )
 
     rows = _with_replies(docs, window)
-    return rows.select(F.col("rest.doc_id").cast("long"), "text", "told").mapInArrow(parse, schema)
+    return rows.select(F.col("rest.doc_id").cast("long").alias("doc_id"), "text", "told").mapInArrow(parse, schema)
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
