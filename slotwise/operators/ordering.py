@@ -10,11 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotwise.functions.timeslice import floor_div, prefix_scan
-
-# Row limits up to here are applied before the shuffle (partial group limit).
-GROUP_LIMIT = 1000
-MAX_RESCORE_WINDOW = 10_000  # fixed value: most hits a rescore may reorder
+from slotwise.functions.timeslice import floor_div
 
 SortKey = tuple[str, bool]  # (field, ascending)
 
@@ -135,20 +131,15 @@ def collapse(df: DataFrame, field: str, order: Sequence[Column]) -> DataFrame:
     return df.withColumn("_best", rank).filter("_best = 1").drop("_best")
 
 
-def terminate_after(
-    df: DataFrame, shard: str, tie: str, count: int, slice_rows: int = 1_000_000
-) -> DataFrame:
-    """The first `count` rows of each shard by the integer id; 0 switches it off."""
+def terminate_after(df: DataFrame, shard: str, tie: str, count: int) -> DataFrame:
+    """The first `count` rows of each shard by id, of any type; 0 switches it off. The session's
+    group limit lets every task keep at most `count` rows per shard before the shuffle."""
     if count < 0:
         raise ValueError("terminate_after must not be negative")
     if count == 0:
         return df
-    if count <= GROUP_LIMIT:
-        pos = F.row_number().over(W.partitionBy(shard).orderBy(tie))
-        return df.withColumn("_pos", pos).filter(F.col("_pos") <= count).drop("_pos")
-    staged = df.withColumn("_slice", floor_div(F.col(tie), slice_rows))
-    numbered = prefix_scan(staged, [shard], "_slice", [tie], {"_pos": ("sum", F.lit(1))})
-    return numbered.filter(F.col("_pos") <= count).drop("_pos", "_slice")
+    pos = F.row_number().over(W.partitionBy(shard).orderBy(tie))
+    return df.withColumn("_pos", pos).filter(F.col("_pos") <= count).drop("_pos")
 
 
 def terminated_early(df: DataFrame, shard: str, count: int) -> DataFrame:
@@ -165,16 +156,16 @@ def rescore(
 
     Their score becomes score + weight * second, a missing second score counts as 0; the
     other hits keep their order below them. Adds `_rescored`; sort by it first, see
-    `rescored_order`. The window is limited, so its ids may be broadcast.
+    `rescored_order`. The window may be of any size; how its ids are joined is left to Spark.
     """
-    if not 0 < window <= MAX_RESCORE_WINDOW:
-        raise ValueError(f"rescore window must be 1..{MAX_RESCORE_WINDOW}")
+    if window <= 0:
+        raise ValueError("rescore window must be positive")
     best = df.select(tie, score).orderBy(*by_score(tie, score)).limit(window).select(tie)
-    extra = second.join(F.broadcast(best), tie, "left_semi")
-    scored = F.broadcast(best).join(extra, tie, "left").select(
+    extra = second.join(best, tie, "left_semi")
+    scored = best.join(extra, tie, "left").select(
         tie, F.lit(True).alias("_rescored"), F.coalesce("second_score", F.lit(0.0)).alias("_second")
     )
-    joined = df.join(F.broadcast(scored), tie, "left")
+    joined = df.join(scored, tie, "left")
     return (
         joined.withColumn(
             score, F.col(score) + F.when(F.col("_rescored"), F.col("_second") * weight).otherwise(0.0)

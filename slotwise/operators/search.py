@@ -18,7 +18,6 @@ from slotwise.operators import buckets, filters, ordering
 UNKNOWN = -1  # fixed value: a statistic a shard does not have
 K1, B = 1.2, 0.75  # fixed values: BM25 saturation and length weight
 SCORE_DIGITS = 6
-MAX_SHARDS = 100_000  # most shards whose statistics are sent to every task
 
 
 # ---------------------------------------------------------------------------------------
@@ -114,13 +113,11 @@ def match_score(df: DataFrame, text: str, query: str, shard: str | None = None)
         stat = narrow.agg(*sums).select(F.struct("*").alias("_st"))
         hits = hits.withColumn("_st", stat.scalar())
     else:
-        # one row per shard: broadcast, so that documents are not shuffled, but only after
-        # their number was checked
+        # one row per shard: Spark broadcasts it while it is small
         stat = narrow.groupBy(shard).agg(*sums)
-        few = stat.agg(F.assert_true(F.count(F.lit(1)) <= MAX_SHARDS, "too many shards").alias("ok"))
         values = F.struct(*[c for c in stat.columns if c != shard])
-        stat = stat.select(F.col(shard).alias("_sh"), values.alias("_st")).filter(few.scalar().isNull())
-        hits = hits.join(F.broadcast(stat), hits[shard].eqNullSafe(stat["_sh"])).drop("_sh")
+        stat = stat.select(F.col(shard).alias("_sh"), values.alias("_st"))
+        hits = hits.join(stat, hits[shard].eqNullSafe(stat["_sh"])).drop("_sh")
 
     length = F.col("_dl") / (F.col("_st.len") / F.col("_st.n"))
     score = F.lit(0.0)
@@ -146,12 +143,20 @@ def boost_tables(df: DataFrame, boosts: Sequence[tuple[str, float]], score: str
 
 
 def hit_stats(
-    df: DataFrame, score: str | None = "_score", from_: int = 0, size: int = 10, track_total: bool = True
+    df: DataFrame,
+    score: str | None = "_score",
+    from_: int = 0,
+    size: int = 10,
+    track_total: bool = True,
+    page: DataFrame | None = None,
 ) -> DataFrame:
-    """One row: total hits (-1 if not tracked), fetched hits, max score (NaN if none)."""
+    """One row: total hits (-1 if not tracked), fetched hits, max score (NaN if none). Fetched
+    are the rows of `page`, if given: collapsed hits are fewer than those found."""
     best = F.max(score) if score else F.lit(None).cast("double")
     counted = df.agg(F.count(F.lit(1)).alias("n"), best.alias("m"))
     fetched = F.greatest(F.lit(0), F.least(F.lit(size), F.col("n") - from_)).cast("bigint")
+    if page is not None:
+        fetched = page.agg(F.count(F.lit(1)).alias("c")).scalar()
     return counted.select(
         (F.col("n") if track_total else F.lit(UNKNOWN)).cast("bigint").alias("total_hits"),
         fetched.alias("fetched_hits"),
@@ -321,10 +326,8 @@ class SearchResult:
 def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
     r = request
     found = docs
-    if r.terminate_after:
-        if not r.shard:
-            raise ValueError("terminate_after works per shard: name the shard column")
-        found = ordering.terminate_after(found, r.shard, tie, r.terminate_after)
+    if r.terminate_after and not r.shard:
+        raise ValueError("terminate_after works per shard: name the shard column")
     if r.match is not None:
         # statistics are those of all documents, so scoring comes before the filters
         found = match_score(found, r.text, r.match)
@@ -334,6 +337,8 @@ def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
         found = found.filter(filters.query_filter(r.query))
     if r.min_score is not None:
         found = filters.min_score(found, r.min_score)
+    if r.terminate_after:  # counts matching documents; their scores rest on all documents
+        found = ordering.terminate_after(found, r.shard, tie, r.terminate_after)
     matching = found
     if r.post_filter is not None:
         found, matching = filters.post_filter(found, filters.query_filter(r.post_filter))
@@ -356,7 +361,7 @@ def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
         hits = filters.source_fields(hits, r.includes, r.excludes, always=keep)
     return SearchResult(
         hits.orderBy(*order),
-        hit_stats(found, "_score", r.from_, r.size, r.track_total),
+        hit_stats(found, "_score", r.from_, r.size, r.track_total, page=top),
         buckets.agg_search(matching, r.aggs),
     )
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,9 @@ ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 )
 
+# Row limits per group are applied in every task before the shuffle, however large they are.
+GROUP_LIMIT, ANY_COUNT = "spark.sql.optimizer.windowGroupLimitThreshold", str(2**31 - 1)
+
 
 def build_session(app: str = "slotwise", master: str | None = None, **conf) -> SparkSession:
     """A session with the settings every operator expects; `conf` wins over the defaults."""
@@ -20,6 +22,7 @@ def build_session(app: str = "slotwise", master: str | None = None, **conf) -> S
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        GROUP_LIMIT: ANY_COUNT,
         "spark.ui.showConsoleProgress": "false",
         **conf,
     }
@@ -35,20 +38,19 @@ def configure(spark: SparkSession) -> SparkSession:
     """Pin the runtime settings results depend on, for sessions built elsewhere."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+    spark.conf.set(GROUP_LIMIT, ANY_COUNT)
     return spark
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A fresh path in the cluster's shared folder (`spark.checkpoint.dir`).
 
-    Where that setting is absent only a local session may fall back to a temporary
-    folder: on a cluster the executors would not see it.
+    Where that setting is absent the folder lies below the warehouse, which all executors
+    share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="slotwise-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return f"{root.rstrip('/')}/slotwise/{name}-{uuid.uuid4().hex}"
 
 

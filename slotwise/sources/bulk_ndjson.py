@@ -87,7 +87,8 @@ def read_bulk_ndjson(
     from the blocks before it, one summary row per block. Lines themselves are never
     shuffled: a document line already carries the line before it.
     """
-    text = spark.read.text(path).select(
+    # Only a line feed ends a line: a lone carriage return is white space inside a document.
+    text = spark.read.option("lineSep", "\n").text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.regexp_replace("value", "\r$", "").alias("value"),

@@ -140,11 +140,10 @@ def test_collapse_counts_null_as_a_group_and_expands(docs):
 
 
 @pytest.mark.parametrize("count", [2, 3, 2000])
-def test_terminate_after_both_ways(spark, count, monkeypatch):
-    df = spark.range(50).select("id", (F.col("id") % 3).alias("shard"))
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_terminate_after_any_count_and_id(spark, count, kind):
+    df = spark.range(50).select(F.col("id").cast(kind).alias("id"), (F.col("id") % 3).alias("shard"))
     limited = rows(ordering.terminate_after(df, "shard", "id", count))
-    monkeypatch.setattr(ordering, "GROUP_LIMIT", 0)
-    assert rows(ordering.terminate_after(df, "shard", "id", count, slice_rows=7)) == limited
     assert len(limited) == min(50, 3 * count)
     assert ordering.terminated_early(df, "shard", count).first()[0] is (count < 17)
     assert ordering.terminate_after(df, "shard", "id", 0).count() == 50
@@ -259,3 +258,24 @@ def test_attributes_and_metrics(spark):
             filters.metric_select(stats, *bad)
     with pytest.raises(ValueError, match=r"\['aaa', 'zzz'\]"):
         filters.metric_select(stats, "zzz,aaa")
+
+
+def test_rescore_window_beyond_all_hits(spark):
+    hits = spark.range(5).select("id", F.lit(1.0).alias("_score"))
+    out = ordering.rescore(hits, hits.select("id", F.col("id").cast("double").alias("second_score")), "id", window=20_000)
+    assert [r.id for r in out.orderBy(*ordering.rescored_order("id")).collect()] == [4, 3, 2, 1, 0]
+
+
+def test_search_terminates_on_matching_documents(spark):
+    docs = spark.range(40).select(
+        "id", (F.col("id") % 2).alias("shard"), F.when(F.col("id") >= 20, "red fox").otherwise("hen").alias("text")
+    )
+    found = search.search(docs, search.SearchRequest(text="text", match="fox", shard="shard", terminate_after=3, size=4), "id")
+    assert len(found.hits.collect()) == 4
+    assert found.stats.first()["total_hits"] == 6
+
+
+def test_stats_count_collapsed_hits(spark):
+    docs = spark.range(20).select("id", (F.col("id") % 3).alias("kind"), F.lit("fox").alias("text"))
+    found = search.search(docs, search.SearchRequest(text="text", match="fox", collapse="kind", size=10), "id")
+    assert found.stats.first()["fetched_hits"] == 3
