@@ -172,7 +172,8 @@ def fit(docs: DataFrame, labels: DataFrame, learn: Column) -> Field | None:
                 bodies = [values[x:y].astype(np.float32).tobytes() for x, y in zip(cut[:-1], cut[1:], strict=True)]
                 yield packed_rows(["doc_id", "quality", "values"], [batch.column(0)[a:b], batch.column(1)[a:b], bodies], [pa.int64(), pa.int32(), pa.binary()])
 
-    sample = docs.select("doc_id", "text").join(drawn, "doc_id").select(F.col("doc_id").cast("long"), "quality", "text")
+    # At most two labels' samples of ids: bounded, so texts need not be shuffled.
+    sample = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select(F.col("doc_id").cast("long"), "quality", "text")
     rows = sample.mapInArrow(measure, "doc_id long, quality int, values binary").toArrow().sort_by("doc_id")
     if not rows.num_rows:
         return None
