@@ -32,7 +32,7 @@ from slotwise.llm.words import VISIBLE_LOWER, WORD_BASE, Words, _ranges, mixed,
 #: 32 bands of 5 registers: a pair at a similarity of 0.85 shares none with a chance of 3e-9.
 REGISTERS, BAND = 160, 5
 BASE, RATE, TOP = 1.1, 20.0, 255
-PART, GATHER = 256, 4096
+PART, GATHER, BRIDGES = 256, 4096, 96
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -171,6 +171,13 @@ def _candidates(percent: int, apart: bool) -> Callable:
         a, b, value = (np.concatenate(c) for c in zip(*found, strict=True)) if found else (np.zeros(0, np.int64),) * 3
         if not apart and len(a):
             keep = forest(len(rep), a, b, value)
+            a, b, value = a[keep], b[keep], value[keep]
+            # Two parts of one bucket are bridged by some pairs; the second round tests the rest.
+            own = np.cumsum(group)[a]
+            order = np.lexsort((-value, own))
+            place = np.empty(len(a), np.int64)
+            place[order] = np.arange(len(a)) - np.searchsorted(own[order], own[order])
+            keep = whole[a] | (place < BRIDGES)
             a, b = a[keep], b[keep]
         low, high = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
         return packed_rows(["a", "b"], [low, high], [pa.int64(), pa.int64()])
@@ -300,6 +307,6 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` whose document is the first of its group, with all their columns."""
-    gone = near_groups(docs, size, percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct()
+    gone = near_groups(docs, size, percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct().hint("merge")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))
     return rows.join(gone, F.col("r.doc_id").cast("long") == F.col("gone"), "left_anti").select("r.*")
