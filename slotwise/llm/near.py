@@ -10,10 +10,12 @@ threshold are verified on the full sets of shingles.
 
 Documents with equal sets are one class from the start. A bucket does not send out all its pairs:
 a first round verifies a spanning forest of its likeliest pairs, a second one the pairs between
-members that the links found so far leave apart, if they can still be similar: shingles that no
-other candidate has are in no intersection, which bounds that from above. A pair is looked at in the first bucket alone
-that both share. A bucket of more than 512 classes is cut into parts, and each two parts are worked on by
-themselves; nothing is capped.
+members that the links found so far leave apart, if they can still be similar. For that it takes
+odd sketches of the sets: a bit tells whether an odd number of shingles has its hash, so bits in
+which two sketches differ are at most as many as shingles in which the sets differ. This bound is
+exact and excludes no link. A pair is looked at in the first bucket alone that both share. A
+bucket of more than 512 classes is cut into parts, and each two parts are worked on by themselves;
+nothing is capped.
 """
 
 from __future__ import annotations
@@ -33,6 +35,7 @@ from slotwise.llm.words import VISIBLE_LOWER, WORD_BASE, Words, _ranges, mixed,
 REGISTERS, BAND = 160, 5
 BASE, RATE, TOP = 1.1, 20.0, 255
 PART, GATHER, BRIDGES = 256, 4096, 96
+ODD_BITS = 2048
 _SEEDS = mixed(np.arange(1, REGISTERS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
 
@@ -151,19 +154,24 @@ def _candidates(percent: int, apart: bool) -> Callable:
     least = t - 4 * (t * (1 - t) / REGISTERS) ** 0.5
 
     def look(cols: list[pa.ChunkedArray], group: np.ndarray) -> pa.RecordBatch:
-        rep, n, band, part, root, common = (cols[i].to_numpy() for i in (0, 1, 2, 3, 4, 8))
+        rep, n, band, part, root = (cols[i].to_numpy() for i in range(5))
         regs = np.frombuffer(b"".join(cols[5].to_pylist()), np.uint8).reshape(-1, REGISTERS)
         whole = cols[6].to_numpy() == cols[7].to_numpy()
+        odd = np.frombuffer(b"".join(cols[8].to_pylist()), np.uint64).reshape(-1, ODD_BITS // 64) if apart else None
         found: list[tuple[np.ndarray, ...]] = []
         for a, b in _pairs(np.diff(np.append(np.flatnonzero(group), len(group)))):
             ok = (rep[a] != rep[b]) & (whole[a] | (part[a] != part[b])) & (100 * np.minimum(n[a], n[b]) >= percent * np.maximum(n[a], n[b]))
             if apart:
-                ok &= (root[a] != root[b]) & ((100 + percent) * np.minimum(common[a], common[b]) >= percent * (n[a] + n[b]))
+                ok &= root[a] != root[b]
             a, b = a[ok], b[ok]
             x, y = regs[a], regs[b]
             same = (x == y).reshape(len(a), REGISTERS // BAND, BAND).all(2)
             ok = same.argmax(1) == band[a]
             a, b, x, y = a[ok], b[ok], x[ok], y[ok]
+            if apart:
+                unlike = np.bitwise_count(odd[a] ^ odd[b]).sum(1, dtype=np.int64)
+                ok = (100 + percent) * unlike <= (100 - percent) * (n[a] + n[b])
+                a, b, x, y = a[ok], b[ok], x[ok], y[ok]
             if len(a):
                 value = likeliest((x > y).sum(1), (x < y).sum(1), n[a], n[b])
                 ok = value >= least
@@ -191,7 +199,7 @@ def _candidates(percent: int, apart: bool) -> Callable:
             opens = np.append(True, np.any([m[1:] != m[:-1] for m in marks], axis=0)) if len(table) else np.zeros(0, bool)
             end = len(table) if last else int(np.flatnonzero(opens)[-1])
             if end:
-                yield look([table.column(c)[:end].combine_chunks() for c in ("rep", "n", "band", "part", "root", "regs", "i", "j", "common")], opens[:end])
+                yield look([table.column(c)[:end].combine_chunks() for c in ("rep", "n", "band", "part", "root", "regs", "i", "j", "odd")], opens[:end])
             held[:] = table[end:].to_batches()
 
         for batch in rows:
@@ -212,18 +220,18 @@ def buckets(classes: DataFrame) -> DataFrame:
     return bands.join(shared, "key")
 
 
-def _grouped(members: DataFrame, classes: DataFrame, roots: DataFrame | None = None, alone: DataFrame | None = None) -> DataFrame:
+def _grouped(members: DataFrame, classes: DataFrame, roots: DataFrame | None = None, odd: DataFrame | None = None) -> DataFrame:
     full = members.join(classes, "rep")
     if roots is None:
-        full = full.withColumn("root", F.col("rep")).withColumn("common", F.col("n"))
+        full = full.withColumn("root", F.col("rep")).withColumn("odd", F.lit(None).cast("binary"))
     else:
         full = full.join(roots.toDF("r", "root"), F.col("rep") == F.col("r"), "left").withColumn("root", F.coalesce("root", "rep"))
-        full = full.join(alone, "rep", "left").withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
+        full = full.join(odd, "rep")
     parts = F.when(F.col("c") > 2 * PART, F.ceil(F.col("c") / PART)).otherwise(1).cast("int")
     full = full.withColumn("part", F.pmod(F.xxhash64("rep"), parts).cast("int"))
     full = full.withColumn("q", F.explode(F.sequence(F.lit(0), parts - 1)))
     full = full.withColumn("i", F.least("part", "q")).withColumn("j", F.greatest("part", "q"))
-    return full.select("key", "i", "j", "rep", "n", "band", "part", "root", "common", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
+    return full.select("key", "i", "j", "rep", "n", "band", "part", "root", "odd", "regs").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "rep")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -257,18 +265,18 @@ def _sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return rows.mapInArrow(collect, "rep long, set binary").where(F.length("set") > 0)
 
 
-def _own_shingles(sets: DataFrame) -> DataFrame:
-    """(rep, own): how many shingles of a set are in no other set."""
+def _odd_sketches(sets: DataFrame) -> DataFrame:
+    """(rep, odd): the odd sketch of each set."""
 
-    def spread(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def sketch(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for rep, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                hashes = np.frombuffer(body, np.int64)
-                yield packed_rows(["rep", "h"], [np.full(len(hashes), rep), hashes], [pa.int64(), pa.int64()])
+            bodies = []
+            for body in batch.column(1).to_pylist():
+                place = mixed(np.frombuffer(body, np.uint64)) % np.uint64(ODD_BITS)
+                bodies.append(np.packbits(np.bincount(place.astype(np.int64), minlength=ODD_BITS) & 1).tobytes())
+            yield packed_rows(["rep", "odd"], [batch.column(0), bodies], [pa.int64(), pa.binary()])
 
-    found = sets.mapInArrow(spread, "rep long, h long").groupBy("h")
-    single = found.agg(F.count("*").alias("c"), F.min("rep").alias("rep")).where("c = 1")
-    return single.groupBy("rep").agg(F.count("*").alias("own"))
+    return sets.mapInArrow(sketch, "rep long, odd binary").distinct()
 
 
 def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -291,8 +299,8 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     links = stored(_verified(likely, sets, percent), "verified")
     roots = components(links)
     open_ = members.join(likely.selectExpr("explode(array(a, b)) rep").distinct(), "rep", "left_semi")
-    alone = stored(_own_shingles(sets), "own")
-    rest = stored(_grouped(open_, own, roots, alone).mapInArrow(_candidates(percent, True), "a long, b long").distinct(), "rest")
+    odd = stored(_odd_sketches(sets), "odd")
+    rest = stored(_grouped(open_, own, roots, odd).mapInArrow(_candidates(percent, True), "a long, b long").distinct(), "rest")
     more = stored(_verified(rest.join(likely, ["a", "b"], "left_anti"), sets, percent), "verified")
     roots = components(more.union(roots))
     rep = classes.select(F.col("k1").alias("c1"), F.col("k2").alias("c2"), F.col("n").alias("cn"), "rep")
