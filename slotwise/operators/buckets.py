@@ -58,11 +58,58 @@ def cardinality(df: DataFrame, field: str, exact: bool = False, rsd: float = 0.0
     return df.agg(F.approx_count_distinct(field, rsd).alias("value"))
 
 
-def percentiles(
-    df: DataFrame, field: str, percents: Sequence[float] = (1, 5, 25, 50, 75, 95, 99), accuracy: int = 10_000
+PERCENTS = (1, 5, 25, 50, 75, 95, 99)
+ACCURACY = 100_000
+
+
+def percentiles(df: DataFrame, field: str, percents: Sequence[float] = PERCENTS) -> DataFrame:
+    """One row (percent, value) per percent, exact at every size: the smallest value that at
+    least that share of the values does not exceed; no rows where no document has the field.
+
+    A quantile sketch gives bounds around every percentile. Values within them, some 4/ACCURACY
+    of the rows per percent, are counted by value and ranked; all others are only counted.
+    """
+    marks = sorted({float(p) for p in percents})
+    low = [max(p / 100 - 2 / ACCURACY, 0.0) for p in marks]
+    high = [min(p / 100 + 2 / ACCURACY, 1.0) for p in marks]
+    rows = df.filter(F.col(field).isNotNull()).select(F.col(field).alias("v"), F.col(field).cast("double").alias("x"))
+    sketch = rows.agg(
+        F.percentile_approx("x", low, ACCURACY).alias("low"),
+        F.percentile_approx("x", high, ACCURACY).alias("high"),
+        F.count(F.lit(1)).alias("total"),
+    )
+    bounds = sketch.select(F.struct("low", "high", "total")).scalar()
+
+    x = F.col("x")
+    within = F.zip_with("cut.low", "cut.high", lambda lo, hi: (lo <= x) & (x <= hi))
+    counts = (
+        rows.withColumn("cut", bounds)
+        .groupBy(
+            F.size(F.filter("cut.low", lambda lo: lo <= x)).alias("reached"),
+            F.when(F.array_contains(within, True), F.col("v")).alias("v"),
+        )
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    below = F.col("reached") <= F.col("i")
+    inside = F.col("v").cast("double") <= F.col("cut.high")[F.col("i")]
+    shares = (
+        counts.withColumn("cut", bounds)
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(marks) - 1))))
+        .filter(below | inside)
+        .groupBy("i", F.when(~below, F.col("v")).alias("v"))
+        .agg(F.sum("n").alias("n"), F.max("cut.total").alias("total"))
+    )
+    up_to = W.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
+    percent = F.array(*[F.lit(p) for p in marks])[F.col("i")]
+    rank = F.greatest(F.ceil(percent * F.col("total") / 100), F.lit(1))
+    reached = shares.withColumn("seen", F.sum("n").over(up_to)).filter((F.col("seen") >= rank) & F.col("v").isNotNull())
+    return reached.groupBy("i").agg(F.min("v").alias("value")).select(percent.alias("percent"), "value")
+
+
+def percentiles_sketch(
+    df: DataFrame, field: str, percents: Sequence[float] = PERCENTS, accuracy: int = 10_000
 ) -> DataFrame:
-    """One row (percent, value) per percent, from a mergeable quantile sketch of bounded
-    size; exact while the number of rows stays below `accuracy`."""
+    """As `percentiles`, in one pass and approximate: ranks are off by up to rows / `accuracy`."""
     points = [p / 100 for p in percents]
     sketch = df.agg(F.percentile_approx(field, points, accuracy).alias("v"))
     pairs = F.arrays_zip(F.array(*[F.lit(float(p)) for p in percents]).alias("percent"), F.col("v").alias("value"))
@@ -125,6 +172,7 @@ KINDS = {
     "stats": stats,
     "cardinality": cardinality,
     "percentiles": percentiles,
+    "percentiles_sketch": percentiles_sketch,
     "histogram": histogram,
     "date_histogram": date_histogram,
     "range": ranges,

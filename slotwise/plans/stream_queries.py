@@ -43,8 +43,9 @@ def _stream_source(spark, sf):
 @query("print_sink", "SELECT event_id, event_type FROM events WHERE event_type = 'error'")
 def _print_sink(spark, sf):
     errors = _stream(spark, sf).filter("event_type = 'error'").select("event_id", "event_type")
-    print_sink(errors, "sw_printed", scratch_dir(spark, "print")).awaitTermination()
-    return spark.table("sw_printed")
+    lines = scratch_dir(spark, "print")
+    print_sink(errors, lines, scratch_dir(spark, "print-checkpoint")).awaitTermination()
+    return spark.read.schema(errors.schema).json(lines)
 
 
 @query(
@@ -197,7 +198,7 @@ def _late_stream(spark, sf):
     rows = _stream(spark, sf).select("event_id", us(F.col("ts")).alias("us"), arrival.alias("arrival"))
     path = scratch_dir(spark, "late")
     batches.write_late_split(
-        rows, "arrival", "us", "event_id", 2 * MIN, DAY, path, scratch_dir(spark, "late-checkpoint")
+        rows, "arrival", "us", "event_id", 2 * MIN, 10 * MIN, path, scratch_dir(spark, "late-checkpoint")
     )
     return reduce(
         lambda a, b: a.unionByName(b),

@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -199,6 +200,21 @@ def test_aggregations(docs):
     assert [r.derivative for r in buckets.derivative(bins).orderBy("bucket").collect()] == [None, 0, 0]
 
 
+@pytest.mark.parametrize("accuracy", [20, 100_000])
+def test_percentiles_are_exact_beyond_the_accuracy_of_their_bounds(spark, monkeypatch, accuracy):
+    monkeypatch.setattr(buckets, "ACCURACY", accuracy)
+    draw = random.Random(3)
+    values = [draw.choice([7, draw.randrange(10_000), draw.randrange(50)]) for _ in range(5_000)]
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "n bigint").repartition(7)
+    percents = [0, 1, 5, 33.3, 50, 99, 100]
+    got = {r.percent: r.value for r in buckets.percentiles(df, "n", percents).collect()}
+    ordered = sorted(values)
+    assert got == {float(p): ordered[max(math.ceil(p * len(values) / 100), 1) - 1] for p in percents}
+    assert buckets.percentiles(df.filter("n IS NULL"), "n").count() == 0
+    sketch = {r.percent: r.value for r in buckets.percentiles_sketch(df, "n", [50]).collect()}
+    assert abs(sketch[50.0] - got[50.0]) <= 5
+
+
 def test_suggestions(spark, docs):
     got = search.term_suggest(docs, "text", "quik dog", mode="missing")
     assert rows(got.select("token", "suggestion", "distance", "doc_freq")) == [("quik", "quick", 1, 3), ("quik", "quíck", 2, 1)]

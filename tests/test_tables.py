@@ -364,6 +364,47 @@ def test_mapping_types(spark):
         mapping.mapping_to_struct({"properties": {"g": {"type": "geo_shape"}}})
 
 
+MAPPED = {
+    "properties": {
+        "n": {"type": "long"}, "t": {"type": "date"}, "d": {"type": "date", "format": "date_time"},
+        "s": {"type": "date", "format": "epoch_second"}, "p": {"type": "date", "format": "dd/MM/yyyy||epoch_millis"},
+        "b": {"type": "boolean"}, "l": {"type": "nested", "properties": {"y": {"type": "integer"}}},
+        "o": {"properties": {"x": {"type": "double"}}}, "k": {"type": "keyword"},
+    }
+}
+
+
+def test_mapping_reads_numbers_quoted_numbers_dates_and_single_objects(spark):
+    docs = [
+        '{"n": "5", "t": 1635212345678, "d": "2021-10-26T01:39:05.678Z", "s": 1635212345, "p": "26/10/2021", "b": "true",'
+        ' "l": {"y": "7"}, "o": {"x": "1.5"}, "k": 12}',
+        '{"n": 5.9, "t": "2021-10-26T01:39:05.678Z", "d": "2021-10-26T03:39:05.678+02:00", "p": "1635212345678", "b": false,'
+        ' "l": [{"y": 1}, {"y": 2}], "k": "twelve"}',
+        "{}",
+    ]
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
+    out = mapping.read_with_mapping(df, MAPPED)
+    assert out.schema["t"].dataType == T.TimestampType() and out.columns[0] == "id"
+    millis = [F.unix_millis(c).alias(c) for c in ("t", "d", "s", "p")]
+    one, two, none = out.select("id", "n", *millis, "b", "l", "o", "k").orderBy("id").collect()
+    at = 1635212345678
+    day = 1635206400000
+    assert (one.n, one.t, one.d, one.s, one.p, one.b) == (5, at, at, 1635212345000, day, True)
+    assert [v.y for v in one.l] == [7] and one.o.x == 1.5 and one.k == "12"
+    assert (two.n, two.t, two.d, two.s, two.p, two.b) == (5, at, at, None, at, False)
+    assert [v.y for v in two.l] == [1, 2] and two.o is None and two.k == "twelve"
+    assert all(v is None for v in list(none)[1:])
+    assert mapping.unfit(df, MAPPED).count() == 0
+
+
+def test_mapping_names_fields_that_do_not_fit(spark):
+    docs = ['{"n": "many", "t": 5, "l": [{"y": 1}, {"y": "x"}], "o": {"x": "y"}}', '{"d": 5, "b": 1, "n": 99999999999999999999}', '{"l": 3}']
+    df = spark.createDataFrame(list(enumerate(docs)), "id int, doc string")
+    got = {r.id: sorted(r.fields) for r in mapping.unfit(df, MAPPED).collect()}
+    assert got == {0: ["l", "n", "o"], 1: ["b", "d", "n"], 2: ["l"]}
+    assert mapping.read_with_mapping(df, MAPPED).filter("id = 1").first().n is None
+
+
 def test_routes_and_unknown_apps(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "app string, v int")
     out = sinks.route_sink(df, "app", F.col("v"), {"a": (["h1", "h2"], "t")})
