@@ -73,12 +73,10 @@ def percentiles(df: DataFrame, field: str, percents: Sequence[float] = PERCENTS)
     low = [max(p / 100 - 2 / ACCURACY, 0.0) for p in marks]
     high = [min(p / 100 + 2 / ACCURACY, 1.0) for p in marks]
     rows = df.filter(F.col(field).isNotNull()).select(F.col(field).alias("v"), F.col(field).cast("double").alias("x"))
-    sketch = rows.agg(
-        F.percentile_approx("x", low, ACCURACY).alias("low"),
-        F.percentile_approx("x", high, ACCURACY).alias("high"),
-        F.count(F.lit(1)).alias("total"),
-    )
-    bounds = sketch.select(F.struct("low", "high", "total")).scalar()
+    sketch = rows.agg(F.percentile_approx("x", low + high, ACCURACY).alias("both"), F.count(F.lit(1)).alias("total"))
+    k = len(marks)
+    lows, highs = F.slice("both", 1, k).alias("low"), F.slice("both", k + 1, k).alias("high")
+    bounds = sketch.select(F.struct(lows, highs, "total")).scalar()
 
     x = F.col("x")
     within = F.zip_with("cut.low", "cut.high", lambda lo, hi: (lo <= x) & (x <= hi))
@@ -94,7 +92,7 @@ def percentiles(df: DataFrame, field: str, percents: Sequence[float] = PERCENTS)
     inside = F.col("v").cast("double") <= F.col("cut.high")[F.col("i")]
     shares = (
         counts.withColumn("cut", bounds)
-        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(len(marks) - 1))))
+        .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
         .filter(below | inside)
         .groupBy("i", F.when(~below, F.col("v")).alias("v"))
         .agg(F.sum("n").alias("n"), F.max("cut.total").alias("total"))

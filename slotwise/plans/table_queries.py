@@ -12,7 +12,7 @@ from slotwise.functions.skew import spread
 from slotwise.operators import changes, entities, joins, predicates, routing, windows
 from slotwise.plans import datasets
 from slotwise.plans.registry import cents, ms, query, table
-from slotwise.session import scratch_dir, stored
+from slotwise.session import scratch_dir
 from slotwise.sources import bulk_ndjson, catalog, mapping, sinks, slots
 
 SLOTS, SHARDS = 8, 34
@@ -289,7 +289,7 @@ def _change_set(spark, sf):
         F.when(F.col("l_suppkey") % 5 == 0, F.col("l_partkey")).alias("pick"),
         F.col("l_partkey").alias("part"),
     )
-    return base, stored(ops, "changes")
+    return base, ops
 
 
 OPS_SQL = f"""
@@ -371,7 +371,7 @@ def _conditional_set(spark, sf):
         F.when(external, part).alias("version"),
         F.when(external, F.when(part % 2 == 0, "external").otherwise("external_gte")).alias("version_type"),
     )
-    return base, stored(conditional, "conditional-changes")
+    return base, conditional
 
 
 @query(
