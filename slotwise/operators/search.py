@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.text import query_tokens, tokens
-from slotwise.operators import buckets, filters, ordering
+from slotwise.operators import buckets, filters, ordering, routing
 
 UNKNOWN = -1  # fixed value: a statistic a shard does not have
 K1, B = 1.2, 0.75  # fixed values: BM25 saturation and length weight
@@ -291,12 +291,36 @@ def prefix_suggest(
 # Whole searches
 
 
+@dataclass
+class Rescore:
+    """A second match over the best `window` hits, added with `weight`."""
+
+    match: str
+    window: int = 10
+    weight: float = 1.0
+
+
+@dataclass
+class Slice:
+    """Part `index` of `count` of the documents, by a hash of `field`."""
+
+    field: str
+    index: int
+    count: int
+    method: str = "xxhash64"
+
+
 @dataclass
 class SearchRequest:
     """One search over documents; every part is optional."""
 
     text: str | None = None  # text column `match` scores
     match: str | None = None
+    shard_statistics: bool = False  # score by the statistics of a document's own shard
+    boosts: Sequence[tuple[str, float]] = ()
+    rescore: Rescore | None = None
+    slice: Slice | None = None
+    script_fields: dict[str, str] = field(default_factory=dict)
     query: dict[str, Any] | None = None
     post_filter: dict[str, Any] | None = None
     min_score: float | None = None
@@ -328,11 +352,18 @@ def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
     found = docs
     if r.terminate_after and not r.shard:
         raise ValueError("terminate_after works per shard: name the shard column")
+    if r.shard_statistics and not r.shard:
+        raise ValueError("statistics of shards need the shard column")
+    if r.rescore and (r.sort or r.collapse or r.search_after is not None):
+        raise ValueError("rescore goes with neither sort nor collapse nor search_after")
     if r.match is not None:
         # statistics are those of all documents, so scoring comes before the filters
-        found = match_score(found, r.text, r.match)
+        found = match_score(found, r.text, r.match, r.shard if r.shard_statistics else None)
     else:
         found = found.withColumn("_score", F.lit(1.0))
+    found = boost_tables(found, r.boosts)
+    if r.slice:
+        found = routing.slice_rows(found, r.slice.field, r.slice.index, r.slice.count, r.slice.method)
     if r.query is not None:
         found = found.filter(filters.query_filter(r.query))
     if r.min_score is not None:
@@ -345,19 +376,24 @@ def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
 
     keys = ordering.parse_sort(r.sort) if r.sort else [("_score", False)]
     order = ordering.sort_columns(keys, tie)
+    narrow = list(dict.fromkeys([tie, "_score", *[k for k, _ in keys]]))
     ranked = found
+    if r.rescore:
+        second = match_score(docs, r.text, r.rescore.match).select(tie, F.col("_score").alias("second_score"))
+        ranked = ordering.rescore(found.select(*narrow), second, tie, r.rescore.window, r.rescore.weight)
+        order, narrow = ordering.rescored_order(tie), [*narrow, "_rescored"]
     if r.collapse:
         ranked = ordering.collapse(ranked, r.collapse, order)
     if r.search_after is not None:
         ranked = ranked.filter(ordering.after_values(keys, tie, r.search_after))
     # rank on the narrow columns, then fetch whole rows of the page
-    narrow = list(dict.fromkeys([tie, "_score", *[k for k, _ in keys]]))
     top = ordering.top_docs(ranked.select(*narrow), order, r.size, r.from_)
     hits = fetch_hits(docs, top, tie)
     if r.collapse and r.inner_hits:
         hits = expand_collapsed(hits, found, r.collapse, tie, r.inner_hits)
+    hits = filters.script_fields(hits, r.script_fields)
     if r.includes or r.excludes:
-        keep = [*narrow, *[s.name for s in r.inner_hits]]
+        keep = [*narrow, *r.script_fields, *[s.name for s in r.inner_hits]]
         hits = filters.source_fields(hits, r.includes, r.excludes, always=keep)
     return SearchResult(
         hits.orderBy(*order),
@@ -398,9 +434,8 @@ def multi_search(
 
 
 def slot_search(
-    docs: DataFrame, request: SearchRequest, tie: str, routing: Iterable[str], slot_count: int, method: str = "xxhash64"
+    docs: DataFrame, request: SearchRequest, tie: str, routes: Iterable[str], slot_count: int, method: str = "xxhash64"
 ) -> SearchResult:
     """A search over the slots of the given routing values (at least one is required)."""
-    from slotwise.operators.routing import require_routing, slot_prune
-
-    return search(slot_prune(docs, require_routing(routing), slot_count, method), request, tie)
+    pruned = routing.slot_prune(docs, routing.require_routing(routes), slot_count, method)
+    return search(pruned, request, tie)

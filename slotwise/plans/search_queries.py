@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from slotwise.functions.skew import spread
-from slotwise.operators import buckets, filters, ordering, search
+from slotwise.operators import buckets, filters, ordering, routing, search
 from slotwise.plans.registry import cents, ms, query, table
 
 TOK = r"regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')"
@@ -513,6 +513,24 @@ def _prefix_suggest(spark, sf):
     """,
 )
 def _multi_search(spark, sf):
+    return _searches(spark, sf).hits.select("search_no", "doc_id", "n_chars")
+
+
+@query(
+    "multi_search_outcomes",
+    """
+    SELECT 0 AS search_no, true AS ok, NULL AS error, least(10, count(*)) AS n FROM documents WHERE lang = 'de'
+    UNION ALL SELECT 1, false, 'AnalysisException', 0
+    UNION ALL SELECT 2, true, NULL, least(5, count(*)) FROM documents WHERE source = 'src1'
+    """,
+)
+def _multi_search_outcomes(spark, sf):
+    result = _searches(spark, sf)
+    sizes = result.hits.groupBy("search_no").agg(F.count(F.lit(1)).alias("n"))
+    return result.outcomes.join(sizes, "search_no", "left").withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
+
+
+def _searches(spark, sf):
     docs = _docs(spark, sf).select("doc_id", "lang", "source", "n_chars")
 
     def page(predicate, spec, size):
@@ -525,17 +543,16 @@ def _multi_search(spark, sf):
         lambda: page(F.col("no_such_field") == 1, "n_chars:asc", 5),
         lambda: page(F.col("source") == "src1", "n_chars:asc", 5),
     ]
-    return search.multi_search(spark, searches).hits.select("search_no", "doc_id", "n_chars")
+    return search.multi_search(spark, searches)
 
 
-@query(
-    "search",
-    f"""WITH {bm25(ASKED)},
+SEARCH_SQL = f"""WITH {bm25(ASKED)},
     f AS (SELECT * FROM hits WHERE lang IN ('en', 'fr') AND score >= 0.5),
     c AS (SELECT * FROM f WHERE n_chars >= 300 QUALIFY row_number() OVER (PARTITION BY source ORDER BY score DESC, doc_id) = 1)
-    SELECT doc_id, lang, source, score FROM c ORDER BY score DESC, doc_id LIMIT 8 OFFSET 2""",
-)
-def _search(spark, sf):
+"""
+
+
+def _result(spark, sf):
     request = search.SearchRequest(
         text="text",
         match=ASKED,
@@ -545,9 +562,74 @@ def _search(spark, sf):
         collapse="source",
         from_=2,
         size=8,
+        aggs={"sources": ("terms", {"field": "source", "size": None})},
     )
-    hits = search.search(_texts(spark, sf), request, "doc_id").hits
-    return hits.select("doc_id", "lang", "source", F.col("_score").alias("score"))
+    return search.search(_texts(spark, sf), request, "doc_id")
+
+
+@query("search", SEARCH_SQL + "SELECT doc_id, lang, source, score FROM c ORDER BY score DESC, doc_id LIMIT 8 OFFSET 2")
+def _search(spark, sf):
+    return _result(spark, sf).hits.select("doc_id", "lang", "source", F.col("_score").alias("score"))
+
+
+@query(
+    "search_stats",
+    SEARCH_SQL
+    + """SELECT (SELECT count(*) FROM f WHERE n_chars >= 300) AS total_hits, greatest(0, least(8, (SELECT count(*) FROM c) - 2)) AS fetched_hits,
+    (SELECT max(score) FROM f WHERE n_chars >= 300) AS max_score""",
+)
+def _search_stats(spark, sf):
+    return _result(spark, sf).stats
+
+
+@query("search_aggs", SEARCH_SQL + "SELECT source AS bucket, count(*) AS doc_count FROM f WHERE source IS NOT NULL GROUP BY 1")
+def _search_aggs(spark, sf):
+    return _result(spark, sf).aggs["sources"]
+
+
+@query(
+    "search_terminated",
+    f"""WITH {bm25(ASKED)},
+    t AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY source ORDER BY doc_id) <= 20)
+    SELECT doc_id, score FROM t ORDER BY score DESC, doc_id LIMIT 15""",
+)
+def _search_terminated(spark, sf):
+    request = search.SearchRequest(text="text", match=ASKED, shard="source", terminate_after=20, size=15)
+    return search.search(_texts(spark, sf), request, "doc_id").hits.select("doc_id", F.col("_score").alias("score"))
+
+
+@query(
+    "search_rescored",
+    f"""WITH {bm25(ASKED)},
+    b AS (SELECT doc_id, n_chars, score AS own, score * CASE lang WHEN 'fr' THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS score FROM hits),
+    r AS (SELECT *, row_number() OVER (ORDER BY score DESC, doc_id) AS pos FROM b),
+    s AS (SELECT doc_id, n_chars * 2 AS twice, pos <= 30 AS rescored, score + CASE WHEN pos <= 30 THEN own * 0.5::DOUBLE ELSE 0 END AS score FROM r)
+    SELECT doc_id, twice, rescored, round(score, 6) AS score FROM s ORDER BY rescored DESC, s.score DESC, doc_id LIMIT 40""",
+)
+def _search_rescored(spark, sf):
+    request = search.SearchRequest(
+        text="text", match=ASKED, boosts=[("docs_fr", 2.0)], rescore=search.Rescore(ASKED, window=30, weight=0.5),
+        script_fields={"twice": "n_chars * 2"}, size=40,
+    )
+    docs = _texts(spark, sf).withColumn("_table", F.concat(F.lit("docs_"), "lang"))
+    hits = search.search(docs, request, "doc_id").hits
+    return hits.select("doc_id", "twice", F.col("_rescored").alias("rescored"), F.round("_score", 6).alias("score"))
+
+
+SLOT_SQL = "('0x' || substr(md5(coalesce({0}, doc_id::VARCHAR)), 1, 8))::BIGINT % 8"
+
+
+@query(
+    "slot_search",
+    f"""SELECT doc_id, source, n_chars FROM documents
+    WHERE {SLOT_SQL.format('source')} IN (SELECT ('0x' || substr(md5(r), 1, 8))::BIGINT % 8 FROM (SELECT unnest(['src1', 'src4']) AS r))
+      AND lang IN ('en', 'de')
+    ORDER BY n_chars DESC, doc_id LIMIT 20""",
+)
+def _slot_search(spark, sf):
+    placed = routing.assign_slot(_docs(spark, sf), "doc_id", 8, 8, "source", method="md5")
+    request = search.SearchRequest(query={"terms": {"lang": ["en", "de"]}}, sort="n_chars:desc", size=20)
+    return search.slot_search(placed, request, "doc_id", ["src1", "src4"], 8, "md5").hits.select("doc_id", "source", "n_chars")
 
 
 # ---------------------------------------------------------------------------------------

@@ -215,6 +215,31 @@ def test_percentiles_are_exact_beyond_the_accuracy_of_their_bounds(spark, monkey
     assert abs(sketch[50.0] - got[50.0]) <= 5
 
 
+def test_request_parts_that_exclude_each_other(docs):
+    second = search.Rescore("dog", 2)
+    for wrong in ({"sort": "n:asc"}, {"collapse": "lang"}, {"search_after": [1.0, 1]}):
+        with pytest.raises(ValueError):
+            search.search(docs, search.SearchRequest(text="text", match="quick", rescore=second, **wrong), "id")
+    with pytest.raises(ValueError):
+        search.search(docs, search.SearchRequest(text="text", match="quick", shard_statistics=True), "id")
+
+
+def test_slices_of_a_search_are_disjoint_and_whole(docs):
+    def part(index):
+        request = search.SearchRequest(slice=search.Slice("id", index, 3), size=100)
+        return [r.id for r in search.search(docs, request, "id").hits.collect()]
+
+    assert sorted(part(0) + part(1) + part(2)) == [d[0] for d in DOCS]
+
+
+def test_rescored_search_ranks_its_window_first(docs):
+    request = search.SearchRequest(text="text", match="quick", rescore=search.Rescore("dog", 2, 10.0), script_fields={"m": "n + 1"})
+    plain = search.search(docs, search.SearchRequest(text="text", match="quick"), "id").hits.collect()
+    got = search.search(docs, request, "id").hits.collect()
+    assert {r.id for r in got} == {r.id for r in plain} and [r._rescored for r in got] == [True, True, False]
+    assert all(r.m == r.n + 1 for r in got) and got[2].id == plain[2].id
+
+
 def test_suggestions(spark, docs):
     got = search.term_suggest(docs, "text", "quik dog", mode="missing")
     assert rows(got.select("token", "suggestion", "distance", "doc_freq")) == [("quik", "quick", 1, 3), ("quik", "quíck", 2, 1)]
