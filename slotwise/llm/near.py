@@ -149,7 +149,8 @@ def _pairs(sizes: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def _candidates(percent: int, apart: bool) -> Callable:
-    """Pairs of a partition's buckets to verify: forests, or all pairs of different components."""
+    """Pairs of a partition's buckets to verify: forests, or all pairs of different components.
+    With forests, a pair (x, x) tells that x has candidates, but none of them is sent out here."""
     t = percent / 100
     least = t - 5 * (t * (1 - t) / REGISTERS) ** 0.5
 
@@ -180,14 +181,18 @@ def _candidates(percent: int, apart: bool) -> Callable:
         if not apart and len(a):
             keep = forest(len(rep), a, b, value)
             a, b, value = a[keep], b[keep], value[keep]
-            # Two parts of one bucket are bridged by some pairs; the second round tests the rest.
+            # Two parts of one bucket are bridged by some pairs; the second round tests the rest. For
+            # that, a class that is left in no pair goes on as a pair with itself.
             own = np.cumsum(group)[a]
             order = np.lexsort((-value, own))
             place = np.empty(len(a), np.int64)
             place[order] = np.arange(len(a)) - np.searchsorted(own[order], own[order])
             keep = whole[a] | (place < BRIDGES)
-            a, b = a[keep], b[keep]
-        low, high = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
+            left = np.setdiff1d(rep[np.concatenate((a[~keep], b[~keep]))], rep[np.concatenate((a[keep], b[keep]))])
+            low = np.concatenate((np.minimum(rep[a], rep[b])[keep], left))
+            high = np.concatenate((np.maximum(rep[a], rep[b])[keep], left))
+        else:
+            low, high = np.minimum(rep[a], rep[b]), np.maximum(rep[a], rep[b])
         return packed_rows(["a", "b"], [low, high], [pa.int64(), pa.int64()])
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,10 +300,11 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     own = classes.select("rep", "n", "regs")
     members = stored(buckets(own), "members")
     likely = stored(_grouped(members, own).mapInArrow(_candidates(percent, False), "a long, b long").distinct(), "likely")
-    sets = stored(_sets(docs, likely.selectExpr("explode(array(a, b)) rep").distinct(), size), "sets")
-    links = stored(_verified(likely, sets, percent), "verified")
+    able = likely.selectExpr("explode(array(a, b)) rep").distinct()  # every class with a candidate
+    sets = stored(_sets(docs, able, size), "sets")
+    links = stored(_verified(likely.where("a <> b"), sets, percent), "verified")
     roots = components(links)
-    open_ = members.join(likely.selectExpr("explode(array(a, b)) rep").distinct(), "rep", "left_semi")
+    open_ = members.join(able, "rep", "left_semi")
     odd = stored(_odd_sketches(sets), "odd")
     rest = stored(_grouped(open_, own, roots, odd).mapInArrow(_candidates(percent, True), "a long, b long").distinct(), "rest")
     more = stored(_verified(rest.join(likely, ["a", "b"], "left_anti"), sets, percent), "verified")

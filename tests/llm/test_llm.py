@@ -103,6 +103,22 @@ def test_near_groups_like_brute_force(spark, texts, size, percent):
     assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in want.items() if i == c}
 
 
+def test_near_groups_of_many_clusters_in_one_bucket(spark):
+    rnd = random.Random(137)
+    template = [f"c{rnd.randrange(10**6)}" for _ in range(100)]
+    rows, want = [], {}
+    for cluster in range(350):
+        own = [f"o{rnd.randrange(10**6)}" for _ in range(40)]
+        for _ in range(4):
+            rows.append((len(rows), " ".join(template + own + [f"e{rnd.randrange(10**6)}" for _ in range(5)])))
+        want |= brute_groups(rows[-4:], 3, 85)  # pages of two clusters share 98 of some 188 shingles
+    docs = frame(spark, rows)
+    bands = near.buckets(near.sketches(docs, 3).withColumnRenamed("doc_id", "rep"))
+    assert bands.where("band = 0").agg(F.max("c")).first()[0] > 3 * near.PART
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.near_groups(docs, 3, 85).collect()}
+    assert got == want
+
+
 def test_decontamination(spark):
     rnd = random.Random(8)
     item = [f"q{rnd.randrange(99)}" for _ in range(30)]
