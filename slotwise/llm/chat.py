@@ -11,17 +11,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from slotwise.functions.timeslice import prefix_scan
+from slotwise.llm.common import stored
+
 HEAD, END, LEARNED = "<|{}|>\n", "<|end|>\n", "assistant"
 
 
+def _turn() -> Column:
+    return F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
+
+
 def conversations(turns: DataFrame) -> DataFrame:
     """(conv_id, turns): the turns of each conversation in order, as (turn, role, text).
 
     Null roles and texts count as empty; turns without conv_id belong to none. Repeated rows are
     one turn; turns of equal number are ordered by role and text, a null number comes first.
     """
-    turn = F.struct("turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = turns.where("conv_id IS NOT NULL").select("conv_id", turn.alias("t")).distinct()
+    rows = turns.where("conv_id IS NOT NULL").select("conv_id", _turn().alias("t")).distinct()
     return rows.groupBy("conv_id").agg(F.array_sort(F.collect_list("t")).alias("turns"))
 
 
@@ -74,21 +80,22 @@ def formatted(pairs: DataFrame, head: str = HEAD, end: str = END, learned: str =
     return out
 
 
-def preference_pairs(turns: DataFrame, slice_size: int = 1024) -> DataFrame:
+def preference_pairs(turns: DataFrame) -> DataFrame:
     """(chosen_id, rejected_id, chosen, rejected) of all conversations: those that open with the
     same turn are answers to the same request and paired as neighbours by conv_id, the first of
-    two being chosen. Neighbours are looked for among `slice_size` consecutive ids, so that a
-    common opening is no large group; the last of an odd number stays without partner, as does
-    one whose opening is its own."""
-    convs = conversations(turns)
-    opening = F.struct(F.col("turns")[0]["role"].alias("role"), F.col("turns")[0]["text"].alias("text"))
-    keyed = convs.withColumn("opening", F.sha2(F.concat_ws("\n", opening["role"], opening["text"]), 256))
-    keyed = keyed.withColumn("cut", F.floor(F.col("conv_id") / slice_size))
-    group = keyed.groupBy("opening", "cut").agg(F.array_sort(F.collect_list(F.struct("conv_id", "turns"))).alias("all"))
-    starts = F.sequence(F.lit(1), F.size("all"), F.lit(2))
-    two = F.transform(starts, lambda i: F.struct(F.get("all", i - 1).alias("c"), F.get("all", i).alias("r")))
-    rows = group.select(F.explode(two).alias("p"))
+    two being chosen. The last of an odd number stays without partner, as does one whose opening
+    is its own. Places within a common opening are counted by ranges of conv_id, so that it is no
+    large group."""
+    first = turns.where("conv_id IS NOT NULL").groupBy("conv_id").agg(F.min(_turn()).alias("t"))
+    opening = F.sha2(F.concat_ws("\n", "t.role", "t.text"), 256).alias("opening")
+    ranges = first.select(opening, "conv_id").repartitionByRange("opening", "conv_id")
+    spans = stored(ranges.withColumn("span", F.spark_partition_id()), "openings")
+    placed = prefix_scan(spans, ["opening"], "span", ["conv_id"], {"place": ("sum", F.lit(1))})
+    pair = placed.select("conv_id", "opening", F.expr("(place - 1) div 2").alias("pair"))
+    group = conversations(turns).join(pair, "conv_id").groupBy("opening", "pair")
+    two = group.agg(F.array_sort(F.collect_list(F.struct("conv_id", "turns"))).alias("two"))
+    rows = two.select(F.get("two", F.lit(0)).alias("c"), F.get("two", F.lit(1)).alias("r"))
     return rows.select(
-        F.col("p.c.conv_id").alias("chosen_id"), F.col("p.r.conv_id").alias("rejected_id"),
-        F.col("p.c.turns").alias("chosen"), F.col("p.r.turns").alias("rejected"),
+        F.col("c.conv_id").alias("chosen_id"), F.col("r.conv_id").alias("rejected_id"),
+        F.col("c.turns").alias("chosen"), F.col("r.turns").alias("rejected"),
     )

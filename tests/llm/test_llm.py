@@ -263,6 +263,15 @@ def test_preference_pairs(spark):
     assert chat.formatted(chat.preference_pairs(table.where("false"))).count() == 0
 
 
+def test_preference_pairs_of_distant_conversations(spark):
+    ids = {"hi": [*range(3, 3000, 7), 5000, 10**6, -(10**15), 10**15], "ho": [1023, 1024, 2048], "he": [70_000]}
+    turns = [(i, 0, "user", o) for o, all_ in ids.items() for i in all_] + [(i, 1, "assistant", f"a{i}") for all_ in ids.values() for i in all_]
+    got = chat.preference_pairs(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")).collect()
+    want = {(s[k], s[k + 1] if k + 1 < len(s) else None) for s in map(sorted, ids.values()) for k in range(0, len(s), 2)}
+    assert len(got) == len(want) and {(r.chosen_id, r.rejected_id) for r in got} == want
+    assert all(r.chosen[1].text == f"a{r.chosen_id}" and (r.rejected is None or r.rejected[1].text == f"a{r.rejected_id}") for r in got)
+
+
 def test_empty_tables(spark):
     none = frame(spark, [(1, "x")]).where("false")
     items = spark.createDataFrame([], "item_id long, text string")
