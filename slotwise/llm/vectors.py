@@ -113,14 +113,15 @@ def top(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
     """
     spark = vectors.sparkSession
     batches(spark, 64)
-    rows = stored(scaled(vectors, id_column, vector_column), "vectors")
+    rows = stored(scaled(vectors, id_column, vector_column).distinct(), "vectors")
     norm, width = rows.agg(F.max("norm"), F.max(F.length("v"))).first()
     schema = "query_id long, rank int, vec_id long, score long"
     if norm is None:
         return spark.createDataFrame([], schema)
     width //= 8
-    drawn = rows.orderBy(F.xxhash64("id"), "id").limit(SAMPLE).toArrow()
+    drawn = rows.orderBy(F.xxhash64("id", "v"), "id", "v").limit(SAMPLE).toArrow()
     index = spark.sparkContext.broadcast(Index(_matrix(drawn["v"].to_pylist(), width), float(norm)))
+    drawn = drawn.sort_by("id")
     sample = spark.sparkContext.broadcast((drawn["id"].to_numpy(), _matrix(drawn["v"].to_pylist(), width)))
 
     def place(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,7 +139,7 @@ def top(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
     parts = np.maximum(1, -(-sizes // PART))
     flat = F.array(*[F.lit(int(p)) for p in parts.ravel()])
     own = F.element_at(flat, F.col("cell") * RINGS + F.col("ring") + 1)
-    stock = placed.withColumn("part", F.pmod(F.xxhash64("id"), own).cast("int"))
+    stock = placed.withColumn("part", F.pmod(F.xxhash64("id", "v"), own).cast("int"))
     stock = stock.groupBy("cell", "ring", "part").agg(F.collect_list("id").alias("ids"), F.collect_list("v").alias("vs"))
     stock = stored(stock, "annuli")
 
@@ -150,11 +151,13 @@ def top(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
 
         def plan(batches_in: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own, (ids, others) = index.value, sample.value
+            fresh = np.flatnonzero(np.append(True, ids[1:] != ids[:-1]))
             for batch in batches_in:
                 query, bodies = batch.column(0).to_numpy(), batch.column(1).to_pylist()
                 q = _matrix(bodies, width)
                 score = q @ others.T
                 score[ids[None, :] == query[:, None]] = -np.inf
+                score = np.maximum.reduceat(score, fresh, axis=1)  # an id counts once
                 seed = np.sort(score, axis=1)[:, -k] if score.shape[1] >= k else np.full(len(q), -np.inf)
                 if known:
                     seed = np.maximum(seed, batch.column(2).fill_null(-np.inf).to_numpy(zero_copy_only=False))
@@ -185,6 +188,9 @@ def top(vectors: DataFrame, is_query: Column, k: int = 5, id_column: str = "vec_
                 q, c = np.nonzero(score >= np.array(known)[:, None])
                 order = np.lexsort((ids[c], -score[q, c], q))
                 q, c = q[order], c[order]
+                _, once = np.unique(np.column_stack((q, ids[c])), axis=0, return_index=True)
+                once.sort()  # the greatest score of each id
+                q, c = q[once], c[once]
                 rank = np.arange(len(q)) - np.searchsorted(q, q)
                 keep = (rank < k) & np.isfinite(score[q, c])
                 yield packed_rows(

@@ -208,6 +208,22 @@ def test_top_k_like_brute_force(spark):
     assert vectors.top(table.where("vec_id = 700"), F.lit(True)).count() == 0
 
 
+def test_top_k_with_repeated_ids(spark):
+    rnd = np.random.default_rng(6)
+    rows = [(i, rnd.normal(size=6).tolist()) for i in range(300)]
+    rows += [(900, [4.0] * 6)] * 10 + [(901, [3.0 + j / 64] * 6) for j in range(10)]
+    rows += [(902, (rnd.normal(size=6) / 99).tolist()) for _ in range(3000)]
+    got, able = {}, {}
+    for r in vectors.top(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("id") % 10 == 0).where("query_id < 900").collect():
+        got.setdefault(r.query_id, {})[r.rank] = (r.vec_id, r.score)
+    for i, v in rows:
+        able.setdefault(i, []).append(np.floor(256 * np.float32(v).astype(float)))
+    for q in range(0, 300, 10):
+        best = sorted((-max(int(able[q][0] @ v) for v in vs), i) for i, vs in able.items() if i != q)[:5]
+        assert got.pop(q) == {k + 1: (i, -s) for k, (s, i) in enumerate(best)}
+    assert not got
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(3, "http://a/ b\n", "<p>é</p>", 1), (1, "u", "<p>é</p>", 1), (2, None, None, 1), (5, "u", "", 1), (6, "u", "x" * 5000, 1), (None, "u", "x" * 5000, 1), (1, "u", "<p>é</p>", 1)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, digest int")
