@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotwise.llm.common import NO_ID, arrays, batches, binary, id_key, packed_rows, rest_of
-from slotwise.llm.words import VISIBLE, WORD_BASE, Words, _ranges, joined_all, mixed, sliced
+from slotwise.llm.words import VISIBLE, WORD_BASE, Words, _ranges, buffer_of, joined_all, mixed, sliced
 
 WINDOW, ANCHOR = 20, 6
 #: Windows gathered in a task before its blocks are sent, and text per part of the index.
@@ -211,6 +211,24 @@ def factors(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return rows.select(F.col("rest.doc_id").cast("long").alias("doc_id"), "text", "told").mapInArrow(parse, schema)
 
 
+def _cut(texts: pa.Array, words: Words, keep: np.ndarray) -> pa.Array:
+    """The texts without the words that go and the white space behind each; null stays null. All
+    other bytes stay as they are."""
+    gone = np.flatnonzero(~keep)
+    until = words.ends.copy()
+    inner = np.flatnonzero(np.diff(words.owner) == 0)
+    until[inner] = words.starts[inner + 1]
+    edges = np.zeros(len(words.data) + 1, np.int8)
+    edges[words.starts[gone]] += 1
+    edges[until[gone]] -= 1
+    live = np.cumsum(edges[:-1], dtype=np.int8) == 0
+    data, kept_before = words.data[live], np.concatenate(([0], np.cumsum(live)))
+    to = kept_before[buffer_of(texts)[1]]
+    return pa.array(
+        [bytes(data[x:y]) if valid else None for x, y, valid in zip(to[:-1], to[1:], texts.is_valid().to_pylist(), strict=True)], pa.binary()
+    ).cast(pa.string())
+
+
 def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """All columns of `docs`, `text` being the kept words joined by single blanks, in one struct
     column `row`, with n_words, n_removed and kept_sha256.
@@ -220,6 +238,11 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     (null becomes empty). A null doc_id sorts first. Rows that repeat a doc_id are the same
     document: their equal places are not earlier than each other.
     """
+    return _without_repeats(docs, window, in_place=False)
+
+
+def _without_repeats(docs: DataFrame, window: int, in_place: bool) -> DataFrame:
+    """`in_place`: passages are cut out of the texts, which otherwise stay as they are."""
     rows = _with_replies(docs, window)
     rest = rows.schema["rest"].dataType
     schema = f"rest {rest.simpleString()}, kept string, n_words long, n_removed long, kept_sha256 string"
@@ -241,7 +264,7 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         rest_column.slice(a, b - a),
-                        pa.array(texts, pa.binary()).cast(pa.string()),
+                        _cut(batch.column(1).slice(a, b - a), words, keep) if in_place else pa.array(texts, pa.binary()).cast(pa.string()),
                         pa.array(words.counts, pa.int64()),
                         pa.array(np.diff(gone), pa.int64()),
                         pa.array([hashlib.sha256(x).hexdigest() for x in texts], pa.string()),
@@ -250,11 +273,14 @@ def without_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                 )
 
     done = rows.mapInArrow(parse, schema)
-    columns = [F.col("kept").alias("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns]
+    of = {"text": F.col("kept")}
+    if in_place and "n_chars" in docs.columns:
+        of["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("kept").cast("long")).otherwise(F.col("rest.n_chars"))
+    columns = [of[c].alias(c) if c in of else F.col(f"rest.`{c}`") for c in docs.columns]
     return done.select(F.struct(*columns).alias("row"), "n_words", "n_removed", "kept_sha256")
 
 
 def drop_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """The rows of `docs` with repeated passages cut out of `text`, and `n_chars` set anew."""
-    kept = without_repeats(docs, window).select("row.*")
-    return kept.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else kept
+    """The rows of `docs` with repeated passages cut out of `text`, and `n_chars` set anew where
+    that was done. All else of a text stays as it is, white space included."""
+    return _without_repeats(docs, window, in_place=True).select("row.*")

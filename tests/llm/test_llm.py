@@ -68,6 +68,17 @@ def test_kept_words_of_a_longer_slice(spark):
     assert got == {i: (g, hashlib.sha256(k.encode()).hexdigest()) for i, (_, g, k) in brute_kept(many).items()}
 
 
+def test_drop_repeats_leaves_the_rest_of_a_text(spark):
+    passage = " ".join(words(30, 3, 5000))
+    rows = [
+        (1, f"Head\n\n{passage}\r\n\tend  here\n"), (2, None), (3, ""), (4, " two  lines\n\nof é\t漢 \n"),
+        (5, f"\tMy é  own\n\n{passage.replace(' ', chr(10))}\n \nlast\t漢\n"), (6, f"all \n{passage}\n"), (7, passage),
+    ]
+    got = {r.doc_id: (r.text, r.n_chars) for r in substrings.drop_repeats(frame(spark, rows)).collect()}
+    want = dict(rows) | {5: "\tMy é  own\n\nlast\t漢\n", 6: "all \n\n", 7: ""}
+    assert got == {i: (t, len(t or "")) for i, t in want.items()}
+
+
 def brute_groups(texts, size, percent):
     sets = {}
     for i, t in texts:
