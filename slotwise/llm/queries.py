@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotwise.llm import bpe, chat, decontaminate, extract, language, near, quality, substrings, vectors, warc
+from slotwise.llm import bpe, chat, decontaminate, extract, language, near, nearest, quality, repair, spelling, substrings, vectors, warc
 from slotwise.plans.registry import query, table
 
 
@@ -204,3 +204,143 @@ FROM m JOIN c USING (chosen_id) LEFT JOIN j USING (chosen_id)
 @query("op2_preference_format", OP2_SQL)
 def op2_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted(chat.preference_pairs(table(spark, sf_dir, "conversations"))).drop("chosen", "rejected")
+
+
+def _crc_sql(text: str) -> str:
+    """DuckDB: the unsigned crc32 of a string's UTF-8 bytes."""
+    table = range(256)
+    for _ in range(8):
+        table = [(x >> 1) ^ (0xEDB88320 if x & 1 else 0) for x in table]
+    return (
+        f"xor(4294967295::BIGINT, list_reduce(list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT), "
+        f"lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1]), 4294967295::BIGINT))"
+    )
+
+
+def _plus(way: str, cost: str, edits: str) -> str:
+    """DuckDB: a way (ten digits of cost, then its audit) with further edits."""
+    return f"lpad((substr({way}, 1, 10)::BIGINT + {cost})::VARCHAR, 10, '0') || substr({way}, 11) || {edits}"
+
+
+def _step_sql() -> str:
+    """DuckDB: the best ways to the four states of the grammar after one more turn w, which is
+    [role's initial, must be deleted, truncated]. At most one insert goes before a turn."""
+    gone = [_plus(f"a[{k}]", "3", "'D'") for k in (1, 2, 3, 4)]
+    cut = "w[3]::BIGINT"
+    to = {}
+    for initial, before, other in (("u", (1, 2, 4), (3,)), ("a", (3,), (1, 2, 4))):
+        cost, edit = f"{cut} + CASE w[1] WHEN '{initial}' THEN 0 ELSE 2 END", f"CASE w[1] WHEN '{initial}' THEN 'K' ELSE 'R' END"
+        straight = [_plus(f"a[{k}]", cost, edit) for k in before]
+        after_insert = [_plus(f"a[{k}]", f"2 + {cost}", f"'I' || {edit}") for k in other]
+        to[initial] = ", ".join(straight + after_insert)
+    system = f"CASE w[1] WHEN 's' THEN {_plus('a[1]', cut, chr(39) + 'K' + chr(39))} ELSE '5000000000' END"
+    free = f"[{gone[0]}, least({gone[1]}, {system}), least({gone[2]}, {to['u']}), least({gone[3]}, {to['a']})]"
+    return f"CASE w[2] WHEN '1' THEN [{', '.join(gone)}] ELSE {free} END"
+
+
+OP11_SQL = f"""
+WITH k AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc_sql("coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ')")} % 20 AS k FROM conversations),
+d AS (
+  SELECT conv_id, turn, CASE WHEN k = 4 THEN 'user' ELSE role END AS role,
+    CASE k WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+  FROM (SELECT * FROM k UNION ALL SELECT * FROM k WHERE k = 3) WHERE k <> 0),
+r AS (
+  SELECT *, left(role, 1) AS c, NOT regexp_matches(text, '[^{BLANK}]') AS blank, NOT regexp_matches(text, '[.!?][{BLANK}]*$') AS cut,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i
+  FROM d),
+n AS (
+  SELECT *, lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c NOT IN ('su', 'ua', 'au') AS odd,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again FROM r),
+g AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+    count(*) FILTER (again AND NOT blank) AS duplicate, count(*) FILTER (cut AND NOT blank AND NOT again) AS truncated,
+    count(*) FILTER (odd) AS illegal, list([c, (blank OR again)::INT::VARCHAR, cut::INT::VARCHAR, ''] ORDER BY i) AS ws
+  FROM n GROUP BY conv_id),
+s AS (
+  SELECT *, list_reduce(ws, lambda a, w: {_step_sql()}, ['0000000000', '5000000000', '5000000000', '5000000000']) AS a FROM g),
+b AS (SELECT *, least(a[1], a[4], {_plus('a[2]', '4', "'II'")}, {_plus('a[3]', '2', "'I'")}) AS best FROM s),
+e AS (
+  SELECT conv_id, p, edit, sum((edit <> 'I')::INT) OVER o AS i, sum((edit <> 'D')::INT) OVER o AS j
+  FROM (SELECT conv_id, unnest(generate_series(1, length(best) - 10)) AS p, substr(best, 10 + p, 1) AS edit FROM b)
+  WINDOW o AS (PARTITION BY conv_id ORDER BY p)),
+t AS (
+  SELECT e.conv_id, p, edit, j, r.role, CASE edit WHEN 'I' THEN '' ELSE r.text END AS text,
+    max((edit = 'K' AND r.c = 's')::INT) OVER (PARTITION BY e.conv_id) AS shift
+  FROM e LEFT JOIN r ON e.conv_id IS NOT DISTINCT FROM r.conv_id AND e.i = r.i WHERE edit <> 'D'),
+h AS (
+  SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (j - shift) % 2 = 1 THEN 'user' ELSE 'assistant' END || ':' || text, chr(10) ORDER BY p) AS said
+  FROM t GROUP BY conv_id)
+SELECT x.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, coalesce(substr(best, 1, 10)::BIGINT, 0) AS cost, coalesce(substr(best, 11), '') AS audit,
+  sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) x LEFT JOIN b ON x.conv_id IS NOT DISTINCT FROM b.conv_id
+  LEFT JOIN h ON x.conv_id IS NOT DISTINCT FROM h.conv_id
+"""
+
+
+def damaged(turns: DataFrame) -> DataFrame:
+    """Turns with the faults of op11: by the remainder of a crc32 dropped, emptied, robbed of their
+    full stops, repeated or given to the user."""
+    blank = F.lit(" ")
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), blank) for c in ("conv_id", "turn")])
+    rows = turns.select(
+        "conv_id", "turn", F.coalesce("role", blank).alias("role"), F.coalesce("text", blank).alias("text"), (F.crc32(key) % 20).alias("fault")
+    ).where("fault <> 0")
+    times = F.when(F.col("fault") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    return rows.withColumn("copy", F.explode(times)).select("conv_id", "turn", role.alias("role"), text.alias("text"))
+
+
+@query("op11_structure_repair", OP11_SQL)
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    rows, found = repair.repairs(damaged(turns))
+    return repair.report(turns, found, repair.repaired(rows, found))
+
+
+@query("op12_nearest_neighbours")
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+OP13_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT d, {LOWER.format('r')} AS w FROM (
+    SELECT coalesce(doc_id::VARCHAR, '') AS d, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\u00C0-\u00FF]+')) AS r FROM documents)
+  WHERE length(r) >= 6),
+x AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word
+  FROM (SELECT w, {_crc_sql("d || ':' || w")} AS h FROM w)),
+v AS (SELECT word, count(*) AS n FROM x WHERE length(word) >= 6 GROUP BY word HAVING count(*) >= 5),
+cut AS (
+  SELECT word, n, length(word) AS size, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT *, unnest(generate_series(1, length(word))) AS i FROM v)),
+e AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b USING (rest, i) WHERE a.size = b.size AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.rest = b.word),
+best AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, near) AS k FROM e),
+f AS (
+  SELECT v.word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM v LEFT JOIN best ON v.word = best.word AND k = 1),
+walk(word, root) AS (SELECT word, word FROM f UNION ALL SELECT walk.word, form FROM walk JOIN f ON walk.root = f.word WHERE form IS NOT NULL),
+roots AS (SELECT walk.word, root FROM walk JOIN f ON walk.root = f.word WHERE form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN roots USING (word)
+"""
+
+
+def misspelt(docs: DataFrame, length: int = 6) -> DataFrame:
+    """(word): the runs of letters of all texts; where 199 divides the crc32 of `doc_id:run`, the
+    run loses one letter."""
+    words = spelling.runs(docs, length)
+    code = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "word"))
+    at = (code % F.char_length("word")).cast("int")
+    return words.select(F.when(code % 199 == 0, spelling.without_letter(F.col("word"), at)).otherwise(F.col("word")).alias("word"))
+
+
+@query("op13_spelling_variants", OP13_SQL)
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.vocabulary(misspelt(table(spark, sf_dir, "documents"))))
