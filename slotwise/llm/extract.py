@@ -5,11 +5,16 @@ node whose characters or tags are mostly links is thin. The node whose children
 sum of densities is the core of the article. The least density on the way from it up to the body
 is the threshold: what stands beside that way is taken too if it is as dense.
 
-Elements that by name, role or class hold menus, headers, notices, adverts, forms, comments and
-the like are left out of the tree; if there are `article` or `main` elements, the core is looked
-for in them. Trees are built as browsers do for the common cases: void elements, implied ends of
-paragraphs, items and cells, raw text of scripts, stray and missing end tags. All steps are loops
-over lists, so depth and length of a page are not limited.
+Elements for menus, page headers, scripts and the like are left out of the tree. Names are hints: if
+there are `article` or `main` elements, the core is looked for in them, and what stands in the one
+that holds it belongs to it unless it is thin, below the threshold and nearly all links. Elements
+whose class, id or role tells of notices, adverts, forms or comments are left out unless they
+hold the only article, or nearly all text of a page without one.
+
+Trees are built as browsers do for the common cases: void elements, implied ends of paragraphs,
+items and cells, raw text of scripts, stray and missing end tags. The time taken grows with the
+length of a page, whatever its depth: the nearest open element of a name is looked up, and no part
+of a page is read again.
 """
 
 from __future__ import annotations
@@ -18,6 +23,7 @@ import html as entities
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +42,7 @@ BLOCKS = frozenset(
 CELLS = frozenset(("td", "th", "br", "option"))
 #: Elements that are no part of an article.
 LEFT_OUT = frozenset(
-    "nav footer aside form script style noscript template iframe object embed svg canvas head select button input textarea "
+    "nav footer aside script style noscript template iframe object embed svg canvas head select button input textarea "
     "dialog menu audio video map".split()
 )
 #: Parts of class names and ids that say the same of any element.
@@ -57,19 +63,28 @@ _ENDS = {
     "th": ({"td", "th"}, {"tr", "table"}),
     "option": ({"option"}, {"select"}),
 }
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)([^>"']*(?:"[^"]*"[^>"']*|'[^']*'[^>"']*)*|[^>]*)(?:>|\Z)""", re.S)
+_ENDS_P = ({"p"}, {"td", "th", "li", "div", "article", "section", "body", "blockquote"})
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_TO_VALUE = re.compile(r"[^>=]*(?:=\s*|>|\Z)")
+_PLAIN = re.compile(r"[^\s>]*")
+#: Elements that may be a list of links, what share counts as nearly all, and the least text of a
+#: page (in characters) for which hints against other parts count.
+LINK_BLOCKS, NEARLY, LEAST = frozenset("ul ol dl menu div section table p span".split()), 0.9, 140
 _MARKED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s>]+)""", re.I)
 _PART = re.compile(r"[a-z0-9]+")
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 
 
 def _left_out(tag: str, attributes: str, inside_article: bool) -> bool:
-    if tag in LEFT_OUT or (tag == "header" and not inside_article):
+    return tag in LEFT_OUT or (tag == "header" and not inside_article) or (tag != "body" and bool(_HIDDEN.search(attributes)))
+
+
+def _marked(tag: str, attributes: str, inside_article: bool) -> bool:
+    """Does a name tell that the element is no part of the article?"""
+    if tag == "form":
         return True
     if not attributes or tag in ("html", "body", "main", "h1"):
         return False
-    if _HIDDEN.search(attributes):
-        return True
     for name, value in _MARKED.findall(attributes):
         value = value.strip("\"'").lower()
         if name.lower() == "role":
@@ -87,53 +102,64 @@ class Tree:
     text of None is the edge of a block."""
 
     def __init__(self, page: str) -> None:
-        self.tag, self.parent, self.skip = ["#"], [-1], [False]
+        self.tag, self.parent, self.skip, self.mark = ["#"], [-1], [False], [False]
         self.pieces: list[tuple[int, str | None]] = []
-        open_, at, article = [0], 0, 0
+        self._open: list[int] = [0]
+        self._where: dict[str, list[int]] = {}  # depths of the open elements of a name
+        self._quotes = {q: page.rfind(q) for q in "\"'"}
+        at = 0
         while at < len(page):
             found = _TOKEN.search(page, at)
             text = page[at : found.start() if found else len(page)]
-            if text and not self.skip[open_[-1]]:
-                self.pieces.append((open_[-1], entities.unescape(text)))
+            if text and not self.skip[self._open[-1]]:
+                self.pieces.append((self._open[-1], entities.unescape(text)))
             if not found:
                 break
             at = found.end()
             if not found[2]:
                 continue
-            tag = found[2].lower()
+            tag, end = found[2].lower(), self._tag_end(page, at)
+            attributes, at = page[at : end - 1 if page[end - 1 : end] == ">" else end], end
             if found[1]:
-                if tag in self._names(open_):
-                    while open_[-1]:
-                        node = open_.pop()
-                        article -= self.tag[node] == "article"
-                        self._edge(node, open_[-1])
-                        if self.tag[node] == tag:
-                            break
+                if self._where.get(tag):
+                    self._close(self._where[tag][-1])
                 continue
-            closed, until = _ENDS.get(tag, ({"p"}, {"td", "th", "li", "div", "article", "section", "body", "blockquote"}) if tag in BLOCKS else (set(), set()))
-            for depth in range(len(open_) - 1, 0, -1):
-                name = self.tag[open_[depth]]
-                if name in closed:
-                    while len(open_) > depth:
-                        node = open_.pop()
-                        self._edge(node, open_[-1])
-                elif name in until:
-                    break
-            up = open_[-1]
+            closed, until = _ENDS.get(tag, _ENDS_P if tag in BLOCKS else ((), ()))
+            depth = max((self._where[n][-1] for n in closed if self._where.get(n)), default=0)
+            if depth and depth > max((self._where[n][-1] for n in until if self._where.get(n)), default=0):
+                self._close(depth)
+            up, inside = self._open[-1], bool(self._where.get("article"))
             node = len(self.tag)
             self.tag.append(tag)
             self.parent.append(up)
-            self.skip.append(self.skip[up] or _left_out(tag, found[3], article > 0))
+            self.skip.append(self.skip[up] or _left_out(tag, attributes, inside))
+            self.mark.append(_marked(tag, attributes, inside))
             self._edge(node, up)
             if tag in RAW:
-                end = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
-                at = end.start() if end else len(page)
-            if tag not in VOID and not found[3].endswith("/"):
-                open_.append(node)
-                article += tag == "article"
+                stop = re.compile(rf"</{tag}[\s/>]", re.I).search(page, at)
+                at = stop.start() if stop else len(page)
+            if tag not in VOID and not attributes.endswith("/"):
+                self._where.setdefault(tag, []).append(len(self._open))
+                self._open.append(node)
+
+    def _tag_end(self, page: str, at: int) -> int:
+        """Behind the > of a tag; quotes count where a value begins with one that is closed."""
+        while at < len(page):
+            at = _TO_VALUE.match(page, at).end()
+            if page[at - 1] == ">":
+                return at
+            quote = page[at : at + 1]
+            if quote in self._quotes and at < self._quotes[quote]:
+                at = page.index(quote, at + 1) + 1
+            else:
+                at = _PLAIN.match(page, at).end()
+        return len(page)
 
-    def _names(self, open_: list[int]) -> set[str]:
-        return {self.tag[n] for n in open_}
+    def _close(self, depth: int) -> None:
+        while len(self._open) > depth:
+            node = self._open.pop()
+            self._where[self.tag[node]].pop()
+            self._edge(node, self._open[-1])
 
     def _edge(self, node: int, up: int) -> None:
         if self.tag[node] in BLOCKS:
@@ -141,8 +167,8 @@ class Tree:
         elif self.tag[node] in CELLS:
             self.pieces.append((up, " "))
 
-    def densities(self) -> tuple[list[float], list[float]]:
-        """(density, sum of the children's densities) of every node."""
+    def measure(self, skip: list[bool]) -> Measure:
+        """Counts and densities of every node, without those to be skipped."""
         count = len(self.tag)
         chars, links, tags, link_tags = [0] * count, [0] * count, [0] * count, [0] * count
         linked = [False] * count
@@ -155,7 +181,7 @@ class Tree:
                 links[n] += size * linked[n]
         for n in range(count - 1, 0, -1):
             up = self.parent[n]
-            if not self.skip[n]:
+            if not skip[n]:
                 chars[up] += chars[n]
                 links[up] += links[n]
                 tags[up] += tags[n] + 1
@@ -163,54 +189,101 @@ class Tree:
         share = links[0] / max(1, chars[0])
         density, sums = [0.0] * count, [0.0] * count
         for n in range(count - 1, -1, -1):
-            if chars[n] and not self.skip[n]:
-                c, lc, t, lt = chars[n], max(1, links[n]), max(1, tags[n]), max(1, link_tags[n])
-                base = math.log(c / max(1, c - links[n]) * links[n] + share * c + math.e)
-                density[n] = c / t * (math.log(max(1.0, c / lc * t / lt)) + 1e-3) / math.log(base + math.e)
+            if chars[n] and not skip[n]:
+                density[n] = composite(chars[n], links[n], tags[n], link_tags[n], share)
                 if n:
                     sums[self.parent[n]] += density[n]
-        return density, sums
+        return Measure(chars, links, link_tags, density, sums)
+
+    def _below(self, own: list[bool]) -> list[bool]:
+        """Which nodes have the mark or stand below one that has it."""
+        out = list(own)
+        for n in range(1, len(out)):
+            out[n] = out[n] or out[self.parent[n]]
+        return out
+
+    def _way(self, node: int) -> list[int]:
+        """The nodes from one up to the body, without that."""
+        way = []
+        while node > 0 and self.tag[node] not in ("body", "html"):
+            way.append(node)
+            node = self.parent[node]
+        return way
+
+    def _without(self, mark: list[bool], node: int) -> list[bool]:
+        """Marks without those of a node and what it stands in."""
+        for n in self._way(node):
+            mark[n] = False
+        return mark
 
     def content(self) -> list[bool]:
         """Which nodes belong to the article."""
-        density, sums = self.densities()
-        count = len(self.tag)
-        scope = [False] * count
-        for name in ("article", "main"):
-            found = [n for n in range(count) if self.tag[n] == name and not self.skip[n] and density[n]]
-            if found:
-                break
-        for n in found:
-            scope[n] = True
-        for n in range(1, count):
-            scope[n] = scope[n] or scope[self.parent[n]]
-        inside = [n for n in range(count) if density[n] and (scope[n] or not found)]
-        out = [False] * count
+        count, mark = len(self.tag), list(self.mark)
+        kinds = ("article", "main")
+        named = next((f for name in kinds if (f := [n for n in range(count) if self.tag[n] == name and not self.skip[n]])), [])
+        hidden = self._below(mark)
+        if named and all(hidden[n] for n in named):  # hints do not count against the only article
+            whole = self.measure(self.skip)
+            mark = self._without(mark, max(named, key=lambda n: (whole.chars[n], -n)))
+        skip = [a or b for a, b in zip(self.skip, self._below(mark), strict=True)]
+        seen = self.measure(skip)
+        named = [n for n in named if not skip[n] and seen.density[n]]
+        if not named and seen.chars[0] < LEAST and any(mark):  # nor against nearly all text
+            whole = self.measure(self.skip)
+            if whole.chars[0] > 2 * seen.chars[0]:
+                most = max(whole.chars[n] for n in range(count) if mark[n])
+                inner = max(n for n in range(count) if mark[n] and whole.chars[n] >= NEARLY * most)  # of wrappers
+                mark = self._without(mark, inner)
+                skip = [a or b for a, b in zip(self.skip, self._below(mark), strict=True)]
+                seen = self.measure(skip)
+        in_scope = [False] * count
+        for n in named:
+            in_scope[n] = True
+        scope = self._below(in_scope) if named else [True] * count
+        inside = [n for n in range(count) if seen.density[n] and scope[n]]
         if not inside:
-            return out
-        core = max(inside, key=lambda n: (sums[n] or density[n] * 0.5, -n))
-        if not sums[core]:
-            core = max(self.parent[core], 0)
-        way, n = [], core
-        while n > 0 and self.tag[n] not in ("body", "html"):
-            way.append(n)
-            n = self.parent[n]
-        top = next((n for n in reversed(way) if scope[n]), None)
-        threshold = min((density[n] for n in way if density[n]), default=0.0)
-        on_way = {*way, n, 0}
+            return [False] * count
+        core = self._core(seen, inside)
+        way = self._way(core)
+        threshold = min((seen.density[n] for n in way if seen.density[n]), default=0.0)
+        top = next((n for n in reversed(way) if in_scope[n]), core)
+        body = self.parent[way[-1]] if way else core
+        on_way = {*way, body, 0}
+        out = [False] * count
         for n in range(count):
             up = self.parent[n]
-            if n == core or (up >= 0 and out[up]) or (top is not None and n == top):
-                out[n] = True
-            elif up in on_way and n not in on_way and density[n] >= threshold > 0 and (scope[n] or not found):
-                out[n] = True
-            elif n in on_way and n != 0 and self.tag[n] not in ("body", "html"):
-                out[n] = False
-            out[n] = out[n] and not self.skip[n]
-        if core == 0 or self.tag[core] in ("body", "html"):
-            out[core] = True
+            beside = up in on_way and n not in on_way and seen.density[n] >= threshold > 0 and scope[n]
+            out[n] = (n in (core, top) or (up >= 0 and out[up]) or beside) and not skip[n] and not self._list_of_links(seen, n, threshold)
         return out
 
+    def _core(self, seen: Measure, nodes) -> int:
+        """The node of the greatest sum of its children's densities."""
+        core = max(nodes, key=lambda n: (seen.sums[n] or seen.density[n] * 0.5, -n))
+        return core if seen.sums[core] else max(self.parent[core], 0)
+
+    def _list_of_links(self, seen: Measure, n: int, threshold: float) -> bool:
+        """Is a node thin, with nothing but links?"""
+        several = seen.link_tags[n] > 1 and seen.links[n] >= NEARLY * seen.chars[n]
+        return several and self.tag[n] in LINK_BLOCKS and seen.density[n] < threshold
+
+
+class Measure(NamedTuple):
+    """Of each node: characters, those in links, links, density, sum of the children's densities."""
+
+    chars: list[int]
+    links: list[int]
+    link_tags: list[int]
+    density: list[float]
+    sums: list[float]
+
+
+def composite(chars: int, links: int, tags: int, link_tags: int, share: float) -> float:
+    """Characters per tag, adjusted for the share of characters and tags that are links; `share` is
+    that of the whole page."""
+    lc, t, lt = max(1, links), max(1, tags), max(1, link_tags)
+    base = math.log(chars / max(1, chars - links) * links + share * chars + math.e)
+    return chars / t * (math.log(max(1.0, chars / lc * t / lt)) + 1e-3) / math.log(base + math.e)
+
 
 def main_text(page: str) -> str:
     """The blocks of the article, each with single blanks, joined by line feeds."""
