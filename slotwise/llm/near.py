@@ -320,7 +320,17 @@ def near_groups(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` whose document is the first of its group, with all their columns."""
-    gone = near_groups(docs, size, percent).where("NOT kept").select(F.col("doc_id").alias("gone")).distinct().hint("merge")
+    """One row of each group of `docs`, with all its columns: that of the least doc_id. Rows that
+    repeat a doc_id are one document, of which the row of the greatest hash stays. A row without
+    doc_id goes by a hash of its text, beyond 2**62, so that documents with an id go before it."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("r"))
-    return rows.join(gone, F.col("r.doc_id").cast("long") == F.col("gone"), "left_anti").select("r.*")
+    text = F.coalesce(F.col("r.text"), F.lit(""))
+    own = F.coalesce(F.col("r.doc_id").cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64(text), 2))
+    rows = rows.withColumn("own", own)
+    groups = near_groups(rows.select(F.col("own").alias("doc_id"), F.col("r.text").alias("text")), size, percent)
+    found = stored(groups.groupBy("doc_id").agg(F.bool_or("kept").alias("kept"), F.count("*").alias("n")).where("n > 1 OR NOT kept"), "odd")
+    found = found.withColumnRenamed("doc_id", "own")
+    single = rows.join(found.select("own").hint("merge"), "own", "left_anti")
+    repeated = rows.join(found.where("kept").select("own"), "own", "left_semi")
+    first = repeated.groupBy("own").agg(F.max_by("r", F.xxhash64("r")).alias("r"))
+    return single.select("r").union(first.select("r")).select("r.*")
