@@ -100,7 +100,8 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fold(folds: int) -> Column:
-    return F.crc32(F.col("doc_id").cast("string")) % folds
+    """The fold of a document; a null doc_id counts as an empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % folds
 
 
 @query("op9_language_id")
@@ -172,8 +173,8 @@ WITH t AS (
   SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
 n AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
 f AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY role, text, conv_id // 1024 ORDER BY conv_id) AS k,
-    lead(conv_id) OVER (PARTITION BY role, text, conv_id // 1024 ORDER BY conv_id) AS partner
+  SELECT conv_id, row_number() OVER (PARTITION BY role, text ORDER BY conv_id) AS k,
+    lead(conv_id) OVER (PARTITION BY role, text ORDER BY conv_id) AS partner
   FROM n WHERE i = 1),
 p AS (SELECT conv_id AS chosen_id, partner AS rejected_id FROM f WHERE k % 2 = 1),
 size AS (SELECT conv_id, count(*) AS c, min(CASE WHEN role = 'assistant' THEN i END) AS a FROM n GROUP BY conv_id),

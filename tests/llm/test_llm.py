@@ -111,7 +111,19 @@ def test_near_groups_like_brute_force(spark, texts, size, percent):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got if r.doc_id is not None)
     kept = near.one_of_each(frame(spark, rows), size, percent)
     assert kept.columns == frame(spark, rows).columns
-    assert {r.doc_id for r in kept.collect()} == {i for i, (_, c) in want.items() if i == c}
+    left = [r.doc_id for r in kept.collect()]
+    assert left.count(None) == 1
+    assert sorted(i for i in left if i is not None) == sorted(i for i, (_, c) in want.items() if i is not None and i == c)
+
+
+def test_one_of_each_leaves_one_row_of_repeated_ones(spark):
+    a, b, c = (" ".join(words(60, k, 5000)) for k in (1, 2, 3))
+    rows = [(5, a), (5, a), (5, a), (7, a), (None, a), (None, a), (None, b), (None, b), (None, b + " more"), (8, c), (8, c), (9, ""), (10, None), (10, None), (None, None)]
+    got = near.one_of_each(frame(spark, rows), 5, 80).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got if r.doc_id) == [(5, a), (8, c), (9, ""), (10, "")]
+    unnamed = [r.text for r in got if r.doc_id is None]  # of b and its near copy one is left
+    assert len(unnamed) == 2 and None in unnamed and (b in unnamed or b + " more" in unnamed)
+    assert near.one_of_each(frame(spark, rows).where("false")).count() == 0
 
 
 def test_near_groups_of_many_clusters_in_one_bucket(spark):
@@ -189,6 +201,57 @@ def test_language_and_quality_on_held_out_rows(spark):
     assert len(scores) == 6 and all(0 <= s <= 1 for s in scores)
 
 
+def test_votes_within_a_family_like_brute_force():
+    rnd = np.random.default_rng(8)
+    names = ["aa", "bb", "cc", "dd"]
+    pairs = list(combinations(range(4), 2))
+    family = language.Family(names, pairs, rnd.normal(size=(5, len(pairs))).astype(np.float32), rnd.normal(size=len(pairs)).astype(np.float32))
+    x = rnd.normal(size=(300, 5)).astype(np.float32)
+    got, sure = family.predict(x)
+    ties = 0
+    for row, k, s in zip(x, got, sure):
+        votes, sums, least = [0] * 4, [0.0] * 4, [np.inf] * 4
+        for p, (a, b) in enumerate(pairs):
+            margin = float(row @ family.weights[:, p] + family.bias[p])
+            votes[a if margin >= 0 else b] += 1
+            for i, m in ((a, margin), (b, -margin)):
+                sums[i], least[i] = sums[i] + m, min(least[i], m)
+        best = [i for i in range(4) if votes[i] == max(votes)]
+        ties += len(best) > 1
+        want = max(best, key=lambda i: sums[i])
+        assert k == want and np.isclose(s, 1 / (1 + np.exp(-6 * least[want])), atol=1e-5)
+    assert ties > 10
+    alone = language.Family(["aa"], [], np.zeros((5, 0), np.float32), np.zeros(0, np.float32))
+    assert alone.predict(x)[0].tolist() == [0] * 300
+
+
+def test_languages_of_one_family_are_told_apart(spark):
+    rnd = random.Random(4)
+    parts = {"da": ["kob", "lun", "ejd"], "sv": ["kob", "lun", "aat"], "no": ["kob", "tis", "ejd"], "fr": ["oui", "eau"], "xx": ["zzq"]}
+    rows = [(i, " ".join("".join(rnd.choice(parts[k]) for _ in range(3)) for _ in range(30)), k) for i, k in enumerate(sorted(parts) * 60)]
+    rows += [(i, t, k) for i, t, k in rows[:40]] + [(None, "kobkob", "da"), (9999, "12", "da"), (9998, None, "sv")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, F.coalesce(F.col("doc_id") % 2 == 0, F.lit(True)))
+    assert [f.languages for f in model.members] == [["da", "no", "sv"], ["fr"], ["xx"]] and len(model.members[0].pairs) == 3
+    found = language.identified(docs.where("doc_id % 2 = 1"), model).join(docs.select("doc_id", "lang").distinct(), "doc_id")
+    assert found.where("lang = lang_pred OR lang_pred = 'und'").count() == found.count() > 100
+    few = language.drawn(docs.where("text IS NOT NULL AND text <> '12'"))
+    assert few.count() == 301  # repeated rows are one text
+    again = language.with_language(docs.withColumn("lang", F.when(F.col("doc_id") % 2 == 0, F.col("lang")).otherwise("fr")), F.col("doc_id") % 2 == 0)
+    assert again.join(docs.selectExpr("doc_id AS d", "lang AS own").distinct(), F.col("doc_id") == F.col("d")).where("lang <> own").count() == 0
+
+
+def test_sparse_rows_like_dense_ones():
+    rnd = np.random.default_rng(3)
+    dense = np.where(rnd.random((40, language.DIMENSIONS)) < 0.01, rnd.random((40, language.DIMENSIONS)), 0).astype(np.float32)
+    at = [np.flatnonzero(r).astype(np.uint16) for r in dense]
+    rows = language.Rows(np.concatenate(at), np.concatenate([r[p] for r, p in zip(dense, at)]), np.concatenate(([0], np.cumsum([len(p) for p in at]))))
+    w, v = rnd.normal(size=language.DIMENSIONS), rnd.normal(size=40)
+    assert np.allclose(rows.dot(w), dense @ w) and np.allclose(rows.sums(v), v @ dense)
+    some = rows.take(np.array([3, 9, 5]))
+    assert np.allclose(some.dot(w), (dense @ w)[[3, 9, 5]])
+
+
 def test_chain_marginals_like_enumeration():
     rnd = np.random.default_rng(3)
     good, turns = rnd.normal(size=6), rnd.normal(size=(2, 2))
@@ -267,6 +330,98 @@ def test_main_text(tag):
     assert extract.main_text(PAGE.replace("{tag}", tag)) == want
 
 
+LINKS = "<{0}><{1}><a href=1>Buy shoes now</a></{1}><{1}><a href=2>Ten tricks to lose weight</a></{1}><{1}><a href=3>More stories</a></{1}></{0}>"
+
+
+@pytest.mark.parametrize("around", ["<article>{}</article>", "<main>{}</main>", "<body><div><div>{}</div></div>"])
+def test_unmarked_lists_of_links_are_no_text(around):
+    text = "Some long text of the article that goes on and on. " * 20
+    for block, item in (("ul", "li"), ("div", "p"), ("table", "td")):
+        page = f"<h1>Title</h1><p>{text}</p>{LINKS.format(block, item)}<p>A <a href=x>linked</a> end.</p><p><a href=y>The study</a></p>"
+        want = f"Title\n{text.strip()}\nA linked end.\nThe study"
+        assert extract.main_text(around.format(page)) == want
+
+
+def test_names_do_not_lose_an_article():
+    text = "Real text of the page. " * 30
+    for page in (
+        f'<body><div class="post-share-count"><p>{text}</p></div>', f'<div class="sidebar-layout"><article><p>{text}</p></article><div class="sidebar">x y</div></div>',
+        f"<form><nav>menu</nav><div><p>{text}</p></div></form>", f'<div id="comments-closed"><main><p>{text}</p><div class="comments">No!</div></main></div>',
+    ):
+        assert extract.main_text(page) == text.strip()
+    page = f'<div><h1>T</h1><p>{text}</p></div><div class="comments"><p>{text * 3}</p></div>'
+    assert extract.main_text(page) == f"T\n{text.strip()}"
+
+
+def brute_density(node, share, linked=False):
+    """(characters, of links, tags, link tags, density, sum of the children's) by recursion; a node is
+    (name, [children or texts])."""
+    name, inside = node
+    linked = linked or name == "a"
+    chars = links = tags = link_tags = sums = 0
+    for x in inside:
+        if isinstance(x, str):
+            size = len("".join(x.split()))
+            chars, links = chars + size, links + size * linked
+        else:
+            c, lc, t, lt, d, _ = brute_density(x, share, linked)
+            chars, links, tags, link_tags, sums = chars + c, links + lc, tags + t + 1, link_tags + lt + (x[0] == "a"), sums + d
+    if not chars:
+        return 0, 0, tags, link_tags, 0.0, 0.0
+    c, t, lc, lt = chars, max(1, tags), max(1, links), max(1, link_tags)
+    base = np.log(np.log(c / max(1, c - links) * links + share * c + np.e) + np.e)
+    return chars, links, tags, link_tags, c / t * (np.log(max(1.0, c / lc * t / lt)) + 1e-3) / base, sums
+
+
+def test_densities_like_recursion():
+    rnd = random.Random(6)
+
+    def some(depth, names=("div", "b", "section", "a", "i")):
+        inside = ["".join(rnd.choice("ab ") for _ in range(rnd.randrange(12))) for _ in range(rnd.randrange(2))]
+        for _ in range(rnd.randrange(4) if depth else 0):
+            inside.append(some(depth - 1))
+            inside.append("text " * rnd.randrange(3))
+        return rnd.choice(names), inside
+
+    def written(node):
+        return f"<{node[0]}>" + "".join(x if isinstance(x, str) else written(x) for x in node[1]) + f"</{node[0]}>"
+
+    for _ in range(60):
+        inner = [some(3, ("div", "section")) for _ in range(3)]
+        tree = extract.Tree("".join(map(written, inner)))
+        seen = tree.measure(tree.skip)
+        chars, links = [sum(brute_density(n, 0.0)[k] for n in inner) for k in (0, 1)]
+        share, order = links / max(1, chars), []
+
+        def visit(node, inside_link):
+            order.append((node, inside_link))
+            for x in node[1]:
+                if not isinstance(x, str):
+                    visit(x, inside_link or node[0] == "a")
+
+        for n in inner:
+            visit(n, False)
+        assert [tree.tag[k + 1] for k in range(len(order))] == [n[0] for n, _ in order]
+        for k, (node, inside_link) in enumerate(order, 1):
+            if not inside_link:
+                want = brute_density(node, share)
+                assert np.isclose(seen.density[k], want[4]) and np.isclose(seen.sums[k], want[5])
+
+
+def test_time_grows_with_the_length_of_a_page():
+    import time
+
+    pages = ["<span>" * 100_000 + "x", "<center>" * 100_000 + "x", "<ul><li>" * 50_000 + "x", "<p><td>" + "<ul>" * 50_000 + "x", """<a "b' >""" * 20_000, """<a b="c' >""" * 20_000, "<a b=' " * 20_000, "<!--" * 30_000]
+    for page in pages:
+        start = time.process_time()
+        assert extract.main_text(page) in ("x", "")
+        assert time.process_time() - start < 6, page[:20]
+
+
+def test_quotes_count_in_values_only():
+    assert extract.main_text("<p title='a > b'>one</p><p x\">two</p><p y=\"never closed>three</p>") == "one\ntwo\nthree"
+
+
 def test_main_text_of_odd_pages(spark):
     assert [extract.main_text(p) for p in ("", "   ", "<", "<nav>x</nav>", "a < b")] == ["", "", "<", "", "a < b"]
     assert extract.main_text("<div>" * 5000 + "deep text here") == "deep text here"
@@ -299,6 +454,32 @@ def test_preference_pairs_of_distant_conversations(spark):
     assert all(r.chosen[1].text == f"a{r.chosen_id}" and (r.rejected is None or r.rejected[1].text == f"a{r.rejected_id}") for r in got)
 
 
+def test_preference_query_like_its_sql(spark, tmp_path):
+    import duckdb
+
+    from slotwise.llm import queries
+
+    rnd, turns = random.Random(9), []
+    openings = [f"question {k}" for k in range(60)] + [None, ""]
+    for conv in rnd.sample(range(10**6), 700):
+        said = [("user", rnd.choice(openings))] + [("assistant", rnd.choice(["yes", "no", None])) if t % 2 else ("user", rnd.choice(["why", ""])) for t in range(1, rnd.randrange(1, 7))]
+        said = [("system", "be kind"), *said] if rnd.random() < 0.2 else said
+        for t, (role, text) in enumerate(said):
+            turns += [(conv, t if rnd.random() < 0.98 else None, role if rnd.random() < 0.97 else None, text)] * rnd.choice([1, 1, 1, 2])
+    turns += [(2 * 10**6 + c, t, "ua"[t % 2], f"same {t}") for c in range(9) for t in range(4)]  # an odd group of equal conversations
+    path = f"{tmp_path}/conversations.parquet"
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").repartition(3).write.parquet(path)
+    rows = queries.op2_preference_format(spark, str(tmp_path)).collect()
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}/*.parquet'")
+    result = con.execute(queries.OP2_SQL)
+    names = [d[0] for d in result.description]
+    want = [dict(zip(names, r)) for r in result.fetchall()]
+    assert sum(r["rejected_id"] is not None for r in want) > 250 and max(r["n_common"] for r in want if r["rejected_id"]) > 3
+    key = lambda r: r["chosen_id"]
+    assert sorted((r.asDict() for r in rows), key=key) == sorted(want, key=key)
+
+
 def test_empty_tables(spark):
     none = frame(spark, [(1, "x")]).where("false")
     items = spark.createDataFrame([], "item_id long, text string")
