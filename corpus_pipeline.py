@@ -16,8 +16,8 @@ from slotwise.plans.registry import query, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in which no language is found go; a missing `lang` is filled. Learns from three
-    of four documents that state their language."""
+    """Documents in which no language is found go; `lang` becomes the language found. Learns from
+    three of four documents that state their language."""
     return language.with_language(docs, F.crc32(F.col("doc_id").cast("string")) % 4 != 2)
 
 

@@ -4,9 +4,11 @@ Two shapes cover every ordered operator of this package:
 
 * `with_halo`: the operator looks at most a fixed time back or ahead. Each time slice
   gets copies of the rows near its edges, and a window over (key, slice) sees all it needs.
-* `prefix_scan`: the operator needs a running value over the whole past. Slices are
-  scanned separately, their totals are aggregated map-side, scanned per key (one row per
-  slice) and joined back.
+* `prefix_scan`: the operator needs a running value over the whole past, or in reverse over
+  all that follows. Slices are scanned separately, their totals are aggregated map-side,
+  scanned per key (one row per slice) and joined back.
+
+Slices for scans come from `key_slices`, which hold equally many rows whatever the key or time.
 """
 
 from __future__ import annotations
@@ -18,6 +20,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from slotwise.session import stored
+
 
 def micros(span: timedelta) -> int:
     return span // timedelta(microseconds=1)
@@ -33,14 +37,16 @@ def floor_div(value: Column, width: int) -> Column:
     return F.call_function("div", value - F.pmod(value, F.lit(width)), F.lit(width))
 
 
-def even_slices(df: DataFrame, order: str, parts: int = 256) -> Column:
-    """Slice numbers with about the same number of rows each, wherever the rows lie.
+def even_slices(df: DataFrame, order: str, parts: int | None = None) -> Column:
+    """Slice numbers with about the same number of rows each, wherever the rows lie; twice as many
+    as Spark has partitions for shuffles, if their number is not given.
 
     The cuts are quantiles from one pass over the column `order`. With them no (key, slice)
     holds much more than 1/parts of the rows, however hot the key or short the burst; only
     rows with equal `order` cannot be parted. The search for the slice is a tree of
     comparisons.
     """
+    parts = parts or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     points = [i / parts for i in range(1, parts)]
     cuts = sorted(set(df.approxQuantile(order, points, 1 / (4 * parts))))
 
@@ -53,6 +59,19 @@ def even_slices(df: DataFrame, order: str, parts: int = 256) -> Column:
     return place(0, len(cuts)).cast("bigint")
 
 
+def key_slices(df: DataFrame, keys: Sequence[str], order: Sequence[str], ranges: int | None = None) -> DataFrame:
+    """`df` with `_slice`, the number of its range of (keys, order): ranges hold equally many rows.
+
+    A key with most of the rows has most of the ranges, a burst within one instant is cut like any
+    other rows, and a key with few rows lies in one or two ranges. Their number is Spark's for
+    shuffles if not given. The rows are written once, so that all parts of a plan see the same
+    ranges; hand in only the columns needed.
+    """
+    place = [*keys, *order]
+    ranged = df.repartitionByRange(ranges, *place) if ranges else df.repartitionByRange(*place)
+    return stored(ranged.withColumn("_slice", F.spark_partition_id().cast("bigint")), "slices")
+
+
 def with_halo(
     df: DataFrame, us: str, width: timedelta, before: timedelta, after: timedelta
 ) -> DataFrame:
@@ -77,19 +96,24 @@ def prefix_scan(
     values: dict[str, tuple[str, Column]],
     inclusive: bool = True,
     seed: tuple[DataFrame, dict[str, str]] | None = None,
+    reverse: bool = False,
+    null_keys: bool = True,
 ) -> DataFrame:
     """Running values over rows of a key in `order`, without a window over the whole key.
 
     `values` maps an output column to (kind, expression), kind one of `sum`, `max`, `last`
     (last non-null). `slice_col` must not decrease along `order`. With `inclusive=False`
     the current row is left out. `seed` is (frame with one row per key, {output: column}):
-    a starting value before the first row, also given back as `_seed_{output}`.
+    a starting value before the first row, also given back as `_seed_{output}`. `reverse` scans
+    from the last row back, `last` then being the nearest later one. Where `df` has the column
+    `_k`, a struct of the keys, it is used and kept: scans in a row then share one shuffle.
+    Without `null_keys` a null key has no seed, and a seed frame that is laid out by its keys, such
+    as a bucketed table, is joined where it lies.
     """
     local_end = 0 if inclusive else -1
-    group = F.struct(*[F.col(k) for k in keys])
-    staged = df.withColumn("_k", group).withColumns(
-        {f"_v_{out}": expr for out, (_, expr) in values.items()}
-    )
+    made = "_k" not in df.columns
+    staged = df.withColumn("_k", F.struct(*[F.col(k) for k in keys])) if made else df
+    staged = staged.withColumns({f"_v_{out}": expr for out, (_, expr) in values.items()})
 
     totals = []
     for out, (kind, _) in values.items():
@@ -100,22 +124,23 @@ def prefix_scan(
             totals.append(F.max(v).alias(f"_t_{out}"))
         elif kind == "last":
             at = F.when(v.isNotNull(), F.col(order[0]) if len(order) == 1 else F.struct(*order))
-            totals.append(F.max_by(v, at).alias(f"_t_{out}"))
+            totals.append((F.min_by(v, at) if reverse else F.max_by(v, at)).alias(f"_t_{out}"))
         else:
             raise ValueError(f"unknown scan kind [{kind}]")
     summary = staged.groupBy("_k", slice_col).agg(*totals)
 
     if seed is not None:
         seed_df, seed_cols = seed
-        summary = summary.join(
-            seed_df.select(
-                F.struct(*[F.col(k) for k in keys]).alias("_k"),
-                *[F.col(c).alias(f"_seed_{out}") for out, c in seed_cols.items()],
-            ),
-            "_k",
-            "left",
-        )
-    past = W.partitionBy("_k").orderBy(slice_col).rowsBetween(W.unboundedPreceding, -1)
+        starts = [F.col(c).alias(f"_seed_{out}") for out, c in seed_cols.items()]
+        if null_keys:
+            summary = summary.join(seed_df.select(F.struct(*[F.col(k) for k in keys]).alias("_k"), *starts), "_k", "left")
+        else:
+            own = [f"_s_{k}" for k in keys]
+            summary = summary.withColumns({o: F.col("_k")[k] for o, k in zip(own, keys)})
+            given = seed_df.select(*[F.col(k).alias(o) for o, k in zip(own, keys)], *starts)
+            summary = summary.join(given, own, "left").drop(*own)
+    way = F.desc if reverse else F.asc
+    past = W.partitionBy("_k").orderBy(way(slice_col)).rowsBetween(W.unboundedPreceding, -1)
     carried = {}
     for out, (kind, _) in values.items():
         carried[f"_c_{out}"] = _over(kind, F.col(f"_t_{out}"), past)
@@ -126,7 +151,7 @@ def prefix_scan(
 
     local = (
         W.partitionBy("_k", slice_col)
-        .orderBy(*order)
+        .orderBy(*[way(c) for c in order])
         .rowsBetween(W.unboundedPreceding, local_end)
     )
     joined = staged.join(carry, ["_k", slice_col], "left")
@@ -136,7 +161,7 @@ def prefix_scan(
             for out, (kind, _) in values.items()
         }
     )
-    drop = ["_k"] + [f"_v_{o}" for o in values] + [f"_c_{o}" for o in values]
+    drop = ["_k"] * made + [f"_v_{o}" for o in values] + [f"_c_{o}" for o in values]
     return result.drop(*drop)
 
 

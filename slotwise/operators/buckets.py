@@ -7,14 +7,17 @@ All of them are partial-then-final aggregates: what reaches a shuffle is one row
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import timedelta
+from functools import reduce
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from slotwise.functions.timeslice import micros
+from slotwise.functions.timeslice import key_slices, micros, prefix_scan
+from slotwise.session import stored
 
 COUNT = "doc_count"
 
@@ -59,6 +62,7 @@ def cardinality(df: DataFrame, field: str, exact: bool = False, rsd: float = 0.0
 
 
 PERCENTS = (1, 5, 25, 50, 75, 95, 99)
+SKETCH_BITS = 14  # registers of a sketch of distinct values, as a power of two
 ACCURACY = 100_000
 
 
@@ -94,8 +98,7 @@ def percentiles(df: DataFrame, field: str, percents: Sequence[float] = PERCENTS)
         counts.withColumn("cut", bounds)
         .withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(k - 1))))
         .filter(below | inside)
-        .groupBy("i", F.when(~below, F.col("v")).alias("v"))
-        .agg(F.sum("n").alias("n"), F.max("cut.total").alias("total"))
+        .select("i", F.when(~below, F.col("v")).alias("v"), "n", F.col("cut.total").alias("total"))
     )
     up_to = W.partitionBy("i").orderBy(F.col("v").asc_nulls_first()).rowsBetween(W.unboundedPreceding, 0)
     percent = F.array(*[F.lit(p) for p in marks])[F.col("i")]
@@ -188,22 +191,180 @@ def agg_search(df: DataFrame, aggs: dict[str, tuple[str, dict[str, Any]]]) -> di
     return out
 
 
+# ---------------------------------------------------------------------------------------
+# Trees of buckets
+
+
+@dataclass(frozen=True)
+class Level:
+    """One level of a tree: the labels of the buckets a document is in (an array, empty for none),
+    and how many buckets of each parent stay, largest first (ties by label); None for all."""
+
+    name: str
+    labels: Column
+    size: int | None = None
+
+
+def _single(label: Column) -> Column:
+    return F.filter(F.array(label), lambda x: x.isNotNull())
+
+
+def by_terms(name: str, field: str, size: int | None = 10) -> Level:
+    return Level(name, _single(F.col(field)), size)
+
+
+def by_histogram(name: str, field: str, interval: float, offset: float = 0.0) -> Level:
+    return Level(name, _single((F.floor((F.col(field) - offset) / interval) * interval + offset).cast("double")))
+
+
+def by_date(name: str, field: str, unit: str) -> Level:
+    if unit not in CALENDAR:
+        raise ValueError(f"unknown interval [{unit}]")
+    return Level(name, _single(F.date_trunc(unit, F.col(field))))
+
+
+def by_ranges(name: str, field: str, bounds: Sequence[tuple[float | None, float | None]]) -> Level:
+    """Ranges [lo, hi) may overlap: a document is in every one that holds it."""
+    tests = []
+    for lo, hi in bounds:
+        inside = F.col(field).isNotNull()
+        inside = inside & (F.col(field) >= lo) if lo is not None else inside
+        inside = inside & (F.col(field) < hi) if hi is not None else inside
+        tests.append(F.when(inside, f"{'*' if lo is None else lo}-{'*' if hi is None else hi}"))
+    return Level(name, F.filter(F.array(*tests), lambda t: t.isNotNull()))
+
+
+def by_filters(name: str, filters: dict[str, Column]) -> Level:
+    tests = [F.when(rule, label) for label, rule in filters.items()]
+    return Level(name, F.filter(F.array(*tests), lambda t: t.isNotNull()))
+
+
+def tree(df: DataFrame, levels: Sequence[Level], metrics: Sequence[Column] = ()) -> DataFrame:
+    """Buckets within buckets: a row (depth, a column per level, doc_count, metrics) for each bucket
+    of each level, columns of deeper levels being null.
+
+    One grouping makes them all: a row counts once in each bucket of each depth on its paths, which
+    is combined in every task. Buckets are then limited from the top down, children of dropped
+    ones going with them; for that the buckets, not the documents, are read once per level.
+    """
+    if not levels:
+        raise ValueError("a tree needs a level")
+    names = [level.name for level in levels]
+    kinds = [df.select(level.labels.alias("l")).schema["l"].dataType.elementType for level in levels]
+
+    def deeper(paths: Column, d: int) -> Column:
+        """All paths, each with every label of level d."""
+
+        def extended(p: Column) -> Column:
+            return F.transform(levels[d].labels, lambda x: F.struct(*[(x if j == d else p[n]).alias(n) for j, n in enumerate(names)]))
+
+        return F.flatten(F.transform(paths, extended))
+
+    def marked(paths: Column, d: int) -> Column:
+        return F.transform(paths, lambda p: F.struct(F.lit(d + 1).alias("depth"), *[p[n].alias(n) for n in names]))
+
+    paths, found = F.array(F.struct(*[F.lit(None).cast(k).alias(n) for n, k in zip(names, kinds)])), []
+    for d in range(len(levels)):
+        paths = deeper(paths, d)
+        found.append(marked(paths, d))
+    rows = df.withColumn("_b", F.explode(F.concat(*found)))
+    group = [F.col(f"_b.{n}").alias(n) for n in ("depth", *names)]
+    all_ = rows.groupBy(*group).agg(F.count(F.lit(1)).alias(COUNT), *metrics)
+    if all(level.size is None for level in levels):
+        return all_
+    all_, kept, out = stored(all_, "buckets"), None, []
+    for d, level in enumerate(levels):
+        own = all_.filter(F.col("depth") == d + 1)
+        if kept is not None:
+            own = own.withColumn("_p", F.struct(*names[:d])).join(kept.select(F.struct(*names[:d]).alias("_p")), "_p", "left_semi").drop("_p")
+        if level.size is not None:
+            order = [F.desc(COUNT), F.asc(names[d])]
+            if d == 0:
+                own = own.orderBy(*order).limit(level.size)
+            else:
+                rank = F.row_number().over(W.partitionBy(*names[:d]).orderBy(*order))
+                own = own.withColumn("_r", rank).filter(F.col("_r") <= level.size).drop("_r")
+        kept = own
+        out.append(own)
+    return reduce(DataFrame.unionByName, out)
+
+
+# ---------------------------------------------------------------------------------------
+# Aggregates of parts of a table that are stored and merged
+
+
+def partial_aggregates(df: DataFrame, by: Sequence[str], fields: Sequence[str], scale: int = 2) -> DataFrame:
+    """One row per part (`by`): documents, and for each field count, least, greatest and sum, a
+    sketch of its distinct values and one of its quantiles. Rows of this kind can be stored with a
+    table version and merged with those of other parts."""
+    columns = [F.count(F.lit(1)).alias(COUNT)]
+    for f in fields:
+        x = F.col(f).cast("double")
+        columns += [
+            F.count(f).alias(f"{f}_count"), F.min(f).alias(f"{f}_min"), F.max(f).alias(f"{f}_max"),
+            F.sum(F.col(f).cast(f"decimal(18,{scale})")).alias(f"{f}_sum"),
+            F.hll_sketch_agg(F.col(f).cast("string"), F.lit(SKETCH_BITS)).alias(f"{f}_distinct"), F.kll_sketch_agg_double(x).alias(f"{f}_quantiles"),
+        ]
+    return df.groupBy(*by).agg(*columns)
+
+
+def _merges(fields: Sequence[str]) -> list[Column]:
+    columns = [F.sum(COUNT).alias(COUNT)]
+    for f in fields:
+        columns += [
+            F.sum(f"{f}_count").alias(f"{f}_count"), F.min(f"{f}_min").alias(f"{f}_min"), F.max(f"{f}_max").alias(f"{f}_max"),
+            F.sum(f"{f}_sum").alias(f"{f}_sum"), F.hll_union_agg(f"{f}_distinct").alias(f"{f}_distinct"),
+            F.kll_merge_agg_double(f"{f}_quantiles").alias(f"{f}_quantiles"),
+        ]
+    return columns
+
+
+def merged_aggregates(parts: DataFrame, by: Sequence[str], fields: Sequence[str], batch: int = 512) -> DataFrame:
+    """Partial aggregates as one row, merged in batches of some `batch` parts and these at the end."""
+    if batch < 2:
+        raise ValueError("a batch needs at least two parts")
+    batches = parts.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / batch)).alias("n")).scalar()
+    first = parts.groupBy(F.pmod(F.xxhash64(*by), batches).alias("_batch")).agg(*_merges(fields))
+    return first.agg(*_merges(fields))
+
+
+def estimates(merged: DataFrame, fields: Sequence[str], percents: Sequence[float] = PERCENTS) -> DataFrame:
+    """What merged rows tell: counts, bounds, sums and averages exactly, distinct values and quantiles
+    (an array in the order of `percents`) as estimated by their sketches."""
+    columns = [F.col(c) for c in merged.columns if not c.endswith(("_distinct", "_quantiles"))]
+    for f in fields:
+        points = F.array(*[F.lit(p / 100) for p in percents])
+        columns += [
+            (F.col(f"{f}_sum").cast("double") / F.col(f"{f}_count")).alias(f"{f}_avg"),
+            F.hll_sketch_estimate(f"{f}_distinct").alias(f"{f}_cardinality"),
+            F.kll_sketch_get_quantile_double(f"{f}_quantiles", points).alias(f"{f}_percentiles"),
+        ]
+    return merged.select(*columns)
+
+
 # Over buckets, after the final merge. A bucket frame is small beside the documents; where
 # it has a `group` column, its groups are handled apart.
 
 
-def _in_order(order: str, group: str | None):
-    return (W.partitionBy(group) if group else W.partitionBy(F.lit(0))).orderBy(order)
+def _over_buckets(buckets: DataFrame, order: str, group: str | None, values: dict, inclusive: bool) -> DataFrame:
+    """Running values along the buckets of each group, or, in slices, along all buckets."""
+    if group:
+        end = 0 if inclusive else -1
+        window = W.partitionBy(group).orderBy(order).rowsBetween(W.unboundedPreceding, end)
+        over = {"sum": F.sum, "last": lambda v: F.last(v, ignorenulls=True)}
+        return buckets.withColumns({out: over[kind](v).over(window) for out, (kind, v) in values.items()})
+    sliced = key_slices(buckets, [], [order]).withColumn("_all", F.lit(0))
+    return prefix_scan(sliced, ["_all"], "_slice", [order], values, inclusive).drop("_all", "_slice")
 
 
 def cumulative_sum(buckets: DataFrame, value: str = COUNT, order: str = "bucket", group: str | None = None) -> DataFrame:
-    window = _in_order(order, group).rowsBetween(W.unboundedPreceding, 0)
-    return buckets.withColumn("cumulative_sum", F.sum(value).over(window))
+    return _over_buckets(buckets, order, group, {"cumulative_sum": ("sum", F.col(value))}, True)
 
 
 def derivative(buckets: DataFrame, value: str = COUNT, order: str = "bucket", group: str | None = None) -> DataFrame:
     """Difference to the previous bucket, null in the first."""
-    return buckets.withColumn("derivative", F.col(value) - F.lag(value).over(_in_order(order, group)))
+    before = _over_buckets(buckets, order, group, {"_before": ("last", F.struct(F.col(value).alias("v")))}, False)
+    return before.withColumn("derivative", F.col(value) - F.col("_before.v")).drop("_before")
 
 
 def bucket_sort(buckets: DataFrame, order: Sequence[Column], size: int, from_: int = 0) -> DataFrame:

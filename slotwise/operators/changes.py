@@ -2,17 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from functools import partial, reduce
+from collections.abc import Callable, Sequence
+from functools import reduce
 from typing import NamedTuple
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.functions.skew import hot_keys, lookup_join
-from slotwise.functions.timeslice import floor_div, prefix_scan
+from slotwise.functions.timeslice import even_slices, floor_div, prefix_scan
+from slotwise.operators import conditions
 from slotwise.session import stored
 
 # Outcome of an operation and its status code.
@@ -41,8 +40,8 @@ def apply_changes(
     fields: Sequence[str],
     detect_noop: bool = False,
     conditional: bool = False,
-    slice_rows: int = 1_000_000,
-    hot_share: float = 0.001,
+    slice_rows: int | None = None,
+    ranges: int | None = None,
 ) -> Applied:
     """Apply `changes` (seq, op, id, fields…) in `seq` order; one outcome row per change.
 
@@ -51,18 +50,23 @@ def apply_changes(
     fails), `delete` removes. A failed change stops no other. With `detect_noop`, an update
     that changes nothing reports `noop`. `conditional` honours if_seq_no, version and
     version_type (`internal`, `external`, `external_gte`) against the `_seq_no` and
-    `_version` columns of `base` (absent: -1 and 0).
+    `_version` columns of `base` (absent: -1 and 0) and writes both back, so that further
+    conditional changes can follow; see `conditions` for how ids of any size are judged, in
+    `ranges` (Spark's default for shuffles if not given). A deleted id is forgotten after the set.
 
-    Whether the id is present before a change is a running value, scanned in slices of at
-    most `slice_rows` changes; the final row of an id is one aggregate over its effective
+    Whether the id is present before a change is a running value, scanned in slices of
+    `slice_rows` sequence numbers, or without that in slices of equally many changes; the final row of an id is one aggregate over its effective
     changes, combined map-side. An id with a third of all changes is no special case.
     """
     ops = _with_optional(changes, fields)
-    ops = ops.withColumn("_slice", floor_div(F.col("seq"), slice_rows))
+    if detect_noop or not conditional:
+        slices = even_slices(changes, "seq") if slice_rows is None else floor_div(F.col("seq"), slice_rows)
+        ops = ops.withColumn("_slice", slices)
     base_ids = base.select(F.col(id_col).alias("id"), F.lit(True).alias("_in_base"))
 
     if conditional:
-        results = _conditional_results(base, ops, id_col, hot_share)
+        base = base.withColumns({c: F.lit(v).cast("bigint") for c, v in (("_seq_no", -1), ("_version", 0)) if c not in base.columns})
+        results = ops.join(conditions.judged(ops, base, id_col, _inserts(), ranges), "seq")
     else:
         results = _plain_results(ops, base_ids)
 
@@ -83,7 +87,7 @@ def apply_changes(
         .when((F.col("result") == "not_found") & (F.col("op") == "update"), "id missing")
         .alias("error"),
     )
-    return Applied(_final_table(base, staged, id_col, fields), outcomes)
+    return Applied(_final_table(base, staged, id_col, fields, conditional), outcomes)
 
 
 def _with_optional(changes: DataFrame, fields: Sequence[str]) -> DataFrame:
@@ -120,6 +124,7 @@ def _plain_results(ops: DataFrame, base_ids: DataFrame) -> DataFrame:
         {"_present": ("last", _presence())},
         inclusive=False,
         seed=(base_ids, {"_present": "_in_base"}),
+        null_keys=False,
     )
     known = F.coalesce("_seed__present", F.lit(False))
     return (
@@ -167,6 +172,7 @@ def _mark_noops(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequenc
         {f"_cur_{f}": ("last", F.col(f"_w_{f}")) for f in fields},
         inclusive=False,
         seed=(seed, {f"_cur_{f}": f"_b_{f}" for f in fields}),
+        null_keys=False,
     )
     same = reduce(
         lambda a, b: a & b,
@@ -178,13 +184,15 @@ def _mark_noops(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequenc
     ).drop(*[f"_cur_{f}" for f in fields])
 
 
-def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequence[str]) -> DataFrame:
-    """Base rows with the last written values, without the deleted, with the inserted.
+def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequence[str], conditional: bool) -> DataFrame:
+    """Base rows with the last written values, without the deleted, with the inserted; after
+    conditional changes with the number and version of the last effective one.
 
     A left join and a union rather than a full join: few changes can then be broadcast and
     a large base stays where it is. Both parts read the one shuffle of the changes.
     """
     last = F.max(F.when(F.col("_reset") | F.col("_merge"), F.col("seq")))
+    marks = [F.max_by("_after", F.when(F.col("_after").isNotNull(), F.col("seq"))).alias("_new_version")] if conditional else []
     state = staged.groupBy("id").agg(
         last.alias("_last"),
         F.first("_in_base").alias("_in_base"),
@@ -193,6 +201,7 @@ def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequen
             F.max_by(F.col(f"_w_{f}"), F.when(F.col(f"_w_{f}").isNotNull(), F.col("seq"))).alias(f"_w_{f}")
             for f in fields
         ],
+        *marks,
     )
     state = state.filter(F.col("_last").isNotNull() & F.col("id").isNotNull())
     merged = base.join(state.withColumnRenamed("id", id_col), id_col, "left")
@@ -201,267 +210,14 @@ def _final_table(base: DataFrame, staged: DataFrame, id_col: str, fields: Sequen
     kept = merged.filter(stays).withColumns(
         {f: F.when(F.col(f"_w_{f}").isNotNull(), F.col(f"_w_{f}.v")).otherwise(F.col(f)) for f in fields}
     )
+    written = {"_seq_no": "_last", "_version": "_new_version"} if conditional else {}
+    kept = kept.withColumns({c: F.coalesce(new, c) for c, new in written.items()})
     added = state.filter("_alive AND NOT _in_base").select(
-        F.col("id").alias(id_col), *[F.col(f"_w_{f}.v").alias(f) for f in fields]
+        F.col("id").alias(id_col), *[F.col(f"_w_{f}.v").alias(f) for f in fields], *[F.col(new).alias(c) for c, new in written.items()]
     )
     return kept.select(*base.columns).unionByName(added, allowMissingColumns=True)
 
 
-# ---------------------------------------------------------------------------------------
-# Conditional changes
-
-
-def _conditional_results(base: DataFrame, ops: DataFrame, id_col: str, hot_share: float) -> DataFrame:
-    """Outcomes where a change may depend on the sequence number or version it finds.
-
-    An unconditional index or delete always succeeds and leaves a known state, so it cuts
-    the changes of an id into segments that are worked on apart. So does an accepted
-    external version, on ids that take nothing else: it is accepted if it beats the largest
-    one before it, a running maximum. Ids that mix versions with other writes stay whole,
-    because internal versions count on through every write. Within a segment the rows
-    stream through in order; nothing is collected. The narrow rows to be judged are written
-    to the shared folder first, because several steps read them. Segments of ids with at least `hot_share`
-    of the changes are cut by slices as well, see `_judge_in_slices`.
-    """
-    for name, default in (("_seq_no", -1), ("_version", 0)):
-        if name not in base.columns:
-            base = base.withColumn(name, F.lit(default).cast("bigint"))
-    op = F.col("op")
-    external = F.coalesce(F.col("version_type").isin("external", "external_gte"), F.lit(False))
-    external = external & F.col("version").isNotNull() & op.isin("index", "delete") & F.col("if_seq_no").isNull()
-    kinds = ops.groupBy("id").agg(
-        F.bool_or(F.col("version").isNotNull()).alias("_named"), F.bool_and(external).alias("_external")
-    )
-    # one row per id on both sides
-    start = base.select(
-        F.col(id_col).alias("id"),
-        _state(F.lit(True), F.col("_seq_no"), F.col("_version")).alias("_start"),
-        F.col("_version").alias("_start_version"),
-    ).join(kinds.filter("_named"), "id", "full_outer")
-    seeds = {"_start": "_start", "_named": "_named", "_external": "_external"}
-    topped = prefix_scan(
-        ops,
-        ["id"],
-        "_slice",
-        ["seq"],
-        {"_top": ("max", F.when(external, F.col("version")))},
-        inclusive=False,
-        seed=(start, {"_top": "_start_version", **seeds}),
-    )
-    beats = F.when(F.col("version_type") == "external_gte", F.col("version") >= F.coalesce("_top", F.lit(0))).otherwise(
-        F.col("version") > F.coalesce("_top", F.lit(0))
-    )
-    whole = F.coalesce(F.col("_seed__named") & ~F.col("_seed__external"), F.lit(False))
-    only_external = F.coalesce("_seed__external", F.lit(False))
-    plain = op.isin("index", "delete") & F.col("if_seq_no").isNull() & F.col("version").isNull() & ~whole
-    # a cutting change is judged as the last of the segment it ends
-    cut = F.when(plain, _state(op == "index", F.col("seq"), F.lit(0))).when(
-        only_external & beats, _state(op == "index", F.col("seq"), F.col("version"))
-    )
-    marked = prefix_scan(
-        topped, ["id"], "_slice", ["seq"], {"_cut": ("last", cut)}, inclusive=False
-    )
-    entry = F.coalesce("_cut", "_seed__start", _state(F.lit(False), F.lit(-1), F.lit(0)))
-    rows = marked.withColumn("_entry", entry).select(
-        "id",
-        F.col("_entry.seq").alias("seg"),
-        "_slice",
-        "seq",
-        "op",
-        _inserts().alias("inserts"),
-        "if_seq_no",
-        "version",
-        "version_type",
-        F.col("_entry.present").alias("present0"),
-        F.col("_entry.seq").alias("seq0"),
-        F.col("_entry.version").alias("version0"),
-        F.col("_seed__start").isNotNull().alias("known"),
-        whole.alias("whole"),
-        only_external.alias("external"),
-    )
-    hot = hot_keys(ops, ["id"], hot_share).withColumn("_hot", F.lit(True))
-    rows = rows.join(F.broadcast(hot), "id", "left").withColumn(
-        "_hot", F.coalesce("_hot", F.lit(False)) & ~F.col("whole") & ~F.col("external")
-    )
-    rows = stored(rows, "changes-to-judge")
-    # with external versions alone, every change of a segment but the last is refused: its
-    # state does not change, so its slices need not know of each other
-    where = ["id", "seg", "_part"]
-    streamed = (
-        rows.filter("NOT _hot")
-        .withColumn("_part", F.when(F.col("external"), F.col("_slice")).otherwise(F.lit(-1)))
-        .repartition(*where)
-        .sortWithinPartitions(*where, "seq")
-        .mapInPandas(partial(_judge, where=where), JUDGED)
-    )
-    judged = streamed.unionByName(_judge_in_slices(rows.filter("_hot")))
-    return ops.join(judged, "seq")
-
-
-JUDGED = "seq bigint, result string, _in_base boolean"
-
-
-def _judge_in_slices(rows: DataFrame) -> DataFrame:
-    """Outcomes of hot ids that name no versions, slice by slice.
-
-    After its first effective change a slice goes on the same way whatever it was entered
-    with. So each slice reports, in parallel, the state it ends with for an absent id, for a
-    present one, and for the sequence numbers its conditions ask for; a pass over these
-    reports, one row per slice, finds the true entries; the slices are then judged apart.
-    """
-    kind = {f.name: f.dataType for f in rows.schema.fields}["id"]
-    state = T.StructType([T.StructField("present", T.BooleanType()), T.StructField("seq", T.LongType())])
-    asked = T.StructType([T.StructField("asked", T.LongType()), *state.fields])
-    place = [T.StructField("id", kind), T.StructField("seg", T.LongType()), T.StructField("_slice", T.LongType())]
-    reported = T.StructType(
-        [
-            *place,
-            T.StructField("present0", T.BooleanType()),
-            T.StructField("absent", state),
-            T.StructField("other", state),
-            T.StructField("named", T.ArrayType(asked)),
-        ]
-    )
-    where = ["id", "seg", "_slice"]
-    reports = rows.repartition(*where).sortWithinPartitions(*where, "seq").mapInPandas(_report, reported)
-    entries = (
-        reports.repartition("id", "seg")
-        .sortWithinPartitions(*where)
-        .mapInPandas(_thread, T.StructType([*place, *state.fields]))
-        .withColumnsRenamed({"present": "present0", "seq": "seq0"})
-    )
-    return (
-        rows.drop("present0", "seq0")
-        .join(entries, where)
-        .repartition(*where)
-        .sortWithinPartitions(*where, "seq")
-        .mapInPandas(partial(_judge, where=where), JUDGED)
-    )
-
-
-def _report(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """What each slice makes of the states it may be entered with; null = leaves it alone."""
-    for pdf in _whole(batches, ["id", "seg", "_slice"]):
-        out = []
-        for name, rows in pdf.groupby(["id", "seg", "_slice"], sort=False):
-            out.append((*name, bool(rows["present0"].iloc[0]), *_exits(rows)))
-        columns = ["id", "seg", "_slice", "present0", "absent", "other", "named"]
-        yield pd.DataFrame(out, columns=columns)
-
-
-def _exits(rows: pd.DataFrame) -> tuple:
-    """States after the rows: entered absent, entered present, and present with each asked
-    sequence number for which that makes a difference."""
-    n = len(rows)
-    ops, seqs = rows["op"].tolist(), rows["seq"].tolist()
-    cas, inserts = rows["if_seq_no"].tolist(), rows["inserts"].tolist()
-    waiting: dict[int, int] = {}  # asked sequence number -> first row from here on
-    if_absent = if_present = n  # first row from here on that is effective then
-    ends: list[int] = [n] * (n + 1)  # the last effective row if row i is one
-    after = [None] * (n + 1)
-    for i in range(n - 1, -1, -1):
-        stays = ops[i] != "delete"
-        following = min(if_present, waiting.get(seqs[i], n)) if stays else if_absent
-        ends[i] = i if following == n else ends[following]
-        if pd.isna(cas[i]):
-            if ops[i] in ("index", "delete") or (ops[i] == "update" and inserts[i]):
-                if_absent = if_present = i
-            elif ops[i] == "create":
-                if_absent = i
-            else:
-                if_present = i
-        elif ops[i] != "create":
-            waiting[int(cas[i])] = i
-        after[i] = {"present": stays, "seq": int(seqs[i])}
-    last = lambda i: None if i == n else after[ends[i]]
-    named = [{"asked": a, **last(i)} for a, i in waiting.items() if i < if_present]
-    return last(if_absent), last(if_present), named
-
-
-def _thread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """True entry state of every slice, from the reports in order."""
-    where = state = None
-    for pdf in batches:
-        out = []
-        for ident, seg, number, present0, absent, other, named in pdf.itertuples(index=False):
-            if (ident, seg) != where:
-                where, state = (ident, seg), {"present": present0, "seq": seg}
-            out.append((ident, seg, number, state["present"], state["seq"]))
-            if not state["present"]:
-                left = absent
-            else:
-                left = next((n for n in named if n["asked"] == state["seq"]), other)
-            state = left if left is not None else state
-        yield pd.DataFrame(out, columns=["id", "seg", "_slice", "present", "seq"])
-
-
-def _whole(batches: Iterator[pd.DataFrame], by: list[str]) -> Iterator[pd.DataFrame]:
-    """Frames in which no group of a partition sorted by `by` is cut."""
-    held: list[pd.DataFrame] = []
-    for pdf in batches:
-        if pdf.empty:
-            continue
-        end = pdf.iloc[-1][by]
-        if held and (held[-1].iloc[-1][by] == end).all():
-            held.append(pdf)
-            continue
-        tail = (pdf[by] == end).all(axis=1)
-        if held or not tail.all():
-            yield pd.concat([*held, pdf[~tail]], ignore_index=True)
-        held = [pdf[tail]]
-    if held:
-        yield pd.concat(held, ignore_index=True)
-
-
-def _state(present: Column, seq: Column, version: Column) -> Column:
-    return F.struct(
-        present.alias("present"), seq.cast("bigint").alias("seq"), version.cast("bigint").alias("version")
-    )
-
-
-def _judge(batches: Iterator[pd.DataFrame], where: list[str]) -> Iterator[pd.DataFrame]:
-    """Outcomes of changes sorted by group and seq; the state lives across batches."""
-    group = state = None
-    for pdf in batches:
-        out = []
-        names = list(zip(*[pdf[c] for c in where]))
-        for name, row in zip(names, pdf.itertuples(index=False)):
-            if name != group:
-                group = name
-                state = (bool(row.present0), int(row.seq0), int(row.version0))
-            result, state = judge(row, state)
-            out.append((row.seq, result, row.known))
-        yield pd.DataFrame(out, columns=["seq", "result", "_in_base"])
-
-
-def judge(row, state: tuple[bool, int, int]) -> tuple[str, tuple[bool, int, int]]:
-    """Outcome of one change and the state (present, seq, version) after it."""
-    present, seq, version = state
-    external = row.version_type in ("external", "external_gte")
-    if not pd.isna(row.if_seq_no) and not (present and int(row.if_seq_no) == seq):
-        return "conflict", state
-    if not pd.isna(row.version):
-        asked = int(row.version)
-        if external:
-            passed = asked >= version if row.version_type == "external_gte" else asked > version
-        else:
-            passed = present and asked == version
-        if not passed:
-            return "conflict", state
-        after = asked if external else version + 1
-    else:
-        after = version + 1
-    if row.op == "index":
-        return ("updated" if present else "created"), (True, row.seq, after)
-    if row.op == "create":
-        return ("conflict", state) if present else ("created", (True, row.seq, after))
-    if row.op == "delete":
-        return ("deleted" if present else "not_found"), (False, row.seq, after)
-    if present:
-        return "updated", (True, row.seq, after)
-    return ("created", (True, row.seq, after)) if row.inserts else ("not_found", state)
-
-
 # ---------------------------------------------------------------------------------------
 # Before a change is applied
 
@@ -585,19 +341,17 @@ class Reindexed(NamedTuple):
         return self.judged.filter("reason IS NOT NULL")
 
 
-def reindex(source: DataFrame, dest: DataFrame, id_col: str, order: Sequence[str], batch: int = 7000) -> Reindexed:
+def reindex(source: DataFrame, dest: DataFrame, id_col: str, order: Sequence[str]) -> Reindexed:
     """Copy the rows of `source` (with `_table`) whose id `dest` lacks; of several rows with
     one id the first by (_table, order) goes in, the rest are conflicts with `reason`.
 
     The winner per id is an aggregate, not a numbering, so copies of one id are combined
-    map-side; it comes back by a join that salts hot ids.
+    map-side. It is written before it is joined: the source is read twice in all, and both sides
+    of the join are dealt anew, so that Spark can split a hot id.
     """
-    if batch < 1:
-        raise ValueError("batch size must be positive")
     place = F.struct("_table", *order)
     first = source.groupBy(id_col).agg(F.min(place).alias("_first"))
     known = dest.select(id_col).withColumn("_known", F.lit(True))
-    first = first.join(known, id_col, "left")
-    judged = lookup_join(source, first, [id_col], [*order, "_table"], how="inner")
+    first = stored(first.join(known, id_col, "left"), "first-rows")
     reason = F.when(F.col("_known"), "in destination").when(place != F.col("_first"), "earlier source row")
-    return Reindexed(judged.withColumn("reason", reason).drop("_first", "_known"))
+    return Reindexed(source.join(first, id_col).withColumn("reason", reason).drop("_first", "_known"))

@@ -7,11 +7,10 @@ from datetime import timedelta
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.text import not_blank
-from slotwise.functions.timeslice import event_micros, micros, with_halo
+from slotwise.functions.timeslice import event_micros, floor_div, key_slices, micros, prefix_scan
 
 LEFT, RIGHT = 0, 1
 
@@ -31,24 +30,25 @@ def two_sided(left: DataFrame, right: DataFrame, key: str, ts: str, row_id: str,
     return side(left, LEFT).unionByName(side(right, RIGHT))
 
 
-def _matches(events: DataFrame, ttl: timedelta, delay: timedelta, width: timedelta) -> DataFrame:
-    """Right rows with the left row they consume, inside slices with their halos.
+_ORDER = ["us", "side", "id"]
+
+
+def _matches(events: DataFrame, ttl: timedelta, width: timedelta | None, ranges: int | None) -> DataFrame:
+    """Right rows with the left row they consume, in slices.
 
     The stored left row is overwritten by the next left row and removed by the next right
     row. What a right row finds is therefore the row just before it, if that is a left one.
     """
-    sliced = with_halo(events, "us", width, before=ttl, after=delay)
-    order = W.partitionBy("key", "_slice").orderBy("us", "side", "id")
-    before = F.lag(F.struct("us", "side", "id", "value")).over(order)
+    if width is None:
+        sliced = key_slices(events, ["key"], _ORDER, ranges)
+    else:
+        sliced = events.withColumn("_slice", floor_div(F.col("us"), micros(width)))
+    row = F.struct("us", "side", "id", "value")
+    sliced = sliced.withColumn("_k", F.struct("key"))
+    scanned = prefix_scan(sliced, ["key"], "_slice", _ORDER, {"_prev": ("last", row)}, inclusive=False)
     prev = F.col("_prev")
-    found = (
-        (F.col("side") == RIGHT)
-        & (prev["side"] == LEFT)
-        & (F.col("us") - prev["us"] < micros(ttl))
-    )
-    return sliced.withColumn("_prev", before).withColumn(
-        "_found", F.coalesce(found, F.lit(False))
-    )
+    found = (F.col("side") == RIGHT) & (prev["side"] == LEFT) & (F.col("us") - prev["us"] < micros(ttl))
+    return scanned.withColumn("_found", F.coalesce(found, F.lit(False)))
 
 
 def _output(df: DataFrame) -> DataFrame:
@@ -61,31 +61,29 @@ def _output(df: DataFrame) -> DataFrame:
     )
 
 
-def consume_once_join(events: DataFrame, ttl: timedelta, width: timedelta | None = None) -> DataFrame:
+def consume_once_join(
+    events: DataFrame, ttl: timedelta, width: timedelta | None = None, ranges: int | None = None
+) -> DataFrame:
     """Each right row takes (and removes) the key's stored left row, if it was written less
-    than `ttl` earlier and is not blank. Input as from `two_sided`."""
-    zero = timedelta(0)
-    joined = _matches(events, ttl, zero, width or 16 * ttl)
-    keep = F.col("_core") & F.col("_found") & not_blank(F.col("_prev.value"))
-    return _output(joined.filter(keep))
+    than `ttl` earlier and is not blank. Input as from `two_sided`.
+
+    Rows are worked on in slices of equal size (`ranges` of them, see `key_slices`), or of a time
+    `width`; of the slices before only their last row counts.
+    """
+    joined = _matches(events, ttl, width, ranges)
+    return _output(joined.filter(F.col("_found") & not_blank(F.col("_prev.value"))))
 
 
 def debounced_join(
-    events: DataFrame, ttl: timedelta, delay: timedelta, width: timedelta | None = None
+    events: DataFrame, ttl: timedelta, delay: timedelta, width: timedelta | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Like `consume_once_join`, but a match is emitted `delay` later, and only if no
     further right row of the key came up to then."""
-    joined = _matches(events, ttl, delay, width or 16 * (ttl + delay))
-    # rows in reverse order: the nearest right row already passed is the next one in time
-    reverse = (
-        W.partitionBy("key", "_slice")
-        .orderBy(F.desc("us"), F.desc("side"), F.desc("id"))
-        .rowsBetween(W.unboundedPreceding, -1)
-    )
-    next_right = F.last(F.when(F.col("side") == RIGHT, F.col("us")), ignorenulls=True)
-    staged = joined.withColumn("_next", next_right.over(reverse))
+    joined = _matches(events, ttl, width, ranges)
+    later = {"_next": ("last", F.when(F.col("side") == RIGHT, F.col("us")))}
+    staged = prefix_scan(joined, ["key"], "_slice", _ORDER, later, inclusive=False, reverse=True)
     quiet = F.col("_next").isNull() | (F.col("_next") > F.col("us") + micros(delay))
-    keep = F.col("_core") & F.col("_found") & quiet & not_blank(F.col("_prev.value"))
+    keep = F.col("_found") & quiet & not_blank(F.col("_prev.value"))
     return _output(staged.filter(keep)).withColumn(
         "fire_us", F.col("right_us") + micros(delay)
     )

@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from slotwise.functions.timeslice import event_micros, floor_div, micros, prefix_scan, with_halo
+from slotwise.functions.timeslice import even_slices, event_micros, floor_div, key_slices, micros, prefix_scan, with_halo
 
 
 def keyed(df: DataFrame, key: str, ts: str, row_id: str, *extra: Column) -> DataFrame:
@@ -54,7 +54,7 @@ class Matches(NamedTuple):
 
 
 def pattern_match(
-    df: DataFrame, steps: Sequence[Step], within: timedelta, width: timedelta | None = None
+    df: DataFrame, steps: Sequence[Step], within: timedelta, width: timedelta | None = None, ranges: int | None = None
 ) -> Matches:
     """All matches of a step sequence per key; every row accepted by the first step starts one.
 
@@ -63,20 +63,21 @@ def pattern_match(
     reaches.
 
     Built backwards: in reverse time order each row knows, for its step, the row that the
-    match goes on with, so a chain of windows over one partitioning does it all. The end is
-    at most `within` ahead, hence a halo is enough and no key is held whole.
+    match goes on with. For each step that is one reverse scan over slices of equal size
+    (`ranges` of them, see `key_slices`) or of a time `width`: of the slices behind only the
+    nearest row that counts is handed on, so no key is held whole, however dense.
     """
     span = micros(within)
-    zero = timedelta(0)
-    sliced = with_halo(df, "us", width or 16 * within, before=zero, after=within)
-    reverse = W.partitionBy("key", "_slice").orderBy(F.desc("us"), F.desc("id"))
-    passed = reverse.rowsBetween(W.unboundedPreceding, -1)
+    if width is None:
+        sliced = key_slices(df, ["key"], ["us", "id"], ranges)
+    else:
+        sliced = df.withColumn("_slice", floor_div(F.col("us"), micros(width)))
 
     # _r{k}: what becomes of a match standing at step k on this row. Null = it still waits
     # for a row; else where it ended and, if a `next` step was refused there, `dead`.
     last = len(steps) - 1
     us = F.col("us").alias("end_us")
-    staged = sliced.withColumn(
+    staged = sliced.withColumn("_k", F.struct("key")).withColumn(
         f"_r{last}", F.struct(us, F.array("id").alias("ids"), F.lit(False).alias("dead"))
     )
     for pos in range(last - 1, -1, -1):
@@ -84,22 +85,23 @@ def pattern_match(
         if step.follow == "next":
             refused = F.struct(us, F.array("id").alias("ids"), F.lit(True).alias("dead"))
             accepted = F.coalesce(step.predicate, F.lit(False))
-            target = F.lag(F.struct(F.when(accepted, later).otherwise(refused).alias("to"))).over(reverse)
+            target = F.struct(F.when(accepted, later).otherwise(refused).alias("to"))
         elif step.follow == "followed_by":
-            target = F.last(
-                F.when(step.predicate, F.struct(later.alias("to"))), ignorenulls=True
-            ).over(passed)
+            target = F.when(step.predicate, F.struct(later.alias("to")))
         else:
             raise ValueError(f"unknown step relation [{step.follow}]")
+        staged = prefix_scan(
+            staged, ["key"], "_slice", ["us", "id"], {f"_t{pos}": ("last", target)}, inclusive=False, reverse=True
+        )
         to = F.col(f"_t{pos}.to")
-        staged = staged.withColumn(f"_t{pos}", target).withColumn(
+        staged = staged.withColumn(
             f"_r{pos}",
             F.when(
                 to.isNotNull(),
                 F.struct(to["end_us"].alias("end_us"), F.concat(F.array("id"), to["ids"]).alias("ids"), to["dead"].alias("dead")),
             ),
         )
-    starts = staged.filter(F.col("_core") & steps[0].predicate)
+    starts = staged.filter(steps[0].predicate)
     ended = F.coalesce(F.col("_r0.end_us") - F.col("us") < span, F.lit(False))
     horizon = df.agg(F.max("us").alias("m")).scalar()
     side = F.when(ended & ~F.col("_r0.dead"), "match").when(
@@ -121,17 +123,17 @@ def pattern_match(
 
 
 def pattern_followed_by(
-    df: DataFrame, first: Column, second: Column, within: timedelta, width: timedelta | None = None
+    df: DataFrame, first: Column, second: Column, within: timedelta, width: timedelta | None = None, ranges: int | None = None
 ) -> Matches:
     """`first`, then (other rows allowed) `second`; one second row completes all open firsts."""
-    return pattern_match(df, [Step(first), Step(second, "followed_by")], within, width)
+    return pattern_match(df, [Step(first), Step(second, "followed_by")], within, width, ranges)
 
 
 def pattern_strict_next(
-    df: DataFrame, accept: Column, within: timedelta, times: int = 3, width: timedelta | None = None
+    df: DataFrame, accept: Column, within: timedelta, times: int = 3, width: timedelta | None = None, ranges: int | None = None
 ) -> DataFrame:
     """`times` consecutive accepted rows; overlapping matches are all reported."""
-    return pattern_match(df, [Step(accept)] * times, within, width).matched
+    return pattern_match(df, [Step(accept)] * times, within, width, ranges).matched
 
 
 def order_texts(matches: Matches) -> tuple[DataFrame, DataFrame]:
@@ -265,9 +267,25 @@ def _after(bound, entry) -> bool:
     return entry["id"] is not None and not pd.isna(entry["id"]) and bound["id"] > entry["id"]
 
 
+def _passed(us: np.ndarray, ids: np.ndarray, at_us: np.ndarray, at_ids: np.ndarray) -> np.ndarray:
+    """How many of the rows, sorted by (us, id), lie at or before each of the places (us, id)."""
+    code = np.unique(np.concatenate([ids, at_ids]), return_inverse=True)[1]
+    place = np.concatenate([np.zeros(len(us), dtype=bool), np.ones(len(at_us), dtype=bool)])
+    order = np.lexsort((place, code, np.concatenate([us, at_us])))
+    rows_up_to = np.cumsum(~place[order])
+    out = np.empty(len(order), dtype=np.int64)
+    out[order] = rows_up_to
+    return out[len(us) :]
+
+
 class _FailRun:
     """Close fails of one key in one time slice, in order. Each knows until where it would
-    keep the key from arming again: its deadline, or the success that cancels it."""
+    keep the key from arming again: its deadline, or the success that cancels it.
+
+    The fail that arms after fail i is `following[i]`, so the fails that arm form a chain of
+    pointers. Chains are followed by squaring them: after k steps each pointer spans 2**k
+    links, for all rows at once.
+    """
 
     def __init__(self, pdf: pd.DataFrame):
         self.us, self.id = pdf["us"].to_numpy(), pdf["id"].to_numpy()
@@ -275,11 +293,9 @@ class _FailRun:
         self.until = pdf["until_us"].to_numpy()
         self.until_id = pdf["until_id"].to_numpy()
         following = np.searchsorted(self.us, self.until, side="right")
-        for i in np.flatnonzero(self.cancelled):  # rows at the very time of the success
-            at = int(np.searchsorted(self.us, self.until[i], side="left"))
-            while at < following[i] and self.id[at] <= self.until_id[i]:
-                at += 1
-            following[i] = at
+        some = np.flatnonzero(self.cancelled)  # rows at the very time of the success count by id
+        if len(some):
+            following[some] = _passed(self.us, self.id, self.until[some], self.until_id[some].astype(self.id.dtype))
         self.following = following
 
     def _left(self, i: int) -> dict:
@@ -290,30 +306,38 @@ class _FailRun:
         """exits[i] = the place the key waits for after the slice, if i of the rows in
         `bounds` lie before the place it is entered with; None if it waits for none."""
         n, end = len(self.us), start + size
-        last = np.full(n + 1, -1, dtype=np.int64)  # the row whose wait leaves the slice
-        for i in range(n - 1, -1, -1):
-            last[i] = i if self.until[i] >= end else last[self.following[i]]
+        # the end of each chain: the row whose wait leaves the slice, n if none does
+        last = np.append(np.where(self.until >= end, np.arange(n), self.following), n)
+        while True:
+            further = last[last]
+            if (further == last).all():
+                break
+            last = further
         early = int(np.searchsorted(self.us, start + wait, side="right"))
-        bounds: list[dict] = []
-        exits = [None if last[0] < 0 else self._left(last[0])]
-        for i in range(early):
-            if last[i + 1] != last[i]:
-                bounds.append({"us": int(self.us[i]), "id": self.id[i]})
-                exits.append(None if last[i + 1] < 0 else self._left(last[i + 1]))
-        return bounds, exits
+        at = np.flatnonzero(last[1 : early + 1] != last[:early])
+        exits = [None if i == n else self._left(i) for i in last[np.append(0, at + 1)]]
+        return [{"us": int(self.us[i]), "id": self.id[i]} for i in at], exits
+
+    def _first(self, entry) -> int:
+        """The first row after a place."""
+        if not isinstance(entry, dict) and (entry is None or isinstance(entry, float)):
+            return 0
+        low, high = (int(np.searchsorted(self.us, entry["us"], side=s)) for s in ("left", "right"))
+        if entry["id"] is None or pd.isna(entry["id"]):
+            return high
+        return low + int(np.searchsorted(self.id[low:high], entry["id"], side="right"))
 
     def alerts(self, entry, wait: int) -> list[int]:
-        at = 0
-        if isinstance(entry, dict) or (entry is not None and not isinstance(entry, float)):
-            at = int(np.searchsorted(self.us, entry["us"], side="left"))
-            while at < len(self.us) and not _after({"us": self.us[at], "id": self.id[at]}, entry):
-                at += 1
-        out = []
-        while at < len(self.us):
-            if not self.cancelled[at]:
-                out.append(int(self.us[at]) + wait)
-            at = int(self.following[at])
-        return out
+        n = len(self.us)
+        jump, armed = np.append(self.following, n), np.zeros(n + 1, dtype=bool)
+        armed[self._first(entry)] = True
+        while True:
+            reached = armed.copy()
+            reached[jump[armed]] = True
+            if (reached == armed).all():
+                break
+            armed, jump = reached, jump[jump]
+        return (self.us[armed[:n] & ~self.cancelled] + wait).tolist()
 
 
 def whole_groups(batches: Iterator[pd.DataFrame]) -> Iterator[Iterator[tuple]]:
@@ -381,16 +405,16 @@ def late_split(
     us: str,
     row_id: str,
     delay: timedelta,
-    slice_width: timedelta,
+    slice_width: timedelta | None = None,
     seen: DataFrame | None = None,
 ) -> SplitRows:
     """Rows in arrival order against the running watermark: a row older than the largest
     event time that arrived before it, minus `delay`, is late. Allowed lateness is simply a
-    larger delay. The running maximum is over all rows, so it is scanned in slices. `seen`
+    larger delay. The running maximum is over all rows, so it is scanned in slices of
+    `slice_width`, or without one in slices of equally many rows. `seen`
     (one row, column `seen`) is the largest event time of earlier batches."""
-    staged = df.withColumn("_all", F.lit(0)).withColumn(
-        "_slice", floor_div(F.col(arrival), micros(slice_width))
-    )
+    slices = even_slices(df, arrival) if slice_width is None else floor_div(F.col(arrival), micros(slice_width))
+    staged = df.withColumn("_all", F.lit(0)).withColumn("_slice", slices)
     scanned = prefix_scan(
         staged,
         ["_all"],

@@ -113,8 +113,12 @@ def place_partitions(df: DataFrame, count: int) -> DataFrame:
     return df.repartitionById(count, F.col("partition_id"))
 
 
-def slice_rows(df: DataFrame, id_col: str, index: int, count: int, method: str = "xxhash64") -> DataFrame:
-    """Part `index` of `count` disjoint parts that together are the whole."""
+def in_slice(id_col: str, index: int, count: int, method: str = "xxhash64") -> Column:
     if not 0 <= index < count:
         raise ValueError(f"slice {index} of {count}")
-    return df.filter(F.pmod(slot_hash(F.col(id_col), method), F.lit(count)) == index)
+    return F.pmod(slot_hash(F.col(id_col), method), F.lit(count)) == index
+
+
+def slice_rows(df: DataFrame, id_col: str, index: int, count: int, method: str = "xxhash64") -> DataFrame:
+    """Part `index` of `count` disjoint parts that together are the whole."""
+    return df.filter(in_slice(id_col, index, count, method))

@@ -14,10 +14,9 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.text import query_tokens, tokens
 from slotwise.operators import buckets, filters, ordering, routing
+from slotwise.operators.term_index import SCORE_DIGITS, TermIndex, asked_variants, bm25_part, deletions
 
 UNKNOWN = -1  # fixed value: a statistic a shard does not have
-K1, B = 1.2, 0.75  # fixed values: BM25 saturation and length weight
-SCORE_DIGITS = 6
 
 
 # ---------------------------------------------------------------------------------------
@@ -79,54 +78,76 @@ def merge_field_statistics(parts: DataFrame) -> DataFrame:
 # Relevance
 
 
-def match_score(df: DataFrame, text: str, query: str, shard: str | None = None) -> DataFrame:
-    """Documents sharing a token with the query, with a BM25 `_score` (6 digits).
+@dataclass(frozen=True)
+class Figures:
+    """What relevance needs to know of a corpus: `rows` has a struct `_st` with n (documents with
+    tokens), len (tokens) and df0, df1, … (documents with each of `terms`), in one row or, where
+    scores rest on a document's own shard, in one per shard (`_sh`)."""
+
+    terms: tuple[str, ...]
+    rows: DataFrame
+    shard: str | None = None
+
+    def added_to(self, df: DataFrame) -> DataFrame:
+        if self.shard is None:
+            return df.withColumn("_st", self.rows.scalar())
+        # one row per shard: Spark broadcasts it while it is small
+        return df.join(self.rows, df[self.shard].eqNullSafe(self.rows["_sh"])).drop("_sh")
+
+    def score(self, terms: Sequence[str]) -> Column:
+        """BM25 (6 digits) of a row with `_dl`, `_tf` (a frequency for each of `terms`) and `_st`."""
+        score = F.lit(0.0)
+        for i, term in enumerate(terms):
+            seen = F.col(f"_st.df{self.terms.index(term)}")
+            score = score + bm25_part(F.col("_tf")[i], F.col("_dl"), seen, F.col("_st.n"), F.col("_st.len"))
+        return F.round(score, SCORE_DIGITS)
+
+
+def _counted(terms: Sequence[str]) -> dict[str, Column]:
+    """Length and frequencies of terms of a row's tokens `_t`."""
 
-    With `shard` the statistics are those of the document's own shard, else of all
-    documents. Frequencies of the query's terms are counted inside each row, so scoring is a
-    projection: only the statistics, one row (or one per shard), cross the network.
-    """
-    terms = query_tokens(query)
-    if not terms:
-        return df.withColumn("_score", F.lit(0.0)).filter(F.lit(False))
     def freq(term: str) -> Column:
         return F.size(F.filter("_t", lambda t: t == F.lit(term)))
 
-    counts = {"_dl": F.size("_t"), "_tf": F.array(*[freq(t) for t in terms])}
+    return {"_dl": F.size("_t"), "_tf": F.array(*[freq(t) for t in terms])}
+
+
+def text_figures(df: DataFrame, text: str, terms: Sequence[str], shard: str | None = None) -> Figures:
+    """Figures of a corpus for some terms, in one pass over its texts."""
     sums = [
         F.count_if(F.col("_dl") > 0).alias("n"),
         F.sum(F.col("_dl").cast("bigint")).alias("len"),
         *[F.count_if(F.col("_tf")[i] > 0).alias(f"df{i}") for i in range(len(terms))],
     ]
     group = [shard] if shard else []
-    narrow = df.select(*group, tokens(F.col(text)).alias("_t")).select(
-        *group, *[c.alias(n) for n, c in counts.items()]
-    )
+    narrow = df.select(*group, tokens(F.col(text)).alias("_t")).select(*group, *[c.alias(n) for n, c in _counted(terms).items()])
+    if shard is None:
+        return Figures(tuple(terms), narrow.agg(*sums).select(F.struct("*").alias("_st")))
+    stat = narrow.groupBy(shard).agg(*sums)
+    values = F.struct(*[c for c in stat.columns if c != shard]).alias("_st")
+    return Figures(tuple(terms), stat.select(F.col(shard).alias("_sh"), values), shard)
+
+
+def match_score(df: DataFrame, text: str, query: str, shard: str | None = None, figures: Figures | None = None) -> DataFrame:
+    """Documents sharing a token with the query, with a BM25 `_score` (6 digits).
+
+    With `shard` the statistics are those of the document's own shard, else of all
+    documents; `figures` are those of another corpus, such as the whole of which `df` is a part.
+    Frequencies of the query's terms are counted inside each row, so scoring is a
+    projection: only the statistics, one row (or one per shard), cross the network.
+    """
+    terms = query_tokens(query)
+    if not terms:
+        return df.withColumn("_score", F.lit(0.0)).filter(F.lit(False))
+    figures = figures or text_figures(df, text, terms, shard)
     # Only rows that contain a term as text are tokenised for scoring. The exact test sits
     # in a generator: as a filter it would be pushed below and tokenise once more.
     low = F.lower(F.col(text))
     near = reduce(lambda a, b: a | b, [low.contains(t) for t in terms])
-    row = F.array(F.struct(*[c.alias(n) for n, c in counts.items()]))
+    row = F.array(F.struct(*[c.alias(n) for n, c in _counted(terms).items()]))
     hit = F.filter(row, lambda r: F.exists(r["_tf"], lambda f: f > 0))
     hits = df.filter(near).withColumn("_t", tokens(F.col(text))).select(*df.columns, F.inline(hit))
-    if shard is None:
-        stat = narrow.agg(*sums).select(F.struct("*").alias("_st"))
-        hits = hits.withColumn("_st", stat.scalar())
-    else:
-        # one row per shard: Spark broadcasts it while it is small
-        stat = narrow.groupBy(shard).agg(*sums)
-        values = F.struct(*[c for c in stat.columns if c != shard])
-        stat = stat.select(F.col(shard).alias("_sh"), values.alias("_st"))
-        hits = hits.join(stat, hits[shard].eqNullSafe(stat["_sh"])).drop("_sh")
-
-    length = F.col("_dl") / (F.col("_st.len") / F.col("_st.n"))
-    score = F.lit(0.0)
-    for i in range(len(terms)):
-        seen, n = F.col(f"_st.df{i}"), F.col("_st.n")
-        idf = F.log(1 + (n - seen + 0.5) / (seen + 0.5))
-        tf = F.col("_tf")[i]
-        score = score + idf * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length))
-    return hits.withColumn("_score", F.round(score, SCORE_DIGITS)).drop("_dl", "_tf", "_st")
+    return figures.added_to(hits).withColumn("_score", figures.score(terms)).drop("_dl", "_tf", "_st")
 
 
 def boost_tables(df: DataFrame, boosts: Sequence[tuple[str, float]], score: str = "_score") -> DataFrame:
@@ -221,39 +242,35 @@ def expand_collapsed(
 
 
 def term_suggest(
-    df: DataFrame,
+    df: DataFrame | None,
     text: str,
     query: str,
     size: int = 5,
     mode: str = "missing",
     max_distance: int = 2,
+    index: TermIndex | None = None,
 ) -> DataFrame:
     """(token, suggestion, distance, doc_freq, rank) for the tokens of `query`.
 
     Mode `missing` suggests only for tokens no document has, `popular` only terms in more
     documents than the token, `always` without condition. Order: distance, frequency
-    descending, term. Distances are taken per document before anything is shuffled, and only
-    close terms are: the vocabulary as a whole is never built.
+    descending, term. Candidates are found by equality: terms that, with up to `max_distance`
+    letters left out, equal a token with as many left out. Distances are taken of these only.
+    With an `index` the forms of its terms are stored, and no text is read.
     """
     if mode not in ("missing", "popular", "always"):
         raise ValueError(f"unknown suggest mode [{mode}]")
     asked = query_tokens(query)
-    pairs = F.array(*[F.lit(t) for t in asked]) if asked else F.array().cast("array<string>")
-    words = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
-    near = reduce(
-        lambda a, b: a | b,
-        [
-            (F.abs(F.length("term") - len(t)) <= max_distance)
-            & (F.levenshtein("term", F.lit(t), max_distance) >= 0)
-            for t in asked
-        ],
-        F.lit(False),
-    )
-    freqs = words.filter(near).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    per_token = freqs.withColumn("token", F.explode(pairs)).withColumn(
-        "distance", F.levenshtein("term", "token", max_distance)
-    )
-    per_token = per_token.filter(F.col("distance") >= 0)
+    if index is not None:
+        near = index.near_terms(asked, max_distance)
+    else:
+        sizes = [F.abs(F.char_length("term") - len(t)) <= max_distance for t in asked]
+        fits = reduce(lambda a, b: a | b, sizes, F.lit(False))
+        words = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term")).filter(fits)
+        vocabulary = words.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+        forms = vocabulary.select("term", "doc_freq", F.explode(deletions(F.col("term"), max_distance)).alias("variant"))
+        near = forms.join(asked_variants(df.sparkSession, asked, max_distance), "variant").select("token", "term", "doc_freq").distinct()
+    per_token = near.withColumn("distance", F.levenshtein("term", "token", max_distance)).filter("distance >= 0")
     own = F.max(F.when(F.col("distance") == 0, F.col("doc_freq"))).over(W.partitionBy("token"))
     staged = per_token.withColumn("_own", F.coalesce(own, F.lit(0))).filter("distance > 0")
     if mode == "missing":
@@ -347,25 +364,45 @@ class SearchResult:
     aggs: dict[str, DataFrame]
 
 
-def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
-    r = request
-    found = docs
+def _check(r: SearchRequest) -> None:
     if r.terminate_after and not r.shard:
         raise ValueError("terminate_after works per shard: name the shard column")
     if r.shard_statistics and not r.shard:
         raise ValueError("statistics of shards need the shard column")
     if r.rescore and (r.sort or r.collapse or r.search_after is not None):
         raise ValueError("rescore goes with neither sort nor collapse nor search_after")
-    if r.match is not None:
-        # statistics are those of all documents, so scoring comes before the filters
-        found = match_score(found, r.text, r.match, r.shard if r.shard_statistics else None)
-    else:
-        found = found.withColumn("_score", F.lit(1.0))
-    found = boost_tables(found, r.boosts)
+    if r.rescore and r.rescore.window <= 0:
+        raise ValueError("rescore window must be positive")
+
+
+def _filtered(found: DataFrame, r: SearchRequest) -> DataFrame:
     if r.slice:
         found = routing.slice_rows(found, r.slice.field, r.slice.index, r.slice.count, r.slice.method)
-    if r.query is not None:
-        found = found.filter(filters.query_filter(r.query))
+    return found if r.query is None else found.filter(filters.query_filter(r.query))
+
+
+def search(docs: DataFrame, request: SearchRequest, tie: str, index: TermIndex | None = None) -> SearchResult:
+    """A page of hits, figures and aggregations of one search.
+
+    With an `index` of the same documents no text is read but those of the page. Where the best
+    documents are asked for without own sort, collapse, boosts or paging by values, blocks of
+    postings that cannot reach the page are skipped.
+    """
+    r = request
+    _check(r)
+    # statistics are those of all documents, so scoring comes before the filters
+    figures = None
+    if r.match is None:
+        found = docs.withColumn("_score", F.lit(1.0))
+    elif index is not None:
+        found = docs.join(index.match_score(r.match, r.shard_statistics).drop("shard"), tie)
+    else:
+        shard = r.shard if r.shard_statistics else None
+        if r.rescore and shard is None:  # one pass for the terms of both queries
+            both = query_tokens(r.match) + query_tokens(r.rescore.match)
+            figures = text_figures(docs, r.text, list(dict.fromkeys(both)))
+        found = match_score(docs, r.text, r.match, shard, figures)
+    found = _filtered(boost_tables(found, r.boosts), r)
     if r.min_score is not None:
         found = filters.min_score(found, r.min_score)
     if r.terminate_after:  # counts matching documents; their scores rest on all documents
@@ -378,9 +415,11 @@ def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
     order = ordering.sort_columns(keys, tie)
     narrow = list(dict.fromkeys([tie, "_score", *[k for k, _ in keys]]))
     ranked = found
+    bare = not (r.sort or r.collapse or r.boosts or r.terminate_after or r.search_after is not None)
+    if index is not None and r.match is not None and bare:
+        ranked = _best_of(index, docs, r, tie)
     if r.rescore:
-        second = match_score(docs, r.text, r.rescore.match).select(tie, F.col("_score").alias("second_score"))
-        ranked = ordering.rescore(found.select(*narrow), second, tie, r.rescore.window, r.rescore.weight)
+        ranked = _rescored(docs, ranked.select(tie, "_score"), r, tie, index, figures)
         order, narrow = ordering.rescored_order(tie), [*narrow, "_rescored"]
     if r.collapse:
         ranked = ordering.collapse(ranked, r.collapse, order)
@@ -402,6 +441,47 @@ def search(docs: DataFrame, request: SearchRequest, tie: str) -> SearchResult:
     )
 
 
+def _pool(r: SearchRequest) -> int:
+    """How many of the best hits a page can need."""
+    return max(r.from_ + r.size, r.rescore.window if r.rescore else 0)
+
+
+def _best_of(index: TermIndex, docs: DataFrame, r: SearchRequest, tie: str) -> DataFrame:
+    """(id, _score) of the best hits, from the blocks of postings that can hold them."""
+    allowed = None
+    if r.query is not None or r.slice or r.post_filter is not None:
+        allowed = _filtered(docs, r)
+        if r.post_filter is not None:
+            allowed = allowed.filter(filters.query_filter(r.post_filter))
+    best = index.top(r.match, _pool(r), r.shard_statistics, allowed).drop("shard")
+    return best if r.min_score is None else filters.min_score(best, r.min_score)
+
+
+def _rescored(
+    docs: DataFrame, found: DataFrame, r: SearchRequest, tie: str, index: TermIndex | None, figures: Figures | None
+) -> DataFrame:
+    """The best hits, those of the window scored by the second query too. Only their texts (or
+    postings) are looked at; its statistics are those of all documents."""
+    best = found.orderBy(*ordering.by_score(tie)).limit(_pool(r))
+    terms = query_tokens(r.rescore.match)
+    if not terms:
+        second = best.withColumn("_second", F.lit(0.0))
+    elif index is not None:
+        other = index.match_score(r.rescore.match, among=best).select(tie, F.col("_score").alias("_second"))
+        second = best.join(other, tie, "left")
+    else:
+        figures = figures or text_figures(docs, r.text, terms)
+        texts = docs.select(tie, tokens(F.col(r.text)).alias("_t")).join(best, tie)
+        row = F.array(F.struct(*[c.alias(n) for n, c in _counted(terms).items()]))
+        counted = figures.added_to(texts.select(tie, "_score", F.inline(row)))
+        second = counted.select(tie, "_score", figures.score(terms).alias("_second"))
+    # a numbering of one page
+    place = F.row_number().over(W.orderBy(*ordering.by_score(tie)))
+    placed = second.withColumn("_rescored", place <= r.rescore.window)
+    more = F.when(F.col("_rescored"), F.coalesce("_second", F.lit(0.0)) * r.rescore.weight).otherwise(0.0)
+    return placed.withColumn("_score", F.col("_score") + more).drop("_second")
+
+
 @dataclass
 class MultiResult:
     hits: DataFrame
@@ -433,9 +513,104 @@ def multi_search(
     return MultiResult(hits, spark.createDataFrame(outcomes, "search_no int, ok boolean, error string"))
 
 
+def shared_searches(
+    docs: DataFrame, requests: Sequence[SearchRequest], tie: str, columns: Sequence[str], max_concurrent: int | None = None
+) -> MultiResult:
+    """Several searches from one scan: every row is tagged with the numbers of all searches it
+    matches, and one row limit per number is taken in each task before the shuffle.
+
+    `hits` has search_no, `columns`, _score and _rank (from 1, within the search). Statistics for
+    the terms of all `match` parts come from one pass of their own. A search that cannot be
+    analysed becomes a failure, the others are not affected. Parts that need a pass of their own
+    (collapse, rescore, aggregations, paging by values, terminate_after, boosts, own shards'
+    statistics) are refused: use `multi_search` for these.
+    """
+    if not requests:
+        raise ValueError("no searches given")
+    if max_concurrent is not None and max_concurrent < 1:
+        raise ValueError("concurrency must be at least 1")
+    able: list[tuple[int, SearchRequest, list[str]]] = []
+    outcomes = []
+    for number, r in enumerate(requests):
+        try:
+            _check_shared(r)
+            conditions = [filters.query_filter(q) for q in (r.query, r.post_filter) if q is not None]
+            keys = ordering.parse_sort(r.sort) if r.sort else [("_score", False)]
+            fields = [F.col(k) for k, _ in keys if k != "_score"] + ([F.col(r.text)] if r.match is not None else [])
+            _ = docs.select(tie, *columns, *conditions, *fields).schema  # analysed, not run
+            able.append((number, r, query_tokens(r.match) if r.match is not None else []))
+            outcomes.append((number, True, None))
+        except (PySparkException, ValueError) as failure:
+            outcomes.append((number, False, type(failure).__name__))
+    if not able:
+        raise ValueError("all searches failed")
+    texts = {r.text for _, r, _ in able if r.match is not None}
+    if len(texts) > 1:
+        raise ValueError("shared searches match one text column")
+    terms = list(dict.fromkeys(t for _, _, own in able for t in own))
+    rows = docs
+    if terms:
+        text = texts.pop()
+        counted = F.array(F.struct(*[c.alias(n) for n, c in _counted(terms).items()]))
+        figures = text_figures(docs, text, terms)
+        rows = figures.added_to(docs.withColumn("_t", tokens(F.col(text))).select(*docs.columns, F.inline(counted)))
+    tags, order = [], []
+    for number, r, own in able:
+        score, holds = F.lit(1.0), F.lit(True)
+        if r.match is not None:
+            holds = reduce(lambda a, b: a | b, [F.col("_tf")[terms.index(t)] > 0 for t in own], F.lit(False))
+            score = _score_of(own, terms) if own else F.lit(0.0)
+        for q in (r.query, r.post_filter):
+            holds = holds & filters.query_filter(q) if q is not None else holds
+        if r.slice:
+            holds = holds & routing.in_slice(r.slice.field, r.slice.index, r.slice.count, r.slice.method)
+        holds = holds & (score >= r.min_score) if r.min_score is not None else holds
+        tags.append(F.when(holds, F.struct(F.lit(number).alias("search_no"), score.alias("_score"))))
+        for name, asc in ordering.parse_sort(r.sort) if r.sort else [("_score", False)]:
+            key = F.when(F.col("search_no") == number, F.col(name))  # constant in other searches
+            order.append(key.asc_nulls_last() if asc else key.desc_nulls_last())
+    kept = list(dict.fromkeys([tie, *columns, *[k for _, r, _ in able for k, _ in ordering.parse_sort(r.sort or "") if k != "_score"]]))
+    tagged = rows.select(*kept, F.inline(F.filter(F.array(*tags), lambda t: t.isNotNull())))
+    rank = F.row_number().over(W.partitionBy("search_no").orderBy(*order, F.col(tie).asc()))
+    most = max(r.from_ + r.size for _, r, _ in able)
+    ranked = tagged.withColumn("_rank", rank).filter(F.col("_rank") <= most)
+    page = reduce(
+        lambda a, b: a | b,
+        [(F.col("search_no") == n) & (F.col("_rank") > r.from_) & (F.col("_rank") <= r.from_ + r.size) for n, r, _ in able],
+    )
+    hits = ranked.filter(page).select("search_no", *columns, "_score", "_rank")
+    spark = docs.sparkSession
+    return MultiResult(hits, spark.createDataFrame(outcomes, "search_no int, ok boolean, error string"))
+
+
+def _check_shared(r: SearchRequest) -> None:
+    apart = (r.collapse, r.rescore, r.aggs, r.terminate_after, r.boosts, r.shard_statistics, r.inner_hits, r.search_after is not None)
+    if any(apart):
+        raise ValueError("this search needs a pass of its own")
+
+
+def _score_of(own: Sequence[str], terms: Sequence[str]) -> Column:
+    """The score of one search in a row with the frequencies of the terms of all."""
+    parts = []
+    for t in own:
+        i = terms.index(t)
+        parts.append(bm25_part(F.col("_tf")[i], F.col("_dl"), F.col(f"_st.df{i}"), F.col("_st.n"), F.col("_st.len")))
+    return F.round(reduce(lambda a, b: a + b, parts, F.lit(0.0)), SCORE_DIGITS)
+
+
 def slot_search(
-    docs: DataFrame, request: SearchRequest, tie: str, routes: Iterable[str], slot_count: int, method: str = "xxhash64"
+    docs: DataFrame,
+    request: SearchRequest,
+    tie: str,
+    routes: Iterable[str],
+    slot_count: int,
+    method: str = "xxhash64",
+    index: TermIndex | None = None,
 ) -> SearchResult:
-    """A search over the slots of the given routing values (at least one is required)."""
-    pruned = routing.slot_prune(docs, routing.require_routing(routes), slot_count, method)
-    return search(pruned, request, tie)
+    """A search over the slots of the given routing values (at least one is required). An `index`
+    must have the column `slot` as its shard; only the postings of these slots are read."""
+    values = routing.require_routing(routes)
+    pruned = routing.slot_prune(docs, values, slot_count, method)
+    if index is not None:
+        index = index.of_shards([routing.slot_of(F.lit(v), slot_count, method) for v in values])
+    return search(pruned, request, tie, index)

@@ -79,8 +79,10 @@ def running_reduce(
     value: Column,
     slice_width: timedelta | None = None,
     kind: str = "sum",
+    seed: DataFrame | None = None,
 ) -> DataFrame:
-    """The running `sum` or `max` of `value` per key, one output row per input row.
+    """The running `sum` or `max` of `value` per key, one output row per input row. `seed` (key,
+    total) has the values to go on from.
 
     Time is cut into slices of `slice_width`, or without one into slices of equally many
     rows, for which the times are looked at first.
@@ -91,9 +93,9 @@ def running_reduce(
     else:
         slices = floor_div(F.col("_us"), micros(slice_width))
     staged = staged.withColumn("_slice", slices)
-    return prefix_scan(
-        staged, [key], "_slice", ["_us", row_id], {"running": (kind, value)}
-    ).drop("_us", "_slice")
+    start = None if seed is None else (seed.select(key, "total"), {"running": "total"})
+    scanned = prefix_scan(staged, [key], "_slice", ["_us", row_id], {"running": (kind, value)}, seed=start)
+    return scanned.drop("_us", "_slice", "_seed_running")
 
 
 def numbered(df: DataFrame, group: str, order: str, slice_rows: int = 1_000_000) -> DataFrame:

@@ -144,7 +144,7 @@ def _salted_masked(spark, sf):
 )
 def _running_reduce(spark, sf):
     ev = table(spark, sf, "events")
-    out = windows.running_reduce(ev, "event_type", "ts", "event_id", cents("value"), 30 * MIN)
+    out = windows.running_reduce(ev, "event_type", "ts", "event_id", cents("value"))
     return out.select("event_id", "event_type", F.col("running").cast("double").alias("running"))
 
 
@@ -257,7 +257,7 @@ ARRIVALS_SQL = """
     """,
 )
 def _late_split(spark, sf):
-    split = patterns.late_split(_arrivals(spark, sf), "arrival", "us", "event_id", 2 * MIN, 10 * MIN)
+    split = patterns.late_split(_arrivals(spark, sf), "arrival", "us", "event_id", 2 * MIN)
     return split.tagged.select("event_id", "us", F.when(F.col("_late"), "late").otherwise("on_time").alias("side"))
 
 

@@ -7,8 +7,10 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from slotwise.functions.skew import spread
-from slotwise.operators import buckets, filters, ordering, routing, search
+from slotwise.operators import buckets, changes, filters, ordering, routing, search
+from slotwise.operators.term_index import TermIndex, build_index
 from slotwise.plans.registry import cents, ms, query, table
+from slotwise.session import scratch_dir, stored
 
 TOK = r"regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+')"
 ASKED = "with from les"
@@ -206,7 +208,7 @@ def _search_after(spark, sf):
     """,
 )
 def _scroll_pages(spark, sf):
-    from slotwise.session import scratch_dir
+    from slotwise.session import scratch_dir, stored
 
     orders = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
     pages = ordering.scroll_pages(
@@ -382,6 +384,57 @@ def _agg_filter(spark, sf):
     )
 
 
+@query(
+    "agg_search_nested",
+    """
+    WITH o AS (SELECT o_orderpriority AS priority, date_trunc('year', o_orderdate) AS y, o_totalprice AS p FROM orders),
+    one AS (SELECT priority, count(*) AS n FROM o GROUP BY 1 ORDER BY n DESC, priority LIMIT 3),
+    two AS (SELECT priority, y, count(*) AS n FROM o JOIN one USING (priority) GROUP BY priority, y
+            QUALIFY row_number() OVER (PARTITION BY priority ORDER BY count(*) DESC, y) <= 4),
+    lows AS (SELECT * FROM (VALUES ('*-100000', 0, 100000), ('50000-200000', 50000, 200000), ('200000-*', 200000, 1e18)) AS v(label, lo, hi)),
+    b AS (
+      SELECT 1 AS depth, priority, NULL::TIMESTAMP AS y, NULL AS price, count(*) AS doc_count, sum(p::DECIMAL(18,2))::DOUBLE AS total FROM o JOIN one USING (priority) GROUP BY ALL
+      UNION ALL SELECT 2, priority, y, NULL, count(*), sum(p::DECIMAL(18,2))::DOUBLE FROM o JOIN two USING (priority, y) GROUP BY ALL
+      UNION ALL SELECT 3, priority, y, label, count(*), sum(p::DECIMAL(18,2))::DOUBLE FROM o JOIN two USING (priority, y) JOIN lows ON p >= lo AND p < hi GROUP BY ALL)
+    SELECT depth, priority, epoch_ms(y) AS year_ms, price, doc_count, total FROM b
+    """,
+)
+def _agg_nested(spark, sf):
+    levels = [
+        buckets.by_terms("priority", "o_orderpriority", size=3),
+        buckets.Level("year", buckets.by_date("year", "o_orderdate", "year").labels, size=4),
+        buckets.by_ranges("price", "o_totalprice", [(None, 100000), (50000, 200000), (200000, None)]),
+    ]
+    out = buckets.tree(table(spark, sf, "orders"), levels, [F.sum(cents("o_totalprice")).cast("double").alias("total")])
+    return out.select("depth", "priority", ms(F.col("year")).alias("year_ms"), "price", "doc_count", "total")
+
+
+@query(
+    "agg_search_merged",
+    """
+    SELECT count(*) AS doc_count, min(o_totalprice) AS price_min, max(o_totalprice) AS price_max, sum(o_totalprice::DECIMAL(18,2))::DOUBLE AS price_sum,
+           sum(o_totalprice::DECIMAL(18,2))::DOUBLE / count(o_totalprice) AS price_avg, count(DISTINCT o_custkey) AS customers,
+           true AS customers_near, true AS median_near
+    FROM orders
+    """,
+)
+def _agg_merged(spark, sf):
+    """Aggregates stored for each month and merged; sketches are held against exact figures."""
+    orders = table(spark, sf, "orders").withColumn("month", F.date_trunc("month", "o_orderdate"))
+    fields = ["o_totalprice", "o_custkey"]
+    parts = stored(buckets.partial_aggregates(orders, ["month"], fields), "partial-aggregates")
+    told = buckets.estimates(buckets.merged_aggregates(parts, ["month"], fields, batch=16), fields, [50])
+    exact = orders.agg(F.count_distinct("o_custkey")).scalar()
+    median = buckets.percentiles(orders, "o_totalprice", [47, 53]).agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
+    told = told.withColumn("customers", exact).withColumn("m", median).withColumn("p50", F.col("o_totalprice_percentiles")[0])
+    return told.select(
+        "doc_count", F.col("o_totalprice_min").alias("price_min"), F.col("o_totalprice_max").alias("price_max"),
+        F.col("o_totalprice_sum").cast("double").alias("price_sum"), F.col("o_totalprice_avg").alias("price_avg"), "customers",
+        (F.abs(F.col("o_custkey_cardinality") - F.col("customers")) <= 0.03 * F.col("customers")).alias("customers_near"),
+        F.col("p50").between(F.col("m.lo"), F.col("m.hi")).alias("median_near"),
+    )
+
+
 MONTHS_SQL = """
     WITH m AS (SELECT o_orderstatus AS status, epoch_ms(date_trunc('month', o_orderdate)) AS month_ms, count(*) AS doc_count
                FROM orders GROUP BY ALL)
@@ -488,6 +541,11 @@ query("term_suggest_popular", suggest_sql("doc_freq > own"))(_suggest("popular")
 query("term_suggest_always", suggest_sql("true"))(_suggest("always"))
 
 
+@query("term_suggest_indexed", suggest_sql("doc_freq > own"))
+def _term_suggest_indexed(spark, sf):
+    return search.term_suggest(None, "text", "Thier wihth, from qxvwk", mode="popular", index=_indexed(spark, sf))
+
+
 @query(
     "prefix_suggest",
     """
@@ -531,19 +589,29 @@ def _multi_search_outcomes(spark, sf):
 
 
 def _searches(spark, sf):
-    docs = _docs(spark, sf).select("doc_id", "lang", "source", "n_chars")
+    requests = [
+        search.SearchRequest(query={"term": {"lang": "de"}}, sort="n_chars:desc", size=10),
+        search.SearchRequest(query={"term": {"no_such_field": 1}}, sort="n_chars:asc", size=5),
+        search.SearchRequest(query={"term": {"source": "src1"}}, sort="n_chars:asc", size=5),
+    ]
+    return search.shared_searches(_docs(spark, sf), requests, "doc_id", ["doc_id", "n_chars"])
 
-    def page(predicate, spec, size):
-        keys = ordering.parse_sort(spec)
-        found = docs.filter(predicate).select("doc_id", "n_chars")
-        return ordering.top_docs(found, ordering.sort_columns(keys, "doc_id"), size)
 
-    searches = [
-        lambda: page(F.col("lang") == "de", "n_chars:desc", 10),
-        lambda: page(F.col("no_such_field") == 1, "n_chars:asc", 5),
-        lambda: page(F.col("source") == "src1", "n_chars:asc", 5),
+@query(
+    "multi_search_scored",
+    f"""WITH a AS (WITH {bm25(ASKED)} SELECT 0 AS search_no, doc_id, score FROM hits WHERE lang IN ('fr', 'de') ORDER BY score DESC, doc_id LIMIT 12 OFFSET 3),
+    b AS (WITH {bm25('the les')} SELECT 1 AS search_no, doc_id, score FROM hits WHERE score >= 0.2 ORDER BY score DESC, doc_id LIMIT 20),
+    c AS (SELECT 2 AS search_no, doc_id, 1.0::DOUBLE AS score FROM documents WHERE source = 'src2' ORDER BY lang, n_chars DESC, doc_id LIMIT 7)
+    SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c""",
+)
+def _multi_search_scored(spark, sf):
+    requests = [
+        search.SearchRequest(text="text", match=ASKED, query={"terms": {"lang": ["fr", "de"]}}, size=12, from_=3),
+        search.SearchRequest(text="text", match="the les", min_score=0.2, size=20),
+        search.SearchRequest(query={"term": {"source": "src2"}}, sort="lang:asc,n_chars:desc", size=7),
     ]
-    return search.multi_search(spark, searches)
+    hits = search.shared_searches(_docs(spark, sf), requests, "doc_id", ["doc_id"]).hits
+    return hits.select("search_no", "doc_id", F.col("_score").alias("score"))
 
 
 SEARCH_SQL = f"""WITH {bm25(ASKED)},
@@ -552,8 +620,8 @@ SEARCH_SQL = f"""WITH {bm25(ASKED)},
 """
 
 
-def _result(spark, sf):
-    request = search.SearchRequest(
+def _request():
+    return search.SearchRequest(
         text="text",
         match=ASKED,
         query={"terms": {"lang": ["en", "fr"]}},
@@ -564,7 +632,10 @@ def _result(spark, sf):
         size=8,
         aggs={"sources": ("terms", {"field": "source", "size": None})},
     )
-    return search.search(_texts(spark, sf), request, "doc_id")
+
+
+def _result(spark, sf):
+    return search.search(_texts(spark, sf), _request(), "doc_id")
 
 
 @query("search", SEARCH_SQL + "SELECT doc_id, lang, source, score FROM c ORDER BY score DESC, doc_id LIMIT 8 OFFSET 2")
@@ -616,6 +687,123 @@ def _search_rescored(spark, sf):
     return hits.select("doc_id", "twice", F.col("_rescored").alias("rescored"), F.round("_score", 6).alias("score"))
 
 
+# ---------------------------------------------------------------------------------------
+# Searches with the stored postings of a table version
+
+_INDEXES: dict[tuple[str, str, str], TermIndex] = {}
+
+
+def _indexed(spark, sf) -> TermIndex:
+    """The index of `documents`, by `source`; built once for a session and table."""
+    key = (spark.sparkContext.applicationId, sf, "source")
+    if key not in _INDEXES:
+        index = build_index(_texts(spark, sf), "doc_id", "text", scratch_dir(spark, "term-index"), "source", block_docs=256)
+        _INDEXES[key] = index.with_variants()
+    return _INDEXES[key]
+
+
+@query("match_score_indexed", f"WITH {bm25(ASKED)} SELECT doc_id, score FROM hits")
+def _match_score_indexed(spark, sf):
+    return _indexed(spark, sf).match_score(ASKED).select("doc_id", F.col("_score").alias("score"))
+
+
+@query("match_score_slot_indexed", f"WITH {bm25(ASKED, 'source')} SELECT doc_id, source, score FROM hits")
+def _match_score_slot_indexed(spark, sf):
+    found = _indexed(spark, sf).match_score(ASKED, per_shard=True)
+    return found.select("doc_id", F.col("shard").alias("source"), F.col("_score").alias("score"))
+
+
+@query("top_docs_indexed", f"WITH {bm25(ASKED)} SELECT doc_id, score FROM hits ORDER BY score DESC, doc_id LIMIT 20 OFFSET 10")
+def _top_docs_indexed(spark, sf):
+    best = _indexed(spark, sf).top(ASKED, 30).withColumnRenamed("_score", "score").select("doc_id", "score")
+    return ordering.top_docs(best, ordering.by_score("doc_id", "score"), size=20, from_=10)
+
+
+@query(
+    "term_statistics_indexed",
+    f"""WITH w AS (SELECT doc_id, unnest({TOK}) AS term FROM documents)
+    SELECT term, count(DISTINCT doc_id) AS doc_freq, count(*) AS total_term_freq FROM w WHERE term <> '' GROUP BY term""",
+)
+def _term_statistics_indexed(spark, sf):
+    return _indexed(spark, sf).term_statistics()
+
+
+@query("search_indexed", SEARCH_SQL + "SELECT doc_id, lang, source, score FROM c ORDER BY score DESC, doc_id LIMIT 8 OFFSET 2")
+def _search_indexed(spark, sf):
+    hits = search.search(_docs(spark, sf), _request(), "doc_id", _indexed(spark, sf)).hits
+    return hits.select("doc_id", "lang", "source", F.col("_score").alias("score"))
+
+
+@query(
+    "search_filtered_indexed",
+    f"""WITH {bm25(ASKED)}
+    SELECT doc_id, lang, score FROM hits WHERE lang IN ('en', 'fr') AND n_chars >= 300 AND score >= 0.5 ORDER BY score DESC, doc_id LIMIT 12 OFFSET 4""",
+)
+def _search_filtered_indexed(spark, sf):
+    request = search.SearchRequest(
+        match=ASKED, query={"terms": {"lang": ["en", "fr"]}}, post_filter={"range": {"n_chars": {"gte": 300}}}, min_score=0.5, from_=4, size=12
+    )
+    hits = search.search(_docs(spark, sf), request, "doc_id", _indexed(spark, sf)).hits
+    return hits.select("doc_id", "lang", F.col("_score").alias("score"))
+
+
+@query(
+    "search_rescored_indexed",
+    f"""WITH a AS (WITH {bm25(ASKED)} SELECT * FROM hits), b AS (WITH {bm25('und the')} SELECT doc_id, score AS second FROM hits),
+    r AS (SELECT a.doc_id, score, second, row_number() OVER (ORDER BY score DESC, a.doc_id) AS pos FROM a LEFT JOIN b ON a.doc_id = b.doc_id),
+    s AS (SELECT doc_id, pos <= 30 AS rescored, score + CASE WHEN pos <= 30 THEN coalesce(second, 0) * 0.5::DOUBLE ELSE 0 END AS score FROM r WHERE pos <= 40)
+    SELECT doc_id, rescored, round(score, 6) AS score FROM s ORDER BY rescored DESC, s.score DESC, doc_id LIMIT 35""",
+)
+def _search_rescored_indexed(spark, sf):
+    request = search.SearchRequest(match=ASKED, rescore=search.Rescore("und the", window=30, weight=0.5), size=35)
+    hits = search.search(_docs(spark, sf), request, "doc_id", _indexed(spark, sf)).hits
+    return hits.select("doc_id", F.col("_rescored").alias("rescored"), F.round("_score", 6).alias("score"))
+
+
+CHANGED = """documents_changed AS (
+    SELECT doc_id, lang, source, n_chars, CASE WHEN doc_id % 10 = 5 THEN text || ' with extra from les' ELSE text END AS text
+    FROM documents WHERE doc_id % 10 <> 3
+    UNION ALL SELECT doc_id + 100000000, lang, source, n_chars, 'with les ' || lang FROM documents WHERE doc_id % 10 = 7)"""
+
+
+def _changed(spark, sf):
+    """The changed table, its outcomes, and the index of the version after the changes."""
+    docs, fields = _docs(spark, sf), ["lang", "source", "n_chars", "text"]
+    digit = F.col("doc_id") % 10
+    text = F.when(digit == 5, F.concat("text", F.lit(" with extra from les"))).when(digit == 7, F.concat(F.lit("with les "), "lang"))
+    ops = docs.filter(digit.isin(3, 5, 7)).select(
+        F.col("doc_id").alias("seq"),
+        F.when(digit == 3, "delete").when(digit == 5, "update").otherwise("index").alias("op"),
+        F.when(digit == 7, F.col("doc_id") + 100_000_000).otherwise(F.col("doc_id")).alias("id"),
+        *[F.when(digit == 7, F.col(c)).alias(c) for c in fields[:3]],
+        text.alias("text"),
+    )
+    applied = changes.apply_changes(docs, ops, "doc_id", fields)
+    key = (spark.sparkContext.applicationId, sf, "changed")
+    if key not in _INDEXES:
+        _INDEXES[key] = _indexed(spark, sf).compacted(scratch_dir(spark, "term-index")).after_changes(docs, applied.table, applied.outcomes)
+    return applied.table, _INDEXES[key]
+
+
+@query(
+    "search_after_changes",
+    f"WITH {CHANGED}, {bm25(ASKED).replace('documents', 'documents_changed')} SELECT doc_id, lang, score FROM hits ORDER BY score DESC, doc_id LIMIT 50",
+)
+def _search_after_changes(spark, sf):
+    docs, index = _changed(spark, sf)
+    hits = search.search(docs, search.SearchRequest(match=ASKED, size=50), "doc_id", index).hits
+    return hits.select("doc_id", "lang", F.col("_score").alias("score"))
+
+
+@query(
+    "term_statistics_after_changes",
+    f"""WITH {CHANGED}, w AS (SELECT doc_id, unnest({TOK}) AS term FROM documents_changed)
+    SELECT term, count(DISTINCT doc_id) AS doc_freq, count(*) AS total_term_freq FROM w WHERE term <> '' GROUP BY term""",
+)
+def _term_statistics_after_changes(spark, sf):
+    return _changed(spark, sf)[1].term_statistics()
+
+
 SLOT_SQL = "('0x' || substr(md5(coalesce({0}, doc_id::VARCHAR)), 1, 8))::BIGINT % 8"
 
 
@@ -632,6 +820,22 @@ def _slot_search(spark, sf):
     return search.slot_search(placed, request, "doc_id", ["src1", "src4"], 8, "md5").hits.select("doc_id", "source", "n_chars")
 
 
+@query(
+    "slot_search_indexed",
+    f"""WITH pruned AS (SELECT * FROM documents
+      WHERE {SLOT_SQL.format('source')} IN (SELECT ('0x' || substr(md5(r), 1, 8))::BIGINT % 8 FROM (SELECT unnest(['src1', 'src4']) AS r))),
+    {bm25(ASKED).replace('documents', 'pruned')} SELECT doc_id, source, score FROM hits WHERE lang IN ('en', 'fr') ORDER BY score DESC, doc_id LIMIT 20""",
+)
+def _slot_search_indexed(spark, sf):
+    placed = routing.assign_slot(_docs(spark, sf), "doc_id", 8, 8, "source", method="md5")
+    key = (spark.sparkContext.applicationId, sf, "slot")
+    if key not in _INDEXES:
+        _INDEXES[key] = build_index(placed, "doc_id", "text", scratch_dir(spark, "term-index"), "slot", block_docs=256)
+    request = search.SearchRequest(match=ASKED, query={"terms": {"lang": ["en", "fr"]}}, size=20)
+    hits = search.slot_search(placed, request, "doc_id", ["src1", "src4"], 8, "md5", _INDEXES[key]).hits
+    return hits.select("doc_id", "source", F.col("_score").alias("score"))
+
+
 # ---------------------------------------------------------------------------------------
 # Node statistics: events as nodes, their properties as attributes
 

@@ -177,9 +177,24 @@ def _idle_close_stream(spark, sf):
     """,
 )
 def _running_stream(spark, sf):
-    rows = sources.keyed_stream(_stream(spark, sf), "event_type", "ts", "event_id", ZERO, F.col("user_id").alias("value"))
-    out = processors.transform(rows, "key", processors.RunningSum(), processors.RUNNING)
-    return _finish(spark, out, processors.RUNNING, "running")
+    path = scratch_dir(spark, "running")
+    rows = _in_parts(spark, sf).select("event_type", "ts", "event_id", "user_id")
+    batches.write_running(rows, "event_type", "ts", "event_id", "user_id", path, scratch_dir(spark, "running-checkpoint"))
+    done = spark.read.option("recursiveFileLookup", "true").parquet(f"{path}/rows")
+    return done.select(F.col("event_type").alias("key"), F.col("event_id").alias("id"), "running")
+
+
+def _in_parts(spark, sf, parts=5):
+    """The events as a stream of `parts` files in order of time, one for each micro-batch."""
+    event = table(spark, sf, "events")
+    at = event.withColumn("_us", us(F.col("ts")))
+    cuts = at.approxQuantile("_us", [k / parts for k in range(1, parts)], 0.001)
+    path = scratch_dir(spark, "events")
+    for low, high in zip([None, *cuts], [*cuts, None]):
+        some = at if low is None else at.filter(F.col("_us") >= low)
+        some = some if high is None else some.filter(F.col("_us") < high)
+        some.drop("_us").coalesce(1).write.mode("append").parquet(path)
+    return sources.stream_source(spark, path, event.schema, max_files=1)
 
 
 @query("local_combine_stream", ORACLES["local_combine"])
@@ -226,3 +241,27 @@ def _checkpointing(spark, sf):
     for _ in range(2):
         sources.run_to_files(rows, out, checkpoint)
     return sources.read_result(spark, out, rows.schema)
+
+
+@query(
+    "checkpointing_state",
+    """
+    SELECT event_type AS key, sum(user_id)::BIGINT AS total, sum(user_id)::BIGINT AS undisturbed, count(*) AS n, count(*) AS n_undisturbed
+    FROM events GROUP BY 1
+    """,
+)
+def _checkpointing_state(spark, sf):
+    """A run stopped in the middle and resumed, beside an undisturbed one: state and output of both."""
+    event = _in_parts(spark, sf)
+    told = []
+    for name in ("stopped", "whole"):
+        rows = sources.keyed_stream(event, "event_type", "ts", "event_id", ZERO, F.col("user_id").alias("value"))
+        running = processors.transform(rows, "key", processors.RunningSum(), processors.RUNNING)
+        out, checkpoint = scratch_dir(spark, name), scratch_dir(spark, f"{name}-checkpoint")
+        if name == "stopped":
+            sources.run_part(running, out, checkpoint, 2)
+        sources.run_to_files(running, out, checkpoint)
+        state = sources.read_state(spark, checkpoint, "total").select("key.key", F.col("value.total").alias("total"))
+        counts = sources.read_result(spark, out, processors.RUNNING).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+        told.append(state.join(counts, "key"))
+    return told[0].join(told[1].withColumnsRenamed({"total": "undisturbed", "n": "n_undisturbed"}), "key")

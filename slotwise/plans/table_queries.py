@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,13 +12,11 @@ from pyspark.sql import functions as F
 from slotwise.functions.skew import spread
 from slotwise.operators import changes, entities, joins, predicates, routing, windows
 from slotwise.plans import datasets
-from slotwise.plans.registry import cents, ms, query, table
-from slotwise.session import scratch_dir
+from slotwise.plans.registry import ORACLES, cents, ms, query, table
+from slotwise.session import scratch_dir, stored
 from slotwise.sources import bulk_ndjson, catalog, mapping, sinks, slots
 
 SLOTS, SHARDS = 8, 34
-# the sequence numbers of the change sets below reach about 10**16
-SEQ_SLICE = 10**14
 HASH = "('0x' || substr(md5({0}::VARCHAR), 1, 8))::BIGINT"
 
 
@@ -340,7 +339,19 @@ FOLD_SQL = f"""
 )
 def _apply_changes(spark, sf):
     base, ops = _change_set(spark, sf)
-    return changes.apply_changes(base, ops, "k", ["price", "flag"], slice_rows=SEQ_SLICE).table
+    return changes.apply_changes(base, ops, "k", ["price", "flag"]).table
+
+
+def _bucketed(spark, df, id_col):
+    """The table laid out by id, in as many buckets as there are partitions for shuffles."""
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return slots.write_buckets(df, f"slotwise_{uuid.uuid4().hex}", scratch_dir(spark, "buckets"), id_col, buckets)
+
+
+@query("apply_changes_bucketed", ORACLES["apply_changes"])
+def _apply_changes_bucketed(spark, sf):
+    base, ops = _change_set(spark, sf)
+    return changes.apply_changes(_bucketed(spark, base, "k"), ops, "k", ["price", "flag"]).table
 
 
 @query(
@@ -351,7 +362,7 @@ def _apply_changes(spark, sf):
 )
 def _apply_outcomes(spark, sf):
     base, ops = _change_set(spark, sf)
-    out = changes.apply_changes(base, ops, "k", ["price", "flag"], detect_noop=True, slice_rows=SEQ_SLICE).outcomes
+    out = changes.apply_changes(base, ops, "k", ["price", "flag"], detect_noop=True).outcomes
     return out.select("seq", "id", "result", "status")
 
 
@@ -374,9 +385,7 @@ def _conditional_set(spark, sf):
     return base, conditional
 
 
-@query(
-    "apply_changes_conditional",
-    f"""
+CONDITIONAL_SQL = f"""
     WITH RECURSIVE {OPS_SQL},
     c AS (SELECT seq, id, pos, ups, id % 10 = 3 AS ext, l_partkey AS part, l_partkey % 2 = 1 AS gte,
                  CASE WHEN id % 10 = 3 THEN CASE WHEN l_partkey % 5 = 0 THEN 'delete' ELSE 'index' END ELSE op END AS op,
@@ -390,7 +399,7 @@ def _conditional_set(spark, sf):
         SELECT id, pos,
                CASE WHEN result IN ('conflict', 'not_found') AND op <> 'delete' OR result = 'conflict' THEN alive ELSE op <> 'delete' END,
                CASE WHEN result IN ('conflict', 'not_found') AND op <> 'delete' OR result = 'conflict' THEN sq ELSE seq END,
-               CASE WHEN result = 'conflict' THEN ver WHEN ext THEN part ELSE ver + 1 END, seq, result
+               CASE WHEN result = 'conflict' OR (result = 'not_found' AND op <> 'delete') THEN ver WHEN ext THEN part ELSE ver + 1 END, seq, result
         FROM (SELECT c.id, c.pos, c.op, c.ext, c.part, c.seq, r.alive, r.sq, r.ver,
               CASE WHEN c.cas IS NOT NULL AND NOT (r.alive AND c.cas = r.sq) THEN 'conflict'
                    WHEN c.ext AND NOT (c.part > r.ver OR (c.gte AND c.part = r.ver)) THEN 'conflict'
@@ -399,15 +408,51 @@ def _conditional_set(spark, sf):
                    WHEN c.op = 'delete' THEN CASE WHEN r.alive THEN 'deleted' ELSE 'not_found' END
                    WHEN r.alive THEN 'updated' WHEN c.ups THEN 'created' ELSE 'not_found' END AS result
               FROM run r JOIN c ON c.id = r.id AND c.pos = r.pos + 1) x)
-    SELECT seq, id, result FROM run WHERE pos > 0
-    """,
-)
+"""
+
+
+@query("apply_changes_conditional", CONDITIONAL_SQL + "SELECT seq, id, result FROM run WHERE pos > 0")
 def _apply_conditional(spark, sf):
     base, ops = _conditional_set(spark, sf)
-    out = changes.apply_changes(base, ops, "k", ["price", "flag"], conditional=True, slice_rows=SEQ_SLICE).outcomes
+    out = changes.apply_changes(base, ops, "k", ["price", "flag"], conditional=True).outcomes
     return out.select("seq", "id", "result")
 
 
+@query(
+    "apply_changes_two_rounds",
+    CONDITIONAL_SQL
+    + """,
+    c2 AS (SELECT id, p.pos, 200000000000000000 + id * 10 + p.pos AS seq, CASE p.pos WHEN 1 THEN 'update' WHEN 2 THEN 'index' ELSE 'delete' END AS op,
+                  CASE WHEN p.pos = 1 THEN last END AS cas, CASE p.pos WHEN 2 THEN 1 + id % 4 WHEN 3 THEN 2 + id % 4 END AS want
+           FROM (SELECT id, max(seq) AS last FROM o GROUP BY id), (SELECT unnest([1, 2, 3]) AS pos) p),
+    run2(id, pos, alive, sq, ver) AS (
+        SELECT id, 0, alive, CASE WHEN alive THEN sq ELSE -1 END, CASE WHEN alive THEN ver ELSE 0 END
+        FROM (SELECT id, arg_max(alive, pos) AS alive, arg_max(sq, pos) AS sq, arg_max(ver, pos) AS ver FROM run GROUP BY id)
+        UNION ALL
+        SELECT r.id, c2.pos,
+               CASE WHEN passed THEN c2.op <> 'delete' ELSE alive END, CASE WHEN passed THEN c2.seq ELSE sq END, CASE WHEN passed THEN ver + 1 ELSE ver END
+        FROM run2 r JOIN c2 ON c2.id = r.id AND c2.pos = r.pos + 1,
+             LATERAL (SELECT coalesce(alive AND (cas IS NULL OR cas = sq) AND (want IS NULL OR want = ver), false) AS passed) x)
+    SELECT id AS k, sq AS seq_no, ver AS version FROM run2 WHERE pos = 3 AND alive
+    UNION ALL SELECT k, -1, 0 FROM b WHERE k NOT IN (SELECT id FROM o)""",
+)
+def _apply_two_rounds(spark, sf):
+    base, ops = _conditional_set(spark, sf)
+    fields = ["price", "flag"]
+    first = stored(changes.apply_changes(base, ops, "k", fields, conditional=True).table, "round")
+    last = ops.groupBy("id").agg(F.max("seq").alias("last")).withColumn("pos", F.explode(F.array(*[F.lit(p) for p in (1, 2, 3)])))
+    pos, null = F.col("pos"), F.lit(None).cast("bigint")
+    second = last.select(
+        (200_000_000_000_000_000 + F.col("id") * 10 + pos).alias("seq"),
+        F.when(pos == 1, "update").when(pos == 2, "index").otherwise("delete").alias("op"), "id",
+        *[F.lit(None).cast(ops.schema[f].dataType).alias(f) for f in fields],
+        F.when(pos == 1, F.col("last")).alias("if_seq_no"),
+        F.when(pos == 2, 1 + F.col("id") % 4).when(pos == 3, 2 + F.col("id") % 4).otherwise(null).alias("version"),
+    )
+    table = changes.apply_changes(first, second, "k", fields, conditional=True).table
+    return table.select("k", F.col("_seq_no").alias("seq_no"), F.col("_version").alias("version"))
+
+
 @query(
     "read_bulk_ndjson",
     """

@@ -42,16 +42,27 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh path in the cluster's shared folder (`spark.checkpoint.dir`).
-
-    Where that setting is absent the folder lies below the warehouse, which all executors
-    share as well.
-    """
+def _scratch_root(spark: SparkSession) -> str:
+    """The folder for scratch tables below `spark.checkpoint.dir`, which all executors share. Without
+    that setting a session in one process uses its warehouse; a cluster has to name a folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
-    return f"{root.rstrip('/')}/slotwise/{name}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/slotwise"
+
+
+def scratch_dir(spark: SparkSession, name: str) -> str:
+    """A fresh path in the cluster's shared folder."""
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> bool:
+    """Delete all scratch tables. Results read from them lazily, so call it when the results of a
+    job are written and no other job uses the folder. False if there were none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotwise.functions.schema import struct
+from slotwise.session import stored
 
 # Actions, which of them a document line follows, and the metadata keys.
 ACTIONS = ("index", "create", "update", "delete")
@@ -99,7 +100,8 @@ def read_bulk_ndjson(
         F.when(F.trim("value") == "", "blank").when(kind == "delete", "delete").otherwise("action"),
     )
     lines = marked.mapInPandas(_label, LINES)
-    blocks = marked.mapInPandas(_summarise, BLOCKS)
+    # one row per block, which several parts of the plan need: written once
+    blocks = stored(marked.mapInPandas(_summarise, BLOCKS), "bulk-blocks")
 
     # end_a / end_d: does the block end expecting an action, if it began expecting an action
     # / a document? Equal ends fix the state; otherwise the block keeps it or turns it round.

@@ -18,6 +18,19 @@ def write_slots(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.hint("rebalance", "slot", "shard").write.partitionBy("slot", "shard").mode(mode).parquet(path)
 
 
+def write_buckets(df: DataFrame, name: str, path: str, id_col: str, buckets: int) -> DataFrame:
+    """Write a table whose rows are laid out and sorted by id in `buckets` parts, and read it.
+
+    Changes and replacements then come to the table: with at least as many buckets as Spark has
+    partitions for shuffles, joins by `id_col` move the other side only.
+    """
+    if buckets < 1:
+        raise ValueError("a table needs a bucket")
+    rows = df.repartition(buckets, id_col)  # one file per bucket
+    rows.write.bucketBy(buckets, id_col).sortBy(id_col).option("path", path).format("parquet").saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def read_slots(
     spark: SparkSession,
     path: str,

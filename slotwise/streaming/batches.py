@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from slotwise.operators.patterns import late_split, side_outputs
+from slotwise.operators.windows import running_reduce
 
 
 def _run(df: DataFrame, handle, checkpoint: str) -> StreamingQuery:
@@ -66,3 +67,26 @@ def write_late_split(
         batch.unpersist()
 
     return _run(df, write, checkpoint)
+
+
+def write_running(df: DataFrame, key: str, ts: str, row_id: str, value: str, path: str, checkpoint: str) -> StreamingQuery:
+    """Running sums per key, files per batch as above.
+
+    Each micro-batch is scanned in slices, as in batch, so that a key's rows need not meet in one
+    task. The totals so far are a table per batch; a repeated batch reads its predecessor's and
+    writes its own again.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        before = spark.read.parquet(f"{path}/_totals/batch={number - 1}") if number > 0 else None
+        rows = running_reduce(batch, key, ts, row_id, F.col(value), seed=before)
+        rows.write.mode("overwrite").parquet(f"{path}/rows/batch={number}")
+        totals = batch.groupBy(key).agg(F.sum(value).alias("total"))
+        if before is not None:
+            totals = before.unionByName(totals).groupBy(key).agg(F.sum("total").alias("total"))
+        totals.write.mode("overwrite").parquet(f"{path}/_totals/batch={number}")
+        batch.unpersist()
+
+    return _run(df, write, checkpoint)

@@ -20,11 +20,13 @@ from slotwise.functions.schema import struct
 from slotwise.operators.joins import LEFT, RIGHT
 
 
-def transform(df: DataFrame, keys: str | list[str], processor: StatefulProcessor, schema: T.StructType) -> DataFrame:
-    """Run a processor per key in event time."""
+def transform(
+    df: DataFrame, keys: str | list[str], processor: StatefulProcessor, schema: T.StructType, mode: str = "EventTime"
+) -> DataFrame:
+    """Run a processor per key, its timers in event time or by the clock (`ProcessingTime`)."""
     keys = [keys] if isinstance(keys, str) else keys
     return df.groupBy(*keys).transformWithStateInPandas(
-        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode="EventTime"
+        statefulProcessor=processor, outputStructType=schema, outputMode="Append", timeMode=mode
     )
 
 
@@ -292,6 +294,40 @@ class IdleCloseWindow(StatefulProcessor):
         pass
 
 
+class IdleCloseByClock(StatefulProcessor):
+    """Windows that close `idle` after their last arrival by the clock of the executors, also if no
+    further row comes. Key is (key, win_end_us); rows carry how many events they stand for (`n`).
+    `close_us` is the time of closing. Runs in processing-time mode."""
+
+    def __init__(self, idle: int):
+        self.idle_ms = max(1, idle // 1000)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.window = handle.getValueState("window", "cnt bigint, timer bigint")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        cnt = sum(int(pdf["n"].sum()) for pdf in rows)
+        if self.window.exists():
+            held, timer = self.window.get()
+            cnt += held
+            self.handle.deleteTimer(timer)
+        timer = timerValues.getCurrentProcessingTimeInMs() + self.idle_ms
+        self.window.update((cnt, timer))
+        self.handle.registerTimer(timer)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if self.window.exists():
+            cnt, timer = self.window.get()
+            if timer <= expiredTimerInfo.getExpiryTimeInMs():
+                self.window.clear()
+                yield frame(FIRED, [(key[0], int(key[1]), cnt, timer * 1000)])
+
+    def close(self) -> None:
+        pass
+
+
 RUNNING = struct(key="string", id="bigint", running="bigint")
 
 

@@ -75,3 +75,21 @@ def run_to_files(df: DataFrame, path: str, checkpoint: str, fmt: str = "parquet"
 
 def read_result(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
+
+
+def run_part(df: DataFrame, path: str, checkpoint: str, batches: int, fmt: str = "parquet") -> None:
+    """Start a query into files and stop it once at least `batches` micro-batches are done, as a
+    failure would. `run_to_files` with the same folders goes on from there."""
+    query = (
+        df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint).trigger(processingTime="0 seconds").start(path)
+    )
+    try:
+        while query.isActive and (query.lastProgress is None or query.lastProgress["batchId"] + 1 < batches):
+            query.awaitTermination(0.1)
+    finally:
+        query.stop()
+
+
+def read_state(spark: SparkSession, checkpoint: str, variable: str) -> DataFrame:
+    """The state a query has left in its checkpoint: a row (key, value) per key."""
+    return spark.read.format("statestore").option("stateVarName", variable).load(checkpoint).select("key", "value")

@@ -139,3 +139,52 @@ def test_restart_after_a_failure_gives_every_row_once(spark):
 def test_kafka_options_are_only_built():
     options = sources.kafka_source_options(["h1:9092", "h2:9092"], ["t"], 500)
     assert options["kafka.bootstrap.servers"] == "h1:9092,h2:9092" and options["maxOffsetsPerTrigger"] == "500"
+
+
+def test_windows_close_by_the_clock_without_further_rows(spark, tmp_path):
+    """Two batches of rows, then silence: the timer alone closes each window, once."""
+    import time
+
+    folder, out = f"{tmp_path}/in", f"{tmp_path}/out"
+
+    def arrive(rows):
+        spark.createDataFrame(rows, "key string, win_end_us bigint").coalesce(1).write.mode("append").parquet(folder)
+
+    arrive([("a", 10), ("a", 10), ("b", 10)])
+    rows = sources.stream_source(spark, folder, spark.read.parquet(folder).schema).withColumn("n", F.lit(1).cast("bigint"))
+    fired = processors.transform(rows, ["key", "win_end_us"], processors.IdleCloseByClock(4_000_000), processors.FIRED, "ProcessingTime")
+    query = fired.writeStream.format("parquet").option("checkpointLocation", f"{tmp_path}/c").trigger(processingTime="200 milliseconds").start(out)
+
+    def wait(count):
+        end = time.time() + 90
+        while time.time() < end and query.exception() is None:
+            if query.lastProgress is not None and len(done := spark.read.schema(processors.FIRED).parquet(out).collect()) >= count:
+                return sorted((r.key, r.win_end_us, r.cnt) for r in done)
+            time.sleep(0.3)
+        raise AssertionError(query.exception() or "no window closed")
+
+    try:
+        assert wait(2) == [("a", 10, 2), ("b", 10, 1)]  # nothing came after the first rows
+        arrive([("a", 10), ("c", 20)])
+        assert wait(4) == [("a", 10, 1), ("a", 10, 2), ("b", 10, 1), ("c", 20, 1)]  # a late row opens a new firing
+    finally:
+        query.stop()
+
+
+def test_running_sums_go_on_from_batch_to_batch(spark, tmp_path):
+    import random
+
+    rng, want, sums = random.Random(5), {}, {}
+    for number in range(5):
+        rows = sorted((rng.randrange(1000) + 1000 * number, 100 * number + i, rng.choice(["hot", "hot", "hot", "k", None]), rng.randrange(50)) for i in range(60))
+        for at, ident, key, value in rows:
+            sums[key] = sums.get(key, 0) + value
+            want[ident] = sums[key]
+        rng.shuffle(rows)
+        frame = spark.createDataFrame(rows, "ms bigint, id bigint, key string, value bigint").withColumn("ts", F.timestamp_millis("ms"))
+        frame.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    stream = sources.stream_source(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema, max_files=1)
+    batches.write_running(stream, "key", "ts", "id", "value", f"{tmp_path}/out", f"{tmp_path}/c")
+    done = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/rows")
+    assert {r.id: r.running for r in done.collect()} == want
+    assert len([p for p in (tmp_path / "out" / "rows").iterdir() if p.name.startswith("batch=")]) == 5

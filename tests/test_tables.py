@@ -175,12 +175,12 @@ def test_changes_against_one_by_one(spark, slice_rows, detect_noop):
     assert out.outcomes.filter("status IS NULL").count() == 0
 
 
-@pytest.mark.parametrize("slice_rows, hot_share", [(7, 0.0), (60, 0.2), (1000, 0.001)])
-def test_conditional_changes_against_one_by_one(spark, slice_rows, hot_share):
+@pytest.mark.parametrize("slice_rows, ranges", [(7, 40), (60, 7), (1000, None)])
+def test_conditional_changes_against_one_by_one(spark, slice_rows, ranges):
     base = {"hot": {"a": 5, "b": "z"}, "k7": {"a": 1, "b": "q"}, "k6": {"a": 1, "b": "q"}}
     ops = random_ops(random.Random(slice_rows + 1), 400, conditional=True)
     base_df, ops_df = as_frames(spark, base, ops)
-    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=slice_rows, hot_share=hot_share)
+    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=slice_rows, ranges=ranges)
     table, outcomes = fold(base, ops)
     assert {r.seq: r.result for r in out.outcomes.collect()} == outcomes
     assert {r.id: {"a": r.a, "b": r.b} for r in out.table.collect()} == table
@@ -202,7 +202,7 @@ def test_long_chains_of_conditions_on_one_id(spark, seed):
     table, outcomes = fold(base, ops)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
     try:
-        out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=11, hot_share=0.1)
+        out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, ranges=11)
         assert {r.seq: r.result for r in out.outcomes.collect()} == outcomes
         assert {r.id: {"a": r.a, "b": r.b} for r in out.table.collect()} == table
     finally:
@@ -222,7 +222,7 @@ def test_hot_id_with_external_versions(spark, seed):
         ops.append(op)
     base_df, ops_df = as_frames(spark, base, ops)
     table, outcomes = fold(base, ops)
-    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, slice_rows=5, hot_share=0.1)
+    out = changes.apply_changes(base_df, ops_df, "id", ["a", "b"], conditional=True, ranges=5)
     assert {r.seq: r.result for r in out.outcomes.collect()} == outcomes
     assert {r.id: {"a": r.a, "b": r.b} for r in out.table.collect()} == table
 
