@@ -107,6 +107,7 @@ def prefix_scan(
     a starting value before the first row, also given back as `_seed_{output}`. `reverse` scans
     from the last row back, `last` then being the nearest later one. Where `df` has the column
     `_k`, a struct of the keys, it is used and kept: scans in a row then share one shuffle.
+    A scan reads `df` twice, so write it in between where many follow each other.
     Without `null_keys` a null key has no seed, and a seed frame that is laid out by its keys, such
     as a bucketed table, is joined where it lies.
     """

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from slotwise.functions.timeslice import even_slices, event_micros, floor_div, key_slices, micros, prefix_scan, with_halo
+from slotwise.session import stored
 
 
 def keyed(df: DataFrame, key: str, ts: str, row_id: str, *extra: Column) -> DataFrame:
@@ -101,6 +102,8 @@ def pattern_match(
                 F.struct(to["end_us"].alias("end_us"), F.concat(F.array("id"), to["ids"]).alias("ids"), to["dead"].alias("dead")),
             ),
         )
+        if pos > 1:  # a scan reads its rows twice: without this, n scans would do the first one 2**n times
+            staged = stored(staged.drop(f"_t{pos}", f"_r{pos + 1}"), "pattern-step")
     starts = staged.filter(steps[0].predicate)
     ended = F.coalesce(F.col("_r0.end_us") - F.col("us") < span, F.lit(False))
     horizon = df.agg(F.max("us").alias("m")).scalar()
