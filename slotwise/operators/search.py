@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from slotwise.functions.text import query_tokens, tokens
 from slotwise.operators import buckets, filters, ordering, routing
-from slotwise.operators.term_index import SCORE_DIGITS, TermIndex, asked_variants, bm25_part, deletions
+from slotwise.operators.term_index import SCORE_DIGITS, TermIndex, bm25_part
 
 UNKNOWN = -1  # fixed value: a statistic a shard does not have
 
@@ -254,9 +254,10 @@ def term_suggest(
 
     Mode `missing` suggests only for tokens no document has, `popular` only terms in more
     documents than the token, `always` without condition. Order: distance, frequency
-    descending, term. Candidates are found by equality: terms that, with up to `max_distance`
+    descending, term. Without an index distances are taken per document before anything is
+    shuffled, and only close terms are: the vocabulary as a whole is never built. With an `index`
+    no text is read, and candidates are found by equality: terms that, with up to `max_distance`
     letters left out, equal a token with as many left out. Distances are taken of these only.
-    With an `index` the forms of its terms are stored, and no text is read.
     """
     if mode not in ("missing", "popular", "always"):
         raise ValueError(f"unknown suggest mode [{mode}]")
@@ -264,12 +265,14 @@ def term_suggest(
     if index is not None:
         near = index.near_terms(asked, max_distance)
     else:
-        sizes = [F.abs(F.char_length("term") - len(t)) <= max_distance for t in asked]
-        fits = reduce(lambda a, b: a | b, sizes, F.lit(False))
-        words = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term")).filter(fits)
-        vocabulary = words.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-        forms = vocabulary.select("term", "doc_freq", F.explode(deletions(F.col("term"), max_distance)).alias("variant"))
-        near = forms.join(asked_variants(df.sparkSession, asked, max_distance), "variant").select("token", "term", "doc_freq").distinct()
+        words = df.select(F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
+        close = [
+            (F.abs(F.char_length("term") - len(t)) <= max_distance) & (F.levenshtein("term", F.lit(t), max_distance) >= 0)
+            for t in asked
+        ]
+        freqs = words.filter(reduce(lambda a, b: a | b, close, F.lit(False))).groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+        pairs = F.array(*[F.lit(t) for t in asked]) if asked else F.array().cast("array<string>")
+        near = freqs.withColumn("token", F.explode(pairs)).select("token", "term", "doc_freq")
     per_token = near.withColumn("distance", F.levenshtein("term", "token", max_distance)).filter("distance >= 0")
     own = F.max(F.when(F.col("distance") == 0, F.col("doc_freq"))).over(W.partitionBy("token"))
     staged = per_token.withColumn("_own", F.coalesce(own, F.lit(0))).filter("distance > 0")
