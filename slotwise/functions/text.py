@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TOKEN_SPLIT = r"[^\p{L}\p{N}]+"
+TOKEN, TOKEN_SPLIT = r"[\p{L}\p{N}]", r"[^\p{L}\p{N}]+"
 
 
 def tokens(text: Column) -> Column:

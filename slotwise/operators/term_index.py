@@ -16,18 +16,26 @@ statistics. Statistics are therefore exact in every version, ceilings at least a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructField, StructType
 
-from slotwise.functions.text import query_tokens, tokens
+from slotwise.functions.text import TOKEN, TOKEN_SPLIT, query_tokens
+from slotwise.session import stored
 
 K1, B = 1.2, 0.75  # fixed values: BM25 saturation and length weight
 SCORE_DIGITS = 6
 VARIANT_EDITS = 2
+#: Variants are of the first letters of a term, and as long as are left of these without two.
+HEAD = 7
 #: Ceilings are raised by this factor, so that rounding cannot put them below a score.
 MARGIN = 1 + 1e-9
 
@@ -181,19 +189,26 @@ class TermIndex:
         if not 0 <= most <= VARIANT_EDITS:
             raise ValueError(f"variants are stored for up to {VARIANT_EDITS} edits")
         asked = asked_variants(self.spark, words, most)
-        forms = sorted({v for w in words for v in shortened(w, most)})
+        heads = {(w, v[: HEAD - VARIANT_EDITS]) for w in dict.fromkeys(words) for v in shortened(w, most)}
+        forms = sorted({v for _, v in heads})
         rows = self.spark.read.parquet(f"{self.path}/variants").filter(F.col("version") <= self.version)
         rows = rows.filter(F.col("bucket").isin([_bucket(F.lit(f), self.buckets) for f in forms]) & F.col("variant").isin(forms))
-        met = rows.join(asked, "variant").select("token", "term").distinct()
+        met = rows.join(self.spark.createDataFrame(sorted(heads), "token string, variant string"), "variant").select("token", "term")
+        # who shares a whole form is no further apart than all that is left out on both sides
+        close = met.filter(F.levenshtein("term", "token", VARIANT_EDITS + most) >= 0).distinct()
+        whole = close.withColumn("variant", F.explode(deletions(F.col("term"), VARIANT_EDITS)))
+        met = whole.join(asked, ["token", "variant"], "left_semi").select("token", "term").distinct()
         return met.join(self.term_statistics(), "term").select("token", "term", "doc_freq")
 
     def with_variants(self) -> TermIndex:
-        """Add the forms of this version's terms with up to two letters left out."""
+        """Add the variants of this version's terms: their first letters without any two.
+
+        If two terms equal each other with up to two letters left out of each, so do the beginnings of
+        these forms, and what a form begins with is the head of its term without two letters."""
         mine = self._table("terms").filter(F.col("version") == self.version).select("term").distinct()
-        rows = mine.select("term", F.explode(deletions(F.col("term"), VARIANT_EDITS)).alias("variant"))
-        rows = rows.withColumn("bucket", _bucket(F.col("variant"), self.buckets)).withColumn("version", F.lit(self.version))
-        rows = rows.repartition("bucket").sortWithinPartitions("bucket", "variant")
-        rows.write.mode("append").partitionBy("version", "bucket").parquet(f"{self.path}/variants")
+        rows = mine.select("term", F.explode(F.array_distinct(heads(F.col("term")))).alias("variant"))
+        rows = rows.withColumn("bucket", _bucket(F.col("variant"), self.buckets)).withColumn("_s", F.pmod(F.xxhash64("term"), F.lit(16)))
+        self._partitioned(rows.repartition("bucket", "_s").drop("_s").sortWithinPartitions("bucket", "variant"), "variants")
         return self
 
     # -- versions -----------------------------------------------------------------------
@@ -201,7 +216,12 @@ class TermIndex:
     def replaced(self, before: DataFrame, after: DataFrame) -> TermIndex:
         """The next version: the documents of `before` as they were go, those of `after` come."""
         later = replace(self, version=self.version + 1, shards=None)
-        ids = before.select(self.id_col).union(after.select(self.id_col)).distinct()
+        # what makes the two frames runs once
+        columns = list(dict.fromkeys([self.id_col, *([self.shard] if self.shard else []), self.text]))
+        sides = [df.select(*columns, F.lit(new).alias("_new")) for df, new in ((before, False), (after, True))]
+        both = stored(reduce(DataFrame.union, sides), "replaced")
+        before, after = both.filter("NOT _new").drop("_new"), both.filter("_new").drop("_new")
+        ids = both.select(self.id_col).distinct()
         ids.select(F.col(self.id_col).alias("id"), F.lit(later.version).alias("version")).write.mode("append").partitionBy("version").parquet(
             f"{self.path}/gone"
         )
@@ -218,71 +238,182 @@ class TermIndex:
         """The same index as a first version of its own in another folder, without void postings;
         no text is read."""
         fresh = replace(self, path=path, version=0, shards=None)
-        alive = self._table("postings").select("version", "shard", "block", "term", "bucket", F.inline("docs"))
         if self.version:
+            alive = self._table("postings").select("version", "shard", "block", "term", "bucket", F.inline("docs"))
             gone = self._table("gone").groupBy("id").agg(F.max("version").alias("until"))
             alive = alive.join(gone, "id", "left").filter(F.col("until").isNull() | (F.col("until") <= F.col("version")))
-        fresh._write_postings(alive.withColumn("version", F.lit(0)))
-        fresh._append(self._table("terms").groupBy("shard", "term", "bucket").agg(*[F.sum(c).alias(c) for c in ("doc_freq", "total_term_freq")]), "terms")
+            fresh._write_postings(alive)
+        else:  # nothing is void: the rows stay as they are, and those of a split lie in one bucket
+            fresh._partitioned(self._table("postings").sortWithinPartitions("bucket", "term"), "postings")
+        fresh._write_terms(self._table("terms").select("shard", "term", "bucket", F.col("doc_freq").alias("s"), F.col("total_term_freq").alias("tf")))
         fresh._append(self.field_statistics(per_shard=True), "totals")
         return fresh
 
     def _append(self, rows: DataFrame, name: str) -> None:
-        by = ["version", "bucket"] if "bucket" in rows.columns else ["version"]
-        rows = rows.withColumn("version", F.lit(self.version))
-        if "bucket" in rows.columns:
-            rows = rows.repartition("bucket").sortWithinPartitions("bucket", "term")
-        rows.write.mode("append").partitionBy(*by).parquet(f"{self.path}/{name}")
+        rows.withColumn("version", F.lit(self.version)).write.mode("append").partitionBy("version").parquet(f"{self.path}/{name}")
 
     def _tokens(self, docs: DataFrame) -> DataFrame:
+        """(id, shard, block, _t): the pieces between separators, blank ones at the ends included."""
         shard = F.col(self.shard) if self.shard else F.lit(None).cast("string")
         kind, text = _length_class(F.col(self.text)), F.col(self.text)
         counts = F.coalesce(*[F.when(kind == c, F.lit(n)) for c, n in self.blocks.items()], F.lit(1))
         place = F.pmod(F.xxhash64(self.id_col), counts).cast("int")
         return docs.select(
             F.col(self.id_col).alias("id"), shard.alias("shard"), (kind.cast("bigint") * (1 << 32) + place).alias("block"),
-            F.sort_array(tokens(text)).alias("_t"),
+            F.split(F.lower(text), TOKEN_SPLIT).alias("_t"),
         )
 
     def _occurring(self, docs: DataFrame) -> DataFrame:
-        """(id, shard, block, term, tf, len): runs of equal tokens in the sorted tokens of a text."""
-        places = F.filter(
-            F.sequence(F.lit(0), F.greatest(F.size("_t") - 1, F.lit(0))),
-            lambda i: (F.size("_t") > 0) & ((i == 0) | (F.get("_t", i) != F.get("_t", i - 1))),
-        )
-        rows = self._tokens(docs).withColumn("_p", places)
-        run = F.transform(
-            "_p", lambda p, i: F.struct(F.get("_t", p).alias("term"), (F.coalesce(F.get("_p", i + 1), F.size("_t")) - p).alias("tf"))
-        )
-        found = rows.select("id", "shard", "block", F.size("_t").alias("len"), F.inline(run))
+        """(id, shard, block, term, tf, len, bucket): each row's tokens, counted in the row."""
+        rows = self._tokens(docs)
+        fields = [rows.schema[c] for c in ("id", "shard", "block")]
+        schema = StructType([*fields, *StructType.fromDDL("term string, tf int, len int").fields])
+        found = rows.mapInArrow(_counter(to_arrow_schema(schema)), schema)
         return found.withColumn("bucket", _bucket(F.col("term"), self.buckets))
 
     def _write_postings(self, occurring: DataFrame) -> None:
-        spread = occurring.withColumn("_s", F.pmod(F.xxhash64("shard", "block"), F.lit(16)))  # a frequent term is no one task's
-        group = ["version", "bucket", "_s", "term", "shard", "block"]
-        rows = spread.repartition("version", "bucket", "_s").groupBy(*group).agg(
-            F.collect_list(F.struct("id", "tf", "len")).alias("docs"), F.max("tf").alias("max_tf"), F.min("len").alias("min_len"),
-            F.count(F.lit(1)).alias("n"),
-        )
-        rows = rows.drop("_s").sortWithinPartitions("version", "bucket", "term")
-        rows.write.mode("append").partitionBy("version", "bucket").parquet(f"{self.path}/postings")
+        """Rows are dealt out by bucket and block, so that a frequent term is no one task's, sorted, and
+        neighbours with the same term, shard and block become one row."""
+        spread = occurring.withColumn("_s", F.pmod(F.xxhash64("shard", "block"), F.lit(16)))
+        order = ["bucket", "term", "shard", "block"]
+        rows = spread.repartition("bucket", "_s").sortWithinPartitions(*order).select(*order, "id", "tf", "len")
+        keys = [rows.schema[c] for c in order]
+        docs = StructType([rows.schema[c] for c in ("id", "tf", "len")])
+        rest = StructType.fromDDL("max_tf int, min_len int, n long, total_tf long").fields
+        schema = StructType([*keys, StructField("docs", ArrayType(docs)), *rest])
+        rows = rows.mapInArrow(_gatherer(to_arrow_schema(schema), order), schema)
+        self._partitioned(rows.sortWithinPartitions("bucket", "term"), "postings")
+
+    def _partitioned(self, rows: DataFrame, name: str) -> None:
+        by = ["version", "bucket"]
+        rows.withColumn("version", F.lit(self.version)).write.mode("append").partitionBy(*by).parquet(f"{self.path}/{name}")
 
     def _write(self, docs: DataFrame, gone: DataFrame | None = None) -> None:
-        """Postings of `docs`; statistics of them, less those of `gone`."""
-        own = self._occurring(docs)
-        self._write_postings(own.withColumn("version", F.lit(self.version)))
-        signed = [(docs, own, 1)] + ([(gone, self._occurring(gone), -1)] if gone is not None else [])
-        terms = [o.select("shard", "term", "bucket", F.lit(s).alias("s"), (s * F.col("tf")).alias("tf")) for _, o, s in signed]
-        sums = reduce(DataFrame.union, terms).groupBy("shard", "term", "bucket")
-        self._append(sums.agg(F.sum("s").alias("doc_freq"), F.sum("tf").alias("total_term_freq")), "terms")
-        rows = [self._tokens(d).select("shard", "_t", F.lit(s).cast("bigint").alias("s")) for d, _, s in signed]
-        totals = reduce(DataFrame.union, rows).groupBy("shard").agg(
-            F.sum("s").alias("max_doc"), F.sum(F.when(F.size("_t") > 0, F.col("s")).otherwise(0)).alias("doc_count"),
-            F.sum(F.col("s") * F.size("_t")).alias("sum_total_term_freq"),
-            F.sum(F.col("s") * F.size(F.array_distinct("_t"))).alias("sum_doc_freq"),
+        """Postings of `docs`; statistics of them, less those of `gone`. Texts are taken apart once:
+        all sums of terms come from the postings as written."""
+        self._write_postings(self._occurring(docs))
+        names = ["shard", "term", "bucket"]
+        mine = self._table("postings").filter(F.col("version") == self.version)
+        terms = [mine.select(*names, F.col("n").alias("s"), F.col("total_tf").alias("tf"))]
+        if gone is not None:
+            terms.append(self._occurring(gone).select(*names, F.lit(-1).cast("bigint").alias("s"), (-F.col("tf")).cast("bigint").alias("tf")))
+        self._write_terms(reduce(DataFrame.union, terms))
+        terms = self._table("terms").filter(F.col("version") == self.version)
+        zero = F.lit(0).cast("bigint")
+        sums = [terms.select("shard", zero.alias("d"), zero.alias("t"), F.col("total_term_freq").alias("l"), F.col("doc_freq").alias("u"))]
+        for part, sign in [(docs, 1)] + ([(gone, -1)] if gone is not None else []):
+            shard, text = F.col(self.shard) if self.shard else F.lit(None).cast("string"), F.col(self.text)
+            s, none = F.lit(sign).cast("bigint"), F.when(text.isNotNull(), zero)
+            held = F.when(F.lower(text).rlike(TOKEN), s).otherwise(zero)
+            sums.append(part.select(shard.alias("shard"), s.alias("d"), held.alias("t"), none.alias("l"), none.alias("u")))
+        # terms have no shard that the documents have not; theirs may have no terms
+        totals = reduce(DataFrame.union, sums).groupBy("shard").agg(
+            F.sum("d").alias("max_doc"), F.sum("t").alias("doc_count"), F.sum("l").alias("sum_total_term_freq"), F.sum("u").alias("sum_doc_freq"),
         )
         self._append(totals, "totals")
 
+    def _write_terms(self, parts: DataFrame) -> None:
+        """Sums of `s` and `tf` by shard and term; a bucket is several tasks' work."""
+        spread = parts.withColumn("_s", F.pmod(F.xxhash64("term", "shard"), F.lit(16))).repartition("bucket", "_s")
+        sums = spread.groupBy("shard", "term", "bucket", "_s").agg(F.sum("s").alias("doc_freq"), F.sum("tf").alias("total_term_freq"))
+        self._partitioned(sums.drop("_s").sortWithinPartitions("bucket", "term"), "terms")
+
+
+#: Tokens counted at a time.
+PIECE = 1 << 18
+
+
+def _counter(schema: pa.Schema):
+    """(id, shard, block, _t) -> a row for each distinct token of a row, with its number there and that of
+    all tokens. Some `PIECE` tokens are looked at together, or one row's."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.fill_null(pc.list_value_length(batch.column(3)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            piece = np.cumsum(sizes) // PIECE
+            edges = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), len(sizes)]
+            for low, high in zip(edges, edges[1:]):
+                rows = batch.slice(low, high - low)
+                flat = pc.list_flatten(rows.column(3))
+                row = np.repeat(np.arange(high - low, dtype=np.int64), sizes[low:high])
+                full = pc.greater(pc.binary_length(flat), 0)
+                flat, row = flat.filter(full), row[full.to_numpy(zero_copy_only=False)]
+                if not len(row):
+                    continue
+                words = flat.dictionary_encode()
+                width = len(words.dictionary)
+                found, tf = np.unique(row * width + words.indices.to_numpy(zero_copy_only=False), return_counts=True)
+                at = found // width
+                own = [rows.column(i).take(pa.array(at)) for i in range(3)]
+                figures = [tf, np.bincount(row, minlength=high - low)[at]]
+                columns = [*own, words.dictionary.take(pa.array(found % width)), *figures]
+                yield pa.RecordBatch.from_arrays([_typed(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    return count
+
+
+def _gatherer(schema: pa.Schema, keys: Sequence[str]):
+    """Sorted (keys, id, tf, len) -> a row for each run of equal keys."""
+    kind = schema.field("docs").type
+
+    def gathered(rows: pa.Table, starts: np.ndarray) -> pa.RecordBatch:
+        rows = rows.combine_chunks()
+        tf, length = (rows[c].to_numpy() for c in ("tf", "len"))
+        edges = np.append(starts, len(rows))
+        one = [_typed(_whole(rows[c]), kind.value_type.field(c).type) for c in ("id", "tf", "len")]
+        docs = pa.StructArray.from_arrays(one, fields=list(kind.value_type))
+        lists = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), docs, type=kind)
+        at = pa.array(starts)
+        figures = [np.maximum.reduceat(tf, starts), np.minimum.reduceat(length, starts), np.diff(edges), np.add.reduceat(tf.astype(np.int64), starts)]
+        columns = [*[_whole(rows[c]).take(at) for c in keys], lists, *figures]
+        return pa.RecordBatch.from_arrays([_typed(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = pa.Table.from_batches([batch])
+            rows = rows if rest is None else pa.concat_tables([rest, rows])
+            starts = _starts(rows, keys)
+            if len(starts) > 1:
+                yield gathered(rows.slice(0, starts[-1]), starts[:-1])
+            rest = rows.slice(starts[-1])  # the last run may go on
+        if rest is not None:
+            yield gathered(rest, np.zeros(1, np.int64))
+
+    return gather
+
+
+def _starts(rows: pa.Table, keys: Sequence[str]) -> np.ndarray:
+    """Places of rows whose keys differ from those of the row before; nulls are equal."""
+    new = np.zeros(len(rows), bool)
+    new[0] = True
+    for key in keys:
+        c = _whole(rows[key])
+        a, b = c.slice(1), c.slice(0, len(c) - 1)
+        changed = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b)))
+        new[1:] |= changed.to_numpy(zero_copy_only=False)
+    return np.flatnonzero(new)
+
+
+def _whole(column: pa.ChunkedArray) -> pa.Array:
+    return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
+
+
+def _typed(values, kind: pa.DataType) -> pa.Array:
+    values = values if isinstance(values, pa.Array) else pa.array(values)
+    return values if values.type == kind else values.cast(kind)
+
+
+def heads(term: Column) -> Column:
+    """The first `HEAD` letters of a term without any two of them; a place past its end takes none."""
+
+    def without(i: int, j: int) -> Column:
+        return F.concat(F.substring(term, 1, i - 1), F.substring(term, i + 1, j - i - 1), F.substring(term, j + 1, HEAD - j))
+
+    return F.array(*[without(i, j) for j in range(2, HEAD + 1) for i in range(1, j)])
+
 
 def deletions(term: Column, most: int) -> Column:
     """The term and its forms with up to `most` letters left out, distinct."""

@@ -214,3 +214,32 @@ def test_suggestions_by_deletions(spark, tmp_path, mode):
         want += [(token, t, d, -n, k) for k, (d, n, t) in enumerate(near, 1)]
     assert rows(search.term_suggest(docs, "body", asked, mode=mode)) == sorted(want)
     assert rows(search.term_suggest(None, "body", asked, mode=mode, index=index)) == sorted(want)
+
+
+def test_variants_do_not_grow_with_the_length_of_terms(spark, tmp_path):
+    long = "abcdefghijklmnopqrstuvwxyzabcdefghijklmn"
+    docs = spark.createDataFrame([(1, long), (2, "ab"), (3, "abcdefgh")], "doc long, body string")
+    index = build_index(docs, "doc", "body", f"file://{tmp_path}/i").with_variants()
+    stored = spark.read.parquet(f"{tmp_path}/i/variants").groupBy("term").count().collect()
+    assert all(r["count"] <= 21 for r in stored) and len(stored) == 3
+    for asked, found in ((long[:-2], long), (long[2:], long), (long[:20] + long[21:], long), ("cdefgh", "abcdefgh"), ("a", "ab"), ("xy" + long[:-2], long)):
+        assert found in [r.term for r in index.near_terms([asked], 2).collect()]
+    assert index.near_terms([long[:-5]], 2).count() == 0
+
+
+def test_changed_rows_are_made_once(spark, tmp_path):
+    docs = spark.createDataFrame(texts(7, 60), "doc long, shelf string, body string, n int")
+    index = build_index(docs, "doc", "body", f"file://{tmp_path}/i", "shelf", block_docs=20, buckets=3)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    table = docs.withColumn("body", F.concat("body", F.lit(" plum"))).mapInPandas(counted, docs.schema)
+    later = index.replaced(docs, table)
+    assert seen.value == 60
+    want = search.match_score(table, "body", "plum").select("doc", "_score")
+    assert rows(later.match_score("plum").select("doc", "_score")) == rows(want)
+    assert rows(later.field_statistics(per_shard=True).drop("shard")) == rows(search.field_statistics(table, "body", "shelf").drop("shelf"))
