@@ -76,7 +76,8 @@ def apply_changes(
     staged = staged.withColumns({f"_w_{f}": _written(f) for f in fields})
 
     if detect_noop:
-        staged = _mark_noops(base, staged, id_col, fields)
+        # a scan reads its rows twice, and each reading would run the scan before
+        staged = _mark_noops(base, stored(staged, "judged-changes"), id_col, fields)
 
     outcomes = staged.select(
         "seq",

@@ -352,7 +352,11 @@ COMBINED = struct(subtask="string", flush="bigint", key="string", combined="bigi
 
 
 class LocalCombine(StatefulProcessor):
-    """Sum of `value` per `item` within a subtask, emitted every `batch` rows."""
+    """Sum of `value` per `item` within a subtask, emitted every `batch` rows.
+
+    Of a key's rows only numbers are held, items as their places among the distinct ones; sums go out
+    in pieces.
+    """
 
     def __init__(self, batch: int):
         self.batch = batch
@@ -362,30 +366,57 @@ class LocalCombine(StatefulProcessor):
         self.kept = handle.getMapState("kept", "item string", "combined bigint")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        pdf = in_order(rows, ["us", "id"])
+        places: dict[str, int] = {}
+        parts = [_numbers(pdf, places) for pdf in rows]
+        us, ident, item, value = (np.concatenate(c) for c in zip(*parts, strict=True))
+        del parts
+        order = np.lexsort((ident, us))
+        item, value = item[order], value[order]
+        del us, ident, order
         seen = self.seen.get()[0] if self.seen.exists() else 0
-        total = seen + len(pdf)
-        fresh = pd.DataFrame(
-            {"flush": (seen + np.arange(len(pdf))) // self.batch, "key": pdf["item"], "combined": pdf["value"]}
-        )
-        held = [(seen // self.batch, k[0], v[0]) for k, v in self.kept.iterator()]
-        old = pd.DataFrame(held, columns=fresh.columns).astype({"flush": "int64", "combined": "int64"})
-        groups = pd.concat([old, fresh]).groupby(["flush", "key"], as_index=False)["combined"].sum()
-        full = groups["flush"] < total // self.batch
+        total = seen + len(item)
+        held = [(k[0], v[0]) for k, v in self.kept.iterator()]
+        flush = (seen + np.arange(len(item))) // self.batch - seen // self.batch
+        if held:
+            old = [places.setdefault(k, len(places)) if k is not None else -1 for k, _ in held]
+            flush = np.concatenate([np.zeros(len(held), np.int64), flush])
+            item, value = np.concatenate([np.array(old, np.int64), item]), np.concatenate([np.array([v for _, v in held], np.int64), value])
+        some = item >= 0  # a group needs an item
+        width = max(len(places), 1)
+        groups, at = np.unique(flush[some] * width + item[some], return_inverse=True)
+        sums = np.zeros(len(groups), np.int64)
+        np.add.at(sums, at, value[some])
+        names = np.array(list(places), dtype=object)
+        done = groups // width < total // self.batch - seen // self.batch
         self.seen.update((total,))
         self.kept.clear()
-        for _, item, value in groups[~full].itertuples(index=False):
-            self.kept.updateValue((item,), (int(value),))
-        out = groups[full]
-        if len(out):
+        for group, combined in zip(groups[~done], sums[~done]):
+            self.kept.updateValue((names[group % width],), (int(combined),))
+        groups, sums = groups[done], sums[done]
+        for start in range(0, len(groups), PIECE):
+            some = groups[start : start + PIECE]
             yield pd.DataFrame(
-                {"subtask": key[0], "flush": out["flush"], "key": out["key"], "combined": out["combined"]}
+                {"subtask": key[0], "flush": seen // self.batch + some // width, "key": names[some % width], "combined": sums[start : start + PIECE]}
             )
 
     def close(self) -> None:
         pass
 
 
+#: Rows given back at a time.
+PIECE = 50_000
+
+
+def _numbers(pdf: pd.DataFrame, places: dict[str, int]) -> tuple[np.ndarray, ...]:
+    """Order, id, item and value of some rows; a missing number goes last, a missing item is -1."""
+    last = np.iinfo(np.int64).max
+    codes, names = pd.factorize(pdf["item"])
+    own = np.array([places.setdefault(n, len(places)) for n in names] + [-1], np.int64)  # -1 is the last place
+    whole = [pdf[c].array if pdf[c].dtype == np.int64 else [last if pd.isna(v) else int(v) for v in pdf[c]] for c in ("us", "id")]
+    value = pdf["value"].fillna(0).to_numpy(np.int64)
+    return (*[np.asarray(c, np.int64) for c in whole], own[codes], value)
+
+
 TOTALS = struct(key="string", win_end="timestamp", cnt="bigint", total="bigint")
 
 
