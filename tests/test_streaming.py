@@ -188,3 +188,15 @@ def test_running_sums_go_on_from_batch_to_batch(spark, tmp_path):
     done = spark.read.option("recursiveFileLookup", "true").parquet(f"{tmp_path}/out/rows")
     assert {r.id: r.running for r in done.collect()} == want
     assert len([p for p in (tmp_path / "out" / "rows").iterdir() if p.name.startswith("batch=")]) == 5
+
+
+def test_local_combine_holds_numbers_only():
+    import numpy as np
+    import pandas as pd
+
+    places = {}
+    first = pd.DataFrame({"us": [5, 3], "id": [1, 2], "item": ["b", "a"], "value": [1, 1]})
+    then = pd.DataFrame({"us": [4.0, None], "id": [3, 4], "item": ["a", None], "value": [1.0, None]})
+    parts = [processors._numbers(pdf, places) for pdf in (first, then)]
+    assert all(c.dtype == np.int64 for part in parts for c in part) and places == {"b": 0, "a": 1}
+    assert [c.tolist() for c in parts[1]] == [[4, np.iinfo(np.int64).max], [3, 4], [1, -1], [1, 0]]
