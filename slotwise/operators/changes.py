@@ -66,7 +66,9 @@ def apply_changes(
 
     if conditional:
         base = base.withColumns({c: F.lit(v).cast("bigint") for c, v in (("_seq_no", -1), ("_version", 0)) if c not in base.columns})
-        results = ops.join(conditions.judged(ops, base, id_col, _inserts(), ranges), "seq")
+        needed = [*fields, *[c for c in ("upsert", "detect_noop") if c in changes.columns], *["_slice"] * detect_noop]
+        results = conditions.judged(ops, base, id_col, _inserts(), ranges, needed).filter("seq IS NOT NULL")
+        results = _with_optional(results, fields)
     else:
         results = _plain_results(ops, base_ids)
 
@@ -78,7 +80,13 @@ def apply_changes(
     if detect_noop:
         staged = _mark_noops(base, staged, id_col, fields)
 
-    outcomes = staged.select(
+    told = staged
+    if conditional:  # a number that an id has more than once tells each of its outcomes for each change
+        found = staged.select(F.col("id").alias("_id"), F.col("seq").alias("_seq"), "result")
+        same = (F.col("seq") == F.col("_seq")) & F.col("id").eqNullSafe(F.col("_id"))
+        told = ops.select("seq", "id", "op").join(found, same)
+
+    outcomes = told.select(
         "seq",
         "id",
         _status(F.col("result")).alias("status"),

@@ -11,14 +11,19 @@ from the state the base has of it. The first id of a range may have begun in an
 changes there become a map, and so does the end of a range's last id. Maps, two a range at
 most, are composed in a tree; the states its leaves are entered with come back down, and the
 changes that waited for them are judged in their ranges.
+
+A change keeps the columns that are needed of it along that way, so no join has to find it again.
+Ids that begin in a batch are judged together, the first change of each, then the second.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -31,6 +36,8 @@ ABSENT: State = (False, -1, 0)
 LOW, HIGH = -(1 << 63), (1 << 63) - 1
 #: Maps composed by one task of one level of the tree.
 FAN = 16
+#: Fewer ids than this are not worth being judged together.
+FEW = 16
 #: How a version is compared.
 INTERNAL, EXTERNAL, EXTERNAL_GTE = range(3)
 
@@ -175,31 +182,131 @@ def applied(pieces: list[Piece], state: State) -> State:
     raise ValueError("a map covers every state")
 
 
+# ---------------------------------------------------------------------------------------
+# Many ids at once
+
+RESULTS = ["created", "updated", "deleted", "not_found", "conflict"]
+CREATED, UPDATED, DELETED, NOT_FOUND, CONFLICT = range(5)
+OPS = ["index", "create", "delete"]
+INDEX, CREATE, DELETE, UPDATE = range(4)
+#: Outcome of a change whose conditions hold, by operation, presence and whether it inserts.
+OUTCOME = np.array(
+    [
+        [[CREATED, CREATED], [UPDATED, UPDATED]],
+        [[CREATED, CREATED], [CONFLICT, CONFLICT]],
+        [[NOT_FOUND, NOT_FOUND], [DELETED, DELETED]],
+        [[NOT_FOUND, CREATED], [UPDATED, UPDATED]],
+    ]
+)
+JUDGED_BY = ["op", "inserts", "asked_seq", "asked", "kind", "seq"]
+
+
+def _begins(ids: pa.Array) -> np.ndarray:
+    """Places of the rows with another id than the row before; the first row is not among them."""
+    if pa.types.is_nested(ids.type):
+        values = ids.to_pylist()
+        return np.flatnonzero([a != b for a, b in zip(values, values[1:])]) + 1
+    before, after = ids.slice(0, max(len(ids) - 1, 0)), ids.slice(1)
+    differ = pc.or_(pc.fill_null(pc.not_equal(before, after), False), pc.xor(before.is_valid(), after.is_valid()))
+    return np.flatnonzero(differ.to_numpy(zero_copy_only=False)) + 1
+
+
+def _rows(batch: pa.RecordBatch, low: int, high: int) -> Iterator[tuple]:
+    """The arguments of `judge`, but for the state, from some rows."""
+    return zip(*[batch.column(c).slice(low, high - low).to_pylist() for c in JUDGED_BY], strict=True)
+
+
+class Judged:
+    """Outcomes of a batch: `result` (-1: none yet), whether the change took effect, the version after it."""
+
+    def __init__(self, batch: pa.RecordBatch) -> None:
+        size = batch.num_rows
+        self.batch = batch
+        self.result, self.took, self.after = np.full(size, -1, "int8"), np.zeros(size, bool), np.zeros(size, "int64")
+
+    def one_id(self, low: int, high: int, state: State) -> State:
+        """Judge consecutive rows of one id; the state after them."""
+        for at, change in enumerate(_rows(self.batch, low, high), low):
+            result, after = judge(*change, state)
+            self.result[at] = RESULTS.index(result)
+            if after is not state:
+                self.took[at], self.after[at] = True, after[2]
+            state = after
+        return state
+
+    def many_ids(self, begins: np.ndarray) -> State:
+        """Judge the rows from the first of `begins` on, at each of which an id begins; the state
+        after the last row."""
+        batch = self.batch
+
+        def column(name: str, missing: int | bool = 0) -> np.ndarray:
+            return batch.column(name).fill_null(missing).to_numpy(zero_copy_only=False)
+
+        op = pc.index_in(batch.column("op"), pa.array(OPS, batch.column("op").type)).fill_null(UPDATE).to_numpy(zero_copy_only=False)
+        inserts, kind, seq = column("inserts", False).astype("int8"), column("kind"), column("seq")
+        asked_seq, asked = column("asked_seq"), column("asked")
+        names_seq, names = (batch.column(c).is_valid().to_numpy(zero_copy_only=False) for c in ("asked_seq", "asked"))
+        sizes = np.diff(begins, append=batch.num_rows)
+        order = np.argsort(-sizes, kind="stable")
+        at, sizes = begins[order], sizes[order]
+        present, number, version = column("present0", False)[at], column("seq0")[at], column("version0")[at]
+        few = FEW if batch.column("seq").null_count == 0 else len(at) + 1  # a missing number equals none
+
+        done, going = 0, len(at)
+        while (going := int(np.searchsorted(-sizes, -done))) >= few:
+            row = at[:going] + done
+            here, found, known = present[:going], version[:going], names[row]
+            a, how, what = asked[row], kind[row], op[row]
+            passed = ~names_seq[row] | (here & (asked_seq[row] == number[:going]))
+            fits = np.where(how == INTERNAL, here & (a == found), np.where(how == EXTERNAL, a > found, a >= found))
+            passed &= ~known | fits
+            result = np.where(passed, OUTCOME[what, here.astype("int8"), inserts[row]], CONFLICT)
+            took = (result != CONFLICT) & ((result != NOT_FOUND) | (what == DELETE))
+            given = known & (how != INTERNAL)
+            if (took & ~given & (found == HIGH)).any():
+                raise OverflowError("a version does not fit 64 bits")
+            after = np.where(given, a, found + 1)
+            self.result[row], self.took[row], self.after[row] = result, took, after
+            present[:going] = np.where(took, what != DELETE, here)
+            number[:going] = np.where(took, seq[row], number[:going])
+            version[:going] = np.where(took, after, found)
+            done += 1
+        last = int(np.argmax(at))
+        state = (bool(present[last]), int(number[last]), int(version[last]))
+        for i in range(going):
+            left = self.one_id(int(at[i]) + done, int(at[i] + sizes[i]), (bool(present[i]), int(number[i]), int(version[i])))
+            state = left if i == last else state
+        return state
+
+    def columns(self) -> tuple[pa.Array, pa.Array]:
+        """The outcome and, where the change took effect, the version after it."""
+        result = pa.array(RESULTS).take(pa.array(self.result, mask=self.result < 0))
+        return result, pa.array(self.after, mask=~self.took)
+
+
 # ---------------------------------------------------------------------------------------
 # All changes
 
 _CHANGE = "seq long, op string, inserts boolean, asked_seq long, asked long, kind int, present0 boolean, seq0 long, version0 long"
-_RESULT = "result string, present boolean, after long, map string"
+_RESULT = "result string, after long, map string"
 
 
 def _schema(kind: StructField, ddl: str) -> StructType:
     return StructType([StructField("id", kind.dataType), *StructType.fromDDL(ddl)])
 
 
-def _frame(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [()] * len(schema)
-    return pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
-
-
-def judged(ops: DataFrame, base: DataFrame, id_col: str, inserts: Column, ranges: int | None = None) -> DataFrame:
-    """(seq, result, _in_base, _after) for each change: its outcome, whether the base has its id, and
-    the version after it where it took effect. `ranges` is the number of ranges (Spark's default
-    for shuffles if not given)."""
+def judged(
+    ops: DataFrame, base: DataFrame, id_col: str, inserts: Column, ranges: int | None = None, carried: Sequence[str] = ()
+) -> DataFrame:
+    """(id, seq, op, result, _in_base, _after and the columns `carried`) for each change: its outcome,
+    whether the base has its id, and the version after it where it took effect. `ranges` is the
+    number of ranges (Spark's default for shuffles if not given)."""
     external = F.col("version_type")
     kind = F.when(external == "external", EXTERNAL).when(external == "external_gte", EXTERNAL_GTE).otherwise(INTERNAL)
+    kept = [f"carried{i}" for i in range(len(carried))]  # so that no name is taken twice
     changes = ops.select(
         "id", "seq", "op", inserts.alias("inserts"), F.col("if_seq_no").cast("long").alias("asked_seq"),
-        F.col("version").cast("long").alias("asked"), kind.alias("kind"),
+        F.col("version").cast("long").alias("asked"), kind.alias("kind"), *[F.col(c).alias(k) for c, k in zip(carried, kept)],
     )
     start = base.select(
         F.col(id_col).alias("id"), F.lit(True).alias("present0"), F.col("_seq_no").cast("long").alias("seq0"),
@@ -211,66 +318,86 @@ def judged(ops: DataFrame, base: DataFrame, id_col: str, inserts: Column, ranges
     ranged = rows.repartitionByRange(ranges, *order) if ranges else rows.repartitionByRange(*order)
     ranged = ranged.sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
     names = [f.name for f in StructType.fromDDL(_CHANGE).fields]
-    schema = _schema(ops.schema["id"], f"part int, {_CHANGE}, {_RESULT}")
+    kinds = [StructField(k, ops.schema[c].dataType) for c, k in zip(carried, kept)]
+    schema = StructType([*_schema(ops.schema["id"], f"part int, {_CHANGE}, {_RESULT}").fields, *kinds])
+    entry = ["present0", "seq0", "version0"]
 
     def first_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow = to_arrow_schema(schema)
-        now, begun, state, run, part, width = None, False, None, None, 0, len(names)
+
+        def at(batch: pa.RecordBatch, row: int) -> State:
+            return tuple(batch.column(c)[row].as_py() for c in entry)
+
+        now, begun, state, run, first, part = None, False, None, None, None, 0
         for batch in batches:
-            out = []
-            for ident, part, seq, op, ins, asked_seq, asked, how, *entry in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if not begun or ident != now:
-                    if run is not None:  # the first id of the range ends here
-                        out.append(_end(now, part, width, run, None, first))
-                        run = None
-                    state, first = tuple(entry), tuple(entry)
-                    if not begun:
-                        run = Run(seq)
-                    now, begun = ident, True
-                change = (op, ins, asked_seq, asked, how, seq)
-                if run is not None:
+            if not batch.num_rows:
+                continue
+            done, begins = Judged(batch), _begins(batch.column("id"))
+            end = int(begins[0]) if len(begins) else batch.num_rows  # of the rows of the batch's first id
+            waits = False
+            if not begun:
+                part, begun, waits = batch.column("part")[0].as_py(), True, True
+                now, first, run = batch.column("id")[0].as_py(), at(batch, 0), Run(batch.column("seq")[0].as_py())
+            elif batch.column("id")[0].as_py() != now:
+                begins, end = np.insert(begins, 0, 0), 0
+            else:
+                waits = run is not None
+            if waits:
+                for change in _rows(batch, 0, end):
                     run.add(*change)
-                    out.append((ident, part, seq, op, ins, asked_seq, asked, how, *entry, None, None, None, None))
-                else:
-                    result, after = judge(*change, state)
-                    took = after[2] if after is not state else None
-                    out.append((ident, part, seq, op, ins, asked_seq, asked, how, *entry, result, after[0], took, None))
-                    state = after
-            yield _frame(out, arrow)
+            elif end:
+                state = done.one_id(0, end, state)
+            if len(begins):
+                if run is not None:  # the first id of the range ends here
+                    yield _end(now, part, run, None, first, arrow)
+                    run = None
+                state = done.many_ids(begins)
+                now, first = batch.column("id")[-1].as_py(), at(batch, int(begins[-1]))
+            result, after = done.columns()
+            out = dict(zip(batch.schema.names, batch.columns, strict=True)) | {"result": result, "after": after}
+            # only maps need the state, only changes that wait what they are judged by
+            spare = {"map", "seq0", "version0"} if waits else {"map", "seq0", "version0", "inserts", "asked_seq", "asked", "kind"}
+            columns = [pa.nulls(batch.num_rows, f.type) if f.name in spare else out[f.name] for f in arrow]
+            yield pa.RecordBatch.from_arrays(columns, names=arrow.names)
         if begun:
-            yield _frame([_end(now, part, width, run, state, first)], arrow)
+            yield _end(now, part, run, state, first, arrow)
 
-    done = stored(ranged.select("id", "part", *names).mapInArrow(first_pass, schema), "judged")
-    maps = done.where("map IS NOT NULL").select("id", "part", "present0", "seq0", "version0", "map")
+    done = stored(ranged.select("id", "part", *names, *kept).mapInArrow(first_pass, schema), "judged")
+    maps = done.where("map IS NOT NULL").select("id", "part", *entry, "map")
     entries = _entries(maps).select(F.struct("id", "part").alias("key"), F.col("state.*"))
-    fields = ["part", "seq", "op", "inserts", "asked_seq", "asked", "kind", "present0"]
+    fields = ["part", "inserts", "asked_seq", "asked", "kind", "id", "seq", "op", "present0", *kept]
     waiting = done.where("map IS NULL AND result IS NULL").select(F.struct("id", "part").alias("key"), *fields)
-    late = StructType.fromDDL("seq long, result string, _in_base boolean, _after long")
+    late = StructType(
+        [*_schema(ops.schema["id"], "seq long, op string, _in_base boolean, result string, _after long").fields, *kinds]
+    )
 
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow, now, state = to_arrow_schema(late), None, None
+        now, state = None, None
         for batch in batches:
-            out = []
-            for part, seq, op, ins, asked_seq, asked, how, known, *entry in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if part != now:
-                    now, state = part, tuple(entry)
-                result, after = judge(op, ins, asked_seq, asked, how, seq, state)
-                out.append((seq, result, known, after[2] if after is not state else None))
-                state = after
-            yield _frame(out, arrow)
+            done, parts = Judged(batch), batch.column("part")
+            begins = [0, *_begins(parts).tolist()] if batch.num_rows else []
+            for low, high in zip(begins, [*begins[1:], batch.num_rows]):
+                if parts[low].as_py() != now:
+                    now, state = parts[low].as_py(), tuple(batch.column(c)[low].as_py() for c in ("present", "number", "version"))
+                state = done.one_id(low, high, state)
+            result, after = done.columns()
+            columns = [batch.column(c) for c in ("id", "seq", "op", "present0")] + [result, after] + [batch.column(k) for k in kept]
+            yield pa.RecordBatch.from_arrays(columns, names=late.names)
 
     # one id of a range waits, so the range stands for both
     later = waiting.join(entries, "key").repartition("part").sortWithinPartitions("part", "seq")
     later = later.select(*fields, "present", "number", "version").mapInArrow(second_pass, late)
     at_once = done.where("map IS NULL AND result IS NOT NULL")
-    return at_once.select("seq", "result", F.col("present0").alias("_in_base"), F.col("after").alias("_after")).unionByName(later)
+    at_once = at_once.select("id", "seq", "op", F.col("present0").alias("_in_base"), "result", F.col("after").alias("_after"), *kept)
+    return at_once.unionByName(later).withColumnsRenamed(dict(zip(kept, carried)))
 
 
-def _end(ident, part: int, width: int, run: Run | None, state: State | None, entry: State) -> tuple:
+def _end(ident, part: int, run: Run | None, state: State | None, entry: State, schema: pa.Schema) -> pa.RecordBatch:
     """The row of a map: that of the run, or the constant state that an id was left with."""
     pieces = run.pieces if run is not None else [(p, None, LOW, HIGH, (state[0], state[1], True, state[2])) for p in (False, True)]
     body = json.dumps([run.first if run is not None else LOW, pieces])
-    return (ident, part, *[None] * (width - 3), *entry, None, None, None, body)
+    given = {"id": ident, "part": part, "present0": entry[0], "seq0": entry[1], "version0": entry[2], "map": body}
+    return pa.RecordBatch.from_arrays([pa.array([given.get(f.name)], f.type) for f in schema], schema=schema)
 
 
 def _read(body: str) -> tuple[int, list[Piece]]:

@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,3 +130,36 @@ def test_no_changes(spark):
     base = spark.createDataFrame([("k", 1, "z")], "id string, a bigint, b string")
     out = changes.apply_changes(base, spark.createDataFrame([], FIELDS), "id", ["a", "b"], conditional=True)
     assert out.outcomes.count() == 0 and [tuple(r) for r in out.table.select("id", "a", "_seq_no", "_version").collect()] == [("k", 1, -1, 0)]
+
+
+def test_ids_may_share_a_sequence_number(spark):
+    ops = [(seq, "index" if k % 2 else "create", f"k{k}", k, "x", False, None, None, None) for seq in (1, 2) for k in range(40)]
+    ops += [(2, "delete", "k40", None, None, False, None, None, None), (None, "index", "k41", 1, "x", False, None, None, None)]
+    base = spark.createDataFrame([("k40", 1, "z")], "id string, a bigint, b string")
+    out = changes.apply_changes(base, spark.createDataFrame(ops, FIELDS), "id", ["a", "b"], conditional=True, ranges=6)
+    want = {(1, f"k{k}", "created") for k in range(40)} | {(2, f"k{k}", "updated" if k % 2 else "conflict") for k in range(40)}
+    told = [(r.seq, r.id, r.result) for r in out.outcomes.collect()]
+    assert len(told) == 81 and set(told) == want | {(2, "k40", "deleted")}
+    table = {r.id: (r.a, r["_seq_no"], r["_version"]) for r in out.table.collect()}
+    assert table == {f"k{k}": (k, 1 + k % 2, 1 + k % 2) for k in range(40)}
+
+
+@pytest.mark.parametrize("seed, ids, missing", [(0, 200, False), (1, 200, True), (2, 20, False), (3, 1, False)])
+def test_many_ids_at_once_as_one_by_one(seed, ids, missing):
+    rnd, rows, begins = random.Random(seed), [], []
+    for _ in range(ids):
+        start = rnd.choice([conditions.ABSENT, (True, rnd.randrange(len(rows) + 1), rnd.randrange(9))])
+        begins.append(len(rows))
+        for op, *asks, seq in some_changes(rnd, len(rows), rnd.choice([1, 2, 3, 4, 90])):
+            rows.append((rnd.choice([op, op, None]), *asks, None if missing and rnd.random() < 0.1 else seq, *start))
+    names = [*conditions.JUDGED_BY, "present0", "seq0", "version0"]
+    kinds = [pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64()]
+    batch = pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(zip(*rows), kinds)], names=names)
+    done = conditions.Judged(batch)
+    last = done.many_ids(np.array(begins))
+    want, state = [], None
+    for at, row in enumerate(rows):
+        before = row[6:] if at in begins else state
+        result, state = conditions.judge(*row[:6], before)
+        want.append((result, state[2] if state is not before else None))
+    assert list(zip(*[c.to_pylist() for c in done.columns()])) == want and last == state
